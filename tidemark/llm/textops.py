@@ -7,6 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -102,7 +103,7 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that no slice holds much more than SLICE_CHARS of text (or one row)."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > SLICE_CHARS:
