@@ -10,9 +10,9 @@
 4. Survivors are verified on the full shingle sets, one pair per text and
    round at first; verified links give components.
 5. Links that the smallest id of a bucket did not show are sought between the
-   bucket's other members, but only across components: large buckets are dealt
-   out in tiles of bounded size. This repeats until no pair is left that could
-   join two components.
+   bucket's other members, but only across components: buckets are dealt out
+   in tiles of bounded size, and what the signatures leave open is verified
+   within the tile. After that no pair is left that could join two components.
 """
 
 from __future__ import annotations
@@ -220,78 +220,112 @@ def _compare(pairs: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
     return both.mapInArrow(run, struct(f"a {kind}, b {kind}, rate double, same boolean"))
 
 
-def tile_pairs(ids: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, left: np.ndarray, right: np.ndarray, p: MinHash, best: int) -> tuple[list[tuple[int, int, float]], bool]:
-    """Pairs across components between two blocks, the ``best`` of every (member, other component), and whether there were more."""
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys as one table each, across batches."""
+    held: list[pa.Table] = []
+    held_key = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if table.num_rows == 0:
+            continue
+        columns = [table.column(k).to_numpy() for k in keys]
+        changed = np.zeros(table.num_rows - 1, bool)
+        for c in columns:
+            changed |= c[1:] != c[:-1]
+        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), table.num_rows]
+        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+            key = tuple(c[x] for c in columns)
+            if held and key != held_key:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(x, y - x))
+            held_key = key
+    if held:
+        yield pa.concat_tables(held)
+
+
+def open_pairs(key: int, ids, comps, sizes, sigs, keys, left, right, p: MinHash) -> list[tuple[int, int]]:
+    """Row pairs of two blocks that could join two components and share no earlier band."""
     i, j = np.meshgrid(left, right, indexing="ij")
     i, j = i.ravel(), j.ravel()
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
-    ok = (comps[i] != comps[j]) & (100 * small >= p.percent * large) & (ids[i] != ids[j])
+    ok = (comps[i] != comps[j]) & (100 * small >= p.percent * large) & (ids[i] < ids[j]) if left is right else (comps[i] != comps[j]) & (100 * small >= p.percent * large)
     i, j = i[ok], j[ok]
-    if len(i) == 0:
-        return [], False
-    stay, rate = bayes_filter(sigs[i], sigs[j], p)
-    i, j = i[stay], j[stay]
-    out, more, seen = [], False, {}
-    for k in np.lexsort((ids[j], ids[i], -rate)):
-        x, y = int(i[k]), int(j[k])
-        keys = ((x, int(comps[y])), (y, int(comps[x])))
-        if all(seen.get(key, 0) >= best for key in keys):
-            more = True
-            continue
-        for key in keys:
-            seen[key] = seen.get(key, 0) + 1
-        out.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y])), float(rate[k])))
-    return out, more
+    out = []
+    for at in range(0, len(i), 50_000):
+        x, y = i[at : at + 50_000], j[at : at + 50_000]
+        stay, _ = bayes_filter(sigs[x], sigs[y], p)
+        x, y = x[stay], y[stay]
+        equal = keys[x] == keys[y]
+        mine = keys[x, equal.argmax(axis=1)] == key
+        out += zip(x[mine].tolist(), y[mine].tolist(), strict=True)
+    return out
 
 
-def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: DataFrame, p: MinHash, best: int) -> DataFrame:
-    """(a, b, rate, more): pairs of bucket members, its smallest id aside, in different components."""
-    comp = members.where("id != lead").join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp"))
-    comp = ws.save(comp, "members")
-    mixed = ws.save(comp.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo != hi").select("k", F.ceil(F.col("c") / TILE).cast("int").alias("blocks")), "mixed")
-    rows = comp.join(mixed, "k").join(sketches.select("id", "n", "sig"), "id")
-    block = F.pmod(F.xxhash64("id", "k"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("k", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "comp", "n", "sig")
-    dealt = rows.repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "block", "id")
+def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
+    """(a, b): verified links between bucket members, its smallest id aside, of different components.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        flagged = False
-
-        def tiles(table: pa.Table, last: bool):
-            """Whole tiles of the table; the last one waits for what may follow."""
-            k, ti, tj = (table.column(c).to_numpy() for c in ("k", "ti", "tj"))
-            edge = np.flatnonzero((k[1:] != k[:-1]) | (ti[1:] != ti[:-1]) | (tj[1:] != tj[:-1])) + 1
-            bounds = [0, *edge.tolist()] + ([len(k)] if last else [])
-            found, more = [], False
-            if len(bounds) > 1:
-                ids, comps, sizes, block = (table.column(c).to_numpy() for c in ("id", "comp", "n", "block"))
-                sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, p.size)
-                for x, y in zip(bounds[:-1], bounds[1:], strict=True):
-                    at = np.arange(x, y)
-                    left, right = at[block[at] == ti[x]], at[block[at] == tj[x]]
-                    pairs, beyond = tile_pairs(ids, comps, sizes, sigs, left, right, p, best)
-                    found += pairs
-                    more |= beyond
-            rest = table.slice(bounds[-1]) if not last else None
-            return found, more, rest
-
-        def batch_of(found, more):
-            a, b, r = zip(*found, strict=True) if found else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(r, pa.float64()), pa.array([more] * len(a), pa.bool_())], names=["a", "b", "rate", "more"])
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if table.num_rows == 0:
+    A bucket is dealt out in tiles of two blocks. Tiles first name the rows
+    that have open pairs (by signature), then only those bring their texts:
+    rows grow with the members of a tile, never with its pairs.
+    """
+    comp = ws.save(members.where("id != lead").join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
+    mixed = ws.save(comp.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo != hi").select("k", F.ceil(F.col("c") / TILE).cast("int").alias("blocks")), "mixed")
+    rows = comp.join(mixed, "k").join(sketches.select("id", "n", "sig", "keys", "fp"), "id")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "k"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("k", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "comp", "n", "sig", "keys", "fp")
+    dealt = rows.repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "id")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, ("k", "ti", "tj")):
+            ids, comps, sizes, block = (t.column(c).to_numpy() for c in ("id", "comp", "n", "block"))
+            k, ti, tj = t.column("k")[0].as_py(), t.column("ti")[0].as_py(), t.column("tj")[0].as_py()
+            if comps.min() == comps.max():
                 continue
-            found, flagged, held = tiles(table, False)
-            yield batch_of(found, flagged)
-        if held is not None and held.num_rows:
-            found, flagged, _ = tiles(held, True)
-            yield batch_of(found, flagged)
-
-    return dealt.mapInArrow(run, struct("a long, b long, rate double, more boolean")).groupBy("a", "b").agg(F.max("rate").alias("rate"), F.max("more").alias("more"))
+            _, single = np.unique(np.array(t.column("fp").to_pylist(), object).astype("S16"), return_index=True)  # equal sets are in one component
+            sigs = _matrix(t.column("sig"), p.size)
+            keys = np.stack([np.asarray(v) for v in t.column("keys").to_pylist()])
+            left, right = np.sort(single[block[single] == ti]), np.sort(single[block[single] == tj])
+            pairs = open_pairs(k, ids, comps, sizes, sigs, keys, left, left if ti == tj else right, p)
+            partners: dict[int, list[int]] = {}
+            for x, y in pairs:
+                partners.setdefault(x, []).append(int(ids[y]))
+                partners.setdefault(y, [])
+            at = list(partners)
+            n = len(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * n, pa.int64()), pa.array([ti] * n, pa.int32()), pa.array([tj] * n, pa.int32()), pa.array(ids[at], pa.int64()), pa.array(comps[at], pa.int64()), pa.array(list(partners.values()), pa.list_(pa.int64()))],
+                names=["k", "ti", "tj", "id", "comp", "partners"],
+            )
+
+    named = ws.save(dealt.mapInArrow(look, struct("k long, ti int, tj int, id long, comp long, partners array<long>")), "open")
+    whole = _select_texts(texts, ws.save(named.select("id").distinct(), "needed"))
+    told = named.join(whole, "id").repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "id")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, ("k", "ti", "tj")):
+            ids, comps, partners, values = (t.column(c).to_pylist() for c in ("id", "comp", "partners", "text"))
+            parent: dict[int, int] = {}
+
+            def find(x: int, parent=parent) -> int:
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+
+            sets = {i: shingle_set(v, p.ngram) for i, v in zip(ids, values, strict=True)}
+            comp_of = dict(zip(ids, comps, strict=True))
+            a, b = [], []
+            for i, others in zip(ids, partners, strict=True):
+                for j in others:
+                    x, y = find(comp_of[i]), find(comp_of[j])
+                    if x != y and jaccard_at_least(sets[i], sets[j], p.percent):
+                        parent[max(x, y)] = min(x, y)
+                        a.append(i)
+                        b.append(j)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return ws.save(told.select("k", "ti", "tj", "id", "comp", "partners", "text").mapInArrow(verify, struct("a long, b long")), "links")
 
 
 def near_components(ws: Workspace, texts: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
@@ -308,31 +342,20 @@ def near_components(ws: Workspace, texts: DataFrame, sketches: DataFrame, p: Min
 
     links = survivors.where("same").select("a", "b")
     rest = survivors.where("NOT same")
-    first = rest.groupBy("b").agg(F.max(F.struct("rate", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
-    candidates = ws.save(first, "candidates")
-    tested: DataFrame | None = None
-    best = 1
-
-    def untested(found: DataFrame) -> DataFrame:
-        """Those of the pairs that could still join two components."""
-        ca = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        cb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        across = found.select("a", "b").join(ca, "a", "left").join(cb, "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-        return ws.save(across if tested is None else across.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-
-    while True:
-        if not candidates.isEmpty():
-            checked = _verify(ws, candidates, texts, p)
-            tested = checked if tested is None else ws.save(tested.unionByName(checked), "tested")
-        labels = connected_components(ws, links if tested is None else links.unionByName(tested.where("ok").select("a", "b")))
-        # First what the buckets' smallest ids left open, then the other members among themselves.
-        candidates = untested(rest)
-        while candidates.isEmpty():
-            found = ws.save(_residual(ws, members, labels, own, p, best), "residual")
-            candidates = untested(found)
-            if candidates.isEmpty() and found.where("more").isEmpty():
-                return labels
-            best *= 4
+    nearest = rest.groupBy("b").agg(F.max(F.struct("rate", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
+    checked = _verify(ws, nearest, texts, p)
+    links = links.unionByName(checked.where("ok").select("a", "b"))
+    labels = connected_components(ws, links)
+    # What the nearest smallest id left open: at most one pair per band and text.
+    ca = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    cb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    across = rest.select("a", "b").join(ca, "a", "left").join(cb, "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+    left_open = ws.save(across.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "open")
+    if not left_open.isEmpty():
+        links = links.unionByName(_verify(ws, left_open, texts, p).where("ok").select("a", "b"))
+        labels = connected_components(ws, links)
+    found = _residual(ws, members, labels, own, texts, p)
+    return labels if found.isEmpty() else connected_components(ws, links.unionByName(found))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", params: MinHash = MinHash()) -> DataFrame:
