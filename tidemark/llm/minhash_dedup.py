@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.textops import jaccard_at_least, map_rows, shingle_set, struct
+from tidemark.llm.textops import jaccard_at_least, map_rows, runs, shingle_set, struct
 from tidemark.llm.workspace import Workspace
 
 #: Ids that are broadcast to select texts, at most; more are joined by a shuffle.
@@ -220,30 +220,6 @@ def _compare(pairs: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
     return both.mapInArrow(run, struct(f"a {kind}, b {kind}, rate double, same boolean"))
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys as one table each, across batches."""
-    held: list[pa.Table] = []
-    held_key = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if table.num_rows == 0:
-            continue
-        columns = [table.column(k).to_numpy() for k in keys]
-        changed = np.zeros(table.num_rows - 1, bool)
-        for c in columns:
-            changed |= c[1:] != c[:-1]
-        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), table.num_rows]
-        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
-            key = tuple(c[x] for c in columns)
-            if held and key != held_key:
-                yield pa.concat_tables(held)
-                held = []
-            held.append(table.slice(x, y - x))
-            held_key = key
-    if held:
-        yield pa.concat_tables(held)
-
-
 def open_pairs(key: int, ids, comps, sizes, sigs, keys, left, right, p: MinHash) -> list[tuple[int, int]]:
     """Row pairs of two blocks that could join two components and share no earlier band."""
     i, j = np.meshgrid(left, right, indexing="ij")
@@ -381,3 +357,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         component.cast(docs.schema[doc_id].dataType).alias("component_id"),
         (F.col("id").isNull() | (component == F.col("id"))).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, *, params: MinHash = MinHash()) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns.
+
+    The ids to drop are broadcast if they are few, else joined by a shuffle.
+    """
+    judged = near_duplicates(docs, params=params)
+    gone = judged.where("NOT kept").select("doc_id").distinct()
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)

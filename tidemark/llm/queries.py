@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, line_dedup, packing, token_counts
+from tidemark.llm import bpe_codec, embedding_dedup, language_id, line_dedup, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,19 +16,48 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)))
+    learned = language_id.learn_dictionaries(docs.where("NOT held_out"))
+    return language_id.identify_languages(docs.select("doc_id", "text", "held_out"), learned, keep=("held_out",))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.bpe_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, quality_rules.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan_secrets(docs, secret_scan.learn_grammars(docs))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(_table(spark, sf_dir, "documents"))
 
@@ -50,14 +79,34 @@ GROUP BY doc_id
 """
 
 
+_OP9_SQL = r"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+), edges AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT DISTINCT a AS vec_id, a AS other FROM edges
+  UNION
+  SELECT r.vec_id, e.b FROM reach r JOIN edges e ON r.other = e.a
+), low AS (
+  SELECT vec_id, min(other) AS c FROM reach GROUP BY vec_id
+), n AS (
+  SELECT a, count(*) AS n FROM edges GROUP BY a
+)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(low.c, v.vec_id) AS component_id,
+       coalesce(low.c, v.vec_id) = v.vec_id AS kept
+FROM embeddings v LEFT JOIN low ON v.vec_id = low.vec_id LEFT JOIN n ON v.vec_id = n.a
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op3_token_counts": op3_token_counts,
-        "op5_bpe_codec": op5_bpe_codec,
-        "op8_line_dedup": op8_line_dedup,
-        "op10_best_fit_packing": op10_best_fit_packing,
-    }
+    found = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_minhash_dedup, op5_bpe_codec, op6_quality_rules, op7_secret_scan, op8_line_dedup, op9_embedding_dedup, op10_best_fit_packing)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": _OP8_SQL}
+    return {"op8_line_dedup": _OP8_SQL, "op9_embedding_dedup": _OP9_SQL}

@@ -276,3 +276,17 @@ def redact(text: str | None, grammars: Grammars, mark: str = "[REDACTED]") -> st
             out += [text[at:a], mark]
         at = b
     return "".join([*out, text[at:]]) if out else text
+
+
+def redact_secrets(docs: DataFrame, grammars: Grammars) -> DataFrame:
+    """``docs`` with all columns, and every span in ``text`` replaced."""
+    shared = docs.sparkSession.sparkContext.broadcast(grammars)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = pa.array([redact(t, shared.value) for t in part.column(at).to_pylist()], part.schema.field(at).type)
+                yield part.set_column(at, part.schema.field(at), texts)
+
+    return docs.mapInArrow(run, docs.schema)

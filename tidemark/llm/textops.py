@@ -114,6 +114,30 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys as one table each, across batches."""
+    held: list[pa.Table] = []
+    held_key = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if table.num_rows == 0:
+            continue
+        columns = [table.column(k).to_numpy() for k in keys]
+        changed = np.zeros(table.num_rows - 1, bool)
+        for c in columns:
+            changed |= c[1:] != c[:-1]
+        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), table.num_rows]
+        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+            key = tuple(c[x] for c in columns)
+            if held and key != held_key:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(x, y - x))
+            held_key = key
+    if held:
+        yield pa.concat_tables(held)
+
+
 def map_rows(df: DataFrame, schema: T.StructType, prepare: Callable[[], Callable[..., list[list[Any]]]], text: str = "text") -> DataFrame:
     """mapInArrow over bounded slices.
 
