@@ -245,7 +245,11 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: Da
     that have open pairs (by signature), then only those bring their texts:
     rows grow with the members of a tile, never with its pairs.
     """
-    comp = ws.save(members.where("id != lead").join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
+    # Of texts with equal sets, which are in one component, the smallest id speaks for all.
+    first = ws.save(sketches.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last").select("fp", "first"), "first")
+    copies = sketches.select("id", "fp").join(first, "fp").where("id != first").select("id")
+    single = members.where("id != lead").join(copies, "id", "left_anti")
+    comp = ws.save(single.join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
     mixed = ws.save(comp.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo != hi").select("k", F.ceil(F.col("c") / TILE).cast("int").alias("blocks")), "mixed")
     rows = comp.join(mixed, "k").join(sketches.select("id", "n", "sig", "keys", "fp"), "id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "k"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
