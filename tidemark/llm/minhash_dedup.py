@@ -72,7 +72,7 @@ def tune_bands(percent: int, recall: float, most: int) -> tuple[int, int]:
 
 
 @functools.lru_cache(maxsize=8)
-def _functions(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def hash_functions(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return (rng.integers(0, 1 << 32, size, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None], rng.integers(0, 1 << 32, size, dtype=np.uint64).astype(np.uint32)[:, None]
 
@@ -84,7 +84,7 @@ def _band_mix(bands: int, rows: int, seed: int) -> np.ndarray:
 
 def minhash(shingles: np.ndarray, size: int, seed: int) -> np.ndarray:
     """``size`` minima of hash functions over the shingles."""
-    a, b = _functions(size, seed)
+    a, b = hash_functions(size, seed)
     h = (shingles >> np.uint64(32)).astype(np.uint32)
     step = max(1, 200_000 // max(1, size))
     out = np.full(size, 0xFFFFFFFF, np.uint32)
@@ -95,16 +95,20 @@ def minhash(shingles: np.ndarray, size: int, seed: int) -> np.ndarray:
     return out
 
 
-def band_keys(signature: np.ndarray, p: MinHash) -> np.ndarray:
-    """One 64-bit key per band; keys of different bands never meet but by chance."""
-    mixed = (signature.reshape(p.bands, p.rows).astype(np.uint64) + np.uint64(1)) * _band_mix(p.bands, p.rows, p.seed)
-    keys = mixed.sum(axis=1, dtype=np.uint64)
+def band_key_matrix(signatures: np.ndarray, p: MinHash) -> np.ndarray:
+    """One 64-bit key per signature and band; keys of different bands never meet but by chance."""
+    mixed = (signatures.reshape(-1, p.bands, p.rows).astype(np.uint64) + np.uint64(1)) * _band_mix(p.bands, p.rows, p.seed)
+    keys = mixed.sum(axis=2, dtype=np.uint64)
     keys ^= keys >> np.uint64(29)
     keys *= np.uint64(0xBF58476D1CE4E5B9)
     keys ^= keys >> np.uint64(32)
     return keys.view(np.int64)
 
 
+def band_keys(signature: np.ndarray, p: MinHash) -> np.ndarray:
+    return band_key_matrix(signature[None, :], p)[0]
+
+
 @functools.lru_cache(maxsize=8)
 def needed_matches(p: MinHash) -> tuple[int, ...]:
     """Least number of equal bytes after each batch that keeps a pair.

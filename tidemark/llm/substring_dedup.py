@@ -14,12 +14,16 @@ others are removals.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.minhash_dedup import MinHash, near_components, sketch, tune_bands
-from tidemark.llm.textops import ascii_words, map_rows, struct, windows, word_hashes
+from tidemark.llm.minhash_dedup import MinHash, band_key_matrix, hash_functions, near_components, tune_bands
+from tidemark.llm.textops import mix64, slices, struct, windows, word_hashes
 from tidemark.llm.workspace import Workspace
 
 #: Words of the shortest paragraph that counts as a passage.
@@ -44,57 +48,118 @@ def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def blocks(text: str | None) -> list[tuple[int, int, int, int]]:
-    """(key, check, start, end) of the text's verbatim blocks; offsets in bytes."""
-    words = ascii_words(text)
-    if len(words) < BLOCK_WORDS:
-        return []
-    h = word_hashes(words)
-    starts = windows(h, 5)[: len(words) - BLOCK_WORDS + 1]
-    if len(starts) <= WINNOW:
-        at = np.array([int(starts.argmin())])
-    else:
-        view = np.lib.stride_tricks.sliding_window_view(starts, WINNOW)
-        at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    key = windows(h, BLOCK_WORDS)[at]
-    check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)[at] >> np.uint64(33)
-    first, last = word_bounds(text.encode("utf-8", "surrogatepass"))
-    return list(zip(key.view(np.int64).tolist(), check.astype(np.int64).tolist(), first[at].tolist(), last[at + BLOCK_WORDS - 1].tolist(), strict=True))
+def block_starts(h: np.ndarray) -> np.ndarray:
+    """Content-chosen words at which the verbatim blocks of a text with these word hashes start."""
+    if len(h) < BLOCK_WORDS:
+        return np.empty(0, np.int64)
+    first = windows(h, 5)[: len(h) - BLOCK_WORDS + 1]
+    if len(first) <= WINNOW:
+        return np.array([int(first.argmin())])
+    view = np.lib.stride_tricks.sliding_window_view(first, WINNOW)
+    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
+
+
+def _doc_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, word starts, word ends, line of each word, number of words of each line)."""
+    raw = text.encode("utf-8", "surrogatepass")
+    h = word_hashes(raw.lower().split())
+    first, last = word_bounds(raw)
+    line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), first)
+    return h, first, last, line, np.bincount(line) if len(line) else np.empty(0, np.int64)
+
+
+def sketch_lines(parts: list[tuple[int, int, np.ndarray]], p: MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(n, fp, keys, sig) of paragraphs given as (., ., word hashes), all at once.
+
+    The fingerprint is two wrapping sums over the distinct shingles, a set's in any order.
+    """
+    lengths = np.array([len(h) for *_, h in parts])
+    joined = np.concatenate([h for *_, h in parts])
+    owner = np.repeat(np.arange(len(parts)), lengths)
+    ends = np.cumsum(lengths)
+    every = windows(joined, p.ngram)
+    inside = np.arange(len(every)) + p.ngram <= ends[owner[: len(every)]]
+    sh, own = every[inside], owner[: len(every)][inside]
+    order = np.lexsort((sh, own))
+    sh, own = sh[order], own[order]
+    fresh = np.ones(len(sh), bool)
+    fresh[1:] = (sh[1:] != sh[:-1]) | (own[1:] != own[:-1])
+    sh, own = sh[fresh], own[fresh]
+    n = np.bincount(own, minlength=len(parts))
+    starts = np.cumsum(n) - n
+    fp = np.stack([np.add.reduceat(mix64(sh ^ np.uint64(salt)), starts) for salt in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)], axis=1)
+    a, b = hash_functions(p.size, p.seed)
+    low = (sh >> np.uint64(32)).astype(np.uint32)
+    sig = np.empty((len(parts), p.size), np.uint32)
+    for k in range(p.size):
+        v = low * a[k]
+        v += b[k]
+        sig[:, k] = np.minimum.reduceat(v, starts)
+    return n, fp, band_key_matrix(sig, p), (sig & np.uint32(0xFF)).astype(np.uint8)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A byte matrix as one binary value per row."""
+    size = rows.shape[1] * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
+
+
+_SCAN = "doc long, pos int, n int, fp binary, keys array<long>, sig binary, k long, c long, start int, end int"
+
+
+def scan(docs: DataFrame, p: MinHash) -> DataFrame:
+    """One pass over the texts: a row with ``pos`` per paragraph (its sketch), a row with ``k`` per verbatim block."""
+    schema = to_arrow_schema(struct(_SCAN))
+
+    def batch(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(whole, "text"):
+                lines: list[tuple[int, int, np.ndarray]] = []
+                found: list[list[np.ndarray]] = [[], [], [], [], []]
+                for d, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    h, first, last, line, counts = _doc_parts(text)
+                    at = 0
+                    for pos, n in enumerate(counts.tolist()):
+                        if n >= MIN_WORDS:
+                            lines.append((d, pos, h[at : at + n]))
+                        at += n
+                    b = block_starts(h)
+                    if len(b):
+                        check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)[b] >> np.uint64(33)
+                        for column, value in zip(found, (windows(h, BLOCK_WORDS)[b].view(np.int64), check.astype(np.int64), np.full(len(b), d), first[b], last[b + BLOCK_WORDS - 1]), strict=True):
+                            column.append(value)
+                if lines:
+                    n, fp, keys, sig = sketch_lines(lines, p)
+                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
+                    yield batch({"doc": pa.array([d for d, *_ in lines], pa.int64()), "pos": pa.array([x for _, x, _ in lines], pa.int32()), "n": pa.array(n), "fp": _binary(fp), "keys": listed, "sig": _binary(sig)}, len(lines))
+                if found[0]:
+                    k, c, d, a, b = (pa.array(np.concatenate(x)) for x in found)
+                    yield batch({"k": k, "c": c, "doc": d, "start": a, "end": b}, len(k))
+
+    return docs.select("doc", "text").mapInArrow(run, struct(_SCAN))
 
 
 def _paragraphs(docs: DataFrame) -> DataFrame:
-    """(id, doc, pos, text) of the lines long enough to be passages."""
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "text"))
-    # Words are parted by at least one character each.
-    return lines.where(F.length("text") >= 2 * MIN_WORDS - 1).select(F.xxhash64("doc", "pos", "text").alias("id"), "doc", "pos", "text")
+    """(id, text) of the lines; a paragraph is known by its document and position."""
+    return docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "text")).select(F.xxhash64("doc", "pos").alias("id"), "text")
 
 
-def repeated_paragraphs(ws: Workspace, docs: DataFrame, params: MinHash = PARAGRAPH) -> DataFrame:
+def repeated_paragraphs(ws: Workspace, docs: DataFrame, scanned: DataFrame, params: MinHash = PARAGRAPH) -> DataFrame:
     """(doc, pos, cluster, removed) of the paragraphs that have a near-duplicate in another document."""
-    units = _paragraphs(docs)
-    sketches = ws.save(sketch(units, params).where(F.col("n") > MIN_WORDS - params.ngram), "sketches")
-    labels = near_components(ws, units.select("id", "text"), sketches, params)
+    sketches = scanned.where("pos IS NOT NULL").withColumn("id", F.xxhash64("doc", "pos"))
+    labels = near_components(ws, _paragraphs(docs), sketches.select("id", "n", "fp", "keys", "sig"), params)
     grouped = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
-    found = ws.save(units.select("id", "doc", "pos").join(grouped, "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
+    found = ws.save(sketches.select("id", "doc", "pos").join(grouped, "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
     spread = ws.save(found.groupBy("cluster").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi"), "clusters")
     return found.join(spread, "cluster").select("doc", "pos", "cluster", (F.col("doc") != F.col("lo")).alias("removed"))
 
 
-def repeated_blocks(ws: Workspace, docs: DataFrame) -> DataFrame:
+def repeated_blocks(ws: Workspace, scanned: DataFrame) -> DataFrame:
     """(doc, start, end, removed) of the verbatim blocks that another document holds too."""
-
-    def prepare():
-        def work(ids, texts):
-            out: list[list] = [[], [], [], [], []]
-            for d, t in zip(ids, texts, strict=True):
-                for k, c, a, b in blocks(t):
-                    for column, value in zip(out, (k, c, d, a, b), strict=True):
-                        column.append(value)
-            return out
-
-        return work
-
-    found = ws.save(map_rows(docs.select("doc", "text"), struct("k long, c long, doc long, start int, end int"), prepare), "blocks")
+    found = scanned.where("k IS NOT NULL").select("k", "c", "doc", "start", "end")
     shared = ws.save(found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("k", "c", "lo"), "shared")
     return found.join(shared, ["k", "c"]).select("doc", "start", "end", (F.col("doc") != F.col("lo")).alias("removed"))
 
@@ -111,12 +176,13 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """
     ws = Workspace(docs.sparkSession, "passages")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & F.col("text").isNotNull())
+    scanned = ws.save(scan(rows, params), "scan")
     paragraphs = (
-        repeated_paragraphs(ws, rows, params)
+        repeated_paragraphs(ws, rows, scanned, params)
         .groupBy("doc")
         .agg(F.sort_array(F.collect_set(F.struct("pos", "cluster", "removed"))).alias("paragraphs"))
     )
-    spans = repeated_blocks(ws, rows).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("start", "end", "removed"))).alias("blocks"))
+    spans = repeated_blocks(ws, scanned).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("start", "end", "removed"))).alias("blocks"))
 
     def merged(found):
         """Overlapping ranges, sorted by start, as one each."""

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Words whose hashes one worker remembers before it starts over.
-WORD_CACHE = 400_000
+WORD_CACHE = 300_000
 #: Characters of text handled at once within an Arrow batch.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xFF51AFD7ED558CCD)
