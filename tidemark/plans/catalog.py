@@ -5,11 +5,344 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions import symbols
+from tidemark.operators import bars, book, ordering, quality, rolling
+from tidemark.sources import parse
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_HOUR = 3_600_000
+_Q: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _Q[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as trades: symbol, millisecond time, price, quantity, id; ``arrival`` delays every 97th by 500 places."""
+    e = _t(spark, sf, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    late = F.col("event_id") + F.when(F.col("event_id") % 97 == 0, 500).otherwise(0)
+    return e.select(
+        F.col("event_type").alias("symbol"), ms.alias("timestamp"), F.col("value").alias("price"), F.col("user_id").cast("double").alias("quantity"),
+        F.col("event_id").alias("trade_id"), (F.col("event_id") % 2 == 0).alias("is_buyer_maker"), late.alias("arrival"), "user_id", "props",
+    )
+
+
+_EV = """ev AS (SELECT event_type AS symbol, epoch_us(ts)//1000 AS timestamp, value AS price, CAST(user_id AS DOUBLE) AS quantity,
+  event_id AS trade_id, event_id % 2 = 0 AS is_buyer_maker, event_id + CASE WHEN event_id % 97 = 0 THEN 500 ELSE 0 END AS arrival, user_id, props FROM events)"""
+
+
+def _bars_sql(width: int) -> str:
+    return f"""WITH {_EV} SELECT symbol, timestamp // {width} * {width} AS minute_start, arg_min(price, trade_id) AS open, max(price) AS high, min(price) AS low,
+  arg_max(price, trade_id) AS close, sum(quantity) AS volume, count(*) AS trade_count FROM ev GROUP BY ALL"""
+
+
+@_query("ohlcv_1m", _bars_sql(60_000))
+def _(s, d):
+    return bars.ohlcv(_events(s, d), "trade_id")
+
+
+@_query("ohlcv_1h", _bars_sql(_HOUR))
+def _(s, d):
+    return bars.ohlcv(_events(s, d), "trade_id", _HOUR)
+
+
+_ISLANDS = f"""WITH {_EV}, a AS (SELECT *, timestamp // {_HOUR} * {_HOUR} AS m FROM ev),
+b AS (SELECT *, CASE WHEN lag(m) OVER w IS DISTINCT FROM m THEN 1 ELSE 0 END AS fresh FROM a WINDOW w AS (PARTITION BY symbol ORDER BY arrival, trade_id)),
+c AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY arrival, trade_id) AS run FROM b),
+f AS (SELECT *, min(run) OVER (PARTITION BY symbol, m) AS first_run, row_number() OVER (PARTITION BY symbol ORDER BY arrival, trade_id) AS o FROM c)"""
+
+
+@_query("ohlcv_arrival_1h", _ISLANDS + """ SELECT symbol, m AS minute_start, arg_min(price, o) AS open, max(price) AS high, min(price) AS low, arg_max(price, o) AS close,
+  sum(quantity) AS volume, count(*) AS trade_count FROM f WHERE run = first_run GROUP BY ALL""")
+def _(s, d):
+    return bars.ohlcv_arrival(_events(s, d), ["arrival", "trade_id"], _HOUR)
+
+
+_TAKER = """, t AS (SELECT symbol, {m} AS minute, coalesce(sum(quantity) FILTER (WHERE NOT is_buyer_maker), 0.0) AS buy_volume,
+  coalesce(sum(quantity) FILTER (WHERE is_buyer_maker), 0.0) AS sell_volume, count(*) AS trade_count FROM {src} GROUP BY ALL)
+  SELECT symbol, minute, buy_volume, sell_volume, buy_volume - sell_volume AS delta_volume,
+  CASE WHEN buy_volume + sell_volume > 0 THEN (buy_volume - sell_volume) / (buy_volume + sell_volume) ELSE 0.0 END AS delta_ratio, trade_count FROM t"""
+
+
+@_query("taker_delta_1h", f"WITH {_EV}" + _TAKER.format(m=f"timestamp // {_HOUR} * {_HOUR}", src="ev"))
+def _(s, d):
+    return bars.taker_delta(_events(s, d), _HOUR)
+
+
+@_query("taker_delta_arrival_1h", _ISLANDS + _TAKER.format(m="m", src="f WHERE run = first_run"))
+def _(s, d):
+    return bars.taker_delta_arrival(_events(s, d), ["arrival", "trade_id"], _HOUR)
+
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@_query("trade_dedup", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM
+  (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_LINE)}) AS rn FROM lineitem) WHERE rn = 1""")
+def _(s, d):
+    return ordering.dedup_first(_t(s, d, "lineitem"), ["l_orderkey", "l_linenumber"], _LINE).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+@_query("monotonic_guard", f"""WITH {_EV} SELECT symbol, trade_id, timestamp FROM (SELECT *, max(trade_id) OVER (PARTITION BY symbol ORDER BY arrival, trade_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM ev) WHERE b IS NULL OR trade_id > b""")
+def _(s, d):
+    return ordering.monotonic_guard(_events(s, d), ["arrival", "trade_id"]).select("symbol", "trade_id", "timestamp")
+
+
+@_query("id_gaps", f"""WITH {_EV} SELECT symbol, p + 1 AS first_missing, trade_id - 1 AS last_missing, trade_id - p - 1 AS n_missing
+  FROM (SELECT *, lag(trade_id) OVER (PARTITION BY symbol ORDER BY trade_id) AS p FROM ev) WHERE trade_id > p + 1""")
+def _(s, d):
+    return ordering.id_gaps(_events(s, d))
+
+
+@_query("recover_gaps", f"""WITH {_EV}, e AS (SELECT 'ALL' AS sym, * FROM ev), live AS (SELECT * FROM e WHERE trade_id % 5 <> 3)
+  SELECT sym AS symbol, trade_id, false AS is_recovered FROM live UNION ALL
+  SELECT sym, trade_id, true FROM e WHERE trade_id % 5 = 3 AND trade_id > (SELECT min(trade_id) FROM live) AND trade_id < (SELECT max(trade_id) FROM live)""")
+def _(s, d):
+    e = _events(s, d).withColumn("symbol", F.lit("ALL")).select("symbol", "trade_id")
+    return ordering.recover_gaps(e.where("trade_id % 5 <> 3"), e, ["trade_id"])
+
+
+@_query("per_bucket_sample", f"""WITH {_EV}, a AS (SELECT *, timestamp // 1800000 AS b FROM ev) SELECT symbol, trade_id, timestamp FROM
+  (SELECT *, max(b) OVER (PARTITION BY symbol ORDER BY arrival, trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM a) WHERE p IS NULL OR b > p""")
+def _(s, d):
+    return ordering.sample_per_bucket(_events(s, d), "timestamp", ["arrival", "trade_id"], 1_800_000).select("symbol", "trade_id", "timestamp")
+
+
+@_query("depth_chain_breaks", f"""WITH {_EV}, a AS (SELECT *, CASE WHEN trade_id % 7 = 0 THEN NULL ELSE trade_id END AS u, CASE WHEN trade_id % 11 = 0 THEN NULL ELSE trade_id - (trade_id % 3) - 1 END AS pu FROM ev),
+  b AS (SELECT *, last_value(u IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS expected FROM a)
+  SELECT symbol, trade_id, pu AS prev_final_update_id, expected FROM b WHERE expected IS NOT NULL AND pu IS NOT NULL AND pu <> expected""")
+def _(s, d):
+    e = _events(s, d).withColumn("final_update_id", F.when(F.col("trade_id") % 7 != 0, F.col("trade_id"))).withColumn("prev_final_update_id", F.when(F.col("trade_id") % 11 != 0, F.col("trade_id") - F.col("trade_id") % 3 - 1))
+    return ordering.chain_breaks(e, ["trade_id"]).select("symbol", "trade_id", "prev_final_update_id", "expected")
+
+
+@_query("asof_merge", f"""WITH {_EV} SELECT v.user_id, v.trade_id, s.price AS signup_value FROM (SELECT * FROM ev WHERE symbol = 'view') v
+  ASOF LEFT JOIN (SELECT * FROM ev WHERE symbol = 'signup') s ON v.user_id = s.user_id AND v.trade_id >= s.trade_id""")
+def _(s, d):
+    e = _events(s, d)
+    views = e.where("symbol = 'view'").select("user_id", "trade_id")
+    return ordering.asof_latest(views, e.where("symbol = 'signup'").select("user_id", "trade_id", F.col("price").alias("signup_value")), ["signup_value"], "user_id", "trade_id")
+
+
+@_query("liquidations_notional", """SELECT l_orderkey, l_linenumber, l_partkey, p AS price, q AS quantity, p * q AS notional FROM (SELECT *, CASE WHEN l_discount > 0.05 THEN l_extendedprice ELSE l_tax END AS p,
+  CASE WHEN l_quantity > 25 THEN l_quantity ELSE 1.0 END AS q FROM lineitem)""")
+def _(s, d):
+    li = _t(s, d, "lineitem")
+    price = parse.first_positive(F.when(F.col("l_discount") > 0.05, F.col("l_extendedprice").cast("string")), F.col("l_tax").cast("string"))
+    qty = parse.first_positive(F.when(F.col("l_quantity") > 25, F.col("l_quantity").cast("string")).otherwise(""), F.lit("1"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", price.alias("price"), qty.alias("quantity"), (price * qty).alias("notional"))
+
+
+def _books(s: SparkSession, d: str) -> DataFrame:
+    """Books of line items: symbol = supplier, one snapshot a quarter, bids open and asks shipped lines by price (in cents)."""
+    li = _t(s, d, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("symbol"), (F.year("l_shipdate") * 4 + F.quarter("l_shipdate") - 1).cast("long").alias("timestamp"),
+        F.struct(F.round(F.col("l_extendedprice") * 100).alias("price"), F.col("l_quantity").cast("double").alias("qty")).alias("level"), F.col("l_linestatus").alias("side"),
+    )
+    best_last = F.sort_array(F.collect_list(F.when(F.col("side") == "O", F.col("level"))), asc=False)
+    best_first = F.sort_array(F.collect_list(F.when(F.col("side") == "F", F.col("level"))))
+    return li.groupBy("symbol", "timestamp").agg(best_last.alias("bids"), best_first.alias("asks"))
+
+
+_BOOK = """bk AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(year(l_shipdate) * 4 + quarter(l_shipdate) - 1 AS BIGINT) AS timestamp,
+  list({'p': round(l_extendedprice * 100), 'q': CAST(l_quantity AS DOUBLE)} ORDER BY round(l_extendedprice * 100) DESC, l_quantity DESC) FILTER (WHERE l_linestatus = 'O') AS b,
+  list({'p': round(l_extendedprice * 100), 'q': CAST(l_quantity AS DOUBLE)} ORDER BY round(l_extendedprice * 100), l_quantity) FILTER (WHERE l_linestatus = 'F') AS a FROM lineitem GROUP BY ALL)"""
+
+
+def _n(side: str, k: int) -> str:
+    return f"coalesce(list_sum(list_transform({side}[1:{k}], lambda x: x.p * x.q)), 0.0)"
+
+
+def _imb(k: int) -> str:
+    return f"CASE WHEN {_n('b', k)} + {_n('a', k)} > 0 THEN ({_n('b', k)} - {_n('a', k)}) / ({_n('b', k)} + {_n('a', k)}) ELSE 0.0 END"
+
+
+@_query("top_of_book", f"""WITH {_BOOK}, t AS (SELECT symbol, timestamp, b[1].p AS best_bid_price, b[1].q AS best_bid_qty, a[1].p AS best_ask_price, a[1].q AS best_ask_qty FROM bk WHERE len(a) > 0 AND len(b) > 0)
+  SELECT *, best_ask_price - best_bid_price AS spread, (best_ask_price + best_bid_price) / 2.0 AS mid_price,
+  (best_ask_price - best_bid_price) / ((best_ask_price + best_bid_price) / 2.0) * 10000.0 AS spread_bps FROM t""")
+def _(s, d):
+    return book.top_of_book(_books(s, d)).drop("bids", "asks")
+
+
+@_query("depth_levels", f"WITH {_BOOK} SELECT symbol, timestamp, " + ", ".join(f"{x}[{i}].{w[0]} AS {n}_{w}_{i}" for n, x in (("bid", "b"), ("ask", "a")) for i in range(1, 6) for w in ("price", "qty")) + " FROM bk")
+def _(s, d):
+    return book.to_wide(_books(s, d), 5)
+
+
+@_query("book_imbalance", f"WITH {_BOOK} SELECT symbol, timestamp, {', '.join(f'{_imb(k)} AS imbalance_{k}' for k in (5, 10, 20, 50))}, {_n('b', 50)} AS bid_notional, {_n('a', 50)} AS ask_notional FROM bk")
+def _(s, d):
+    return book.book_imbalance(_books(s, d))
+
+
+@_query("liquidity_stress", f"""WITH {_BOOK}, n AS (SELECT symbol, timestamp, {_n('b', 50)} AS bn, {_n('a', 50)} AS an FROM bk), w AS (SELECT *, bn + an AS t, lag(bn + an) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM n),
+  c AS (SELECT symbol, timestamp, bn AS bid_depth_notional, an AS ask_depth_notional, CASE WHEN t > 0 THEN (bn - an) / t ELSE 0.0 END AS depth_imbalance, CASE WHEN p > 0 THEN (t - p) / p ELSE 0.0 END AS depth_change_1m FROM w)
+  SELECT *, depth_change_1m <= -0.15 OR (timestamp % 2 = 0 AND abs(depth_imbalance) >= 0.35) AS is_stress_event FROM c""")
+def _(s, d):
+    return book.liquidity_stress(_books(s, d).withColumn("wide", F.col("timestamp") % 2 == 0), wide="wide")
+
+
+_OI = ", ".join(f"open_interest - first_value(open_interest) OVER (PARTITION BY symbol ORDER BY timestamp RANGE BETWEEN {m * 60000} PRECEDING AND CURRENT ROW) AS rolling_{m}m_delta" for m in (5, 15, 60))
+
+
+@_query("oi_change", f"""WITH {_EV}, o AS (SELECT symbol, timestamp, price AS open_interest, lag(price) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM ev)
+  SELECT timestamp, symbol, open_interest AS oi, coalesce(open_interest - p, 0.0) AS oi_delta, CASE WHEN p IS NULL OR p = 0 THEN 0.0 ELSE (open_interest - p) / p END AS oi_delta_pct, {_OI} FROM o""")
+def _(s, d):
+    return rolling.oi_change(_events(s, d).select("symbol", "timestamp", F.col("price").alias("open_interest")))
+
+
+@_query("spread_state", f"""WITH {_EV}, a AS (SELECT symbol, timestamp, price AS x, CAST(round(price * 100) AS BIGINT) AS i FROM ev),
+  w AS (SELECT *, count(*) OVER f AS n, CAST(sum(i) OVER f AS BIGINT) AS s, CAST(sum(i * i) OVER f AS BIGINT) AS q FROM a WINDOW f AS (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 299 PRECEDING AND CURRENT ROW)),
+  m AS (SELECT *, CAST(s AS DOUBLE) / (n * 100) AS mean, sqrt(CAST(n * q - s * s AS DOUBLE)) / (n * 100) AS sd FROM w), z AS (SELECT *, CASE WHEN sd > 0 THEN (x - mean) / sd ELSE 0.0 END AS z FROM m)
+  SELECT timestamp, symbol, x AS spread_bps, z AS spread_zscore, z >= 2.0 AS is_wide_spread, mean AS rolling_spread_mean, sd AS rolling_spread_std FROM z""")
+def _(s, d):
+    return rolling.spread_state(_events(s, d).select("symbol", "timestamp", F.col("price").alias("spread_bps")), scale=100)
+
+
+_FW = "CASE " + " ".join(f"WHEN t > 0 AND t <= {m} THEN 'PRE_{m}M'" for m in (5, 15, 30, 60)) + " " + " ".join(f"WHEN c > 0 AND c <= {m} THEN 'POST_{m}M'" for m in (5, 15, 30, 60)) + " ELSE 'NORMAL' END"
+
+
+@_query("funding_event", f"""WITH {_EV}, a AS (SELECT symbol, timestamp, (price - 50) / 1e6 AS r, (timestamp // 28800000 + 1) * 28800000 AS nx FROM ev),
+  b AS (SELECT *, CASE WHEN timestamp < nx THEN (nx - timestamp) / 60000.0::DOUBLE ELSE 0.0 END AS t, greatest(0.0, (timestamp - CASE WHEN timestamp < nx THEN nx - 28800000 ELSE nx END) / 60000.0::DOUBLE) AS c FROM a)
+  SELECT timestamp, symbol, r AS predicted_funding_rate, nx AS next_funding_time, t AS minutes_to_funding, c AS minutes_since_previous_funding, {_FW} AS funding_window,
+  {', '.join(f't > 0 AND t <= {m} AS is_pre_funding_{m}m' for m in (60, 30, 15, 5))}, {', '.join(f'c > 0 AND c <= {m} AS is_post_funding_{m}m' for m in (5, 15, 30, 60))},
+  CAST(CASE WHEN abs(r) < 1e-5 THEN 0 WHEN r > 0 THEN 1 ELSE -1 END AS TINYINT) AS funding_direction FROM b""")
+def _(s, d):
+    period = 8 * _HOUR
+    e = _events(s, d).select("symbol", "timestamp", ((F.col("price") - 50) / 1e6).alias("funding_rate"), ((F.floor(F.col("timestamp") / period) + 1) * period).cast("long").alias("next_funding_time"))
+    return rolling.funding_event(e)
+
+
+def _days(s: SparkSession, d: str) -> DataFrame:
+    return _events(s, d).withColumn("day", quality.utc_day(F.col("timestamp")).cast("string"))
+
+
+_DY = f"{_EV}, dy AS (SELECT *, CAST(CAST(make_timestamp(timestamp * 1000) AS DATE) AS VARCHAR) AS day FROM ev)"
+_GRID = """g AS (SELECT symbol, day FROM (SELECT DISTINCT symbol FROM dy UNION SELECT 'NONE') CROSS JOIN (SELECT DISTINCT day FROM dy)),
+  rc AS (SELECT g.symbol, g.day, count(dy.symbol) AS n_rows FROM g LEFT JOIN dy ON g.symbol = dy.symbol AND g.day = dy.day GROUP BY ALL)"""
+
+
+def _counts(s: SparkSession, d: str) -> DataFrame:
+    rows = _days(s, d)
+    names = rows.select("symbol").distinct().unionByName(s.range(1).select(F.lit("NONE").alias("symbol")))
+    # A few names by the days at hand: the report's grid, not a join of data.
+    grid = rows.groupBy("day").agg(F.lit(1).alias("k")).join(names.withColumn("k", F.lit(1)), "k").drop("k")
+    return quality.row_counts(rows, grid)
+
+
+@_query("row_counts", f"WITH {_DY}, {_GRID} SELECT * FROM rc")
+def _(s, d):
+    return _counts(s, d)
+
+
+@_query("empty_partitions", f"WITH {_DY}, {_GRID} SELECT symbol, day FROM rc WHERE n_rows = 0")
+def _(s, d):
+    return _counts(s, d).where("n_rows = 0").select("symbol", "day")
+
+
+@_query("interval_shortfall", f"WITH {_DY}, {_GRID} SELECT symbol, day, n_rows, CAST(64 AS BIGINT) AS expected FROM rc WHERE n_rows > 0 AND n_rows < 64")
+def _(s, d):
+    return quality.interval_shortfall(_counts(s, d), 1200)
+
+
+@_query("missing_minutes", f"WITH {_DY} SELECT symbol, day, CAST(greatest(0, 1440 - count(DISTINCT timestamp // 60000)) AS BIGINT) AS missing_minutes FROM dy GROUP BY ALL")
+def _(s, d):
+    return quality.missing_minutes(_days(s, d))
+
+
+@_query("large_gaps", f"""WITH {_DY}, a AS (SELECT *, lag(timestamp) OVER (PARTITION BY symbol, day ORDER BY timestamp) AS p FROM dy), b AS (SELECT *, row_number() OVER (PARTITION BY symbol, day ORDER BY timestamp) AS rn FROM a WHERE timestamp - p > 300000)
+  SELECT symbol, day, p AS gap_start, timestamp AS gap_end, timestamp - p AS gap_ms FROM b WHERE rn <= 20""")
+def _(s, d):
+    return quality.large_gaps(_days(s, d))
+
+
+@_query("growth_trend", f"""WITH {_DY}, b AS (SELECT day, count(*) AS bytes FROM dy GROUP BY day), m AS (SELECT day, bytes, CAST(sum(bytes) OVER w AS DOUBLE) / count(*) OVER w AS mean_bytes,
+  bytes - lag(bytes) OVER (ORDER BY day) AS delta_bytes FROM b WINDOW w AS (ORDER BY CAST(day AS DATE) RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)) SELECT *, mean_bytes * 30 AS projected_30d, mean_bytes * 90 AS projected_90d FROM m""")
+def _(s, d):
+    return quality.growth_trend(_days(s, d).groupBy("day").agg(F.count(F.lit(1)).alias("bytes")))
+
+
+@_query("report_alerts", f"""WITH {_DY}, mm AS (SELECT max(m) AS m FROM (SELECT 1440 - count(DISTINCT timestamp // 60000) AS m FROM dy GROUP BY symbol, day))
+  SELECT 'CRITICAL' AS severity, 'reconnect_storm' AS type, '25 reconnects' AS message UNION ALL
+  SELECT 'WARNING', 'missing_minutes', m || ' minutes missing' FROM mm WHERE m > 5""")
+def _(s, d):
+    worst = quality.missing_minutes(_days(s, d)).agg(F.max("missing_minutes").alias("missing_minutes"))
+    zero = F.lit(0)
+    return quality.alerts(worst.select("missing_minutes", F.lit(25).alias("reconnects"), F.lit(12.5).alias("disk_percent"), zero.alias("oi_shortfalls"), zero.alias("funding_shortfalls"), zero.alias("empty_partitions"), zero.alias("storage_failures"), zero.alias("rest_failures")))
+
+
+@_query("overall_status", "SELECT 'critical' AS status")
+def _(s, d):
+    return quality.overall_status(_Q["report_alerts"](s, d))
+
+
+@_query("alerts_throttled", f"""WITH RECURSIVE {_EV}, t AS (SELECT symbol, timestamp // 1000 AS t FROM ev), sent AS (
+  SELECT symbol, min(t) AS t FROM t GROUP BY symbol UNION ALL
+  SELECT s.symbol, (SELECT min(x.t) FROM t x WHERE x.symbol = s.symbol AND x.t >= s.t + 14400) FROM sent s WHERE s.t IS NOT NULL)
+  SELECT symbol, t AS sent_at FROM sent WHERE t IS NOT NULL""")
+def _(s, d):
+    return quality.throttle(_events(s, d).withColumn("t", F.floor(F.col("timestamp") / 1000)), "symbol", "t", 14_400)
+
+
+@_query("reconnect_windows")
+def _(s, d):
+    return quality.reconnect_alerts(_events(s, d).withColumn("t", F.floor(F.col("timestamp") / 1000)), "symbol", "t", 3600)
+
+
+@_query("metadata_filters", """SELECT CAST(p_partkey AS VARCHAR) AS symbol, p_retailprice AS tick_size, CAST(p_size AS DOUBLE) AS step_size, 0.0 AS min_qty,
+  CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS DOUBLE) ELSE 5.0 END AS min_notional, CAST(NULL AS DOUBLE) AS maker_fee, CAST(NULL AS DOUBLE) AS taker_fee FROM part""")
+def _(s, d):
+    one = lambda kind, *kv: F.create_map(F.lit("filterType"), F.lit(kind), *kv)
+    size, price = F.col("p_size").cast("string"), F.col("p_retailprice").cast("string")
+    notional = F.when(F.col("p_size") % 2 == 0, one("MIN_NOTIONAL", F.lit("notional"), size)).otherwise(one("NOTIONAL", F.lit("minNotional"), F.lit("5")))
+    filters = F.array(one("PRICE_FILTER", F.lit("tickSize"), F.lit("9")), one("PRICE_FILTER", F.lit("tickSize"), price), one("LOT_SIZE", F.lit("stepSize"), size), notional)
+    return parse.filter_metadata(_t(s, d, "part").select(F.col("p_partkey").cast("string").alias("symbol"), filters.alias("filters")))
+
+
+@_query("symbol_normalize", "SELECT upper(trim(p_brand)) AS symbol, min(p_partkey) AS pos FROM part WHERE trim(p_brand) <> '' GROUP BY 1")
+def _(s, d):
+    return symbols.ordered_distinct(_t(s, d, "part").withColumn("p_brand", F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" "))), "p_brand", "p_partkey")
+
+
+@_query("invalid_symbols", "SELECT n_name AS symbol FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 20)")
+def _(s, d):
+    active = _t(s, d, "nation").join(_t(s, d, "customer").where("c_custkey <= 20"), F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
+    return symbols.invalid_symbols(_t(s, d, "nation").select(F.col("n_name").alias("symbol")), active.select(F.col("n_name").alias("symbol")))
+
+
+@_query("props_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def _(s, d):
+    return _t(s, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@_query("max_timestamp", f"WITH {_EV} SELECT max(timestamp) AS latest FROM ev")
+def _(s, d):
+    return _events(s, d).agg(F.max("timestamp").alias("latest"))
+
+
+@_query("utc_partition_day", f"WITH {_DY} SELECT symbol, day, count(*) AS n_rows FROM dy GROUP BY ALL")
+def _(s, d):
+    return _days(s, d).groupBy("symbol", "day").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
