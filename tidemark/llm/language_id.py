@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ MIN_MARGIN_PART = 0.004
 SCORE_BYTES = 2.0
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
