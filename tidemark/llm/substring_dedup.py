@@ -80,11 +80,10 @@ def sketch_lines(parts: list[tuple[int, int, np.ndarray]], p: MinHash) -> tuple[
     every = windows(joined, p.ngram)
     inside = np.arange(len(every)) + p.ngram <= ends[owner[: len(every)]]
     sh, own = every[inside], owner[: len(every)][inside]
-    order = np.lexsort((sh, own))
-    sh, own = sh[order], own[order]
-    fresh = np.ones(len(sh), bool)
-    fresh[1:] = (sh[1:] != sh[:-1]) | (own[1:] != own[:-1])
-    sh, own = sh[fresh], own[fresh]
+    # Owner and 48 hash bits in one number: within a paragraph that tells shingles apart.
+    coded = np.sort((own.astype(np.uint64) << np.uint64(48)) | (sh >> np.uint64(16)))
+    coded = coded[np.append(True, coded[1:] != coded[:-1])]
+    own, sh = (coded >> np.uint64(48)).astype(np.int64), coded << np.uint64(16)
     n = np.bincount(own, minlength=len(parts))
     starts = np.cumsum(n) - n
     fp = np.stack([np.add.reduceat(mix64(sh ^ np.uint64(salt)), starts) for salt in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)], axis=1)
@@ -131,10 +130,11 @@ def scan(docs: DataFrame, p: MinHash) -> DataFrame:
                         check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)[b] >> np.uint64(33)
                         for column, value in zip(found, (windows(h, BLOCK_WORDS)[b].view(np.int64), check.astype(np.int64), np.full(len(b), d), first[b], last[b + BLOCK_WORDS - 1]), strict=True):
                             column.append(value)
-                if lines:
-                    n, fp, keys, sig = sketch_lines(lines, p)
-                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
-                    yield batch({"doc": pa.array([d for d, *_ in lines], pa.int64()), "pos": pa.array([x for _, x, _ in lines], pa.int32()), "n": pa.array(n), "fp": _binary(fp), "keys": listed, "sig": _binary(sig)}, len(lines))
+                for at in range(0, len(lines), 1 << 16):
+                    lines_now = lines[at : at + (1 << 16)]
+                    n, fp, keys, sig = sketch_lines(lines_now, p)
+                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(lines_now) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
+                    yield batch({"doc": pa.array([d for d, *_ in lines_now], pa.int64()), "pos": pa.array([x for _, x, _ in lines_now], pa.int32()), "n": pa.array(n), "fp": _binary(fp), "keys": listed, "sig": _binary(sig)}, len(lines_now))
                 if found[0]:
                     k, c, d, a, b = (pa.array(np.concatenate(x)) for x in found)
                     yield batch({"k": k, "c": c, "doc": d, "start": a, "end": b}, len(k))
