@@ -6,31 +6,29 @@ probabilistic automaton per kind is inferred: a prefix tree of symbol classes
 whose states are merged while their outgoing frequencies agree (Hoeffding
 bounds). Every other long run of credential characters is then scored by the
 log-likelihood ratio, per symbol, of its best automaton to a Markov model of
-ordinary words; runs above the threshold are spans of kind ``learned``.
+ordinary runs, whose transitions are counted over all texts in full; runs
+above the threshold are spans of kind ``learned``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Mapping
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.textops import map_rows, slices, struct
 
 KINDS = ("assign", "access", "hex", "learned")
-#: Distinct credentials and ordinary words that the grammars are inferred from, at most.
+#: Distinct credentials of a kind that its grammar is inferred from, at most.
 SAMPLE_CREDENTIALS = 6_000
-SAMPLE_WORDS = 6_000
-#: Ordinary words that a task offers to the sample.
-WORDS_PER_TASK = 256
 #: Shortest run that is a candidate.
 MIN_CANDIDATE = 20
 #: Confidence parameter of the compatibility test.
@@ -49,6 +47,12 @@ _CLASS = str.maketrans(
     {c: "a" for c in "abcdef"} | {c: "g" for c in "ghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEF"} | {c: "G" for c in "GHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0123456789"} | {"/": "+"}
 )
 _SYMBOLS = "agAG0+_.=-"
+#: Class number of every byte; 0 stands between runs.
+_BYTE_CLASS = np.zeros(256, np.uint8)
+for _c in map(chr, range(128)):
+    if (_k := _SYMBOLS.find(_c.translate(_CLASS))) >= 0:
+        _BYTE_CLASS[ord(_c)] = _k + 1
+_STEP = 1 << 20
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -152,31 +156,45 @@ class Automaton:
         return total + (self.log[at][""] if at >= 0 else -math.log(len(_SYMBOLS)))
 
 
-class Markov:
-    """Order-one model of ordinary words."""
+def transitions(text: str) -> np.ndarray:
+    """Counts of class pairs in the text's runs of credential characters, starts and ends (0) included."""
+    n = len(_SYMBOLS) + 1
+    classes = np.concatenate([[0], _BYTE_CLASS[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)], [0]])
+    out = np.zeros(n * n, np.int64)
+    for i in range(0, len(classes) - 1, _STEP):
+        x = classes[i : i + _STEP + 1].astype(np.int64)
+        out += np.bincount(x[:-1] * n + x[1:], minlength=n * n)
+    return out
 
-    def __init__(self, words: Iterable[str]):
-        counts: dict[str, Counter] = defaultdict(Counter)
-        for w in words:
-            for a, b in zip("^" + w, w + "$", strict=True):
-                counts[a][b] += 1
-        self.log = {a: {b: math.log((counts[a][b] + 0.5) / (counts[a].total() + 0.5 * (len(_SYMBOLS) + 1))) for b in _SYMBOLS + "$"} for a in "^" + _SYMBOLS}
+
+class Markov:
+    """Order-one model of ordinary runs, from the counts of their class pairs (0 is start and end)."""
+
+    def __init__(self, pairs: Mapping[int, int]):
+        n = len(_SYMBOLS) + 1
+        counts = np.zeros(n * n)
+        for k, v in pairs.items():
+            counts[k] = v
+        counts[0] = 0  # two separators in a row are no run
+        counts = counts.reshape(n, n) + 0.5
+        logs = np.log(counts / counts.sum(axis=1, keepdims=True))
+        self.log = {a: {b: float(logs[i, j]) for j, b in enumerate("$" + _SYMBOLS)} for i, a in enumerate("^" + _SYMBOLS)}
 
     def log_likelihood(self, word: str) -> float:
         return sum(self.log[a].get(b, -10.0) for a, b in zip("^" + word, word + "$", strict=True))
 
 
 class Grammars:
-    def __init__(self, credentials: dict[str, list[str]], words: list[str]):
+    def __init__(self, credentials: dict[str, list[str]], pairs: Mapping[int, int]):
         coded = {k: [w.translate(_CLASS) for w in v] for k, v in credentials.items() if v}
-        ordinary = [w.translate(_CLASS) for w in words]
-        # One word in four of every kind is held out to set the threshold.
+        # One credential in four of every kind is held out to set the threshold.
         self.automata = {k: Automaton([w for i, w in enumerate(v) if i % 4 or len(v) < 8]) for k, v in coded.items()}
-        self.background = Markov(ordinary)
-        right = sorted(self.ratio(w) for v in coded.values() for i, w in enumerate(v) if i % 4 == 0 or len(v) < 8)
-        wrong = max((self.ratio(w) for w in ordinary), default=0.0)
-        low = right[len(right) // 100] if right else math.inf
-        self.threshold = max(MIN_RATIO, (low + wrong) / 2 if low > wrong else wrong + 1e-9)
+        self.background = Markov(pairs)
+        held = [w for v in coded.values() for i, w in enumerate(v) if i % 4 == 0 or len(v) < 8]
+        # Those as long as a candidate count, if there are any.
+        right = sorted(map(self.ratio, [w for w in held if len(w) >= MIN_CANDIDATE] or held))
+        # Halfway between indifference and what 99 of 100 held-out credentials reach.
+        self.threshold = max(MIN_RATIO, right[len(right) // 100] / 2) if right else math.inf
 
     def ratio(self, coded: str) -> float:
         if not self.automata or not coded:
@@ -194,46 +212,42 @@ class Grammars:
 
 
 def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
-    """Grammars from the credentials that the base patterns label in all texts.
+    """Grammars from the credentials that the base patterns label in all texts, and the background of all texts.
 
-    The samples are the distinct values with the least hashes, of a bounded
-    number, so they do not depend on how rows are dealt out.
+    One pass: each task sends its credentials and, added up, the class pairs
+    of everything else. The sample of a kind is its distinct values with the
+    least hashes, so it does not depend on how rows are dealt out.
     """
 
     def run(batches):
-        words: list[tuple[int, str]] = []
-        known: set[str] = set()
+        pairs = np.zeros((len(_SYMBOLS) + 1) ** 2, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                kinds, values = [], []
+                kinds, values, rest = [], [], []
                 for t in part.column(0).to_pylist():
                     if not t:
                         continue
                     spans = base_spans(t)
                     kinds += [k for _, _, k, _ in spans]
                     values += [v for *_, v in spans]
-                    for w in t[:400].split()[:20]:
-                        if len(w) >= 8 and w.isalpha() and w.isascii() and w not in known:
-                            key = -xxhash.xxh3_64_intdigest(w.encode())
-                            if len(words) < WORDS_PER_TASK:
-                                heapq.heappush(words, (key, w))
-                                known.add(w)
-                            elif key > words[0][0]:
-                                known.discard(heapq.heapreplace(words, (key, w))[1])
-                                known.add(w)
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string())})
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(["word"] * len(words), pa.string()), "value": pa.array([w for _, w in words], pa.string())})
-
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, struct("kind string, value string"))
-    # One pass over the texts; at most the two sample sizes come back.
-    distinct = found.where(F.length("value") <= 256).groupBy("kind", "value").agg(F.xxhash64(F.first("value")).alias("h"))
-    ranked = distinct.withColumn("word", F.col("kind") == "word")
-    rows = ranked.orderBy("h", "value", "kind").limit(SAMPLE_CREDENTIALS + SAMPLE_WORDS).collect()
+                    rest.append(blanked(t, spans, " ") if spans else t)
+                pairs += transitions("\n".join(rest))
+                yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string()), "n": pa.array([1] * len(kinds), pa.int64())})
+        at = np.flatnonzero(pairs)
+        yield pa.RecordBatch.from_pydict({"kind": pa.array(["pair"] * len(at), pa.string()), "value": pa.array([str(k) for k in at], pa.string()), "n": pa.array(pairs[at])})
+
+    found = docs.select(F.col(text).alias("text")).mapInArrow(run, struct("kind string, value string, n long"))
+    distinct = found.where(F.length("value") <= 256).groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    # The ranks are cut in every task first (a limit by group), so a kind never meets whole in one.
+    first = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     credentials: dict[str, list[str]] = {}
-    words = []
-    for r in rows:
-        (words if r.kind == "word" else credentials.setdefault(r.kind, [])).append(r.value)
-    return Grammars({k: v[:SAMPLE_CREDENTIALS] for k, v in sorted(credentials.items())}, words[:SAMPLE_WORDS])
+    pairs: dict[int, int] = {}
+    for r in distinct.withColumn("rank", first).where(F.col("rank") <= SAMPLE_CREDENTIALS).collect():
+        if r.kind == "pair":
+            pairs[int(r.value)] = r.n
+        else:
+            credentials.setdefault(r.kind, []).append(r.value)
+    return Grammars({k: sorted(v) for k, v in sorted(credentials.items())}, pairs)
 
 
 def spans_text(spans: list[tuple[int, int, str]]) -> str:
@@ -264,18 +278,22 @@ def scan_secrets(docs: DataFrame, grammars: Grammars, *, doc_id: str = "doc_id",
     return map_rows(rows, struct(f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"), prepare)
 
 
-def redact(text: str | None, grammars: Grammars, mark: str = "[REDACTED]") -> str | None:
-    """The text with every span, overlapping ones joined, replaced by ``mark``."""
-    if not text:
-        return text
+def blanked(text: str, spans: Iterable[tuple], mark: str) -> str:
+    """The text with every span (start, end, ...), overlapping ones joined, replaced by ``mark``."""
     out, at = [], 0
-    for a, b, _ in grammars.spans(text):
+    for a, b, *_ in sorted(spans, key=lambda s: s[:2]):
         if b <= at:
             continue
         if a >= at:
             out += [text[at:a], mark]
         at = b
-    return "".join([*out, text[at:]]) if out else text
+    return "".join([*out, text[at:]])
+
+
+def redact(text: str | None, grammars: Grammars, mark: str = "[REDACTED]") -> str | None:
+    """The text with every span replaced by ``mark``."""
+    spans = grammars.spans(text) if text else []
+    return blanked(text, spans, mark) if spans else text
 
 
 def redact_secrets(docs: DataFrame, grammars: Grammars) -> DataFrame:
