@@ -21,10 +21,10 @@ from collections.abc import Iterable, Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.textops import map_rows, slices, struct
+from tidemark.llm.workspace import Workspace
 
 KINDS = ("assign", "access", "hex", "learned")
 #: Distinct credentials of a kind that its grammar is inferred from, at most.
@@ -237,16 +237,14 @@ def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
         yield pa.RecordBatch.from_pydict({"kind": pa.array(["pair"] * len(at), pa.string()), "value": pa.array([str(k) for k in at], pa.string()), "n": pa.array(pairs[at])})
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, struct("kind string, value string, n long"))
-    distinct = found.where(F.length("value") <= 256).groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    # The ranks are cut in every task first (a limit by group), so a kind never meets whole in one.
-    first = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
+    distinct = Workspace(docs.sparkSession, "secrets").save(found.where(F.length("value") <= 256).groupBy("kind", "value").agg(F.sum("n").alias("n")), "found")
     credentials: dict[str, list[str]] = {}
-    pairs: dict[int, int] = {}
-    for r in distinct.withColumn("rank", first).where(F.col("rank") <= SAMPLE_CREDENTIALS).collect():
-        if r.kind == "pair":
-            pairs[int(r.value)] = r.n
-        else:
-            credentials.setdefault(r.kind, []).append(r.value)
+    for kind in KINDS[:-1]:
+        # Every task offers its least hashes: a kind never meets whole in one.
+        rows = distinct.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE_CREDENTIALS).collect()
+        if rows:
+            credentials[kind] = [r.value for r in rows]
+    pairs = {int(r.value): r.n for r in distinct.where("kind = 'pair'").collect()}  # at most one a pair of classes
     return Grammars({k: sorted(v) for k, v in sorted(credentials.items())}, pairs)
 
 
