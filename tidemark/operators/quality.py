@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,6 +54,12 @@ def growth_trend(daily: DataFrame, days: int = 7) -> DataFrame:
     return out.select("day", "bytes", "mean_bytes", "delta_bytes", (F.col("mean_bytes") * 30).alias("projected_30d"), (F.col("mean_bytes") * 90).alias("projected_90d"))
 
 
+def fire(states: DataFrame, rules: list[tuple[Column, str, Column, Column]], *keep: str) -> DataFrame:
+    """(*keep, severity, type, message) of every rule (severity, type, when, message) that holds for a row, in one pass."""
+    found = F.array(*[F.when(when, F.struct(severity.alias("severity"), F.lit(kind).alias("type"), message.alias("message"))) for severity, kind, when, message in rules])
+    return states.select(*keep, F.inline(F.array_compact(found)))
+
+
 def alerts(facts: DataFrame) -> DataFrame:
     """(severity, type, message) of one row of daily facts per report."""
     rules = [
@@ -68,8 +72,7 @@ def alerts(facts: DataFrame) -> DataFrame:
         ("CRITICAL", "storage_failures", F.col("storage_failures") > 0, F.format_string("%d storage failures", "storage_failures")),
         ("WARNING", "rest_failures", F.col("rest_failures") > 0, F.format_string("%d request failures", "rest_failures")),
     ]
-    parts = [facts.where(when).select(F.lit(s).alias("severity"), F.lit(t).alias("type"), m.alias("message")) for s, t, when, m in rules]
-    return reduce(DataFrame.unionByName, parts)
+    return fire(facts, [(F.lit(severity), kind, when, message) for severity, kind, when, message in rules])
 
 
 def overall_status(found: DataFrame) -> DataFrame:

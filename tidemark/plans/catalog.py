@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import symbols
-from tidemark.operators import bars, book, ordering, quality, rolling
+from tidemark.operators import bars, book, monitoring, ordering, quality, rolling
 from tidemark.sources import parse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -340,6 +340,70 @@ def _(s, d):
     return _days(s, d).groupBy("symbol", "day").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_NOW = 3_600_000
+_STATES = f"""st AS (SELECT o_orderkey AS instance, (o_orderkey % 40) * 60000 AS uptime_ms, (o_custkey % 25) / 2.0::DOUBLE AS free_gb, o_custkey % 9 AS symbols,
+  CASE WHEN o_orderkey % 7 > 0 THEN {_NOW} - (o_custkey % 30) * 60000 END AS last_oi_ms, CASE WHEN o_orderkey % 11 > 0 THEN {_NOW} - (o_custkey % 40) * 60000 END AS last_funding_ms,
+  {_NOW} - (o_custkey % 4) * 60000 AS last_trade_ms, {_NOW} - (o_custkey % 8) * 60000 AS last_depth_ms,
+  o_orderkey % 3 AS integrity_errors, o_custkey % 3 AS integrity_seen, CASE WHEN o_orderkey % 13 > 0 THEN o_orderkey % 5 <> 0 END AS backup_ok FROM orders)"""
+
+
+def _states(s: SparkSession, d: str) -> DataFrame:
+    """One service state per order."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    ago = lambda n: _NOW - (cust % n) * 60_000
+    return _t(s, d, "orders").select(
+        key.alias("instance"), ((key % 40) * 60_000).alias("uptime_ms"), ((cust % 25) / 2.0).alias("free_gb"), (cust % 9).alias("symbols"),
+        F.when(key % 7 > 0, ago(30)).alias("last_oi_ms"), F.when(key % 11 > 0, ago(40)).alias("last_funding_ms"), ago(4).alias("last_trade_ms"), ago(8).alias("last_depth_ms"),
+        (key % 3).alias("integrity_errors"), (cust % 3).alias("integrity_seen"), F.when(key % 13 > 0, key % 5 != 0).alias("backup_ok"),
+    )
+
+
+def _old(column: str, minutes: int) -> str:
+    return f"uptime_ms >= {minutes * 60000} AND ({column} IS NULL OR {_NOW} - {column} > {minutes * 60000})"
+
+
+@_query("live_alerts", f"""WITH {_STATES} SELECT instance, CASE WHEN free_gb < 5 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, 'disk_usage_high' AS type FROM st WHERE free_gb < 10
+  UNION ALL SELECT instance, 'WARNING', 'oi_updates_missing' FROM st WHERE {_old('last_oi_ms', 5)} UNION ALL SELECT instance, 'WARNING', 'funding_updates_missing' FROM st WHERE {_old('last_funding_ms', 15)}
+  UNION ALL SELECT instance, 'CRITICAL', 'data_integrity_failure' FROM st WHERE integrity_errors > integrity_seen UNION ALL SELECT instance, 'CRITICAL', 'backup_failure' FROM st WHERE NOT backup_ok""")
+def _(s, d):
+    return monitoring.live_alerts(_states(s, d), F.lit(_NOW)).drop("message")
+
+
+@_query("health_failures", f"""WITH {_STATES} SELECT instance, 'symbols' AS type FROM st WHERE symbols <= 0 UNION ALL SELECT instance, 'integrity' FROM st WHERE uptime_ms >= 900000 AND integrity_errors > 0
+  UNION ALL """ + " UNION ALL ".join(f"SELECT instance, '{c}' FROM st WHERE {_old(c, m)}" for c, m in (("last_oi_ms", 5), ("last_funding_ms", 15), ("last_trade_ms", 2), ("last_depth_ms", 5))))
+def _(s, d):
+    return monitoring.health_failures(_states(s, d), F.lit(_NOW))
+
+
+@_query("queue_peaks", f"WITH {_DY} SELECT day, symbol AS queue, max(user_id) AS peak FROM dy GROUP BY ALL")
+def _(s, d):
+    return monitoring.queue_peaks(_events(s, d).select("timestamp", F.col("symbol").alias("queue"), F.col("user_id").alias("size")))
+
+
+@_query("failure_counts", f"WITH {_DY} SELECT day, symbol AS kind, count(*) AS n FROM dy WHERE trade_id % 10 = 0 GROUP BY ALL")
+def _(s, d):
+    return monitoring.failure_counts(_events(s, d).where("trade_id % 10 = 0").withColumnRenamed("symbol", "kind"))
+
+
+@_query("daily_summary", f"WITH {_DY} SELECT day, min(timestamp) AS sent_at FROM dy WHERE timestamp % 86400000 >= 29700000 AND timestamp % 86400000 < 32400000 GROUP BY day")
+def _(s, d):
+    return monitoring.daily_summary(_events(s, d), 8, 15)
+
+
+@_query("disk_usage", "SELECT o_orderkey, CASE WHEN o_custkey % 10 > 0 THEN round((2048 - (o_custkey % 10) * 64) / 2048.0::DOUBLE * 100, 2) ELSE 0.0 END AS percent FROM orders")
+def _(s, d):
+    total = F.when(F.col("o_custkey") % 10 > 0, 2048).otherwise(0)
+    return _t(s, d, "orders").select("o_orderkey", monitoring.disk_usage_percent(total, F.col("o_custkey") % 10 * 64).alias("percent"))
+
+
+@_query("backup_complete", """WITH l AS (SELECT l_orderkey, sum(CAST(l_quantity AS BIGINT)) AS b, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_tax > 0.01), 0) AS rb,
+  count(*) FILTER (WHERE l_tax > 0.01) AS rf FROM lineitem GROUP BY 1) SELECT l_orderkey, rf > 0 AND rb > 0 AND rb >= 0.9::DOUBLE * b AS ok FROM l""")
+def _(s, d):
+    sizes = _t(s, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("long").alias("b"), "l_tax")
+    both = [x.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("files"), F.sum("b").alias("bytes")) for x in (sizes, sizes.where("l_tax > 0.01"))]
+    return monitoring.backup_complete(*both, ["l_orderkey"])
+
+
 def queries() -> dict[str, Query]:
     return dict(_Q)
 
