@@ -7,13 +7,11 @@ the text where a stage changes it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, minhash_dedup, packing, quality_rules, secret_scan
-from tidemark.llm.workspace import checkpoint_root
+from tidemark.llm.workspace import Workspace
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -56,9 +54,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{checkpoint_root(spark)}/tidemark-pipeline-{uuid.uuid4().hex[:12]}"
+    ws = Workspace(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        done = stage(spark, docs, sf_dir)
-        done.write.parquet(f"{base}/{name}")
-        docs = spark.read.schema(done.schema).parquet(f"{base}/{name}")
+        done = ws.save(stage(spark, docs, sf_dir), name)
+        ws.drop(docs)  # nothing reads the stage before any more; the input itself stays
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
