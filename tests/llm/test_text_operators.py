@@ -180,6 +180,17 @@ def test_tiles_find_what_the_leader_misses(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_exact_copies_are_linked_whoever_leads_their_buckets(spark):
+    """Smaller ids that are not near-duplicates lead all buckets of a text: its copies still form one group."""
+    rng = random.Random(21)
+    base = prose(rng, 100)
+    rows = [(i, base + " " + prose(rng, rng.randint(36, 42))) for i in range(400)]
+    rows += [(1000 + i, base.upper() if i % 2 else base) for i in range(5)]
+    want = brute_components(brute_sets(rows))
+    assert {want[1000 + i] for i in range(5)} == {1000}
+    assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame(spark, rows)).collect()} == want
+
+
 def test_bands_and_bayes_bounds():
     p = minhash_dedup.MinHash()
     assert p.recall(0.75) > 0.9999

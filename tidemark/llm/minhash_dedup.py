@@ -6,7 +6,8 @@
    smallest id only: as many pairs as rows, however large the bucket is.
 3. Pairs are compared signature batch by signature batch. After each, those
    whose posterior probability of reaching the threshold has fallen below the
-   miss probability are dropped. Equal fingerprints need no more proof.
+   miss probability are dropped. Equal fingerprints need no more proof: of
+   each fingerprint every id is linked with the smallest, whatever its buckets.
 4. Survivors are verified on the full shingle sets, one pair per text and
    round at first; verified links give components.
 5. Links that the smallest id of a bucket did not show are sought between the
@@ -242,17 +243,15 @@ def open_pairs(key: int, ids, comps, sizes, sigs, keys, left, right, p: MinHash)
     return out
 
 
-def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
+def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: DataFrame, sketches: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
     """(a, b): verified links between bucket members, its smallest id aside, of different components.
 
     A bucket is dealt out in tiles of two blocks. Tiles first name the rows
     that have open pairs (by signature), then only those bring their texts:
     rows grow with the members of a tile, never with its pairs.
     """
-    # Of texts with equal sets, which are in one component, the smallest id speaks for all.
-    first = ws.save(sketches.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last").select("fp", "first"), "first")
-    copies = sketches.select("id", "fp").join(first, "fp").where("id != first").select("id")
-    single = members.where("id != lead").join(copies, "id", "left_anti")
+    # Of texts with equal sets, which are linked already, the smallest id speaks for all.
+    single = members.where("id != lead").join(copies.select(F.col("b").alias("id")), "id", "left_anti")
     comp = ws.save(single.join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
     mixed = ws.save(comp.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo != hi").select("k", F.ceil(F.col("c") / TILE).cast("int").alias("blocks")), "mixed")
     rows = comp.join(mixed, "k").join(sketches.select("id", "n", "sig", "keys", "fp"), "id")
@@ -266,7 +265,7 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: Da
             k, ti, tj = t.column("k")[0].as_py(), t.column("ti")[0].as_py(), t.column("tj")[0].as_py()
             if comps.min() == comps.max():
                 continue
-            _, single = np.unique(np.array(t.column("fp").to_pylist(), object).astype("S16"), return_index=True)  # equal sets are in one component
+            _, single = np.unique(np.array(t.column("fp").to_pylist(), object).astype("S16"), return_index=True)  # equal sets are linked already
             sigs = _matrix(t.column("sig"), p.size)
             keys = np.stack([np.asarray(v) for v in t.column("keys").to_pylist()])
             left, right = np.sort(single[block[single] == ti]), np.sort(single[block[single] == tj])
@@ -324,7 +323,10 @@ def near_components(ws: Workspace, texts: DataFrame, sketches: DataFrame, p: Min
     pairs = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     survivors = ws.save(_compare(pairs, own, p), "survivors")
 
-    links = survivors.where("same").select("a", "b")
+    # The smallest id of a bucket need not be like its members: copies are linked by themselves.
+    first = ws.save(own.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last").select("fp", "first"), "first")
+    copies = ws.save(own.select("id", "fp").join(first, "fp").where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")), "copies")
+    links = survivors.where("same").select("a", "b").unionByName(copies)
     rest = survivors.where("NOT same")
     nearest = rest.groupBy("b").agg(F.max(F.struct("rate", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
     checked = _verify(ws, nearest, texts, p)
@@ -338,7 +340,7 @@ def near_components(ws: Workspace, texts: DataFrame, sketches: DataFrame, p: Min
     if not left_open.isEmpty():
         links = links.unionByName(_verify(ws, left_open, texts, p).where("ok").select("a", "b"))
         labels = connected_components(ws, links)
-    found = _residual(ws, members, labels, own, texts, p)
+    found = _residual(ws, members, labels, copies, own, texts, p)
     return labels if found.isEmpty() else connected_components(ws, links.unionByName(found))
 
 
