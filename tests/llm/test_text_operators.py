@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, language_id, line_dedup, minhash_dedup, packing, pretokens, quality_rules, secret_scan, substring_dedup, token_counts
 from tidemark.llm.components import connected_components
@@ -235,6 +236,18 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_copies_of_a_short_line_that_longer_lines_extend(spark):
+    """The copies' hashed ids are the largest, so longer lines lead all their buckets."""
+    rng = random.Random(31)
+    order = [r.id for r in spark.range(220).select("id", F.xxhash64("id", F.lit(0)).alias("h")).orderBy("h").collect()]
+    line = prose(rng, 30)
+    rows = [(i, line + " " + prose(rng, 10)) for i in order[:-4]] + [(i, line) for i in order[-4:]]
+    got = {r.doc_id: r.paragraphs for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    copies = sorted(order[-4:])
+    assert [[p.removed for p in got.get(i, [])] for i in copies] == [[False], [True], [True], [True]]
+    assert len({got[i][0].cluster for i in copies}) == 1
+
+
 def brute_quality(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     lines = [x for x in (t or "").split("\n")]
