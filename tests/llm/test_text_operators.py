@@ -248,6 +248,19 @@ def test_copies_of_a_short_line_that_longer_lines_extend(spark):
     assert len({got[i][0].cluster for i in copies}) == 1
 
 
+def test_repeats_within_one_document(spark):
+    rng = random.Random(32)
+    passage, line = prose(rng, 60), prose(rng, 25)
+    text = " ".join([prose(rng, 15), passage, prose(rng, 15), passage, prose(rng, 15)])
+    rows = [(1, text), (2, "\n".join([line, "gap", line, line])), (3, prose(rng, 10) + " " + passage), (4, prose(rng, 90)), (5, prose(rng, 90)), (5, prose(random.Random(33), 90))]
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == {1, 2, 3}
+    second = text.rindex(passage)
+    assert got[1].removed_spans and all(second <= s.start and s.end <= second + len(passage) for s in got[1].removed_spans)
+    assert got[1].n_spans == 2 and got[3].removed_spans
+    assert [(p.pos, p.removed) for p in got[2].paragraphs] == [(0, False), (2, True), (3, True)]
+
+
 def brute_quality(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     lines = [x for x in (t or "").split("\n")]

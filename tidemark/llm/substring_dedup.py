@@ -8,8 +8,8 @@ paragraph; for it, windows of ``BLOCK_WORDS`` words that start at
 content-chosen words are one long band each: any run of at least
 ``BLOCK_WORDS + WINNOW - 1`` words shared by two texts holds a common one.
 
-Of each group the occurrence in the document with the smallest id stays; the
-others are removals.
+Of each group the first occurrence in the document with the smallest id stays;
+the others, those in the same document included, are removals.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
-_SCAN = "doc long, pos int, n int, fp binary, keys array<long>, sig binary, k long, c long, start int, end int"
+_SCAN = "doc long, pos int, n int, fp binary, keys array<long>, sig binary, k long, c long, start int, end int, again boolean"
 
 
 def scan(docs: DataFrame, p: MinHash) -> DataFrame:
@@ -117,7 +117,7 @@ def scan(docs: DataFrame, p: MinHash) -> DataFrame:
         for whole in batches:
             for part in slices(whole, "text"):
                 lines: list[tuple[int, int, np.ndarray]] = []
-                found: list[list[np.ndarray]] = [[], [], [], [], []]
+                found: list[list[np.ndarray]] = [[], [], [], [], [], []]
                 for d, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     h, first, last, line, counts = _doc_parts(text)
                     at = 0
@@ -128,7 +128,10 @@ def scan(docs: DataFrame, p: MinHash) -> DataFrame:
                     b = block_starts(h)
                     if len(b):
                         check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)[b] >> np.uint64(33)
-                        for column, value in zip(found, (windows(h, BLOCK_WORDS)[b].view(np.int64), check.astype(np.int64), np.full(len(b), d), first[b], last[b + BLOCK_WORDS - 1]), strict=True):
+                        k, end = windows(h, BLOCK_WORDS)[b].view(np.int64), last[b + BLOCK_WORDS - 1]
+                        _, where, which = np.unique(k, return_index=True, return_inverse=True)
+                        again = first[b] >= end[where[which]]  # clear of the block's first place in this text
+                        for column, value in zip(found, (k, check.astype(np.int64), np.full(len(b), d), first[b], end, again), strict=True):
                             column.append(value)
                 for at in range(0, len(lines), 1 << 16):
                     lines_now = lines[at : at + (1 << 16)]
@@ -136,8 +139,8 @@ def scan(docs: DataFrame, p: MinHash) -> DataFrame:
                     listed = pa.ListArray.from_arrays(pa.array(np.arange(len(lines_now) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
                     yield batch({"doc": pa.array([d for d, *_ in lines_now], pa.int64()), "pos": pa.array([x for _, x, _ in lines_now], pa.int32()), "n": pa.array(n), "fp": _binary(fp), "keys": listed, "sig": _binary(sig)}, len(lines_now))
                 if found[0]:
-                    k, c, d, a, b = (pa.array(np.concatenate(x)) for x in found)
-                    yield batch({"k": k, "c": c, "doc": d, "start": a, "end": b}, len(k))
+                    k, c, d, a, b, again = (pa.array(np.concatenate(x)) for x in found)
+                    yield batch({"k": k, "c": c, "doc": d, "start": a, "end": b, "again": again}, len(k))
 
     return docs.select("doc", "text").mapInArrow(run, struct(_SCAN))
 
@@ -148,20 +151,21 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def repeated_paragraphs(ws: Workspace, docs: DataFrame, scanned: DataFrame, params: MinHash = PARAGRAPH) -> DataFrame:
-    """(doc, pos, cluster, removed) of the paragraphs that have a near-duplicate in another document."""
+    """(doc, pos, cluster, removed) of the paragraphs that have a near-duplicate, in another document or their own."""
     sketches = scanned.where("pos IS NOT NULL").withColumn("id", F.xxhash64("doc", "pos"))
     labels = near_components(ws, _paragraphs(docs), sketches.select("id", "n", "fp", "keys", "sig"), params)
     grouped = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
     found = ws.save(sketches.select("id", "doc", "pos").join(grouped, "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
-    spread = ws.save(found.groupBy("cluster").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi"), "clusters")
-    return found.join(spread, "cluster").select("doc", "pos", "cluster", (F.col("doc") != F.col("lo")).alias("removed"))
+    place = F.struct("doc", "pos")
+    spread = ws.save(found.groupBy("cluster").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo != hi"), "clusters")
+    return found.join(spread, "cluster").select("doc", "pos", "cluster", (place != F.col("lo")).alias("removed"))
 
 
 def repeated_blocks(ws: Workspace, scanned: DataFrame) -> DataFrame:
-    """(doc, start, end, removed) of the verbatim blocks that another document holds too."""
-    found = scanned.where("k IS NOT NULL").select("k", "c", "doc", "start", "end")
-    shared = ws.save(found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("k", "c", "lo"), "shared")
-    return found.join(shared, ["k", "c"]).select("doc", "start", "end", (F.col("doc") != F.col("lo")).alias("removed"))
+    """(doc, start, end, removed) of the verbatim blocks that stand elsewhere too, in another document or their own."""
+    found = scanned.where("k IS NOT NULL").select("k", "c", "doc", "start", "end", "again")
+    shared = ws.save(found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("again").alias("twice")).where("lo != hi OR twice").select("k", "c", "lo"), "shared")
+    return found.join(shared, ["k", "c"]).select("doc", "start", "end", ((F.col("doc") != F.col("lo")) | F.col("again")).alias("removed"))
 
 
 def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", params: MinHash = PARAGRAPH) -> DataFrame:
@@ -169,7 +173,7 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
 
     ``paragraphs`` lists (pos, cluster, removed); ``spans`` and
     ``removed_spans`` are byte ranges, joined where they overlap, of verbatim
-    repeats and of those whose first place is another document. Documents
+    repeats and of those whose first place is elsewhere. Documents
     without a repeated passage have no row. Rows without an id or a text are
     passed over; rows with one id are one document. ``doc_id`` is an integer
     column; other columns are not read.
