@@ -325,6 +325,21 @@ def test_secret_scan(spark):
     assert secret_scan.scan_secrets(frame(spark, []), empty).count() == 0
 
 
+def test_runs_beside_base_spans_and_without_digits_are_scored():
+    rng = random.Random(41)
+    draw = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n))
+    words = secret_scan.transitions(" ".join(prose(rng, 5) + " plain words of a sentence" for _ in range(400)))
+    g = secret_scan.Grammars({"assign": [letters(32) for _ in range(300)], "hex": [draw(32) for _ in range(300)]}, {k: int(v) for k, v in enumerate(words) if v})
+    whole = letters(16) + draw(24) + letters(16)
+    bare = letters(32)
+    for run in (whole, bare):
+        assert (5, 5 + len(run), "learned") in g.spans("see: " + run + " end")
+    assert secret_scan.redact("see: " + whole + " end", g) == "see: [REDACTED] end"
+    run = draw(32)
+    assert g.spans(run) == [(0, 32, "hex")]
+
+
 def test_language_held_out_accuracy(spark):
     from tidemark.llm.queries import op2_language_id
 

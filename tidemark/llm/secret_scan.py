@@ -4,8 +4,8 @@ The base patterns find assignments, access keys and long hexadecimal strings.
 What they find, labelled by kind, is a sample of credentials; from it one
 probabilistic automaton per kind is inferred: a prefix tree of symbol classes
 whose states are merged while their outgoing frequencies agree (Hoeffding
-bounds). Every other long run of credential characters is then scored by the
-log-likelihood ratio, per symbol, of its best automaton to a Markov model of
+bounds). Every run of at least ``MIN_CANDIDATE`` credential characters that is
+more than a base span, or part of one, is then scored by the log-likelihood ratio, per symbol, of its best automaton to a Markov model of
 ordinary runs, whose transitions are counted over all texts in full; runs
 above the threshold are spans of kind ``learned``.
 """
@@ -41,7 +41,6 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
-_DIGIT = re.compile(r"[0-9]")
 
 _CLASS = str.maketrans(
     {c: "a" for c in "abcdef"} | {c: "g" for c in "ghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEF"} | {c: "G" for c in "GHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0123456789"} | {"/": "+"}
@@ -69,10 +68,10 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """Runs of credential characters with a digit."""
-    if not any(len(w) >= MIN_CANDIDATE and _DIGIT.search(w) for w in text.split()):
+    """Runs of credential characters."""
+    if not any(len(w) >= MIN_CANDIDATE for w in text.split()):
         return []
-    return [(m.start(), m.end(), m[0]) for m in _CANDIDATE.finditer(text) if _DIGIT.search(m[0])]
+    return [(m.start(), m.end(), m[0]) for m in _CANDIDATE.finditer(text)]
 
 
 class Automaton:
@@ -202,11 +201,11 @@ class Grammars:
         return (max(a.log_likelihood(coded) for a in self.automata.values()) - self.background.log_likelihood(coded)) / (len(coded) + 1)
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, kind) of all spans by start, then kind as listed; learned ones keep clear of base ones."""
+        """(start, end, kind) of all spans by start, then kind as listed; learned ones may hold base ones, not lie within one."""
         found = [(a, b, k) for a, b, k, _ in base_spans(text)]
         if self.automata:
             for a, b, word in candidates(text):
-                if not any(a < y and x < b for x, y, _ in found) and self.ratio(word.translate(_CLASS)) >= self.threshold:
+                if not any(x <= a and b <= y for x, y, _ in found) and self.ratio(word.translate(_CLASS)) >= self.threshold:
                     found.append((a, b, "learned"))
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
