@@ -340,6 +340,14 @@ def test_runs_beside_base_spans_and_without_digits_are_scored():
     assert g.spans(run) == [(0, 32, "hex")]
 
 
+def test_languages_of_copies_and_of_long_texts_have_dictionaries(spark):
+    copies = [("same text", "xx")] * 5000 + [(f"mot{chr(97 + i // 20)}{chr(97 + i % 20)}q", "xx") for i in range(40)]
+    rows = copies + [("lang " * 4000 + str(i), "yy") for i in range(3)]
+    found = language_id.learn_dictionaries(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(found) == {"xx", "yy"} and found["yy"].startswith(b"lang lang")
+    assert all(t.encode() in found["xx"] for t, _ in copies[-40:])
+
+
 def test_language_held_out_accuracy(spark):
     from tidemark.llm.queries import op2_language_id
 

@@ -21,7 +21,7 @@ from tidemark.llm.textops import map_rows, struct
 
 #: Labelled texts per language that a dictionary is made from, at most.
 SAMPLE_DOCS = 400
-#: Longest labelled text that may enter the sample.
+#: Characters of a labelled text that may enter the sample, from its start.
 SAMPLE_CHARS = 16_384
 #: Bytes of a language's dictionary.
 DICT_BYTES = 256 * 1024
@@ -43,11 +43,12 @@ def learn_dictionaries(labelled: DataFrame, *, text: str = "text", lang: str = "
     """Language -> dictionary content, from rows with a text and a language.
 
     Rows are chosen by a hash of their text below a bound that follows the
-    language's number of rows, so the sample needs no sort and no group in
-    one task. Equal texts enter once.
+    language's number of different texts, so the sample needs no sort and no
+    group in one task. Equal texts enter once, and count once; of a long text
+    the first ``SAMPLE_CHARS`` characters do.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = labelled.select(F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not counts:
         return {}
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
