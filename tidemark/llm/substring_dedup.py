@@ -6,7 +6,8 @@ similarity of their shingles and grouped by components, all as for whole
 documents. A passage set into the middle of other text makes no similar
 paragraph; for it, windows of ``BLOCK_WORDS`` words that start at
 content-chosen words are one long band each: any run of at least
-``BLOCK_WORDS + WINNOW - 1`` words shared by two texts holds a common one.
+``BLOCK_WORDS + WINNOW - 1`` words shared by two texts holds a common one. The
+spans are cores: up to ``WINNOW - 1`` words a side of such a run lie outside.
 
 Of each group the first occurrence in the document with the smallest id stays;
 the others, those in the same document included, are removals.
