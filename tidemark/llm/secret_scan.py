@@ -4,10 +4,12 @@ The base patterns find assignments, access keys and long hexadecimal strings.
 What they find, labelled by kind, is a sample of credentials; from it one
 probabilistic automaton per kind is inferred: a prefix tree of symbol classes
 whose states are merged while their outgoing frequencies agree (Hoeffding
-bounds). Every run of at least ``MIN_CANDIDATE`` credential characters that is
-more than a base span, or part of one, is then scored by the log-likelihood ratio, per symbol, of its best automaton to a Markov model of
-ordinary runs, whose transitions are counted over all texts in full; runs
-above the threshold are spans of kind ``learned``.
+bounds). Every candidate, that is every run of at least ``MIN_CANDIDATE``
+credential characters and every credential of a base span, is then scored by
+the log-likelihood ratio, per symbol, of its best automaton to a Markov model
+of ordinary runs, whose transitions are counted over all texts in full. Runs
+that reach the threshold are spans of kind ``learned``, unless a base span
+holds them whole; base spans stay whatever their score.
 """
 
 from __future__ import annotations
@@ -29,18 +31,20 @@ from tidemark.llm.workspace import Workspace
 KINDS = ("assign", "access", "hex", "learned")
 #: Distinct credentials of a kind that its grammar is inferred from, at most.
 SAMPLE_CREDENTIALS = 6_000
+#: Characters of a labelled credential that its grammar learns from, from its start.
+CREDENTIAL_CHARS = 256
 #: Shortest run that is a candidate.
-MIN_CANDIDATE = 20
+MIN_CANDIDATE = 16
 #: Confidence parameter of the compatibility test.
 ALPHA = 0.05
 #: Least log-likelihood ratio per symbol, in nats, whatever the samples say.
-MIN_RATIO = 0.75
+MIN_RATIO = 0.5
 
 # Fixed values of the base patterns; letters of the first in either case.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_CANDIDATE)
 
 _CLASS = str.maketrans(
     {c: "a" for c in "abcdef"} | {c: "g" for c in "ghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEF"} | {c: "G" for c in "GHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0123456789"} | {"/": "+"}
@@ -52,6 +56,7 @@ for _c in map(chr, range(128)):
     if (_k := _SYMBOLS.find(_c.translate(_CLASS))) >= 0:
         _BYTE_CLASS[ord(_c)] = _k + 1
 _STEP = 1 << 20
+_SCORED = ("start", "end", "score", "automaton")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -195,19 +200,37 @@ class Grammars:
         # Halfway between indifference and what 99 of 100 held-out credentials reach.
         self.threshold = max(MIN_RATIO, right[len(right) // 100] / 2) if right else math.inf
 
-    def ratio(self, coded: str) -> float:
+    def best(self, coded: str) -> tuple[float, str | None]:
+        """(log-likelihood ratio per symbol, automaton it comes from) of a coded word."""
         if not self.automata or not coded:
-            return -math.inf
-        return (max(a.log_likelihood(coded) for a in self.automata.values()) - self.background.log_likelihood(coded)) / (len(coded) + 1)
+            return -math.inf, None
+        likely, name = max((a.log_likelihood(coded), k) for k, a in self.automata.items())
+        return (likely - self.background.log_likelihood(coded)) / (len(coded) + 1), name
 
-    def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, kind) of all spans by start, then kind as listed; learned ones may hold base ones, not lie within one."""
-        found = [(a, b, k) for a, b, k, _ in base_spans(text)]
+    def ratio(self, coded: str) -> float:
+        return self.best(coded)[0]
+
+    def judge(self, text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, float, str]]]:
+        """(spans, scored candidates).
+
+        Spans are (start, end, kind) by start, then kind as listed; learned
+        ones may hold base ones, not lie within one. Candidates are (start,
+        end, score, automaton) by place; without automata there are none.
+        """
+        base = base_spans(text)
+        found = [(a, b, k) for a, b, k, _ in base]
+        scored = {}
         if self.automata:
             for a, b, word in candidates(text):
-                if not any(x <= a and b <= y for x, y, _ in found) and self.ratio(word.translate(_CLASS)) >= self.threshold:
+                scored[a, b] = self.best(word.translate(_CLASS))
+                if scored[a, b][0] >= self.threshold and not any(x <= a and b <= y for x, y, _ in found):
                     found.append((a, b, "learned"))
-        return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+            for _, b, _, word in base:  # a credential ends where its span does
+                scored.setdefault((b - len(word), b), self.best(word.translate(_CLASS)))
+        return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1])), [(a, b, *scored[a, b]) for a, b in sorted(scored)]
+
+    def spans(self, text: str) -> list[tuple[int, int, str]]:
+        return self.judge(text)[0]
 
 
 def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
@@ -215,7 +238,9 @@ def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
 
     One pass: each task sends its credentials and, added up, the class pairs
     of everything else. The sample of a kind is its distinct values with the
-    least hashes, so it does not depend on how rows are dealt out.
+    least hashes, so it does not depend on how rows are dealt out; longer
+    ones than ``CREDENTIAL_CHARS`` are cut, none is left out. Null texts teach
+    nothing; without credentials there are no automata and no learned spans.
     """
 
     def run(batches):
@@ -228,7 +253,7 @@ def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
                         continue
                     spans = base_spans(t)
                     kinds += [k for _, _, k, _ in spans]
-                    values += [v for *_, v in spans]
+                    values += [v[:CREDENTIAL_CHARS] for *_, v in spans]
                     rest.append(blanked(t, spans, " ") if spans else t)
                 pairs += transitions("\n".join(rest))
                 yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string()), "n": pa.array([1] * len(kinds), pa.int64())})
@@ -236,7 +261,7 @@ def learn_grammars(docs: DataFrame, *, text: str = "text") -> Grammars:
         yield pa.RecordBatch.from_pydict({"kind": pa.array(["pair"] * len(at), pa.string()), "value": pa.array([str(k) for k in at], pa.string()), "n": pa.array(pairs[at])})
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, struct("kind string, value string, n long"))
-    distinct = Workspace(docs.sparkSession, "secrets").save(found.where(F.length("value") <= 256).groupBy("kind", "value").agg(F.sum("n").alias("n")), "found")
+    distinct = Workspace(docs.sparkSession, "secrets").save(found.groupBy("kind", "value").agg(F.sum("n").alias("n")), "found")
     credentials: dict[str, list[str]] = {}
     for kind in KINDS[:-1]:
         # Every task offers its least hashes: a kind never meets whole in one.
@@ -252,10 +277,12 @@ def spans_text(spans: list[tuple[int, int, str]]) -> str:
 
 
 def scan_secrets(docs: DataFrame, grammars: Grammars, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans), one row per input row.
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_learned, scored), one row per input row.
 
-    Offsets are code points, ends exclusive. A null text is empty. Null ids
-    and repeated rows stay; other columns are not read.
+    Offsets are code points, ends exclusive. ``scored`` lists every candidate
+    (start, end, score, automaton), those inside base spans too. A null text
+    is empty. Null ids and repeated rows stay; other columns are not read. An
+    empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(grammars)
@@ -264,15 +291,16 @@ def scan_secrets(docs: DataFrame, grammars: Grammars, *, doc_id: str = "doc_id",
         g = shared.value
 
         def work(ids, texts):
-            spans = [g.spans(t) if t else [] for t in texts]
+            judged = [g.judge(t) if t else ([], []) for t in texts]
+            spans = [own for own, _ in judged]
             base = [[s for s in own if s[2] != "learned"] for own in spans]
             counts = [[sum(s[2] == k for s in own) for own in base] for k in KINDS[:3]]
-            return [ids, *counts, [hashlib.sha256(spans_text(b).encode()).hexdigest() for b in base], [spans_text(s) for s in spans]]
+            return [ids, *counts, [hashlib.sha256(spans_text(b).encode()).hexdigest() for b in base], [spans_text(s) for s in spans], [sum(s[2] == "learned" for s in own) for own in spans], [[dict(zip(_SCORED, c, strict=True)) for c in own] for _, own in judged]]
 
         return work
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return map_rows(rows, struct(f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"), prepare)
+    return map_rows(rows, struct(f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_learned long, scored array<struct<start:int,end:int,score:double,automaton:string>>"), prepare)
 
 
 def blanked(text: str, spans: Iterable[tuple], mark: str) -> str:
@@ -294,7 +322,12 @@ def redact(text: str | None, grammars: Grammars, mark: str = "[REDACTED]") -> st
 
 
 def redact_secrets(docs: DataFrame, grammars: Grammars) -> DataFrame:
-    """``docs`` with all columns, and every span in ``text`` replaced."""
+    """``docs`` with all columns, and every span in ``text`` replaced.
+
+    Null and empty texts stay as they are, as do rows without a span, null
+    ids, repeated rows and columns of any name. An empty table gives an empty
+    result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(grammars)
     at = docs.columns.index("text")
 
