@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
 
+import numpy as np
 import regex
 
 #: Code points on which the ``regex`` module and the library are known to agree; the
@@ -19,6 +21,10 @@ WORD_BPE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END_OF_TEXT = "<|endoftext|>"
 START_OF_TEXT = "<|startoftext|>"
 
+#: Characters from which a text is split here and encoded piece by piece: the rank
+#: encoder's own splitter overflows its stack on about a million white-space characters in a row.
+LONG_TEXT = 65_536
+
 _BYTE_SPLIT = regex.compile(BYTE_BPE_SPLIT)
 _WORD_SPLIT = regex.compile(WORD_BPE_SPLIT)
 
@@ -65,3 +71,34 @@ def load_ranks(name_or_path: str):
     with open(name_or_path if "/" in name_or_path else path(name_or_path), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("ranks", pat_str=BYTE_BPE_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
+class RankEncoder:
+    """Ids of the byte-level vocabulary by its ranks, for texts and pre-tokens of any length."""
+
+    def __init__(self, ranks: str, tokenizer: str):
+        self._encoding = load_ranks(ranks)
+        self._piece = self._encoding._core_bpe.encode_single_piece
+        self._library = load(tokenizer)
+        self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
+
+    def piece(self, pretoken: str) -> list[int]:
+        """Ids of one pre-token; nothing is split, so its length does not matter."""
+        return self._piece(pretoken.encode())
+
+    def holds_special(self, text: str) -> bool:
+        return any(s in text for s in self._special)
+
+    def text(self, text: str) -> np.ndarray:
+        """Ids of a whole text; one with a special token's string is encoded by the library itself."""
+        if self.holds_special(text):
+            return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if len(text) < LONG_TEXT:
+            return np.asarray(self._encoding.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+        return np.fromiter(itertools.chain.from_iterable(map(self.piece, self.pretokens(text))), dtype="<u4")
+
+    def pretokens(self, text: str) -> list[str]:
+        return byte_bpe_pretokens(text, self._library)
+
+    def count_special(self, text: str) -> int:
+        return len(self._library.encode(text, add_special_tokens=False).ids)

@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Words whose hashes one worker remembers before it starts over.
 WORD_CACHE = 300_000
+#: Length of the longest word or pre-token that a worker remembers, so a cache is bounded in bytes too.
+LONGEST_KEY = 64
 #: Characters of text handled at once within an Arrow batch.
 SLICE_CHARS = 2_000_000
 
@@ -25,7 +27,7 @@ _SHIFT = np.uint64(33)
 
 
 class Remembered(dict):
-    """key -> make(key), remembered for the keys in recent use, ``most`` at most, beside a fixed tier."""
+    """key -> make(key), remembered for short keys in recent use, ``most`` at most, beside a fixed tier."""
 
     def __init__(self, make: Callable[[Any], Any], most: int, fixed: dict | None = None):
         super().__init__(fixed or {})
@@ -36,6 +38,8 @@ class Remembered(dict):
         value = self._old.get(key)
         if value is None:
             value = self._make(key)
+            if len(key) > LONGEST_KEY:
+                return value
         if len(self) >= self._full:
             self._old = dict(self)
             self.clear()
