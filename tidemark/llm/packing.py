@@ -6,12 +6,19 @@ each goes to the open sequence that has room in every dimension and scores
 best: the least weighted norm of what would remain ("residual"), or the
 largest weighted dot product of need and room ("dot").
 
+Where the capacities for documents and cost are not given, they are set for
+each group to ``SLACKS`` times the mean of a sequence, tightest first, as far
+as that takes hardly a sequence more than tokens alone do (``EXTRA``): few
+sequences come first, then sequences of like numbers of documents and like
+cost.
+
 Only piece sizes are dealt out for packing, to groups of about ``group_size``
 pieces of any origin; a full piece is a sequence of its own and needs none.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Sequence
 
@@ -28,6 +35,10 @@ MAX_TOKENS = 2048
 GROUP_SIZE = 16_384
 #: Weights of tokens, documents and attention cost.
 WEIGHTS = (1.0, 1e-3, 1e-3)
+#: Capacities for documents and cost that are tried, as multiples of the mean of a sequence.
+SLACKS = (4.0, 12.0, 36.0)
+#: Part of the sequences that such capacities may cost.
+EXTRA = 0.001
 #: Id placed after every document.
 SEPARATOR_ID = 0
 
@@ -78,6 +89,33 @@ def pack(lengths: Sequence[int], max_tokens: int, max_docs: int, max_cost: float
     return bins, offsets
 
 
+def pack_balanced(lengths: Sequence[int], max_tokens: int, max_docs: int | None, max_cost: float | None, weights: Sequence[float] = WEIGHTS, rule: str = "residual") -> tuple[np.ndarray, np.ndarray]:
+    """:func:`pack` with the capacities that are None set as tight as ``EXTRA`` allows.
+
+    Pieces of ``max_tokens`` fill a sequence each and have no part in the means.
+    """
+    lengths = np.asarray(lengths, dtype=np.int64)
+    docs, cost = max_tokens if max_docs is None else max_docs, float(max_tokens) ** 2 if max_cost is None else max_cost
+    loose = pack(lengths, max_tokens, docs, cost, weights, rule)
+    part = lengths[lengths < max_tokens]
+    if len(part) == 0 or (max_docs is not None and max_cost is not None):
+        return loose
+    n = int(loose[0].max()) + 1
+    shared = n - (len(lengths) - len(part))
+    for slack in SLACKS:
+        tight_docs = min(docs, math.ceil(slack * len(part) / shared)) if max_docs is None else docs
+        tight_cost = min(cost, max(slack * float((part * part).sum()) / shared, float(part.max()) ** 2)) if max_cost is None else cost
+        alone = np.flatnonzero(lengths == max_tokens)
+        bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        rest = np.flatnonzero(lengths < max_tokens)
+        bins[rest], offsets[rest] = pack(part, max_tokens, tight_docs, tight_cost, weights, rule)
+        used = int(bins[rest].max()) + 1
+        if used <= shared * (1 + EXTRA):
+            bins[alone] = used + np.arange(len(alone))
+            return bins, offsets
+    return loose
+
+
 def cut(total: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document: whole if it fits, else a shorter first piece and full ones."""
     if total <= size:
@@ -92,14 +130,7 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", token
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def prepare():
-        library = pretokens.load(tokenizer)
-        encoder = pretokens.load_ranks(ranks)
-        special = [t.content for t in library.get_added_tokens_decoder().values()]
-
-        def encode(t: str) -> np.ndarray:
-            if any(s in t for s in special):
-                return np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4")
-            return np.asarray(encoder.encode_to_numpy(t, disallowed_special=()), dtype="<u4")
+        encode = pretokens.RankEncoder(ranks, tokenizer).text
 
         def work(ids, texts):
             out: list[list] = [[], [], [], [], []]
@@ -132,13 +163,12 @@ def best_fit_pack(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece.
 
-    A null or empty text is the separator alone. ``max_docs`` and ``max_cost``
-    default to values that never bind beside ``max_tokens``. Repeated rows and
+    A null or empty text is the separator alone; texts may be of any length.
+    ``max_docs`` and ``max_cost`` default to the tightest of some that
+    cost hardly a sequence (:func:`pack_balanced`). Repeated rows and
     null ids are documents of their own; other columns are not read. An empty
     table gives an empty result.
     """
-    max_docs = max_tokens if max_docs is None else max_docs
-    max_cost = float(max_tokens) ** 2 if max_cost is None else max_cost
     ws = Workspace(docs.sparkSession, "pack")
     # Written once: the texts are encoded once, and numbering rows is repeatable.
     cut_up = ws.save(pieces(docs, doc_id=doc_id, text=text, tokenizer=tokenizer, ranks=ranks, max_tokens=max_tokens), "pieces")
@@ -147,7 +177,7 @@ def best_fit_pack(
     schema = struct(cut_up.schema.simpleString()[7:-1].replace(":", " ") + ", sequence_id long, offset long")
 
     def packed(key, pdf):
-        bins, offsets = pack(pdf["length"].to_numpy(), max_tokens, max_docs, max_cost, weights, rule)
+        bins, offsets = pack_balanced(pdf["length"].to_numpy(), max_tokens, max_docs, max_cost, weights, rule)
         return pdf.drop(columns="g").assign(sequence_id=(np.int64(key[0]) << 32) + bins, offset=offsets)
 
     return dealt.groupBy("g").applyInPandas(packed, schema)
