@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, language_id, line_dedup, minhash_dedup, packing, pretokens, quality_rules, secret_scan, substring_dedup, token_counts
+from tidemark.llm import bpe_codec, language_id, line_dedup, minhash_dedup, packing, pretokens, quality_rules, secret_scan, skew, substring_dedup, token_counts
 from tidemark.llm.components import connected_components
 from tidemark.llm.textops import shingle_set
 from tidemark.llm.workspace import Workspace
@@ -176,6 +176,8 @@ def test_near_duplicates_equal_brute_force(spark, seed):
 
 def test_tiles_find_what_the_leader_misses(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "TILE", 4)
+    monkeypatch.setattr(skew, "HOT", 3)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
     rows = near_rows(9)
     want = brute_components(brute_sets(rows))
     assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame(spark, rows)).collect()} == want

@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
-from tidemark.llm import embedding_dedup, minhash_dedup
+from tidemark.llm import embedding_dedup, minhash_dedup, skew
 
 
 def brute(rows, threshold=0.98):
@@ -27,8 +28,16 @@ def brute(rows, threshold=0.98):
     return {i: (len(links.get(i, ())), find(i)) for i in parent}
 
 
-def test_embedding_duplicates_equal_brute_force(spark, monkeypatch):
+def test_huge_and_tiny_components_do_not_overflow(spark):
+    rows = [(1, [1e200, 0.0], 0), (2, [1e200, 1e190], 0), (3, [1e-200, 0.0], 0), (4, [1e-310, 0.0], 0), (5, [0.0, 1e300], 0), (6, [1e300, 1e300], 0)]
+    got = embedding_dedup.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (0, 6)}
+
+
+@pytest.mark.parametrize("most", [8, 512])
+def test_embedding_duplicates_equal_brute_force(spark, monkeypatch, most):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(skew, "HOT", most)
     rng = np.random.default_rng(3)
     rows, n = [], 0
     for label in (0, 1, None):
@@ -38,7 +47,7 @@ def test_embedding_duplicates_equal_brute_force(spark, monkeypatch):
                 rows.append((n, [float(np.float32(v)) for v in base + rng.normal(size=12) * rng.choice([0.0, 0.05, 0.2])], label))
                 n += 1
     rows += [(n, None, 0), (n + 1, [], 0), (n + 2, [0.0] * 12, 0), (n + 3, [float("nan")] * 12, 0), (n + 4, [1.0, None], 0), (n + 5, [1.0, 0.0], 0), (n + 6, [2.0, 0.0], 0), (n + 7, [float("inf"), 1.0], 0), (n + 8, [5.0], 1)]
-    rows += [rows[0], (None, rows[0][1], 0)]
+    rows += [(n + 9 + i, rows[3][1], 0) for i in range(40)] + [rows[0], (None, rows[0][1], 0)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, kept string")
     got = embedding_dedup.embedding_duplicates(df).collect()
     assert len(got) == len(rows)

@@ -2,8 +2,8 @@
 
 Each round every node points to its smallest neighbour below it, pointers are
 followed to their roots, and the edges are drawn between roots anew. All steps
-are joins and map-side combined minima, so a node with very many edges is
-neither gathered in one task nor sent to the driver.
+are map-side combined minima and joins that deal a node with very many edges
+to several tasks, so none is gathered in one task or sent to the driver.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.skew import join_spread
 from tidemark.llm.workspace import Workspace
 
 
@@ -29,25 +30,30 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         up = ws.save(e.groupBy("b").agg(F.min("a").alias("p")), "parents")
         while True:
             above = up.select(F.col("b").alias("p"), F.col("p").alias("q"))
-            jumped = ws.save(up.join(above, "p", "left").select("b", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")), "jumped")
+            step = join_spread(ws, up, above, "p", "b", "left").select("b", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
+            jumped = ws.save(step, "jumped")
+            still = jumped.where("moved").isEmpty()
             ws.drop(up)
-            up = jumped
-            if up.where("moved").isEmpty():
-                break
-            path = up._tidemark_path
-            up = up.select("b", "p")
+            path = jumped._tidemark_path
+            up = jumped.select("b", "p")
             up._tidemark_path = path
-        roots = up.select("b", "p")
-        below = roots.select(F.col("b").alias("a"), F.col("p").alias("ra"))
-        nearer = e.join(below, "a", "left").select(F.coalesce("ra", "a").alias("a"), "b").join(roots, "b").select("a", F.col("p").alias("b"))
+            if still:
+                break
+        below = up.select(F.col("b").alias("a"), F.col("p").alias("ra"))
+        nearer = join_spread(ws, e, below, "a", "b", "left").select(F.coalesce("ra", "a").alias("a"), "b").join(up.select("b", "p"), "b").select("a", F.col("p").alias("b"))
         smaller = ws.save(nearer.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
         ws.drop(e)
         e = smaller
+        now = up.select(F.col("b").alias("id"), F.col("p").alias("component"))
         if labels is None:
-            labels = roots.select(F.col("b").alias("id"), F.col("p").alias("component"))
+            labels = ws.save(now, "labels")
         else:
-            then = roots.select(F.col("b").alias("component"), F.col("p").alias("root"))
-            labels = labels.join(then, "component", "left").select("id", F.coalesce("root", "component").alias("component")).unionByName(roots.select(F.col("b").alias("id"), F.col("p").alias("component")))
+            then = up.select(F.col("b").alias("component"), F.col("p").alias("root"))
+            moved = join_spread(ws, labels, then, "component", "id", "left").select("id", F.coalesce("root", "component").alias("component"))
+            newer = ws.save(moved.unionByName(now), "labels")
+            ws.drop(labels)
+            labels = newer
+        ws.drop(up)
     if labels is None:
-        return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return ws.save(labels, "components")
+        return ws.save(e.select(F.col("a").alias("id"), F.col("b").alias("component")), "labels")
+    return labels

@@ -10,7 +10,8 @@ by the product of the suffix norms, and a pair is dropped as soon as it
 cannot reach the threshold. Pairs that stay are decided in the original
 coordinates in double precision.
 
-A tile reports per vector its number of links and the smallest id it is
+Before all that a vector is scaled by a power of two, so huge and tiny
+components neither overflow nor vanish. A tile reports per vector its number of links and the smallest id it is
 joined with, never pairs. A group in one cell, however large, is dealt to
 many tiles.
 """
@@ -26,21 +27,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
+from tidemark.llm.skew import hot_keys, join_dealt
 from tidemark.llm.textops import runs, struct
 from tidemark.llm.workspace import Workspace
 
 #: Vectors that the axes are fitted to, at most. Any axes give right results.
 SAMPLE_VECTORS = 4096
 #: Vectors of a block.
-BLOCK = 512
+BLOCK = 2048
 #: Leading components summed at a time.
 STEP = 8
+#: Pairs of a tile looked at at a time.
+PAIRS = 1 << 17
 #: Room for rounding in the bounds.
 SLACK = 1e-9
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors times a power of two each that brings the largest component near 1: no norm overflows or vanishes, no cosine changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def principal_axes(vectors: np.ndarray) -> np.ndarray:
     """Orthonormal axes as columns, by descending spread of the unit vectors."""
+    vectors = scaled(vectors)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     _, axes = np.linalg.eigh(np.cov(unit, rowvar=False) if len(unit) > 1 else np.eye(unit.shape[1]))
     return np.ascontiguousarray(np.atleast_2d(axes)[:, ::-1])
@@ -48,6 +58,7 @@ def principal_axes(vectors: np.ndarray) -> np.ndarray:
 
 def linked_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of two blocks with cosine >= threshold (each once if both are the same block)."""
+    x, y = scaled(x), scaled(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     ux, uy = (x / nx[:, None]) @ axes, (y / ny[:, None]) @ axes
     d = ux.shape[1]
@@ -58,8 +69,9 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: floa
     zero = np.zeros
     rx, ry = np.hstack([rx, zero((len(rx), 1))]), np.hstack([ry, zero((len(ry), 1))])
     found_i, found_j = [], []
-    for at in range(0, len(ux), 128):  # bounds the memory of a tile
-        part = slice(at, at + 128)
+    stripe = max(1, PAIRS // max(1, len(uy)))
+    for at in range(0, len(ux), stripe):  # bounds the memory of a tile
+        part = slice(at, at + stripe)
         sums = ux[part, :step] @ uy[:, :step].T
         i, j = np.nonzero(sums + np.outer(rx[part, step], ry[:, step]) >= threshold - SLACK)
         total = sums[i, j]
@@ -114,16 +126,14 @@ def embedding_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("e"), F.col(label).alias("label"))
     finite = F.forall("e", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("e").isNotNull() & (F.size("e") > 0) & finite & F.exists("e", lambda v: v != 0)
+    # An equal vector of a label is known by 128 hash bits; its components move once, not once a copy.
     rows = rows.withColumn("e", F.when(sound, F.col("e")))
-    classes = (
-        rows.where(F.col("e").isNotNull())
-        .groupBy("label", "e", "id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("label", "e")
-        .agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("copies"))
-    )
-    # A class is known by its label and smallest id: one id with two vectors makes two classes.
-    classes = ws.save(classes.withColumn("key", F.xxhash64("label", "e")), "classes")
+    rows = rows.withColumn("h", F.when(sound, F.xxhash64("label", "e"))).withColumn("g", F.when(sound, F.xxhash64(F.lit(1), "label", "e")))
+    good = rows.where(F.col("h").isNotNull())
+    owners = good.groupBy("h", "g", "id").agg(F.lit(1).alias("one")).groupBy("h", "g").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("copies"))
+    values = good.groupBy("h", "g").agg(F.any_value("label").alias("label"), F.any_value("e").alias("e"), F.count(F.lit(1)).alias("n"))
+    # A class is known by its hashes and smallest id: one id with two vectors makes two classes.
+    classes = ws.save(owners.join(values, ["h", "g"]).withColumnRenamed("h", "key"), "classes")
 
     sample = classes.orderBy(F.xxhash64("e")).limit(SAMPLE_VECTORS).select("e").collect()
     by_size: dict[int, list] = {}
@@ -136,7 +146,7 @@ def embedding_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
         for batch in batches:
             out = []
             for v in batch.column(1).to_pylist():
-                a = np.array(v)
+                a = scaled(np.array(v, float)[None, :])[0]
                 turn = axes.value.get(len(a))
                 lead = (a / np.linalg.norm(a)) @ (turn[:, :2] if turn is not None else np.eye(len(a))[:, :2])
                 cell = np.floor(np.append(lead, 0.0)[:2] / width).astype(int)
@@ -148,8 +158,10 @@ def embedding_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     placed = classes.select("label", "e", "cid", "copies", "key").mapInArrow(place, struct(f"label {kind}, d int, x int, y int, v binary, cid long, copies long, key long"))
     placed = ws.save(placed, "placed")
 
-    cells = placed.groupBy("label", "d", "x", "y").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    cells = placed.groupBy("label", "d", "x", "y").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     cells = ws.save(cells, "cells")
+    at = ["label", "d", "x", "y"]
+    hot = hot_keys(ws, cells, at)
     # Every pair of neighbouring cells once: a cell with itself and with four others.
     steps = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
     toward = cells.withColumn("s", F.explode(steps)).select("label", "d", "x", "y", "blocks", (F.col("x") + F.col("s.dx")).alias("x2"), (F.col("y") + F.col("s.dy")).alias("y2"))
@@ -159,9 +171,11 @@ def embedding_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     block = F.pmod(F.xxhash64("key"), F.col("own")).cast("int")
     tile = ["label", "d", "x", "y", "x2", "y2", "i", "j"]
     carried = ["cid", "copies", "key", "v"]
-    home = placed.join(couples, ["label", "d", "x", "y"]).withColumn("own", F.col("blocks"))
+    home = join_dealt(placed, couples, at, "key", hot).withColumn("own", F.col("blocks"))
     home = home.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1))).select(*tile, *carried, F.lit(0).alias("side"))
-    guest = placed.withColumnRenamed("x", "x2").withColumnRenamed("y", "y2").join(couples, ["label", "d", "x2", "y2"]).withColumn("own", F.col("blocks2"))
+    theirs = couples.select("label", "d", F.col("x").alias("x1"), F.col("y").alias("y1"), "blocks", F.col("x2").alias("x"), F.col("y2").alias("y"), "blocks2")
+    guest = join_dealt(placed, theirs, at, "key", hot)
+    guest = guest.withColumnsRenamed({"x": "x2", "y": "y2"}).withColumnsRenamed({"x1": "x", "y1": "y"}).withColumn("own", F.col("blocks2"))
     guest = guest.withColumn("j", block).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*tile, *carried, F.lit(1).alias("side"))
     inside = (F.col("x") == F.col("x2")) & (F.col("y") == F.col("y2"))
     # Within a cell a tile of two blocks is needed once, a block with itself needs no guests.
@@ -193,9 +207,10 @@ def embedding_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embeddin
     report = ws.save(dealt.mapInArrow(compare, struct("key long, cid long, links long, low long")), "report")
     labels = connected_components(ws, report.select("cid", "low"))
     counted = report.groupBy("key", "cid").agg(F.sum("links").alias("links"))
-    known = classes.select("label", "e", "cid", "key", "copies").join(counted, ["key", "cid"], "left").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
-    known = ws.save(known.select("label", "e", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "cid").alias("c")), "known")
-    out = rows.join(known, ["label", "e"], "left")
+    known = classes.select("key", "g", "cid", "copies", "n").join(counted, ["key", "cid"], "left").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+    known = ws.save(known.select(F.col("key").alias("h"), "g", "n", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "cid").alias("c")), "known")
+    ws.drop_all_but(known)
+    out = join_dealt(rows.select("id", "h", "g"), known.select("h", "g", "links", "c"), ["h", "g"], "id", hot_keys(ws, known, ["h", "g"]), "left")
     kind = vectors.schema[vec_id].dataType
     component = F.coalesce("c", "id")
-    return out.select(F.col("id").cast(kind).alias("vec_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.cast(kind).alias("component_id"), (F.col("id").isNull() | (component == F.col("id"))).alias("kept"))
+    return out.select(F.col("id").cast(kind).alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.cast(kind).alias("component_id"), (F.col("id").isNull() | (component == F.col("id"))).alias("kept"))

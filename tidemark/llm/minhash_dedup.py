@@ -2,18 +2,24 @@
 
 1. Every text is sketched: hashed distinct word shingles give a fingerprint
    of the whole set, band keys, and one byte per MinHash value.
-2. Texts that share a band key form a bucket. Each is paired with its bucket's
+2. Texts with equal fingerprints are copies: each is linked with the smallest
+   id of its fingerprint, which alone goes on. Groups of copies cost one row a
+   copy from here, however large they are.
+3. Texts that share a band key form a bucket. Each is paired with its bucket's
    smallest id only: as many pairs as rows, however large the bucket is.
-3. Pairs are compared signature batch by signature batch. After each, those
+4. Pairs are compared signature batch by signature batch. After each, those
    whose posterior probability of reaching the threshold has fallen below the
-   miss probability are dropped. Equal fingerprints need no more proof: of
-   each fingerprint every id is linked with the smallest, whatever its buckets.
-4. Survivors are verified on the full shingle sets, one pair per text and
+   miss probability are dropped.
+5. Survivors are verified on the full shingle sets, one pair per text and
    round at first; verified links give components.
-5. Links that the smallest id of a bucket did not show are sought between the
+6. Links that the smallest id of a bucket did not show are sought between the
    bucket's other members, but only across components: buckets are dealt out
-   in tiles of bounded size, and what the signatures leave open is verified
-   within the tile. After that no pair is left that could join two components.
+   in tiles of bounded size, members of a bucket's largest component against
+   the others only. What the signatures leave open is verified within the
+   tile. After that no pair is left that could join two components.
+
+A leader, bucket or fingerprint with very many rows is dealt to several tasks
+(:mod:`tidemark.llm.skew`), whatever the session's own skew handling does.
 """
 
 from __future__ import annotations
@@ -31,15 +37,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.textops import jaccard_at_least, map_rows, runs, shingle_set, struct
+from tidemark.llm.skew import by_size, hot_keys, join_dealt, join_spread
+from tidemark.llm.textops import jaccard_at_least, map_rows, runs, shingle_set, slices, struct
 from tidemark.llm.workspace import Workspace
 
-#: Ids that are broadcast to select texts, at most; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
 #: Members of one side of a tile.
 TILE = 256
 
 
+#: (id, text) of a written table of ids.
+Selection = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class MinHash:
     """Sketch and test parameters."""
@@ -172,17 +181,16 @@ def sketch(texts: DataFrame, p: MinHash) -> DataFrame:
     return map_rows(texts.select("id", "text"), struct(f"id {kind}, n int, fp binary, keys array<long>, sig binary"), prepare)
 
 
-def _select_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts with these ids: by broadcast if the ids are few, else by a shuffle."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+def select_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts with these ids (a written table): by broadcast if the ids are small, else by a shuffle."""
+    return texts.join(by_size(ids), "id", "left_semi")
 
 
 def _verify(ws: Workspace, pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
-    """(a, b, ok) of pairs, on their full shingle sets."""
-    need = ws.save(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
-    whole = _select_texts(texts, need)
-    both = pairs.join(whole.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(whole.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    """(a, b, ok) of written pairs, on their full shingle sets."""
+    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    hot = hot_keys(ws, pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), ["a"])
+    both = join_dealt(with_b, texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), ["a"], "b", hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: OrderedDict[tuple, np.ndarray] = OrderedDict()  # rows come by a: its sets are made once
@@ -196,33 +204,33 @@ def _verify(ws: Workspace, pairs: DataFrame, texts: DataFrame, p: MinHash) -> Da
             return known[key]
 
         for batch in batches:
-            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-            ok = [jaccard_at_least(shingles(i, s), shingle_set(t, p.ngram), p.percent) for i, s, t in zip(a, ta, tb, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+            for part in slices(batch, "tb"):
+                a, b, ta, tb = (c.to_pylist() for c in part.columns)
+                ok = [jaccard_at_least(shingles(i, s), shingle_set(t, p.ngram), p.percent) for i, s, t in zip(a, ta, tb, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     kind = pairs.schema["a"].dataType.simpleString()
     checked = both.select("a", "b", "ta", "tb").mapInArrow(run, struct(f"a {kind}, b {kind}, ok boolean"))
     return ws.save(checked.groupBy("a", "b").agg(F.max("ok").alias("ok")), "verified")
 
 
-def _compare(pairs: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
-    """(a, b, rate, same) of the pairs that pass the size bound and the Bayesian test."""
-    half = sketches.select("id", "n", "fp", "sig")
-    both = pairs.join(half.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("sig").alias("sb")), "b").join(
-        half.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("sig").alias("sa")), "a"
-    )
-    both = both.where(100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb")).select("a", "b", (F.col("fa") == F.col("fb")).alias("same"), "sa", "sb")
+def _compare(ws: Workspace, pairs: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
+    """(a, b, rate) of the written pairs that pass the size bound and the Bayesian test."""
+    half = sketches.select("id", "n", "sig")
+    with_b = pairs.join(half.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
+    both = join_spread(ws, pairs, half.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a", "b", many_as=with_b)
+    both = both.where(100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb")).select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            stay, rate = bayes_filter(_matrix(batch.column(3), p.size), _matrix(batch.column(4), p.size), p)
+            stay, rate = bayes_filter(_matrix(batch.column(2), p.size), _matrix(batch.column(3), p.size), p)
             at = pa.array(stay)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rate), batch.column(2).take(at)], names=["a", "b", "rate", "same"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rate)], names=["a", "b", "rate"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, struct(f"a {kind}, b {kind}, rate double, same boolean"))
+    return both.mapInArrow(run, struct(f"a {kind}, b {kind}, rate double"))
 
 
 def open_pairs(key: int, ids, comps, sizes, sigs, keys, left, right, p: MinHash) -> list[tuple[int, int]]:
@@ -243,20 +251,42 @@ def open_pairs(key: int, ids, comps, sizes, sigs, keys, left, right, p: MinHash)
     return out
 
 
-def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: DataFrame, sketches: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
+def _distinct_rows(ids: np.ndarray, sigs: np.ndarray) -> np.ndarray:
+    """Numbers of the rows that differ in id or signature (repeated rows of one id come once)."""
+    if len(np.unique(ids)) == len(ids):
+        return np.arange(len(ids))
+    return np.sort(np.unique(np.hstack([ids.astype("<i8").view(np.uint8).reshape(len(ids), 8), sigs]), axis=0, return_index=True)[1])
+
+
+def _tiles(comp: DataFrame, ws: Workspace) -> DataFrame:
+    """(k, ti, tj, block, id, comp): members of buckets with several components, dealt to tiles of two blocks.
+
+    Members of a bucket's largest component (its blocks are -1, -2, ..) meet
+    the blocks of the others only; these meet each other too.
+    """
+    parts = comp.groupBy("k", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("k").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    blocks = lambda n: F.ceil(n / TILE).cast("int")
+    mixed = ws.save(mixed.select("k", "n", F.col("top.comp").alias("major"), blocks(F.col("top.n")).alias("own"), blocks(F.col("n") - F.col("top.n")).alias("rest")), "mixed")
+    rows = join_dealt(comp, mixed.select("k", "major", "own", "rest"), ["k"], "id", hot_keys(ws, mixed, ["k"]))
+    major = F.col("comp") == F.col("major")
+    block = F.pmod(F.xxhash64("id", "k"), F.when(major, F.col("own")).otherwise(F.col("rest"))).cast("int")
+    rows = rows.withColumn("block", F.when(major, -1 - block).otherwise(block))
+    others = F.sequence(F.lit(0), F.col("rest") - 1)
+    ours = F.transform(F.sequence(F.lit(1), F.col("own")), lambda i: -i)
+    rows = rows.withColumn("other", F.explode(F.when(major, others).otherwise(F.concat(ours, others))))
+    return rows.select("k", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "comp")
+
+
+def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: DataFrame, select: Selection, p: MinHash) -> DataFrame:
     """(a, b): verified links between bucket members, its smallest id aside, of different components.
 
-    A bucket is dealt out in tiles of two blocks. Tiles first name the rows
-    that have open pairs (by signature), then only those bring their texts:
-    rows grow with the members of a tile, never with its pairs.
+    Tiles first name the rows that have open pairs (by signature), then only
+    those bring their texts: rows grow with the members of a tile, never with
+    its pairs.
     """
-    # Of texts with equal sets, which are linked already, the smallest id speaks for all.
-    single = members.where("id != lead").join(copies.select(F.col("b").alias("id")), "id", "left_anti")
-    comp = ws.save(single.join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
-    mixed = ws.save(comp.groupBy("k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo != hi").select("k", F.ceil(F.col("c") / TILE).cast("int").alias("blocks")), "mixed")
-    rows = comp.join(mixed, "k").join(sketches.select("id", "n", "sig", "keys", "fp"), "id")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "k"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("k", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "comp", "n", "sig", "keys", "fp")
+    comp = ws.save(members.where("id != lead").select("k", "id").join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
+    rows = _tiles(comp, ws).join(sketches.select("id", "n", "sig", "keys"), "id")
     dealt = rows.repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "id")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +295,10 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: Data
             k, ti, tj = t.column("k")[0].as_py(), t.column("ti")[0].as_py(), t.column("tj")[0].as_py()
             if comps.min() == comps.max():
                 continue
-            _, single = np.unique(np.array(t.column("fp").to_pylist(), object).astype("S16"), return_index=True)  # equal sets are linked already
             sigs = _matrix(t.column("sig"), p.size)
+            single = _distinct_rows(ids, sigs)
             keys = np.stack([np.asarray(v) for v in t.column("keys").to_pylist()])
-            left, right = np.sort(single[block[single] == ti]), np.sort(single[block[single] == tj])
+            left, right = single[block[single] == ti], single[block[single] == tj]
             pairs = open_pairs(k, ids, comps, sizes, sigs, keys, left, left if ti == tj else right, p)
             partners: dict[int, list[int]] = {}
             for x, y in pairs:
@@ -281,8 +311,8 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: Data
                 names=["k", "ti", "tj", "id", "comp", "partners"],
             )
 
-    named = ws.save(dealt.mapInArrow(look, struct("k long, ti int, tj int, id long, comp long, partners array<long>")), "open")
-    whole = _select_texts(texts, ws.save(named.select("id").distinct(), "needed"))
+    named = ws.save(dealt.select("k", "ti", "tj", "block", "id", "comp", "n", "sig", "keys").mapInArrow(look, struct("k long, ti int, tj int, id long, comp long, partners array<long>")), "open")
+    whole = select(ws.save(named.select("id").distinct(), "needed"))
     told = named.join(whole, "id").repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,13 +325,15 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: Data
                     x = parent[x]
                 return x
 
-            sets = {i: shingle_set(v, p.ngram) for i, v in zip(ids, values, strict=True)}
+            sets: dict[int, list[np.ndarray]] = {}  # two texts may stand under one id
+            for i, v in zip(ids, values, strict=True):
+                sets.setdefault(i, []).append(shingle_set(v, p.ngram))
             comp_of = dict(zip(ids, comps, strict=True))
             a, b = [], []
             for i, others in zip(ids, partners, strict=True):
                 for j in others:
                     x, y = find(comp_of[i]), find(comp_of[j])
-                    if x != y and jaccard_at_least(sets[i], sets[j], p.percent):
+                    if x != y and any(jaccard_at_least(s, u, p.percent) for s in sets[i] for u in sets[j]):
                         parent[max(x, y)] = min(x, y)
                         a.append(i)
                         b.append(j)
@@ -311,37 +343,48 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, copies: Data
     return ws.save(told.select("k", "ti", "tj", "id", "comp", "partners", "text").mapInArrow(verify, struct("a long, b long")), "links")
 
 
-def near_components(ws: Workspace, texts: DataFrame, sketches: DataFrame, p: MinHash) -> DataFrame:
+def near_components(ws: Workspace, select: Selection, sketches: DataFrame, p: MinHash) -> DataFrame:
     """(id, component) of every id that is not the smallest of its group of near-duplicates.
 
-    ``texts`` is (id long, text), ``sketches`` a written table from :func:`sketch`.
+    ``select`` gives (id, text) of a written table of ids, ``sketches`` is a
+    written table from :func:`sketch`.
     """
     own = sketches.where("id IS NOT NULL AND n > 0")
-    banded = own.select("id", F.explode("keys").alias("k"))
-    shared = ws.save(banded.groupBy("k").agg(F.min("id").alias("lead"), F.max("id").alias("top")).where("lead != top").select("k", "lead"), "buckets")
-    members = ws.save(banded.join(shared, "k"), "members")
-    pairs = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    survivors = ws.save(_compare(pairs, own, p), "survivors")
-
-    # The smallest id of a bucket need not be like its members: copies are linked by themselves.
-    first = ws.save(own.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last").select("fp", "first"), "first")
-    copies = ws.save(own.select("id", "fp").join(first, "fp").where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")), "copies")
-    links = survivors.where("same").select("a", "b").unionByName(copies)
-    rest = survivors.where("NOT same")
-    nearest = rest.groupBy("b").agg(F.max(F.struct("rate", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
-    checked = _verify(ws, nearest, texts, p)
+    first = ws.save(own.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first != last"), "first")
+    copies = join_dealt(own.select("id", "fp"), first.select("fp", "first"), ["fp"], "id", hot_keys(ws, first, ["fp"])).where("id != first")
+    copies = ws.save(copies.select("id", "fp", "first").distinct(), "copies")
+
+    banded = own.select("id", "fp", "keys").join(copies.select("id", "fp"), ["id", "fp"], "left_anti").select("id", F.explode("keys").alias("k"))
+    shared = banded.groupBy("k").agg(F.min("id").alias("lead"), F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("lead != top")
+    shared = ws.save(shared.select("k", "lead", "n"), "buckets")
+    members = ws.save(join_dealt(banded, shared.select("k", "lead"), ["k"], "id", hot_keys(ws, shared, ["k"])).select("k", "id", "lead"), "members")
+    ws.drop(shared)
+    pairs = ws.save(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    survivors = ws.save(_compare(ws, pairs, own, p), "survivors")
+    ws.drop(pairs)
+
+    links = copies.select(F.col("first").alias("a"), F.col("id").alias("b"))
+    nearest = survivors.groupBy("b").agg(F.max(F.struct("rate", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
+    # What the survivors need is selected once and serves both rounds.
+    needed = ws.save(survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    texts = ws.save(select(needed), "texts")
+    checked = _verify(ws, ws.save(nearest, "nearest"), texts, p)
     links = links.unionByName(checked.where("ok").select("a", "b"))
     labels = connected_components(ws, links)
     # What the nearest smallest id left open: at most one pair per band and text.
     ca = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     cb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = rest.select("a", "b").join(ca, "a", "left").join(cb, "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+    across = join_spread(ws, survivors, ca, "a", "b", "left").join(cb, "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
     left_open = ws.save(across.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "open")
     if not left_open.isEmpty():
         links = links.unionByName(_verify(ws, left_open, texts, p).where("ok").select("a", "b"))
         labels = connected_components(ws, links)
-    found = _residual(ws, members, labels, copies, own, texts, p)
-    return labels if found.isEmpty() else connected_components(ws, links.unionByName(found))
+    ws.drop(texts, survivors, needed, left_open)
+    found = _residual(ws, members, labels, own, select, p)
+    if not found.isEmpty():
+        labels = connected_components(ws, links.unionByName(found))
+    ws.drop_all_but(sketches, labels)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", params: MinHash = MinHash()) -> DataFrame:
@@ -358,7 +401,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ws = Workspace(docs.sparkSession, "near")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     sketches = ws.save(sketch(texts, params), "sketches")
-    labels = near_components(ws, texts, sketches, params)
+    labels = near_components(ws, lambda ids: select_texts(texts, ids), sketches, params)
     out = sketches.select("id", "n").join(labels, "id", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "id"))
     return out.select(
@@ -372,9 +415,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def drop_near_duplicates(docs: DataFrame, *, params: MinHash = MinHash()) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns.
 
-    The ids to drop are broadcast if they are few, else joined by a shuffle.
+    The ids to drop are broadcast if they are small, else joined by a shuffle.
+    Documents without an id, a text or a word stay, rows of one id stay or go
+    together, columns of any name pass; an empty table gives an empty result.
     """
-    judged = near_duplicates(docs, params=params)
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = Workspace(docs.sparkSession, "gone").save(near_duplicates(docs, params=params).where("NOT kept").select("doc_id").distinct(), "gone")
+    return docs.join(by_size(gone), "doc_id", "left_anti").select(*docs.columns)

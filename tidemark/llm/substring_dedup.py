@@ -20,11 +20,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.minhash_dedup import MinHash, band_key_matrix, hash_functions, near_components, tune_bands
-from tidemark.llm.textops import mix64, slices, struct, windows, word_hashes
+from tidemark.llm.skew import by_size, few, hot_keys, join_dealt
+from tidemark.llm.textops import hash_spans, mix64, slices, struct, text_bytes, windows, word_spans
 from tidemark.llm.workspace import Workspace
 
 #: Words of the shortest paragraph that counts as a passage.
@@ -37,17 +39,9 @@ RECALL = 0.999
 HASHES = 48
 
 _BANDS, _ROWS = tune_bands(75, RECALL, HASHES)
+#: Bits of a winnowing key that hold the place.
+_PLACE = np.uint64(28)
 PARAGRAPH = MinHash(bands=_BANDS, rows=_ROWS, batch=_BANDS * _ROWS // 3, miss=1e-4)
-_WHITE = np.zeros(256, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets of the starts and ends of the words."""
-    white = _WHITE[np.frombuffer(raw, np.uint8)]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], white, [True]]).astype(np.int8)))
-    return edge[::2], edge[1::2]
-
 
 def block_starts(h: np.ndarray) -> np.ndarray:
     """Content-chosen words at which the verbatim blocks of a text with these word hashes start."""
@@ -56,17 +50,23 @@ def block_starts(h: np.ndarray) -> np.ndarray:
     first = windows(h, 5)[: len(h) - BLOCK_WORDS + 1]
     if len(first) <= WINNOW:
         return np.array([int(first.argmin())])
-    view = np.lib.stride_tricks.sliding_window_view(first, WINNOW)
-    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
+    # The hash's leading bits, then the place: minima are unique, the leftmost wins.
+    low = ((first >> _PLACE) << _PLACE) | np.arange(len(first), dtype=np.uint64)
+    width = 1
+    while 2 * width <= WINNOW:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    if width < WINNOW:
+        low = np.minimum(low[: len(low) - (WINNOW - width)], low[WINNOW - width :])
+    return (low[np.append(True, low[1:] != low[:-1])] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
 
 
 def _doc_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word hashes, word starts, word ends, line of each word, number of words of each line)."""
-    raw = text.encode("utf-8", "surrogatepass")
-    h = word_hashes(raw.lower().split())
-    first, last = word_bounds(raw)
-    line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), first)
-    return h, first, last, line, np.bincount(line) if len(line) else np.empty(0, np.int64)
+    raw = text_bytes(text)
+    first, last = word_spans(raw)
+    line = np.searchsorted(np.flatnonzero(raw == 10), first)
+    return hash_spans(raw, first, last), first, last, line, np.bincount(line) if len(line) else np.empty(0, np.int64)
 
 
 def sketch_lines(parts: list[tuple[int, int, np.ndarray]], p: MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -146,27 +146,57 @@ def scan(docs: DataFrame, p: MinHash) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, struct(_SCAN))
 
 
-def _paragraphs(docs: DataFrame) -> DataFrame:
-    """(id, text) of the lines; a paragraph is known by its document and position."""
-    return docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "text")).select(F.xxhash64("doc", "pos").alias("id"), "text")
+def _paragraph_texts(ws: Workspace, docs: DataFrame, places: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the paragraphs in the written table ``ids``, whose places are (id, doc, pos).
+
+    The places come to the documents, one list a document, and only the lines
+    they name are taken out.
+    """
+    wanted = ws.save(places.join(by_size(ids), "id", "left_semi"), "wanted")
+    listed = ws.save(wanted.groupBy("doc").agg(F.collect_list(F.struct("pos", "id")).alias("places")), "places")
+    found = docs.join(F.broadcast(listed) if few(wanted) else listed, "doc").select(F.split("text", "\n", -1).alias("lines"), F.explode("places").alias("place"))
+    return found.select(F.col("place.id").alias("id"), F.try_element_at("lines", F.col("place.pos") + 1).alias("text")).where("text IS NOT NULL")
 
 
 def repeated_paragraphs(ws: Workspace, docs: DataFrame, scanned: DataFrame, params: MinHash = PARAGRAPH) -> DataFrame:
     """(doc, pos, cluster, removed) of the paragraphs that have a near-duplicate, in another document or their own."""
-    sketches = scanned.where("pos IS NOT NULL").withColumn("id", F.xxhash64("doc", "pos"))
-    labels = near_components(ws, _paragraphs(docs), sketches.select("id", "n", "fp", "keys", "sig"), params)
-    grouped = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
-    found = ws.save(sketches.select("id", "doc", "pos").join(grouped, "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
+    own = Workspace(ws.spark, "paragraphs")
+    sketches = scanned.where("pos IS NOT NULL")
+    places = sketches.select("id", "doc", "pos")
+    labels = near_components(own, lambda ids: _paragraph_texts(own, docs, places, ids), sketches.select("id", "n", "fp", "keys", "sig"), params)
+    leads = labels.select(F.col("component").alias("id"), "component").distinct()
+    found = ws.save(places.join(labels.unionByName(leads), "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
+    own.drop_all_but()
     place = F.struct("doc", "pos")
-    spread = ws.save(found.groupBy("cluster").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo != hi"), "clusters")
-    return found.join(spread, "cluster").select("doc", "pos", "cluster", (place != F.col("lo")).alias("removed"))
+    spread = found.groupBy("cluster").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi")
+    spread = ws.save(spread.select("cluster", "lo", "n"), "clusters")
+    joined = join_dealt(found, spread.select("cluster", "lo"), ["cluster"], "pos", hot_keys(ws, spread, ["cluster"]))
+    return joined.select("doc", "pos", "cluster", (place != F.col("lo")).alias("removed"))
 
 
 def repeated_blocks(ws: Workspace, scanned: DataFrame) -> DataFrame:
     """(doc, start, end, removed) of the verbatim blocks that stand elsewhere too, in another document or their own."""
     found = scanned.where("k IS NOT NULL").select("k", "c", "doc", "start", "end", "again")
-    shared = ws.save(found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("again").alias("twice")).where("lo != hi OR twice").select("k", "c", "lo"), "shared")
-    return found.join(shared, ["k", "c"]).select("doc", "start", "end", ((F.col("doc") != F.col("lo")) | F.col("again")).alias("removed"))
+    shared = found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("again").alias("twice"), F.count(F.lit(1)).alias("n")).where("lo != hi OR twice")
+    shared = ws.save(shared.select("k", "c", "lo", "n"), "shared")
+    joined = join_dealt(found, shared.select("k", "c", "lo"), ["k", "c"], "doc", hot_keys(ws, shared, ["k", "c"]))
+    return joined.select("doc", "start", "end", ((F.col("doc") != F.col("lo")) | F.col("again")).alias("removed"))
+
+
+def merged_spans(blocks: DataFrame) -> DataFrame:
+    """(doc, spans, removed_spans): the blocks of every document, and those removed, as ranges joined where they overlap.
+
+    Runs in order of start with a running end: linear in the blocks, in one exchange by document.
+    """
+    kinds = F.explode(F.when(F.col("removed"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = blocks.repartition("doc").select("doc", kinds.alias("kind"), "start", "end")
+    w = W.partitionBy("doc", "kind").orderBy("start", "end")
+    before = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    fresh = rows.withColumn("fresh", F.coalesce((F.col("start") > before).cast("int"), F.lit(1)))
+    runs = fresh.withColumn("run", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    spans = runs.groupBy("doc", "kind", "run").agg(F.struct(F.min("start").alias("start"), F.max("end").alias("end")).alias("span"))
+    listed = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("span"))))
+    return spans.groupBy("doc").agg(listed(0).alias("spans"), listed(1).alias("removed_spans"))
 
 
 def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", params: MinHash = PARAGRAPH) -> DataFrame:
@@ -181,31 +211,13 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """
     ws = Workspace(docs.sparkSession, "passages")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & F.col("text").isNotNull())
-    scanned = ws.save(scan(rows, params), "scan")
-    paragraphs = (
-        repeated_paragraphs(ws, rows, scanned, params)
-        .groupBy("doc")
-        .agg(F.sort_array(F.collect_set(F.struct("pos", "cluster", "removed"))).alias("paragraphs"))
-    )
-    spans = repeated_blocks(ws, scanned).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("start", "end", "removed"))).alias("blocks"))
-
-    def merged(found):
-        """Overlapping ranges, sorted by start, as one each."""
-        empty = F.array().cast("array<struct<start:int,end:int>>")
-
-        def step(done, s):
-            last = F.element_at(done, -1)
-            one = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
-            joined = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
-            overlaps = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= s["start"])
-            return F.when(overlaps, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), joined)).otherwise(F.concat(done, one))
-
-        return F.aggregate(found, empty, step)
-
-    both = paragraphs.join(spans, "doc", "full_outer")
-    none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
-    both = both.withColumn("blocks", F.coalesce("blocks", none)).withColumn("paragraphs", F.coalesce("paragraphs", F.array().cast("array<struct<pos:int,cluster:bigint,removed:boolean>>")))
-    both = both.withColumn("spans", merged(F.col("blocks"))).withColumn("removed_spans", merged(F.filter("blocks", lambda s: s["removed"])))
+    # Numbered once, when written: two paragraphs never share a number.
+    scanned = ws.save(scan(rows, params).withColumn("id", F.monotonically_increasing_id()), "scan")
+    paragraphs = repeated_paragraphs(ws, rows, scanned, params).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("pos", "cluster", "removed"))).alias("paragraphs"))
+    both = paragraphs.join(merged_spans(repeated_blocks(ws, scanned)), "doc", "full_outer")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    both = both.withColumn("paragraphs", F.coalesce("paragraphs", F.array().cast("array<struct<pos:int,cluster:bigint,removed:boolean>>")))
+    both = both.withColumn("spans", F.coalesce("spans", none)).withColumn("removed_spans", F.coalesce("removed_spans", none))
     return both.select(
         F.col("doc").cast(docs.schema[doc_id].dataType).alias("doc_id"),
         F.size("paragraphs").cast("long").alias("n_paragraphs"),

@@ -8,19 +8,16 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Words whose hashes one worker remembers before it starts over.
-WORD_CACHE = 300_000
 #: Length of the longest word or pre-token that a worker remembers, so a cache is bounded in bytes too.
 LONGEST_KEY = 64
 #: Characters of text handled at once within an Arrow batch.
 SLICE_CHARS = 2_000_000
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
+_MULT_INT = 0x9E3779B97F4A7C15
 _MIX1 = np.uint64(0xFF51AFD7ED558CCD)
 _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
@@ -48,19 +45,60 @@ class Remembered(dict):
         return value
 
 
-_HASHES = Remembered(xxhash.xxh3_64_intdigest, WORD_CACHE)
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes hashed at once; a longer word is hashed whole.
+_STRETCH = 1 << 20
+#: A word's hash is the polynomial of these byte values at an odd point, modulo 2**64, mixed with its length.
+_VALUE = np.random.default_rng(20_240_307).integers(0, 1 << 64, 256, dtype=np.uint64)
+_POINT = 0x9FB21C651E98DF25
+_POWERS: list[np.ndarray] = []
 
 
-def ascii_words(text: str | None, lower: bool = True) -> list[bytes]:
-    r"""Words ``[^\x20\x09-\x0D]+``, with A-Z (only) lower-cased if asked for."""
-    if not text:
-        return []
-    raw = text.encode("utf-8", "surrogatepass")
-    return (raw.lower() if lower else raw).split()
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the point and of its inverse, from 0 to n at least."""
+    if not _POWERS or len(_POWERS[0]) <= n:
+        size = max(1 << 14, 1 << n.bit_length())
+        _POWERS[:] = [np.cumprod(np.append(np.uint64(1), np.full(size, np.uint64(x)))) for x in (_POINT, pow(_POINT, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    r"""Byte offsets of the starts and ends of the words ``[^\x20\x09-\x0D]+``."""
+    edge = np.empty(len(raw) + 2, bool)
+    edge[0] = edge[-1] = True
+    edge[1:-1] = _WHITE[raw]
+    edges = np.flatnonzero(edge[1:] != edge[:-1])
+    return edges[::2], edges[1::2]
+
+
+def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges, which are in order and do not overlap."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        base = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, base + _STRETCH, side="right")))
+        stretch = raw[base : int(ends[to - 1])]
+        power, inverse = _powers(len(stretch))
+        sums = np.zeros(len(stretch) + 1, np.uint64)
+        np.cumsum(_VALUE[stretch] * power[: len(stretch)], out=sums[1:])
+        a, b = starts[at:to] - base, ends[at:to] - base
+        out[at:to] = mix64((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64) * _MIX2)
+        at = to
+    return out
+
+
+def text_bytes(text: str | None, lower: bool = True) -> np.ndarray:
+    """The text in UTF-8, with A-Z (only) lower-cased if asked for."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return np.frombuffer(raw.lower() if lower else raw, np.uint8)
+
+
+def hash_words(text: str | None, lower: bool = True) -> np.ndarray:
+    """Hashes of the text's words, in order."""
+    raw = text_bytes(text, lower)
+    return hash_spans(raw, *word_spans(raw))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -76,11 +114,17 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     count = len(hashes) - n + 1
     if count <= 0:
         return np.empty(0, np.uint64)
-    out = hashes[:count].copy()
-    for j in range(1, n):
-        out *= _MULT
-        out += hashes[j : j + count]
-    return mix64(out)
+    # Windows of 1, 2, 4, .. words, joined as the bits of n ask for.
+    out, size, part, width = None, 0, hashes, 1
+    with np.errstate(over="ignore"):
+        while True:
+            if n & width:
+                out = part[: len(hashes) - width + 1] if out is None else part[: len(part) - size] * np.uint64(pow(_MULT_INT, size, 1 << 64)) + out[width:]
+                size += width
+            if size == n:
+                return mix64(out)
+            part = part[:-width] * np.uint64(pow(_MULT_INT, width, 1 << 64)) + part[width:]
+            width *= 2
 
 
 def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
@@ -93,7 +137,7 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
 
 
 def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
-    return shingles(word_hashes(ascii_words(text)), n)
+    return shingles(hash_words(text), n)
 
 
 def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

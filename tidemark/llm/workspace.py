@@ -16,11 +16,13 @@ _LEFT: list[tuple[SparkSession, str]] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only where none is set (tests)."""
+    """The shared folder named by the session. Only a local session without one gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
             current = spark.sparkContext.getCheckpointDir()
         root = current
@@ -38,8 +40,8 @@ def _clean() -> None:
         try:
             if spark.sparkContext._jsc is not None:
                 _delete(spark, path)
-        except Exception:  # the session may already be gone at exit
-            return
+        except Exception:  # the session may already be gone at exit; the other folders are still tried
+            continue
 
 
 class Workspace:
@@ -49,6 +51,7 @@ class Workspace:
         self.spark = spark
         self.base = f"{checkpoint_root(spark)}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        self._tables: list[str] = []
         _LEFT.append((spark, self.base))
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
@@ -56,6 +59,7 @@ class Workspace:
         self._n += 1
         path = f"{self.base}/{self._n:03d}-{name}"
         df.write.parquet(path)
+        self._tables.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._tidemark_path = path
         return out
@@ -66,3 +70,11 @@ class Workspace:
             path = getattr(t, "_tidemark_path", None)
             if path:
                 _delete(self.spark, path)
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        """Deletes every table of this workspace that is not among ``tables``."""
+        keep = {getattr(t, "_tidemark_path", None) for t in tables}
+        for path in self._tables:
+            if path not in keep:
+                _delete(self.spark, path)
+        self._tables = [path for path in self._tables if path in keep]
