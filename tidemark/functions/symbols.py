@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 _PATTERN = r"^[A-Z0-9]{5,24}$"
 _QUOTE = "USDT"
+# The symbols that are watched where none are configured.
+DEFAULT_SYMBOLS = (
+    "BTCUSDT", "ETHUSDT", "BNBUSDT", "SOLUSDT", "XRPUSDT", "DOGEUSDT", "SUIUSDT", "ADAUSDT", "LINKUSDT", "AVAXUSDT", "WIFUSDT", "1000PEPEUSDT", "APTUSDT",
+    "ARBUSDT", "SEIUSDT", "ATOMUSDT", "NEARUSDT", "INJUSDT", "FILUSDT", "TIAUSDT", "OPUSDT", "RENDERUSDT", "FETUSDT", "TRXUSDT", "LTCUSDT",
+)
 
 
 def normalize_symbols(symbols: list[str]) -> list[str]:
@@ -24,8 +29,9 @@ def normalize_symbols(symbols: list[str]) -> list[str]:
     return list(out)
 
 
-def parse_symbols(text: str) -> list[str]:
-    return normalize_symbols(text.split(","))
+def parse_symbols(text: str | None) -> list[str]:
+    """The symbols of a comma-separated list; the default ones if there is no list."""
+    return list(DEFAULT_SYMBOLS) if text is None else normalize_symbols(text.split(","))
 
 
 def ordered_distinct(df: DataFrame, name: str, pos: str) -> DataFrame:

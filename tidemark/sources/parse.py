@@ -22,6 +22,12 @@ def _payload(df: DataFrame, names: str, keep: tuple[str, ...], payload: str | Co
     return fields.select(*[F.try_element_at("_p", F.lit(n)).alias(_alias(n)) for n in names.split()], *keep)
 
 
+def _time(payload: str | Column, df: DataFrame) -> DataFrame:
+    """Adds ``_arrived``: the arrival time where the payload has no ``time`` at all; a malformed or null one is no reason to fall back."""
+    has = F.map_contains_key(F.from_json(payload, "map<string,string>"), "time")
+    return df.withColumn("_arrived", F.when(~has, F.col("received_at")))
+
+
 def _alias(name: str) -> str:
     """A column name that stays distinct where case does not count."""
     return f"up_{name}" if name.isupper() else name
@@ -65,19 +71,21 @@ def mark_prices(df: DataFrame, payload: str = "data") -> DataFrame:
 
 
 def funding(df: DataFrame, payload: str = "data") -> DataFrame:
-    p = _payload(df, "symbol markPrice lastFundingRate nextFundingTime time", ("received_at",), payload)
-    out = p.select(F.coalesce(_int("time"), F.col("received_at")).alias("timestamp"), F.upper("symbol").alias("symbol"), _num("lastFundingRate").alias("funding_rate"), _int("nextFundingTime").alias("next_funding_time"), _num("markPrice").alias("mark_price"), "received_at")
+    p = _payload(_time(payload, df), "symbol markPrice lastFundingRate nextFundingTime time", ("received_at", "_arrived"), payload)
+    out = p.select(F.coalesce(_int("time"), F.col("_arrived")).alias("timestamp"), F.upper("symbol").alias("symbol"), _num("lastFundingRate").alias("funding_rate"), _int("nextFundingTime").alias("next_funding_time"), _num("markPrice").alias("mark_price"), "received_at")
     return out.dropna()
 
 
 def open_interest(df: DataFrame, payload: str = "data") -> DataFrame:
-    p = _payload(df, "symbol openInterest time", ("received_at",), payload)
-    return p.select(F.coalesce(_int("time"), F.col("received_at")).alias("timestamp"), F.upper("symbol").alias("symbol"), _num("openInterest").alias("open_interest"), "received_at").dropna()
+    p = _payload(_time(payload, df), "symbol openInterest time", ("received_at", "_arrived"), payload)
+    return p.select(F.coalesce(_int("time"), F.col("_arrived")).alias("timestamp"), F.upper("symbol").alias("symbol"), _num("openInterest").alias("open_interest"), "received_at").dropna()
 
 
 def _side(*names: str, levels: int) -> Column:
+    """The first levels of a side; null if one of them is no pair of numbers, as such a book is dropped whole."""
     level = lambda x: F.struct(F.get(x, F.lit(0)).try_cast("double").alias("price"), F.get(x, F.lit(1)).try_cast("double").alias("qty"))
-    return F.transform(F.slice(F.coalesce(*[F.from_json(n, _LEVELS) for n in names]), 1, levels), level)
+    found = F.transform(F.slice(F.coalesce(*[F.from_json(n, _LEVELS) for n in names]), 1, levels), level)
+    return F.when(F.forall(found, lambda x: x["price"].isNotNull() & x["qty"].isNotNull()), found)
 
 
 def depth(df: DataFrame, payload: str = "data", levels: int = 20) -> DataFrame:
@@ -97,7 +105,7 @@ def rest_depth(df: DataFrame, payload: str = "data", symbol: str = "symbol", lev
 
 
 def filter_metadata(symbols: DataFrame) -> DataFrame:
-    """Trading filters of rows (symbol, filters array<map<string,string>>); the last of two equal filters counts."""
+    """Trading filters of rows (symbol, filters array<map<string,string>>); the last of two equal filters counts. Other columns stay."""
     pick = lambda kind: F.element_at(F.filter("filters", lambda f: F.try_element_at(f, F.lit("filterType")) == kind), -1)
 
     def value(kind: str, key: str) -> Column:
@@ -108,18 +116,22 @@ def filter_metadata(symbols: DataFrame) -> DataFrame:
     nz = lambda c: F.nullif(c, zero)
     notional = lambda kind: F.coalesce(nz(value(kind, "notional")), nz(value(kind, "minNotional")))
     has = F.exists("filters", lambda f: F.try_element_at(f, F.lit("filterType")) == "MIN_NOTIONAL")
+    rest = [c for c in symbols.columns if c not in ("symbol", "filters")]
     return symbols.select(
-        "symbol", F.coalesce(value("PRICE_FILTER", "tickSize"), zero).alias("tick_size"), F.coalesce(value("LOT_SIZE", "stepSize"), zero).alias("step_size"), F.coalesce(value("LOT_SIZE", "minQty"), zero).alias("min_qty"),
+        "symbol", *rest, F.coalesce(value("PRICE_FILTER", "tickSize"), zero).alias("tick_size"), F.coalesce(value("LOT_SIZE", "stepSize"), zero).alias("step_size"), F.coalesce(value("LOT_SIZE", "minQty"), zero).alias("min_qty"),
         F.coalesce(F.when(has, notional("MIN_NOTIONAL")).otherwise(notional("NOTIONAL")), zero).alias("min_notional"), F.lit(None).cast("double").alias("maker_fee"), F.lit(None).cast("double").alias("taker_fee"),
     )
 
 
 def exchange_metadata(df: DataFrame, configured: DataFrame, payload: str = "data") -> DataFrame:
-    """Metadata of the configured symbols; unknown ones are passed over."""
+    """Metadata of the configured symbols, one row for each poll; unknown symbols are passed over.
+
+    ``configured`` is (symbol) or (symbol, pos); a position comes along, so the configured order can be asked for.
+    """
     p = df.select(F.explode(F.from_json(payload, "struct<symbols:array<struct<symbol:string,filters:array<map<string,string>>>>>")["symbols"]).alias("s"), F.col("received_at").alias("timestamp"))
     rows = p.select(F.upper("s.symbol").alias("symbol"), F.col("s.filters").alias("filters"), "timestamp")
-    rows = rows.join(configured.select("symbol"), "symbol", "left_semi")
-    return filter_metadata(rows).join(rows.select("symbol", "timestamp"), "symbol")
+    known = configured.dropDuplicates(["symbol"])
+    return filter_metadata(rows.join(known, "symbol"))
 
 
 def active_perpetuals(df: DataFrame, payload: str = "data") -> DataFrame:

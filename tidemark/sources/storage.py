@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,36 +29,142 @@ def append(df: DataFrame, name: str, root: str) -> DataFrame:
     return bad
 
 
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, where = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def segments(spark: SparkSession, name: str, root: str) -> DataFrame | None:
+    """Rows of the streaming segments that no compaction has taken in yet, None if there are none; ``batch`` is their number."""
+    path = f"{root}/_segments/{SPECS[name].directory}"
+    held = [f"{path}/{c}" for c in _children(spark, path) if c.startswith("batch=") and _folders(spark, f"{path}/{c}")]
+    return spark.read.option("basePath", path).parquet(*held) if held else None
+
+
 def read(spark: SparkSession, name: str, root: str) -> DataFrame:
-    return spark.read.option("ignoreCorruptFiles", "true").parquet(f"{root}/{SPECS[name].directory}")
+    """The stored rows: final files, then segments; unreadable files are passed over."""
+    spec = SPECS[name]
+    reader = spark.read.option("ignoreCorruptFiles", "true")
+    tables = [reader.parquet(f"{root}/{spec.directory}")] if _children(spark, f"{root}/{spec.directory}") else []
+    if (recent := segments(spark, name, root)) is not None:
+        tables.append(recent.drop("batch"))
+    if not tables:
+        return spark.createDataFrame([], spec.schema).withColumn("date", F.lit(None).cast("date"))
+    return tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+
+
+def _keyed(rows: DataFrame, name: str) -> DataFrame:
+    return depth_key(rows) if "update" in SPECS[name].key else rows
 
 
 def compact(spark: SparkSession, name: str, root: str, where: str, arrival: tuple[str, ...] = ("received_at",), dedup: bool = True) -> int:
-    """Rewrites the partitions that ``where`` selects as one file each, first row of a key kept; returns the rows.
+    """Rewrites the partitions that ``where`` selects as one file each, segments taken in, first row of a key kept; returns the rows.
 
-    The new files are complete in a staging folder, and counted, before the
-    partitions are replaced; a job that dies on the way leaves the old ones.
+    The new files are complete in a staging folder, and their number of rows
+    agrees with the source's, before a manifest is written and partitions are
+    swapped by renames. A job that dies before the manifest leaves the old
+    partitions; one that dies after it is finished by :func:`recover`.
     """
     spec, parts = SPECS[name], partition_columns(name)
     rows = read(spark, name, root).where(where)
     if dedup:
-        keyed = depth_key(rows) if "update" in spec.key else rows
         order = [c for c in arrival if c in rows.columns] or [spec.time]
-        rows = dedup_first(keyed, spec.key, order).select(*rows.columns)
-    staging = f"{root}/_staging/{spec.directory}"
-    rows.repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.parquet(staging)
-    n = staged.count()
-    if not dedup and n != read(spark, name, root).where(where).count():
-        raise RuntimeError("row counts differ; nothing was replaced")
-    out = staged.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    out.parquet(f"{root}/{spec.directory}")
+        kept = dedup_first(_keyed(rows, name), spec.key, order).select(*rows.columns)
+        expected = _keyed(rows, name).groupBy(*spec.key).agg(F.lit(1).alias("one")).count()
+    else:
+        kept, expected = rows, rows.count()
+    staging = f"{root}/_staging/{spec.directory}/{uuid.uuid4().hex}"
+    kept.repartition(*parts).write.partitionBy(*parts).parquet(f"{staging}/new")
+    n = spark.read.schema(rows.schema).parquet(f"{staging}/new").count()
+    if n != expected:
+        _delete(spark, staging)
+        raise RuntimeError(f"{n} rows instead of {expected}; nothing was replaced")
+    folders = [f"{a}/{b}" for a in _folders(spark, f"{staging}/new") for b in _folders(spark, f"{staging}/new/{a}")] if len(parts) == 2 else _folders(spark, f"{staging}/new")
+    taken = []
+    for batch in _children(spark, f"{root}/_segments/{spec.directory}"):
+        taken += [f"{root}/_segments/{spec.directory}/{batch}/{f}" for f in folders if _exists(spark, f"{root}/_segments/{spec.directory}/{batch}/{f}")]
+    _write_text(spark, f"{staging}/manifest.json", json.dumps({"target": f"{root}/{spec.directory}", "folders": folders, "segments": taken}))
+    _swap(spark, staging)
     return n
 
 
-def files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length) of the visible Parquet files below a folder; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path", "length")
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    return [c for c in _children(spark, path) if "=" in c]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _fs(spark, path)
+    return fs.exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written beside its place and renamed, so it is there whole or not at all."""
+    fs, where = _fs(spark, path + ".tmp")
+    out = fs.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(where, spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def _swap(spark: SparkSession, staging: str) -> None:
+    """Puts the staged partitions in place; may be called again after a failure at any point."""
+    manifest = json.loads("".join(r.value for r in spark.read.text(f"{staging}/manifest.json").collect()))
+    fs, _ = _fs(spark, staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in manifest["folders"]:
+        new, target, old = path(f"{staging}/new/{folder}"), path(f"{manifest['target']}/{folder}"), path(f"{staging}/old/{folder}")
+        if not fs.exists(new):
+            continue  # in place already
+        if fs.exists(target):
+            fs.mkdirs(old.getParent())
+            if not fs.rename(target, old):
+                raise RuntimeError(f"{target} could not be set aside")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(new, target):
+            raise RuntimeError(f"{new} could not be put in place")
+    for segment in manifest["segments"]:
+        _delete(spark, segment)
+        if not _folders(spark, segment.rsplit("/", 1)[0]):
+            _delete(spark, segment.rsplit("/", 1)[0])
+    _delete(spark, staging)
+
+
+def recover(spark: SparkSession, root: str) -> dict[str, int]:
+    """Finishes or drops what compactions that died left behind; returns how many of each. To be called before writing starts."""
+    done = {"finished": 0, "dropped": 0}
+    for directory in _children(spark, f"{root}/_staging"):
+        for one in _children(spark, f"{root}/_staging/{directory}"):
+            staging = f"{root}/_staging/{directory}/{one}"
+            if _exists(spark, f"{staging}/manifest.json"):
+                _swap(spark, staging)
+                done["finished"] += 1
+            else:
+                _delete(spark, staging)
+                done["dropped"] += 1
+    return done
+
+
+def files(spark: SparkSession, root: str, pattern: str | None = "*.parquet") -> DataFrame:
+    """(path, length) of the visible files below a folder, Parquet only unless told otherwise; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader if pattern is None else reader.option("pathGlobFilter", pattern)).load(root).select("path", "length")
+
+
+def dataset_bytes(listing: DataFrame) -> DataFrame:
+    """(directory, day, bytes) of the files of every dataset and day."""
+    parts = r"/([^/]+)/(?:symbol=[^/]+/)?date=(\d{4}-\d{2}-\d{2})/[^/]+$"
+    rows = listing.select(F.regexp_extract("path", parts, 1).alias("directory"), F.regexp_extract("path", parts, 2).alias("day"), "length")
+    return rows.where("day <> ''").groupBy("directory", "day").agg(F.sum("length").alias("bytes"))
 
 
 def audit(listing: DataFrame) -> DataFrame:
@@ -65,8 +174,8 @@ def audit(listing: DataFrame) -> DataFrame:
 
 
 def backup_scope(listing: DataFrame) -> DataFrame:
-    """Files and bytes that a backup would take; temporary and segment files are left out."""
-    skip = F.col("path").rlike(r"(\.pyc|\.tmp)$|/__pycache__/|/\.segment\.|/\.merge\.")
+    """Files and bytes that a backup would take of a listing of any files; temporary, cache and segment files are left out."""
+    skip = F.col("path").rlike(r"__pycache__|\.pyc$|\.pytest_cache|\.tmp$|\.segment\.|\.merge\.|/_segments/|/_staging/")
     return listing.where(~skip).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 

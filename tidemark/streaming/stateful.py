@@ -1,11 +1,18 @@
-"""Streaming forms: keyed state for bars and open-interest deltas, watermarked bars, deduplication."""
+"""Streaming forms: keyed state for guards, bars, taker flow, spread and open interest; watermarked bars, deduplication.
+
+Keyed operators take a batch's rows of a key in order of ``seq`` and keep what
+they need of the past in the state store, bounded per key. The last bars stay
+open there when a stream ends; :func:`open_bars` reads them out.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -64,3 +71,106 @@ def ohlcv_watermark(trades: DataFrame, delay: str = "2 minutes", width: str = "1
 def first_wins(rows: DataFrame, keys: list[str], time: str, delay: str = "10 minutes") -> DataFrame:
     """Drops repeated keys within the watermark."""
     return rows.withColumn("_ts", F.timestamp_millis(time)).withWatermark("_ts", delay).dropDuplicatesWithinWatermark(keys).drop("_ts")
+
+
+def _per_key(rows: DataFrame, out: str, state: str, fold: Callable[[str, Any, pd.DataFrame], tuple[Any, list[tuple]]], seq: str) -> DataFrame:
+    """Runs ``fold(key, state, rows in order) -> (state, result rows)`` for every symbol."""
+    names = [c.split()[0] for c in out.split(", ")]
+
+    def step(key, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        now, made = fold(key[0], held.get if held.exists else None, pd.concat(list(batches)).sort_values(seq, kind="stable"))
+        if now is not None:
+            held.update(now)
+        yield pd.DataFrame(made, columns=names)
+
+    return rows.groupBy("symbol").applyInPandasWithState(step, out, state, "append", GroupStateTimeout.NoTimeout)
+
+
+def guard_stream(rows: DataFrame, value: str, seq: str, width: int = 1) -> DataFrame:
+    """Rows whose ``value // width`` exceeds all that came before: trade ids that rise (width 1), or the first row of each second (1000)."""
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+
+    def fold(key, state, batch):
+        last, made = state[0] if state else None, []
+        names = list(batch.columns)
+        at = names.index(value)
+        for row in batch.itertuples(index=False, name=None):
+            mark = int(row[at]) // width
+            if last is None or mark > last:
+                last = mark
+                made.append(row)
+        return (last,) if last is not None else None, [tuple(None if isinstance(v, float) and math.isnan(v) else v for v in row) for row in made]
+
+    return _per_key(rows, out, "last long", fold, seq)
+
+
+def taker_delta_stream(trades: DataFrame, width: int = 60_000, seq: str = "trade_id") -> DataFrame:
+    """Taker flow by arrival; a bar closes when its symbol's next bucket begins."""
+    out = "symbol string, minute long, buy_volume double, sell_volume double, delta_volume double, delta_ratio double, trade_count long"
+
+    def closed(key, bar):
+        minute, buy, sell, n = bar
+        total = buy + sell
+        return key, minute, buy, sell, buy - sell, (buy - sell) / total if total > 0 else 0.0, n
+
+    def fold(key, state, batch):
+        bar, made = list(state) if state else None, []
+        for ts, qty, maker in zip(batch["timestamp"], batch["quantity"], batch["is_buyer_maker"], strict=True):
+            minute = int(ts) // width * width
+            if bar is None or bar[0] != minute:
+                if bar is not None:
+                    made.append(closed(key, bar))
+                bar = [minute, 0.0, 0.0, 0]
+            bar[2 if maker else 1] += float(qty)
+            bar[3] += 1
+        return tuple(bar), made
+
+    return _per_key(trades, out, "minute long, buy double, sell double, n long", fold, seq)
+
+
+def spread_state_stream(rows: DataFrame, window: int = 300, threshold: float = 2.0, scale: int = 10_000, seq: str = "timestamp") -> DataFrame:
+    """Mean, population deviation and z-score over the last ``window`` rows, from sums of integers ``round(x * scale)`` as in the batch form."""
+    out = "timestamp long, symbol string, spread_bps double, spread_zscore double, is_wide_spread boolean, rolling_spread_mean double, rolling_spread_std double"
+
+    def fold(key, state, batch):
+        held = list(state[0]) if state else []
+        s, q, made = sum(held), sum(x * x for x in held), []
+        for ts, x in zip(batch["timestamp"], batch["spread_bps"], strict=True):
+            i = math.floor(abs(x) * scale + 0.5) * (1 if x >= 0 else -1)
+            held.append(i)
+            s, q = s + i, q + i * i
+            if len(held) > window:
+                old = held.pop(0)
+                s, q = s - old, q - old * old
+            n = len(held)
+            mean, std = s / (n * scale), math.sqrt(n * q - s * s) / (n * scale)
+            z = (x - mean) / std if std > 0 else 0.0
+            made.append((ts, key, x, z, z >= threshold, mean, std))
+        return (held,), made
+
+    return _per_key(rows, out, "held array<long>", fold, seq)
+
+
+def oi_change_stream(samples: DataFrame, history: int = 120, seq: str = "timestamp") -> DataFrame:
+    """Deltas to the previous sample and to the oldest of the last ``history`` samples within 5, 15 and 60 minutes."""
+    out = "timestamp long, symbol string, oi double, oi_delta double, oi_delta_pct double, rolling_5m_delta double, rolling_15m_delta double, rolling_60m_delta double"
+
+    def fold(key, state, batch):
+        times, values = (list(state[0]), list(state[1])) if state else ([], [])
+        made = []
+        for ts, oi in zip(batch["timestamp"], batch["open_interest"], strict=True):
+            last = values[-1] if values else None
+            times, values = [*times, int(ts)][-history:], [*values, float(oi)][-history:]
+            oldest = [next(v for t, v in zip(times, values, strict=True) if t >= ts - m * 60_000) for m in (5, 15, 60)]
+            delta = 0.0 if last is None else oi - last
+            made.append((ts, key, oi, delta, delta / last if last else 0.0, *(oi - v for v in oldest)))
+        return (times, values), made
+
+    return _per_key(samples, out, "times array<long>, opens array<double>", fold, seq)
+
+
+def open_bars(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The bars that :func:`ohlcv_stream` had open when its query ended: the end-of-stream flush."""
+    state = spark.read.format("statestore").load(checkpoint)
+    bar = F.col("value.groupState")
+    return state.select(F.col("key.symbol").alias("symbol"), bar["minute"].alias("minute_start"), *[bar[c].alias(c) for c in ("open", "high", "low", "close", "volume")], bar["n"].alias("trade_count"))
