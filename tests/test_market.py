@@ -64,6 +64,20 @@ def test_guards_gaps_and_recovery(spark):
     assert [(r.trade_id, r.is_recovered) for r in got] == [(10, False), (11, True), (12, True), (13, False)]
 
 
+def test_parts_give_what_one_window_gives(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice("AB"), i + rng.randint(-40, 5), i if rng.random() < 0.6 else None, i - 1 - rng.randint(0, 1) if rng.random() < 0.7 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "seq long, symbol string, trade_id long, final_update_id long, prev_final_update_id long")
+    part = F.floor(F.col("seq") / 30)
+    both = lambda f: [sorted(map(tuple, f(p).collect()), key=str) for p in (None, part)]
+    for form in (lambda p: ordering.monotonic_guard(df, ["seq"], part=p), lambda p: ordering.chain_breaks(df, ["seq"], part=p), lambda p: ordering.sample_per_bucket(df, "trade_id", ["seq"], 10, part=p)):
+        one, split = both(form)
+        assert one == split and one
+    right = df.where("seq % 17 = 0").select("symbol", "seq", F.col("trade_id").alias("v"))
+    one, split = both(lambda p: ordering.asof_latest(df.select("symbol", "seq"), right, ["v"], "symbol", "seq", part=p))
+    assert one == split and any(r[2] is not None for r in one)
+
+
 def test_sampling_drops_late_seconds(spark):
     rows = spark.createDataFrame([(1, "A", 1000), (2, "A", 1500), (3, "A", 2100), (4, "A", 1900), (5, "A", 3000)], "seq long, symbol string, ts long")
     assert [r.seq for r in ordering.sample_per_bucket(rows, "ts", ["seq"]).orderBy("seq").collect()] == [1, 3, 5]
@@ -202,9 +216,10 @@ def test_watermark_bars_and_dedup_plan(spark, tmp_path):
 
 
 def test_report_alerts(spark):
-    facts = spark.createDataFrame([(25, 81.0, 6, 0, 1, 0, 0, 2)], "reconnects int, disk_percent double, missing_minutes int, oi_shortfalls int, funding_shortfalls int, empty_partitions int, storage_failures int, rest_failures int")
+    facts = spark.createDataFrame([(25, 81.0, 6, [], ["ZUSDT", "AUSDT"], 0, 0, 2)], "reconnects int, disk_percent double, missing_minutes int, oi_shortfalls array<string>, funding_shortfalls array<string>, empty_partitions int, storage_failures int, rest_failures int")
     found = quality.alerts(facts)
     assert {r.type for r in found.collect()} == {"reconnect_storm", "disk_usage_high", "missing_minutes", "funding_missing", "rest_failures"}
+    assert {r.message for r in found.where("type = 'funding_missing'").collect()} == {"short: AUSDT, ZUSDT"}
     assert quality.overall_status(found).first().status == "critical"
     assert quality.overall_status(found.where("false")).first().status == "ok"
     assert quality.stale(spark.createDataFrame([("a", 0, 10**9), ("b", 0, 0)], "s string, last_ms long, uptime_ms long"), F.lit(10**6), 5).count() == 1

@@ -61,6 +61,42 @@ def queue_peaks(samples: DataFrame, ts: str = "timestamp") -> DataFrame:
     return samples.groupBy(utc_day(F.col(ts)).cast("string").alias("day"), "queue").agg(F.max("size").alias("peak"))
 
 
+def peak_of_peaks(peaks: DataFrame) -> DataFrame:
+    """(day, peak): the largest of a day's queue peaks."""
+    return peaks.groupBy("day").agg(F.max("peak").alias("peak"))
+
+
+#: The fields of a status snapshot, in order.
+STATUS = (
+    "uptime_hours", "symbols", "trades_received", "liquidations_received", "depth_snapshots_received", "mark_price_updates_received", "top_of_book_updates_received",
+    "last_trade_update", "last_depth50_update", "last_funding_update", "last_oi_update", "last_metadata_update", "websocket_reconnects", "integrity_error_count",
+)
+
+
+def status_snapshot(states: DataFrame) -> DataFrame:
+    """The 14 fields of every service state: hours to two places, times in ISO form (UTC), counters that are missing as 0."""
+
+    def one(name: str) -> Column:
+        if name == "uptime_hours":
+            return F.round(F.col("uptime_ms") / 3_600_000, 2)
+        if name.startswith("last_"):
+            return F.date_format(F.timestamp_millis(name), "yyyy-MM-dd'T'HH:mm:ss'Z'") if name in states.columns else F.lit(None).cast("string")
+        return F.coalesce(F.col(name), F.lit(0)) if name in states.columns else F.lit(0)
+
+    return states.select("instance", *[one(n).alias(n) for n in STATUS])
+
+
+def truncated(message: Column, most: int = 500) -> Column:
+    """The first characters of an error's text, as alerts quote it."""
+    return F.substring(message, 1, most)
+
+
+def legacy_paths(listing: DataFrame, most: int = 50) -> DataFrame:
+    """(path) of the first files outside the new layout, for display."""
+    new = F.col("path").rlike(r"/date=\d{4}-\d{2}-\d{2}/[^/]+$")
+    return listing.where(~new).select("path").orderBy("path").limit(most)
+
+
 def failure_counts(events: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Events of every kind and UTC day."""
     return events.groupBy(utc_day(F.col(ts)).cast("string").alias("day"), "kind").agg(F.count(F.lit(1)).alias("n"))

@@ -7,11 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def dedup_first(df: DataFrame, key: Sequence[str], arrival: Sequence[str | Column]) -> DataFrame:
-    """The first row of every key by arrival; null keys are equal."""
-    return df.withColumn("_rn", F.row_number().over(W.partitionBy(*key).orderBy(*arrival))).where("_rn = 1").drop("_rn")
+    """The first row of every key by arrival; null keys are equal.
+
+    A minimum over whole rows by arrival: rows of a key are reduced to one
+    before the shuffle, and nothing is sorted. Maps in a row need the ranked form.
+    """
+    if any(isinstance(f.dataType, MapType) for f in df.schema):
+        return df.withColumn("_rn", F.row_number().over(W.partitionBy(*key).orderBy(*arrival))).where("_rn = 1").drop("_rn")
+    first = F.min_by(F.struct(*df.columns), F.struct(*arrival)).alias("_first")
+    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(first).select("_first.*")
 
 
 def depth_key(df: DataFrame) -> DataFrame:
@@ -19,19 +27,45 @@ def depth_key(df: DataFrame) -> DataFrame:
     return df.withColumn("update", F.coalesce("final_update_id", "timestamp"))
 
 
-def running_guard(df: DataFrame, value: Column, arrival: Sequence[str | Column], by: str = "symbol") -> DataFrame:
-    """Rows whose value exceeds all values that arrived before (the first one passes)."""
-    before = F.max("_v").over(W.partitionBy(by).orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1))
-    return df.withColumn("_v", value).withColumn("_b", before).where("_b IS NULL OR _v > _b").drop("_v", "_b")
-
+def before(df: DataFrame, out: str, value: Column, arrival: Sequence[str | Column], by: str = "symbol", part: Column | None = None, greatest: bool = False) -> DataFrame:
+    """Adds ``out``: the last value that is not null (or the greatest) of all rows of ``by`` that arrived before, null if there is none.
 
-def monotonic_guard(df: DataFrame, arrival: Sequence[str | Column], id_col: str = "trade_id") -> DataFrame:
-    return running_guard(df, F.col(id_col), arrival)
-
-
-def sample_per_bucket(df: DataFrame, time: str, arrival: Sequence[str | Column], width: int = 1000) -> DataFrame:
+    Without ``part`` one task sorts the whole history of a key. ``part`` is a
+    column that never falls along the arrival order, such as an hour of it:
+    each part is reduced to one value first, these few are carried over the
+    parts, and rows are then sorted within their part only.
+    """
+    over = F.max if greatest else (lambda c: F.last(c, ignorenulls=True))
+    rows = df.withColumn("_v", value)
+    if part is None:
+        w = W.partitionBy(by).orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1)
+        return rows.withColumn(out, over("_v").over(w)).drop("_v")
+    rows = rows.withColumn("_part", part)
+    held = rows.where(F.col("_v").isNotNull()) if not greatest else rows
+    one = F.max("_v") if greatest else F.max_by("_v", F.struct(*arrival))
+    ends = held.groupBy(by, "_part").agg(one.alias("_e"))
+    # Parts without a value of their own pass the earlier one on: every row's part is looked up.
+    every = rows.select(by, "_part").distinct().join(ends, [by, "_part"], "left")
+    carried = every.withColumn("_c", over("_e").over(W.partitionBy(by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).drop("_e")
+    local = over("_v").over(W.partitionBy(by, "_part").orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1))
+    joined = rows.withColumn("_l", local).join(carried, [by, "_part"], "left")
+    value_before = F.greatest("_l", "_c") if greatest else F.coalesce("_l", "_c")
+    return joined.withColumn(out, value_before).select(*df.columns, out)
+
+
+def running_guard(df: DataFrame, value: Column, arrival: Sequence[str | Column], by: str = "symbol", part: Column | None = None) -> DataFrame:
+    """Rows whose value exceeds all values that arrived before (the first one passes); ``part`` as in :func:`before`."""
+    found = before(df.withColumn("_g", value), "_b", F.col("_g"), arrival, by, part, greatest=True)
+    return found.where("_b IS NULL OR _g > _b").drop("_g", "_b")
+
+
+def monotonic_guard(df: DataFrame, arrival: Sequence[str | Column], id_col: str = "trade_id", part: Column | None = None) -> DataFrame:
+    return running_guard(df, F.col(id_col), arrival, part=part)
+
+
+def sample_per_bucket(df: DataFrame, time: str, arrival: Sequence[str | Column], width: int = 1000, part: Column | None = None) -> DataFrame:
     """The first row of every bucket; buckets that come late are dropped."""
-    return running_guard(df, F.floor(F.col(time) / width), arrival)
+    return running_guard(df, F.floor(F.col(time) / width), arrival, part=part)
 
 
 def id_gaps(df: DataFrame, id_col: str = "trade_id", arrival: Sequence[str | Column] | None = None) -> DataFrame:
@@ -54,15 +88,15 @@ def recover_gaps(live: DataFrame, backfill: DataFrame, arrival: Sequence[str | C
     return live.withColumn("is_recovered", F.lit(False)).unionByName(found.withColumn("is_recovered", F.lit(True)))
 
 
-def chain_breaks(df: DataFrame, arrival: Sequence[str | Column], update: str = "final_update_id", previous: str = "prev_final_update_id") -> DataFrame:
+def chain_breaks(df: DataFrame, arrival: Sequence[str | Column], update: str = "final_update_id", previous: str = "prev_final_update_id", part: Column | None = None) -> DataFrame:
     """Rows whose previous-update id differs from the last known update id; before any sampling."""
-    last = F.last(update, ignorenulls=True).over(W.partitionBy("symbol").orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1))
-    return df.withColumn("expected", last).where(F.col("expected").isNotNull() & F.col(previous).isNotNull() & (F.col(previous) != F.col("expected")))
+    known = before(df, "expected", F.col(update), arrival, part=part)
+    return known.where(F.col("expected").isNotNull() & F.col(previous).isNotNull() & (F.col(previous) != F.col("expected")))
 
 
-def asof_latest(left: DataFrame, right: DataFrame, values: Sequence[str], by: str, arrival: str) -> DataFrame:
-    """Left rows with the latest right values that arrived no later; null before the first."""
+def asof_latest(left: DataFrame, right: DataFrame, values: Sequence[str], by: str, arrival: str, part: Column | None = None) -> DataFrame:
+    """Left rows with the latest right values that arrived no later; null before the first. ``part`` as in :func:`before`."""
     state = F.struct(*values)
     both = left.withColumn("_side", F.lit(1)).withColumn("_state", F.lit(None)).unionByName(right.select(by, arrival, F.lit(0).alias("_side"), state.alias("_state")), allowMissingColumns=True)
-    last = F.last("_state", ignorenulls=True).over(W.partitionBy(by).orderBy(arrival, "_side").rowsBetween(W.unboundedPreceding, 0))
-    return both.withColumn("_last", last).where("_side = 1").select(*left.columns, *[F.col(f"_last.{v}").alias(v) for v in values])
+    found = before(both, "_last", F.col("_state"), [arrival, "_side"], by, part)
+    return found.where("_side = 1").select(*left.columns, *[F.col(f"_last.{v}").alias(v) for v in values])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,13 +62,14 @@ def fire(states: DataFrame, rules: list[tuple[Column, str, Column, Column]], *ke
 
 
 def alerts(facts: DataFrame) -> DataFrame:
-    """(severity, type, message) of one row of daily facts per report."""
+    """(severity, type, message) of one row of daily facts per report; shortfalls are the symbols' names, listed in order."""
+    names = lambda c: F.array_join(F.array_sort(c), ", ")
     rules = [
         ("CRITICAL", "reconnect_storm", F.col("reconnects") > RECONNECTS, F.format_string("%d reconnects", "reconnects")),
         ("CRITICAL", "disk_usage_high", F.col("disk_percent") > DISK_PERCENT, F.format_string("disk at %.2f%%", "disk_percent")),
         ("WARNING", "missing_minutes", F.col("missing_minutes") > MISSING_MINUTES, F.format_string("%d minutes missing", "missing_minutes")),
-        ("WARNING", "oi_missing", F.col("oi_shortfalls") > 0, F.format_string("%d symbols short", "oi_shortfalls")),
-        ("WARNING", "funding_missing", F.col("funding_shortfalls") > 0, F.format_string("%d symbols short", "funding_shortfalls")),
+        ("WARNING", "oi_missing", F.size("oi_shortfalls") > 0, F.concat(F.lit("short: "), names("oi_shortfalls"))),
+        ("WARNING", "funding_missing", F.size("funding_shortfalls") > 0, F.concat(F.lit("short: "), names("funding_shortfalls"))),
         ("WARNING", "empty_partitions", F.col("empty_partitions") > 0, F.format_string("%d partitions empty", "empty_partitions")),
         ("CRITICAL", "storage_failures", F.col("storage_failures") > 0, F.format_string("%d storage failures", "storage_failures")),
         ("WARNING", "rest_failures", F.col("rest_failures") > 0, F.format_string("%d request failures", "rest_failures")),
@@ -85,22 +87,43 @@ def stale(state: DataFrame, now: Column, minutes: int) -> DataFrame:
     return state.where(((now - F.col("last_ms")) > minutes * 60_000) & (F.col("uptime_ms") >= minutes * 60_000))
 
 
+def _folded(events: DataFrame, key: str, ts: str, out: str, start, step) -> DataFrame:
+    """(key, out): the times at which ``step(state, time) -> (state, fired)`` fires, over a key's times in order.
+
+    Keys meet in order within their task and one state is held at a time, so a
+    key with any number of events needs no more memory than one with few.
+    """
+    kind = events.schema[key].dataType.simpleString()
+    rows = events.select(key, F.col(ts).cast("long").alias("_t")).where(F.col("_t").isNotNull()).repartition(key).sortWithinPartitions(key, "_t")
+
+    def run(batches):
+        current, state = object(), start()
+        for batch in batches:
+            keys, times = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found: tuple[list, list] = ([], [])
+            for k, t in zip(keys, times, strict=True):
+                if k != current:
+                    current, state = k, start()
+                state, fired = step(state, t)
+                if fired:
+                    found[0].append(k)
+                    found[1].append(t)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], batch.schema.field(0).type), pa.array(found[1], pa.int64())], names=[key, out])
+
+    return rows.mapInArrow(run, f"`{key}` {kind}, {out} long")
+
+
 def throttle(events: DataFrame, key: str, ts: str, span: int = THROTTLE) -> DataFrame:
     """Events that are sent: none within ``span`` seconds of the last one sent of its kind."""
-    times = events.groupBy(key).agg(F.sort_array(F.collect_list(ts)).alias("_t"))
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("sent"))
-    step = lambda s, t: F.when(s["last"].isNull() | (t - s["last"] >= span), F.struct(t.alias("last"), F.concat(s["sent"], F.array(t)).alias("sent"))).otherwise(s)
-    return times.select(key, F.explode(F.aggregate("_t", start, step)["sent"]).alias("sent_at"))
+    step = lambda last, t: (t, True) if last is None or t - last >= span else (last, False)
+    return _folded(events, key, ts, "sent_at", lambda: None, step)
 
 
 def reconnect_alerts(events: DataFrame, key: str, ts: str, span: int = RECONNECT_SPAN, limit: int = RECONNECT_LIMIT) -> DataFrame:
     """Times at which ``limit`` events lie within ``span`` seconds; the count starts anew after each."""
-    times = events.groupBy(key).agg(F.sort_array(F.collect_list(ts)).alias("_t"))
-    none = F.array().cast("array<bigint>")
-    start = F.struct(none.alias("held"), none.alias("fired"))
 
-    def step(s, t):
-        held = F.concat(F.filter(s["held"], lambda x: t - x <= span), F.array(t))
-        return F.when(F.size(held) >= limit, F.struct(none.alias("held"), F.concat(s["fired"], F.array(t)).alias("fired"))).otherwise(F.struct(held.alias("held"), s["fired"].alias("fired")))
+    def step(held, t):
+        held = [x for x in held if t - x <= span] + [t]
+        return ([], True) if len(held) >= limit else (held, False)
 
-    return times.select(key, F.explode(F.aggregate("_t", start, step)["fired"]).alias("alert_at"))
+    return _folded(events, key, ts, "alert_at", list, step)

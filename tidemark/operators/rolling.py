@@ -15,8 +15,16 @@ def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = H
     w = W.partitionBy("symbol").orderBy(arrival)
     prev = F.lag("open_interest").over(w)
     out = df.withColumn("_p", prev)
-    if history is None:
-        first = lambda m: F.first("open_interest").over(W.partitionBy("symbol").orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
+    if arrival == "timestamp":
+        # Samples in time order: the oldest within the span, unless the one ``history`` samples back is younger.
+        oldest = lambda m: F.first("open_interest").over(W.partitionBy("symbol").orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
+        if history is None:
+            first = oldest
+        else:
+            out = out.withColumn("_t", F.lag("timestamp", history - 1).over(w)).withColumn("_o", F.lag("open_interest", history - 1).over(w))
+            first = lambda m: F.when(F.col("_t") >= F.col("timestamp") - m * MINUTE, F.col("_o")).otherwise(oldest(m))
+    elif history is None:
+        raise ValueError("samples out of time order need a bounded history")
     else:
         out = out.withColumn("_h", F.collect_list(F.struct("timestamp", "open_interest")).over(w.rowsBetween(1 - history, 0)))
         first = lambda m: F.get(F.filter("_h", lambda x: x["timestamp"] >= F.col("timestamp") - m * MINUTE), F.lit(0))["open_interest"]
@@ -35,14 +43,21 @@ def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, t
     """Rolling mean, population deviation and z-score of ``spread_bps`` over the last rows.
 
     With ``scale`` the statistics come from sums of integers ``round(x * scale)``,
-    whose value does not depend on the order of addition.
+    whose value does not depend on the order of addition; they are differences
+    of running sums, so a row costs the same whatever the window.
     """
-    w = W.partitionBy("symbol").orderBy(arrival).rowsBetween(1 - window, 0)
+    each = W.partitionBy("symbol").orderBy(arrival)
+    w = each.rowsBetween(1 - window, 0)
     if scale is None:
         stats = df.withColumn("_mean", F.avg("spread_bps").over(w)).withColumn("_std", F.stddev_pop("spread_bps").over(w))
     else:
         stats = df.withColumn("_i", F.round(F.col("spread_bps") * scale).cast("long"))
-        stats = stats.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_s", F.sum("_i").over(w)).withColumn("_q", F.sum(F.col("_i") * F.col("_i")).over(w))
+        so_far = each.rowsBetween(W.unboundedPreceding, 0)
+        # Squares of a whole history may exceed 64 bits: their running sums are decimals.
+        square = (F.col("_i") * F.col("_i")).cast("decimal(20,0)")
+        stats = stats.withColumn("_a", F.sum("_i").over(so_far)).withColumn("_b", F.sum(square).over(so_far)).withColumn("_n", F.least(F.row_number().over(each), F.lit(window)).cast("long"))
+        gone = lambda c: F.coalesce(F.lag(c, window).over(each), F.lit(0))
+        stats = stats.withColumn("_s", F.col("_a") - gone("_a")).withColumn("_q", (F.col("_b") - gone("_b")).cast("long"))
         stats = stats.withColumn("_mean", F.col("_s").cast("double") / (F.col("_n") * scale)).withColumn("_std", F.sqrt((F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")) / (F.col("_n") * scale))
     z = F.when(F.col("_std") > 0, (F.col("spread_bps") - F.col("_mean")) / F.col("_std")).otherwise(0.0)
     return stats.withColumn("spread_zscore", z).select("timestamp", "symbol", "spread_bps", "spread_zscore", (F.col("spread_zscore") >= threshold).alias("is_wide_spread"), F.col("_mean").alias("rolling_spread_mean"), F.col("_std").alias("rolling_spread_std"))
