@@ -77,9 +77,11 @@ def alerts(facts: DataFrame) -> DataFrame:
     return fire(facts, [(F.lit(severity), kind, when, message) for severity, kind, when, message in rules])
 
 
-def overall_status(found: DataFrame) -> DataFrame:
+def overall_status(found: DataFrame, *by: str) -> DataFrame:
+    """(*by, status): critical if any alert is, else warning if any is, else ok."""
     rank = F.max(F.when(F.col("severity") == "CRITICAL", 2).when(F.col("severity") == "WARNING", 1).otherwise(0))
-    return found.agg(F.coalesce(rank, F.lit(0)).alias("r")).select(F.when(F.col("r") == 2, "critical").when(F.col("r") == 1, "warning").otherwise("ok").alias("status"))
+    ranked = found.groupBy(*by).agg(F.coalesce(rank, F.lit(0)).alias("r"))
+    return ranked.select(*by, F.when(F.col("r") == 2, "critical").when(F.col("r") == 1, "warning").otherwise("ok").alias("status"))
 
 
 def stale(state: DataFrame, now: Column, minutes: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import symbols
 from tidemark.operators import bars, book, monitoring, ordering, quality, rolling
+from tidemark.plans import feeds
 from tidemark.sources import parse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,11 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _part():
+    """Parts of the arrival order; each is sorted by itself."""
+    return F.floor(F.col("arrival") / 50_000)
+
+
 _EV = """ev AS (SELECT event_type AS symbol, epoch_us(ts)//1000 AS timestamp, value AS price, CAST(user_id AS DOUBLE) AS quantity,
   event_id AS trade_id, event_id % 2 = 0 AS is_buyer_maker, event_id + CASE WHEN event_id % 97 = 0 THEN 500 ELSE 0 END AS arrival, user_id, props FROM events)"""
 
@@ -101,7 +107,7 @@ def _(s, d):
 @_query("monotonic_guard", f"""WITH {_EV} SELECT symbol, trade_id, timestamp FROM (SELECT *, max(trade_id) OVER (PARTITION BY symbol ORDER BY arrival, trade_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM ev) WHERE b IS NULL OR trade_id > b""")
 def _(s, d):
-    return ordering.monotonic_guard(_events(s, d), ["arrival", "trade_id"]).select("symbol", "trade_id", "timestamp")
+    return ordering.monotonic_guard(_events(s, d), ["arrival", "trade_id"], part=_part()).select("symbol", "trade_id", "timestamp")
 
 
 @_query("id_gaps", f"""WITH {_EV} SELECT symbol, p + 1 AS first_missing, trade_id - 1 AS last_missing, trade_id - p - 1 AS n_missing
@@ -121,7 +127,7 @@ def _(s, d):
 @_query("per_bucket_sample", f"""WITH {_EV}, a AS (SELECT *, timestamp // 1800000 AS b FROM ev) SELECT symbol, trade_id, timestamp FROM
   (SELECT *, max(b) OVER (PARTITION BY symbol ORDER BY arrival, trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM a) WHERE p IS NULL OR b > p""")
 def _(s, d):
-    return ordering.sample_per_bucket(_events(s, d), "timestamp", ["arrival", "trade_id"], 1_800_000).select("symbol", "trade_id", "timestamp")
+    return ordering.sample_per_bucket(_events(s, d), "timestamp", ["arrival", "trade_id"], 1_800_000, part=_part()).select("symbol", "trade_id", "timestamp")
 
 
 @_query("depth_chain_breaks", f"""WITH {_EV}, a AS (SELECT *, CASE WHEN trade_id % 7 = 0 THEN NULL ELSE trade_id END AS u, CASE WHEN trade_id % 11 = 0 THEN NULL ELSE trade_id - (trade_id % 3) - 1 END AS pu FROM ev),
@@ -277,20 +283,56 @@ def _(s, d):
     return quality.growth_trend(_days(s, d).groupBy("day").agg(F.count(F.lit(1)).alias("bytes")))
 
 
-@_query("report_alerts", f"""WITH {_DY}, mm AS (SELECT max(m) AS m FROM (SELECT 1440 - count(DISTINCT timestamp // 60000) AS m FROM dy GROUP BY symbol, day))
-  SELECT 'CRITICAL' AS severity, 'reconnect_storm' AS type, '25 reconnects' AS message UNION ALL
-  SELECT 'WARNING', 'missing_minutes', m || ' minutes missing' FROM mm WHERE m > 5""")
+_FACTS = f"""{_DY}, {_GRID}, facts AS (SELECT (SELECT max(n_rows) FROM rc WHERE symbol = 'error') AS reconnects,
+  (SELECT round(100 * sum(l_quantity) FILTER (WHERE l_linestatus = 'F') / sum(l_quantity), 2) FROM lineitem) AS disk,
+  (SELECT max(m) FROM (SELECT greatest(0, 1440 - count(DISTINCT timestamp // 60000)) AS m FROM dy GROUP BY symbol, day)) AS mm,
+  (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT symbol AS s FROM rc WHERE n_rows > 0 AND n_rows < 64)) AS oi,
+  (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT symbol AS s FROM rc WHERE n_rows > 0 AND n_rows < 8)) AS fu,
+  (SELECT count(*) FROM rc WHERE n_rows = 0) AS ep, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS sf, (SELECT count(*) FROM orders WHERE o_totalprice < 0) AS rf),
+  al AS (SELECT 'CRITICAL' AS severity, 'reconnect_storm' AS type, reconnects || ' reconnects' AS message FROM facts WHERE reconnects > 20
+  UNION ALL SELECT 'CRITICAL', 'disk_usage_high', printf('disk at %.2f%%', disk) FROM facts WHERE disk > 80 UNION ALL SELECT 'WARNING', 'missing_minutes', mm || ' minutes missing' FROM facts WHERE mm > 5
+  UNION ALL SELECT 'WARNING', 'oi_missing', 'short: ' || oi FROM facts WHERE oi IS NOT NULL UNION ALL SELECT 'WARNING', 'funding_missing', 'short: ' || fu FROM facts WHERE fu IS NOT NULL
+  UNION ALL SELECT 'WARNING', 'empty_partitions', ep || ' partitions empty' FROM facts WHERE ep > 0 UNION ALL SELECT 'CRITICAL', 'storage_failures', sf || ' storage failures' FROM facts WHERE sf > 0
+  UNION ALL SELECT 'WARNING', 'rest_failures', rf || ' request failures' FROM facts WHERE rf > 0)"""
+
+
+def _facts(s: SparkSession, d: str) -> DataFrame:
+    """One row of a report's facts, each from its operator: reconnects are a day's errors, the disk is the share shipped."""
+    counts, orders = _counts(s, d), _t(s, d, "orders")
+    short = lambda seconds: quality.interval_shortfall(counts, seconds).agg(F.collect_set("symbol").alias("names"))
+    parts = [
+        counts.where("symbol = 'error'").agg(F.max("n_rows").alias("reconnects")),
+        _t(s, d, "lineitem").agg(F.sum("l_quantity").alias("t"), F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)).alias("f")).select(monitoring.disk_usage_percent(F.col("t"), F.col("f")).alias("disk_percent")),
+        quality.missing_minutes(_days(s, d)).agg(F.max("missing_minutes").alias("missing_minutes")),
+        short(1200).withColumnRenamed("names", "oi_shortfalls"),
+        short(9600).withColumnRenamed("names", "funding_shortfalls"),
+        counts.where("n_rows = 0").agg(F.count(F.lit(1)).alias("empty_partitions")),
+        orders.agg(F.count_if(F.col("o_orderstatus") == "P").alias("storage_failures"), F.count_if(F.col("o_totalprice") < 0).alias("rest_failures")),
+    ]
+    out = parts[0].withColumn("_one", F.lit(1))
+    for p in parts[1:]:  # one row each
+        out = out.join(p.withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")
+
+
+@_query("report_alerts", f"WITH {_FACTS} SELECT * FROM al")
 def _(s, d):
-    worst = quality.missing_minutes(_days(s, d)).agg(F.max("missing_minutes").alias("missing_minutes"))
-    zero = F.lit(0)
-    return quality.alerts(worst.select("missing_minutes", F.lit(25).alias("reconnects"), F.lit(12.5).alias("disk_percent"), zero.alias("oi_shortfalls"), zero.alias("funding_shortfalls"), zero.alias("empty_partitions"), zero.alias("storage_failures"), zero.alias("rest_failures")))
+    return quality.alerts(_facts(s, d))
 
 
-@_query("overall_status", "SELECT 'critical' AS status")
+@_query("overall_status", f"WITH {_FACTS} SELECT CASE max(CASE severity WHEN 'CRITICAL' THEN 2 ELSE 1 END) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'ok' END AS status FROM al")
 def _(s, d):
     return quality.overall_status(_Q["report_alerts"](s, d))
 
 
+@_query("overall_status_by_day", f"WITH {_DY}, {_GRID} SELECT day, CASE WHEN max(CASE WHEN symbol = 'error' THEN n_rows END) > 70 THEN 'critical' WHEN min(CASE WHEN symbol <> 'NONE' THEN n_rows END) < 64 THEN 'warning' ELSE 'ok' END AS status FROM rc GROUP BY day")
+def _(s, d):
+    """A status for each day: many errors are critical, a short symbol is a warning."""
+    days = _counts(s, d).groupBy("day").agg(F.max(F.when(F.col("symbol") == "error", F.col("n_rows"))).alias("errors"), F.min(F.when(F.col("symbol") != "NONE", F.col("n_rows"))).alias("least"))
+    found = quality.fire(days, [(F.lit("CRITICAL"), "errors", F.col("errors") > 70, F.lit("")), (F.lit("WARNING"), "short", F.col("least") < 64, F.lit(""))], "day")
+    return quality.overall_status(found.unionByName(days.select("day", F.lit("OK").alias("severity"), F.lit("").alias("type"), F.lit("").alias("message"))), "day")
+
+
 @_query("alerts_throttled", f"""WITH RECURSIVE {_EV}, t AS (SELECT symbol, timestamp // 1000 AS t FROM ev), sent AS (
   SELECT symbol, min(t) AS t FROM t GROUP BY symbol UNION ALL
   SELECT s.symbol, (SELECT min(x.t) FROM t x WHERE x.symbol = s.symbol AND x.t >= s.t + 14400) FROM sent s WHERE s.t IS NOT NULL)
@@ -299,7 +341,10 @@ def _(s, d):
     return quality.throttle(_events(s, d).withColumn("t", F.floor(F.col("timestamp") / 1000)), "symbol", "t", 14_400)
 
 
-@_query("reconnect_windows")
+@_query("reconnect_windows", f"""WITH RECURSIVE {_EV}, t AS (SELECT symbol, timestamp // 1000 AS t, row_number() OVER (PARTITION BY symbol ORDER BY timestamp // 1000) AS n FROM ev), f AS (
+  SELECT symbol, 0::BIGINT AS n, NULL::BIGINT AS fired FROM t GROUP BY symbol UNION ALL
+  SELECT a.symbol, x.n, x.t FROM f a, LATERAL (SELECT t.n, t.t FROM t JOIN t b ON b.symbol = t.symbol AND b.n = t.n - 2 WHERE t.symbol = a.symbol AND t.n >= a.n + 3 AND t.t - b.t <= 3600 ORDER BY t.n LIMIT 1) x)
+  SELECT symbol, fired AS alert_at FROM f WHERE fired IS NOT NULL""")
 def _(s, d):
     return quality.reconnect_alerts(_events(s, d).withColumn("t", F.floor(F.col("timestamp") / 1000)), "symbol", "t", 3600)
 
@@ -319,9 +364,9 @@ def _(s, d):
     return symbols.ordered_distinct(_t(s, d, "part").withColumn("p_brand", F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" "))), "p_brand", "p_partkey")
 
 
-@_query("invalid_symbols", "SELECT n_name AS symbol FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 20)")
+@_query("invalid_symbols", "SELECT n_name AS symbol FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9800)")
 def _(s, d):
-    active = _t(s, d, "nation").join(_t(s, d, "customer").where("c_custkey <= 20"), F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
+    active = _t(s, d, "nation").join(_t(s, d, "customer").where("c_acctbal > 9800"), F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
     return symbols.invalid_symbols(_t(s, d, "nation").select(F.col("n_name").alias("symbol")), active.select(F.col("n_name").alias("symbol")))
 
 
@@ -380,9 +425,9 @@ def _(s, d):
     return monitoring.queue_peaks(_events(s, d).select("timestamp", F.col("symbol").alias("queue"), F.col("user_id").alias("size")))
 
 
-@_query("failure_counts", f"WITH {_DY} SELECT day, symbol AS kind, count(*) AS n FROM dy WHERE trade_id % 10 = 0 GROUP BY ALL")
+@_query("failure_counts", f"WITH {_DY} SELECT day, symbol AS kind, count(*) AS n FROM dy GROUP BY ALL")
 def _(s, d):
-    return monitoring.failure_counts(_events(s, d).where("trade_id % 10 = 0").withColumnRenamed("symbol", "kind"))
+    return monitoring.failure_counts(_events(s, d).withColumnRenamed("symbol", "kind"))
 
 
 @_query("daily_summary", f"WITH {_DY} SELECT day, min(timestamp) AS sent_at FROM dy WHERE timestamp % 86400000 >= 29700000 AND timestamp % 86400000 < 32400000 GROUP BY day")
@@ -405,8 +450,8 @@ def _(s, d):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_Q)
+    return _Q | feeds.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | feeds.oracle_sql()

@@ -22,6 +22,14 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     return found.select("path", F.col("modificationTime").alias("modified"))
 
 
+def duplicate_partitions(files: DataFrame) -> DataFrame:
+    """(directory, symbol, day) of the partitions that an older folder and the new layout both hold."""
+    part = lambda pattern: [F.regexp_extract("path", pattern, k).alias(n) for k, n in ((1, "directory"), (2, "symbol"), (3, "day"))]
+    old = files.select(*part(rf"/([^/=]+)/({_SYMBOL})/({_DAY})(?:\.parquet$|/)")).where("directory <> ''").distinct()
+    new = files.select(*part(rf"/([^/]+)/symbol=({_SYMBOL})/date=({_DAY})/")).where("directory <> ''")
+    return old.join(new, ["directory", "symbol", "day"], "left_semi")
+
+
 def migration_plan(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
     """(source, target, action) of every file outside the new layout.
 
