@@ -1,8 +1,10 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, secret redaction, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
-kept; all but the last return the columns of ``documents``. ``n_chars`` follows
-the text where a stage changes it.
+kept; all but the last return the columns of ``documents``, whatever further
+ones there are and whatever they are called. ``n_chars`` follows the text where
+a stage changes it. Null ids and repeated rows pass as rows of their own; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,18 +23,20 @@ def _recount(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, among them null and empty texts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_rules.keep_good(docs, quality_rules.fit(docs, labels))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share go."""
-    return _recount(line_dedup.line_dedup(docs).select(*docs.columns))
+    """Lines that many documents share go; all documents stay, a null text as an empty one."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c in ("n_lines", "n_dropped")}  # the operator's own columns
+    done = line_dedup.line_dedup(docs.withColumnsRenamed(aside)).withColumnsRenamed({"n_lines": "_n_lines", "n_dropped": "_n_dropped"})
+    return _recount(done.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group stays, the one with the smallest id."""
+    """One document of every near-duplicate group stays, the one with the smallest id; rows without an id or a word stay."""
     return minhash_dedup.drop_near_duplicates(docs)
 
 
