@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import language_id, packing, pretokens, secret_scan, token_counts
+from tidemark.llm import language_id, packing, pretokens, quality_rules, secret_scan, token_counts
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -133,6 +133,14 @@ def test_language_choice_equals_brute_force(spark):
             assert got[r.doc_id][0] == "und"
 
 
+def test_kept_columns_that_clash_give_way(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox", 2.5, True, "x")], "doc_id long, text string, score double, kept boolean, lang_pred string")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, None), keep=("score", "kept", "lang_pred"))
+    assert judged.columns.count("kept") == 1 and judged.first().lang_pred == "x" and judged.first().kept is False
+    found = language_id.identify_languages(docs, {"en": b"the quick brown fox"}, keep=("score", "kept", "lang_pred"))
+    assert found.columns == ["doc_id", "kept", "lang_pred", "score", "margin_bytes", "rejected"] and found.first().lang_pred == "en"
+
+
 def credential(rng):
     return "gtx_" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(28))
 

@@ -81,3 +81,30 @@ def test_pipeline_handles_an_empty_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_pipeline_stages_take_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(7)
+    say = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    rows = [(i, say(80), "en", "s", 1, 5, False, "k", i) for i in range(30)]
+    rows += [rows[0], rows[0], (100, rows[1][1] + " tail", "en", "s", 1, 5, True, "k", 0), (None, rows[2][1], None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None)]
+    rows += [(101, None, "en", "s", 0, 1, True, "k", 1), (102, "", "en", "s", 0, 1, True, "k", 1), (103, say(60) + " password=abcdef0123456789", "en", "s", 1, 7, True, "k", 1), (104, say(30_000), "en", "s", 1, 1, True, "k", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines long, kept boolean, fp string, id long")
+    spark.createDataFrame([(1, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    key = lambda df: sorted(map(str, df.collect()))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        if name == "line_dedup":
+            whole = out.where("doc_id = 103").first()
+            assert (whole.n_lines, whole.kept, whole.fp) == (7, True, "k") and out.count() == len(rows)
+        if name == "near_dedup":
+            assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([0, 0, 0, *range(1, 30), None, None, 101, 102, 103, 104], key=str)
+        if name == "secret_scan":
+            changed = {r.doc_id for r in out.collect()} and {r.doc_id for r in out.where("text LIKE '%REDACTED%'").collect()}
+            assert changed == {103} and out.count() == len(rows)
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.where("text IS NULL OR text = ''").isEmpty() and kept.where("doc_id = 0").count() == 3
+    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() >= 30
+    assert len(key(corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).where("doc_id = 102"))) == 1

@@ -34,6 +34,8 @@ MIN_MARGIN_PART = 0.004
 #: Bytes of difference that halve a language's share of the score.
 SCORE_BYTES = 2.0
 UNKNOWN = "und"
+#: Columns of a prediction.
+RESULTS = ("lang_pred", "score", "margin_bytes", "rejected")
 
 _LETTER = regex.compile(r"\p{L}")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -105,9 +107,11 @@ def identify_languages(docs: DataFrame, dictionaries: dict[str, bytes], *, doc_i
     ``lang_pred`` is the language of the smallest size (ties: the first name);
     ``rejected`` says that the margin is too narrow to rely on. A text that is
     null or has no letter, and any text if there are no dictionaries, is
-    ``und`` with score 0 and rejected. Repeated rows and null ids stay.
+    ``und`` with score 0 and rejected. Repeated rows and null ids stay; an
+    empty table gives an empty result. Columns of ``keep`` that have a
+    result's name are left out for it.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *[c for c in keep if c not in ("doc_id", "text", *RESULTS)])
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def prepare():
