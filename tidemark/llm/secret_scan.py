@@ -143,7 +143,16 @@ class Automaton:
                 edges += [(q, y, z) for y, z in sorted(self.next[q].items()) if z not in red]
 
     def _freeze(self) -> None:
-        """Log-probabilities of each state, with a little left for symbols never seen there."""
+        """Keeps the states that can be reached, and their log-probabilities, with a little left for symbols never seen there."""
+        order = [0]
+        number = {0: 0}
+        for at in order:  # grows as states are found
+            for _, to in sorted(self.next[at].items()):
+                if to not in number:
+                    number[to] = len(order)
+                    order.append(to)
+        self.next = [{c: number[to] for c, to in self.next[at].items()} for at in order]
+        self.count = [self.count[at] for at in order]
         self.log = []
         for counts in self.count:
             total = counts.total() + 0.05 * (len(_SYMBOLS) + 1)
