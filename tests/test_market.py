@@ -188,6 +188,24 @@ def test_store_appends_rejects_and_compacts(spark, tmp_path):
     assert len(SPECS) == 16 and len(SPECS["depth50"].schema) == 207 and len(SPECS["depth20"].schema) == 87
 
 
+def test_append_reads_its_source_once_unless_rows_are_rejected(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(len(b))
+            yield b
+
+    schema = SPECS["trades"].schema.simpleString()[7:-1].replace(":", " ")
+    whole, broken = (1, "A", 1.0, 1.0, True, 1, False, 1), (1, "A", None, 1.0, True, 2, False, 1)
+    source = lambda *rows: spark.createDataFrame(list(rows), schema).mapInPandas(counted, schema)
+    assert storage.append(source(whole), "trades", f"{tmp_path}/a").count() == 0 and reads.value == 1
+    assert [r.trade_id for r in storage.append(source(whole, broken), "trades", f"{tmp_path}/b").collect()] == [2] and reads.value == 5
+    assert storage.append(source(), "trades", f"{tmp_path}/c").count() == 0
+    assert [r.trade_id for r in storage.append(source(broken), "trades", f"{tmp_path}/d").collect()] == [2]
+    assert storage.read(spark, "trades", f"{tmp_path}/b").count() == 1
+
+
 def test_streams_equal_batch(spark, tmp_path):
     rows = [(r[0], r[1], r[2], r[3], r[4]) for r in random_trades(5, False)]
     src = str(tmp_path / "in")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import dedup_first, depth_key
@@ -18,15 +19,26 @@ def partition_columns(name: str) -> list[str]:
 
 
 def append(df: DataFrame, name: str, root: str) -> DataFrame:
-    """Appends complete rows below ``root/<directory>/symbol=S/date=D``; returns the rejected ones."""
+    """Appends complete rows below ``root/<directory>/symbol=S/date=D``; returns the rejected ones.
+
+    Rejected rows are counted while the others are written. Only if there are
+    any does the result read the source again.
+    """
     spec = SPECS[name]
     if not spec.writable:
         raise ValueError(f"{name} is read-only")
-    good, bad = complete(conform(df, spec), spec)
+    rows, seen = conform(df, spec), Observation()
+    _, bad = complete(rows, spec)
+    incomplete = F.count_if(F.greatest(*[F.col(f.name).isNull() for f in spec.schema if not f.nullable], F.lit(False)))
+    good, _ = complete(rows.observe(seen, incomplete.alias("rejected")), spec)
     parts = partition_columns(name)
     # All rows of a partition meet in a few tasks, so a batch leaves few files.
     good.withColumn("date", utc_day(F.col(spec.time))).repartition(*parts).write.mode("append").partitionBy(*parts).parquet(f"{root}/{spec.directory}")
-    return bad
+    try:
+        rejected = seen.get["rejected"]
+    except Py4JJavaError:  # no row was left to write, and the adaptive plan dropped the count with the rest
+        return bad
+    return bad if rejected else df.sparkSession.createDataFrame([], bad.schema)
 
 
 def _fs(spark: SparkSession, path: str):
