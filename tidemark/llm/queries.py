@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, embedding_dedup, language_id, line_dedup, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
+from tidemark.llm import bpe_codec, conversation_trie, embedding_dedup, language_id, line_dedup, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(_table(spark, sf_dir, "conversations"), rebuild=True)
+
+
 _OP8_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, n, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -103,10 +107,52 @@ FROM embeddings v LEFT JOIN low ON v.vec_id = low.vec_id LEFT JOIN n ON v.vec_id
 """
 
 
+# CRC-32 of the decimals, bit by bit; a node is its list of turns.
+_OP13_SQL = r"""
+WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, count(*) AS n,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]),
+                                      lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT) % 9 AS h
+  FROM own GROUP BY c
+), plan AS (
+  SELECT p.c, p.h, least(p.h, coalesce(b.n, 0)) AS had, p.c - p.c % 5 AS base FROM convs p LEFT JOIN convs b ON b.c = p.c - p.c % 5
+), turns AS (
+  SELECT o.c, o.pos - p.h + p.had AS d, role, text FROM own o JOIN plan p ON o.c = p.c WHERE o.pos > p.h
+  UNION ALL
+  SELECT p.c, o.pos, role, text FROM own o JOIN plan p ON o.c = p.base WHERE o.pos <= p.h
+), paths AS (
+  SELECT c, d, list(struct_pack(r := role, t := text)) OVER (PARTITION BY c ORDER BY d) AS path, octet_length(encode(text)) AS bytes FROM turns
+  UNION ALL
+  SELECT c, 0, []::STRUCT(r VARCHAR, t VARCHAR)[], 0 FROM convs
+), tops AS (
+  SELECT path, d, min(c) AS c, count(*) AS n, max(bytes) AS bytes FROM paths GROUP BY path, d
+), nodes AS (
+  SELECT t.*, (SELECT count(*) FROM tops k WHERE k.d = t.d + 1 AND k.path[1:t.d] = t.path) AS kids FROM tops t
+), below AS (
+  SELECT a.path, a.d, sum(CAST(u.kids = 0 AS BIGINT)) AS leaves, sum((u.n - 1) * u.bytes) AS saved
+  FROM nodes a JOIN nodes u ON u.d >= a.d AND u.path[1:a.d] = a.path GROUP BY a.path, a.d
+), lengths AS (
+  SELECT c, max(d) AS d FROM paths GROUP BY c
+), ended AS (
+  SELECT p.path, p.d, string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) AS ids FROM paths p JOIN lengths l ON p.c = l.c AND p.d = l.d GROUP BY p.path, p.d
+)
+SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, up.c AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs, CAST(v.kids AS BIGINT) AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes v JOIN below b ON b.path = v.path AND b.d = v.d
+LEFT JOIN nodes up ON up.d = v.d - 1 AND up.path = v.path[1:v.d - 1]
+LEFT JOIN ended e ON e.path = v.path AND e.d = v.d
+"""
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_minhash_dedup, op5_bpe_codec, op6_quality_rules, op7_secret_scan, op8_line_dedup, op9_embedding_dedup, op10_best_fit_packing)
+    found = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_minhash_dedup, op5_bpe_codec, op6_quality_rules, op7_secret_scan, op8_line_dedup, op9_embedding_dedup, op10_best_fit_packing, op13_conversation_trie)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": _OP8_SQL, "op9_embedding_dedup": _OP9_SQL}
+    return {"op8_line_dedup": _OP8_SQL, "op9_embedding_dedup": _OP9_SQL, "op13_conversation_trie": _OP13_SQL}
