@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, conversation_trie, embedding_dedup, embedding_whitening, language_id, line_dedup, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
+from tidemark.llm import bpe_codec, conversation_trie, embedding_dedup, embedding_whitening, language_id, line_dedup, minhash_dedup, packing, personal_data, quality_rules, secret_scan, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.find_personal_data(docs, personal_data.learn_detector(docs))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(_table(spark, sf_dir, "conversations"), rebuild=True)
 
@@ -154,7 +159,7 @@ LEFT JOIN ended e ON e.path = v.path AND e.d = v.d
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_minhash_dedup, op5_bpe_codec, op6_quality_rules, op7_secret_scan, op8_line_dedup, op9_embedding_dedup, op10_best_fit_packing, op11_embedding_whitening, op13_conversation_trie)
+    found = (op1_substring_dedup, op2_language_id, op3_token_counts, op4_minhash_dedup, op5_bpe_codec, op6_quality_rules, op7_secret_scan, op8_line_dedup, op9_embedding_dedup, op10_best_fit_packing, op11_embedding_whitening, op12_personal_data, op13_conversation_trie)
     return {f.__name__: f for f in found}
 
 
