@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from tidemark.streaming.stateful import use_state_store
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -9,5 +11,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g").config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_state_store(session)
     yield session
     session.stop()

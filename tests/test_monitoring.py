@@ -115,36 +115,3 @@ def test_status_and_display(spark):
     paths = spark.createDataFrame([(f"/d/trades/AUSDT/2026-01-{i:02d}/a.parquet",) for i in range(1, 30)] + [("/d/trades/symbol=A/date=2026-01-01/a.parquet",)], "path string")
     assert [r.path for r in monitoring.legacy_paths(paths, 2).collect()] == ["/d/trades/AUSDT/2026-01-01/a.parquet", "/d/trades/AUSDT/2026-01-02/a.parquet"]
     assert spark.range(1).select(monitoring.truncated(F.lit("x" * 600))).first()[0] == "x" * 500
-
-
-def test_settings(tmp_path):
-    from tidemark.settings import Settings
-
-    s = Settings.from_env({"TIDEMARK_SYMBOLS": "ethusdt,BTCUSDT", "TIDEMARK_OI_INTERVAL_SECONDS": "30", "TIDEMARK_QUALITY_REPORT_HOUR_UTC": "99", "TIDEMARK_BACKUP_ENABLED": "1", "TIDEMARK_QUEUE_TRADES": "9", "TIDEMARK_REST_BASE_URL": "https://x/", "TIDEMARK_ALERT_TOKEN": ""})
-    assert (s.symbols, s.oi_interval_seconds, s.quality_report_hour_utc, s.backup_enabled, s.queue_rows["trades"], s.rest_base_url, s.alert_token) == (("ETHUSDT", "BTCUSDT"), 30.0, 23, True, 9, "https://x", None)
-    assert len(Settings.from_env({}).symbols) == 25
-    for bad in ({"TIDEMARK_HEALTH_PORT": "0"}, {"TIDEMARK_QUEUE_TRADES": "-1"}, {"TIDEMARK_SYMBOLS": "BTCUSD"}):
-        with pytest.raises(ValueError):
-            Settings.from_env(bad)
-
-
-def test_connectors():
-    from tidemark.sources import connect
-
-    assert connect.stream_url("wss://h/", "market", ["a@x", "b@y"]) == "wss://h/market/stream?streams=a@x/b@y"
-    for route, names in (("other", ["a"]), ("market", [])):
-        with pytest.raises(ValueError):
-            connect.stream_url("wss://h", route, names)
-    assert list(connect.reconnect_delays([1, 1, 70, 1], jitter=lambda m: m)) == [1.25, 2.5, 1.25, 2.5]
-    answers, slept = [(429, {"Retry-After": "7"}, "busy"), (500, {}, "x"), (200, {}, "[1]")], []
-    assert connect.get_json(lambda *_: answers.pop(0), "/p", {}, slept.append, jitter=lambda m: 0.0) == [1] and slept == [7.0, 14.0]
-    with pytest.raises(RuntimeError):
-        connect.get_json(lambda *_: (404, {}, "no"), "/p", {}, slept.append)
-    assert len(slept) == 2
-    with pytest.raises(RuntimeError):
-        connect.get_json(lambda *_: (503, {}, "no"), "/p", {}, slept.append, attempts=3, jitter=lambda m: 0.0)
-    page = lambda at, n: [{"a": i} for i in range(at, min(at + n, 2500))]
-    found, left = connect.backfill_pages(page, 10, 2200)
-    assert [t["a"] for t in found] == list(range(10, 2201)) and left is None
-    assert connect.backfill_pages(lambda at, n: [{"a": 12}, {"a": 11}, {"a": 14}], 11, 20)[1] == 13
-    assert connect.backfill_pages(lambda at, n: [], 5, 6) == ([], 5)

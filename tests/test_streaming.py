@@ -6,9 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import bars, ordering, rolling
+from tidemark.operators import bars, book, ordering, quality, rolling
 from tidemark.registry import SPECS
-from tidemark.sources import connect, parse, storage, streams
+from tidemark.sources import footers, parse, storage, streams
 from tidemark.streaming import stateful
 from tidemark.streaming.store import StoreSink
 
@@ -71,14 +71,169 @@ def test_stateful_streams_equal_batch_after_a_restart(spark, tmp_path, name):
         assert [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got] == [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in want]
 
 
-def test_open_bars_are_flushed_at_the_end(spark, tmp_path):
+@pytest.mark.parametrize("name", ["bars", "taker"])
+def test_timers_close_every_bar_in_the_stream(spark, tmp_path, name):
     rows = trades(4)
-    df = spark.createDataFrame(rows, TRADE)
-    df.coalesce(1).write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
-    run(stream, stateful.ohlcv_stream, str(tmp_path), "flushed")
-    every = spark.table("flushed").unionByName(stateful.open_bars(spark, f"{tmp_path}/flushed"))
-    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, bars.ohlcv(df, "trade_id").collect()))
+    schema, width, late = TRADE, 60_000, 600_000
+    source, more = in_two_parts(spark, rows, schema, str(tmp_path))
+    live, batch = {"bars": (stateful.ohlcv_stream, bars.ohlcv(spark.createDataFrame(rows, schema), "trade_id")), "taker": (stateful.taker_delta_stream, bars.taker_delta(spark.createDataFrame(rows, schema)))}[name]
+    marks, sink = f"{tmp_path}/marks", f"{tmp_path}/out"
+    stateful.mark_end(spark, marks, 0)
+
+    def go():
+        ends = spark.readStream.schema("timestamp long").parquet(marks)
+        out = live(spark.readStream.schema(schema).parquet(source), late=f"{late} milliseconds", ends=ends)
+        out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(sink).collect()))
+
+    want = sorted(map(tuple, batch.collect()))
+    assert len(go()) < len(want)
+    more()
+    got = go()
+    assert len(want) - len(got) == 2 and set(got) <= set(want)  # the last bar of each symbol is open, after a restart too
+    stateful.mark_end(spark, marks, rows[-1][2] + width + late)
+    assert go() == want
+
+
+def streamed(spark, out, tmp, name):
+    out.writeStream.format("parquet").option("path", f"{tmp}/{name}").option("checkpointLocation", f"{tmp}/{name}-c").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{tmp}/{name}")
+
+
+def in_three_runs(spark, rows, schema, tmp, name, build):
+    """What a stream gives that is stopped and started again between thirds of its rows."""
+    for at in range(3):
+        spark.createDataFrame(rows[at * len(rows) // 3 : (at + 1) * len(rows) // 3], schema).coalesce(1).write.mode("append").parquet(f"{tmp}/{name}-in")
+        got = streamed(spark, build(spark.readStream.schema(schema).parquet(f"{tmp}/{name}-in")), tmp, name)
+    return got
+
+
+def test_depth_merge_on_streams_equals_batch_after_restarts(spark, tmp_path):
+    rng = random.Random(11)
+    level = lambda n: [(round(rng.random() * 100, 4), float(rng.randint(1, 9))) for _ in range(n)]
+    big = 9_007_199_254_740_993
+    rows = [(rng.choice("AB"), t, rng.random() < 0.3, level(rng.randint(1, 3)), level(3), big + t if t % 3 else None) for t in range(90)]
+    rows = [(s, t, snap, level(6) if snap else b, level(rng.randint(2, 6)) if snap else a, u) for s, t, snap, b, a, u in rows]
+    rows += [("A", 90, True, level(6), level(6), None), ("A", 90, False, level(2), level(2), 1)]  # a snapshot and a book that arrive at once
+    schema = "symbol string, received_at long, snapshot boolean, bids array<struct<price:double,qty:double>>, asks array<struct<price:double,qty:double>>, final_update_id long"
+    build = lambda d: book.merge_depth_stream(d.where("NOT snapshot").drop("snapshot"), d.where("snapshot").drop("snapshot"), own=3, depth=6)
+    got = in_three_runs(spark, rows, schema, str(tmp_path), "depth", build)
+    df = spark.createDataFrame(rows, schema)
+    want = book.merge_depth(df.where("NOT snapshot").drop("snapshot"), df.where("snapshot").drop("snapshot"), own=3, depth=6)
+    key = lambda r: (r.symbol, r.received_at)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == sorted(map(tuple, want.select(*got.columns).collect()), key=lambda r: r[:2])
+    assert {key(r) for r in got.collect()} == {(s, t) for s, t, snap, *_ in rows if not snap}
+
+
+def test_gap_recovery_on_streams_equals_batch_after_restarts(spark, tmp_path):
+    rng = random.Random(12)
+    every = [(s, i, float(i)) for s in "AB" for i in range(1, 400)]
+    live = [(k, *r) for k, r in enumerate(sorted((r for r in every if rng.random() < 0.5 or 100 < r[1] < 105), key=lambda r: r[1] + rng.randint(0, 3)))]
+    backfill = spark.createDataFrame([(0, *r) for r in every if r[1] % 17], "seq long, symbol string, trade_id long, price double")
+    schema = "seq long, symbol string, trade_id long, price double"
+    got = in_three_runs(spark, live, schema, str(tmp_path), "gaps", lambda d: stateful.recover_gaps_stream(d, backfill, "seq", bucket=10)).collect()
+    guarded = ordering.monotonic_guard(spark.createDataFrame(live, schema), ["seq"])
+    want = ordering.recover_gaps(guarded, backfill, ["seq"], bucket=10).collect()
+    assert sorted((r.symbol, r.trade_id, r.price, r.is_recovered) for r in got) == sorted((r.symbol, r.trade_id, r.price, r.is_recovered) for r in want)
+    assert any(r.is_recovered for r in got)
+    for s in "AB":  # in the stated order ids rise: recovered rows come ahead of their live row
+        ids = [r.trade_id for r in sorted((r for r in got if r.symbol == s), key=lambda r: (r.ahead_of, r.trade_id))]
+        assert ids == sorted(set(ids))
+
+
+def test_key_memory_equals_a_sequential_run(spark, tmp_path):
+    rng = random.Random(13)
+    rows = [(k, rng.choice(["A", None]), rng.randint(1, 60)) for k in range(600)]
+    schema, size = "seq long, symbol string, trade_id long", 25
+    held, want = [], []
+    for k, *key in rows:
+        if key not in held:
+            want.append(k)
+            held = [*held, key][-size:]
+    got = in_three_runs(spark, rows, schema, str(tmp_path), "keys", lambda d: stateful.recent_keys(d, ["symbol", "trade_id"], "seq", size, shards=1))
+    assert sorted(r.seq for r in got.collect()) == want
+    state = spark.read.format("statestore").option("stateVarName", "held").load(f"{tmp_path}/keys-c").select(F.length("value.held")).collect()
+    assert [r[0] for r in state] == [16 * size]
+    # More memories forget at other times, but never let a key through that they hold.
+    spread = in_three_runs(spark, rows, schema, str(tmp_path), "spread", lambda d: stateful.recent_keys(d, ["symbol", "trade_id"], "seq", 4 * 120, shards=4))
+    assert spread.count() == len({tuple(r[1:]) for r in rows})
+
+
+def test_alert_chain_and_depth_streams_equal_batch(spark, tmp_path):
+    rng = random.Random(14)
+    now, rows = 0, []
+    for i in range(240):
+        now += rng.choice([0, 1, 5, 40])
+        rows.append((i, rng.choice("AB"), now, i if rng.random() < 0.8 else None, i - rng.choice([1, 2]) if rng.random() < 0.9 else None, float(rng.randint(0, 5))))
+    schema = "seq long, symbol string, t long, final_update_id long, prev_final_update_id long, total double"
+    df = spark.createDataFrame(rows, schema)
+    go = lambda name, build: in_three_runs(spark, rows, schema, str(tmp_path), name, build)
+    plain = lambda d: sorted(map(tuple, d.collect()))
+    assert plain(go("throttle", lambda d: stateful.throttle_stream(d, "symbol", "t", 60))) == plain(quality.throttle(df, "symbol", "t", 60))
+    assert plain(go("reconnect", lambda d: stateful.reconnect_stream(d, "symbol", "t", 30, 3))) == plain(quality.reconnect_alerts(df, "symbol", "t", 30, 3))
+    chain = go("chain", lambda d: stateful.chain_breaks_stream(d, "seq")).select("seq", "expected")
+    assert plain(chain) == plain(ordering.chain_breaks(df, ["seq"]).select("seq", "expected"))
+    before, want = {}, []
+    for r in rows:
+        p = before.get(r[1])
+        want.append((r[0], (r[5] - p) / p if p else 0.0))
+        before[r[1]] = r[5]
+    assert plain(go("depth", lambda d: stateful.depth_change_stream(d, "seq", "total")).select("seq", "depth_change_1m")) == want
+
+
+def test_longs_beside_nulls_stay_exact(spark, tmp_path):
+    rows = [(k, "A", k, 9_007_199_254_740_993 if k % 2 else None) for k in range(30)]
+    got = in_three_runs(spark, rows, "seq long, symbol string, trade_id long, big long", str(tmp_path), "exact", lambda d: stateful.guard_stream(d, "trade_id", "seq"))
+    assert sorted(map(tuple, got.collect())) == rows
+
+
+def test_two_streams_with_their_own_checkpoints_keep_all_rows(spark, tmp_path):
+    root = f"{tmp_path}/store"
+    schema = SPECS["trades"].schema.simpleString()[7:-1].replace(":", " ")
+    for name, start in (("one", 0), ("two", 50)):
+        spark.createDataFrame([(5, "AUSDT", 1.0, 1.0, True, i, False, i) for i in range(start, start + 50)], schema).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/{name}")
+        sink = StoreSink("trades", root, look_up=name == "one")
+        sink.start(stream, f"{tmp_path}/c-{name}").awaitTermination()
+    assert storage.read(spark, "trades", root).count() == 100
+    assert sink.finalize(spark) == 100 and storage.read(spark, "trades", root).count() == 100
+
+
+def test_compaction_refuses_a_damaged_file(spark, tmp_path):
+    root, schema = str(tmp_path), SPECS["trades"].schema.simpleString()[7:-1].replace(":", " ")
+    for at in (0, 100):
+        storage.append(spark.createDataFrame([(5, "AUSDT", 1.0, 1.0, True, i, False, i) for i in range(at, at + 100)], schema), "trades", root)
+    folder = tmp_path / "trades/symbol=AUSDT/date=1970-01-01"
+    damaged = sorted(folder.glob("*.parquet"))[0]
+    whole = damaged.read_bytes()
+    for crc in folder.glob(".*.crc"):
+        crc.unlink()
+    damaged.write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception):
+        storage.compact(spark, "trades", root, "symbol = 'AUSDT'")
+    assert len(list(folder.glob("*.parquet"))) == 2  # nothing was removed
+    assert storage.read(spark, "trades", root).count() == 100
+    damaged.write_bytes(whole)
+    assert storage.compact(spark, "trades", root, "symbol = 'AUSDT'") == 200 and storage.read(spark, "trades", root).count() == 200
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root, schema = str(tmp_path), SPECS["trades"].schema.simpleString()[7:-1].replace(":", " ")
+    storage.append(spark.createDataFrame([(5, s, 1.0, 1.0, True, i, False, i) for s in ("AUSDT", "BUSDT") for i in range(7)], schema), "trades", root)
+    counts = footers.footer_counts(spark, f"{root}/trades", partitions=["symbol", "date"], by=["symbol"])
+    assert sorted(map(tuple, counts.collect())) == [("AUSDT", 7), ("BUSDT", 7)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "trade_id" not in plan
+    assert tuple(footers.footer_range(spark, f"{root}/trades", "trade_id").first()) == (0, 6, 14)
+
+
+def test_unwrap_goes_by_the_parsed_type(spark):
+    given = {
+        1: '{"stream": "a@b", "data": {"k": 1}}', 2: '{"stream": "a@b", "data": "{\\"k\\": 1}"}', 3: '  {"k": 1}', 4: "{abc", 5: '{"stream": "a@b", "data": [1]}',
+        6: '{"stream": "a@b", "data": null}', 7: "[1]", 8: '"text"', 9: None, 10: "", 11: '{"data": {"k": 2}}', 12: '{"s": 1, "S": 2}',
+    }
+    rows = parse.unwrap(spark.createDataFrame(list(given.items()), "i int, value string")).collect()
+    assert {r.i: (r.stream, json.loads(r.data)) for r in rows} == {1: ("a@b", {"k": 1}), 3: (None, {"k": 1}), 11: (None, {"k": 2}), 12: (None, {"s": 1, "S": 2})}
 
 
 def test_sink_rejects_dedups_restarts_and_finalises(spark, tmp_path):
@@ -139,9 +294,8 @@ def test_envelope_stream_polls_and_reports(spark, tmp_path):
     assert q.exception() is None
     assert [(r.symbol, r.trade_id, r.received_at) for r in spark.table("env").collect()] == [("AUSDT", 7, 7)]
     assert parse.agg_trades(streams.envelopes_batch(spark, f"{tmp_path}/in")).count() == 1
-    got, failed = connect.poll(spark, ["AUSDT", "BUSDT"], lambda s: {"symbol": s, "openInterest": "5", "time": 3} if s < "B" else 1 / 0, 9)
-    assert failed == ["BUSDT"] and [(r.symbol, r.open_interest, r.timestamp) for r in parse.open_interest(got).collect()] == [("AUSDT", 5.0, 3)]
-    got.write.json(f"{tmp_path}/polled")
+    (tmp_path / "polled").mkdir()
+    (tmp_path / "polled/1.json").write_text(json.dumps({"symbol": "AUSDT", "data": json.dumps({"symbol": "AUSDT", "openInterest": "5", "time": 3}), "received_at": 9}))
     run(streams.poll_answers(spark, f"{tmp_path}/polled"), parse.open_interest, str(tmp_path), "polled")
     assert spark.table("polled").count() == 1
     (tmp_path / "reports").mkdir()

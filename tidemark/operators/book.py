@@ -39,17 +39,30 @@ def to_wide(df: DataFrame, levels: int = DEPTH) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in ("bids", "asks")], *out)
 
 
+def _deepened(latest: DataFrame, own: int, depth: int) -> DataFrame:
+    def side(ours: str, theirs: str) -> Column:
+        pad = F.transform(F.sequence(F.lit(0), F.lit(own - 1)), lambda i: F.get(F.col(ours), i))
+        return F.concat(pad, F.coalesce(F.slice(theirs, own + 1, depth - own), F.array().cast("array<struct<price:double,qty:double>>")))
+
+    return latest.withColumn("bids", side("bids", "_rb")).withColumn("asks", side("asks", "_ra")).drop("_rb", "_ra")
+
+
+def _held(snapshots: DataFrame, arrival: str) -> DataFrame:
+    return snapshots.select("symbol", arrival, F.col("bids").alias("_rb"), F.col("asks").alias("_ra"))
+
+
 def merge_depth(stream: DataFrame, snapshots: DataFrame, arrival: str = "received_at", own: int = STREAM_LEVELS, depth: int = DEPTH) -> DataFrame:
     """Stream levels 1..own, deeper levels from the latest snapshot that arrived for the symbol."""
     from tidemark.operators.ordering import asof_latest
 
-    latest = asof_latest(stream, snapshots.select("symbol", arrival, F.col("bids").alias("_rb"), F.col("asks").alias("_ra")), ["_rb", "_ra"], "symbol", arrival)
+    return _deepened(asof_latest(stream, _held(snapshots, arrival), ["_rb", "_ra"], "symbol", arrival), own, depth)
 
-    def side(ours: str, theirs: str) -> Column:
-        pad = F.transform(F.sequence(F.lit(0), F.lit(own - 1)), lambda i: F.get(F.col(ours), i))
-        return F.concat(pad, F.coalesce(F.slice(theirs, own + 1, depth - own), F.array().cast("array<struct<price:double,qty:double>>")))
 
-    return latest.withColumn("bids", side("bids", "_rb")).withColumn("asks", side("asks", "_ra")).drop("_rb", "_ra")
+def merge_depth_stream(stream: DataFrame, snapshots: DataFrame, arrival: str = "received_at", own: int = STREAM_LEVELS, depth: int = DEPTH) -> DataFrame:
+    """:func:`merge_depth` of two streams: the latest snapshot of a symbol is held in keyed state."""
+    from tidemark.streaming.stateful import asof_stream
+
+    return _deepened(asof_stream(stream, _held(snapshots, arrival), ["_rb", "_ra"], "symbol", arrival), own, depth)
 
 
 def top_of_book(df: DataFrame) -> DataFrame:

@@ -186,12 +186,6 @@ def _(s, d):
     return parse.active_perpetuals(c.groupBy("c_nationkey", "c_mktsegment").agg(F.to_json(F.struct(F.collect_list(one).alias("symbols"))).alias("data")))
 
 
-@_query("default_symbols", "SELECT 25 AS n, 'BTCUSDT' AS first, 'LTCUSDT' AS last")
-def _(s, d):
-    names = symbols.parse_symbols(None)
-    return s.createDataFrame([(len(names), names[0], names[-1])], "n int, first string, last string")
-
-
 @_query("depth_dedup", """WITH k AS (SELECT *, coalesce(CASE WHEN l_linenumber < 3 THEN l_partkey END, l_orderkey) AS u FROM lineitem)
   SELECT l_suppkey AS symbol, u AS update, min(l_orderkey * 10 + l_linenumber) AS received_at FROM k GROUP BY 1, 2""")
 def _(s, d):

@@ -34,11 +34,17 @@ def _alias(name: str) -> str:
 
 
 def unwrap(df: DataFrame, raw: str = "value") -> DataFrame:
-    """(stream, data): the envelope's parts, or the whole object where there is no envelope; other payloads go."""
-    data = F.get_json_object(raw, "$.data")
-    stream = F.get_json_object(raw, "$.stream")
-    body = F.when(stream.isNotNull() & data.isNotNull(), data).otherwise(F.col(raw))
-    return df.withColumn("stream", stream).withColumn("data", body).where(F.col("data").startswith("{"))
+    """(stream, data): an envelope's parts, or the whole object where it has no ``data``; null ``stream`` where it has none.
+
+    Messages that are no JSON object, and data that are none (a string with
+    JSON in it is a string), go; types are those of the parsed value.
+    """
+    parsed = F.try_parse_json(raw)
+    data = F.variant_get("_v", "$.data", "variant")
+    has_data = F.map_contains_key(F.from_json(raw, "map<string,string>"), "data")
+    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+    rows = df.withColumn("_v", parsed).where(is_object(F.col("_v")) & (~has_data | is_object(data)))
+    return rows.withColumn("stream", F.get_json_object(raw, "$.stream")).withColumn("data", F.when(has_data, F.get_json_object(raw, "$.data")).otherwise(F.col(raw))).drop("_v")
 
 
 def agg_trades(df: DataFrame, payload: str = "data", symbol: str | None = None) -> DataFrame:

@@ -8,10 +8,15 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.ordering import dedup_first, depth_key
 from tidemark.operators.quality import utc_day
 from tidemark.registry import SPECS, complete, conform
+from tidemark.sources.footers import footer_counts
+
+#: Rows of a file that compaction writes.
+FILE_ROWS = 20_000_000
 
 
 def partition_columns(name: str) -> list[str]:
@@ -51,51 +56,87 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
-def segments(spark: SparkSession, name: str, root: str) -> DataFrame | None:
-    """Rows of the streaming segments that no compaction has taken in yet, None if there are none; ``batch`` is their number."""
+def _data_schema(name: str) -> T.StructType:
+    """The columns within the files, so that none of them has to be opened to learn it."""
+    return T.StructType([f for f in SPECS[name].schema if f.name not in partition_columns(name)])
+
+
+def _segment_paths(spark: SparkSession, name: str, root: str) -> tuple[str, list[str]]:
     path = f"{root}/_segments/{SPECS[name].directory}"
-    held = [f"{path}/{c}" for c in _children(spark, path) if c.startswith("batch=") and _folders(spark, f"{path}/{c}")]
-    return spark.read.option("basePath", path).parquet(*held) if held else None
+    return path, [f"{path}/{c}" for c in _children(spark, path) if c.startswith("batch=") and _folders(spark, f"{path}/{c}")]
+
 
+def segments(spark: SparkSession, name: str, root: str, tolerant: bool = True) -> DataFrame | None:
+    """Rows of the streaming segments that no compaction has taken in yet, None if there are none; ``batch`` names the query and its batch."""
+    path, held = _segment_paths(spark, name, root)
+    return spark.read.schema(_data_schema(name)).option("basePath", path).option("ignoreCorruptFiles", str(tolerant).lower()).parquet(*held) if held else None
 
-def read(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """The stored rows: final files, then segments; unreadable files are passed over."""
+
+def read(spark: SparkSession, name: str, root: str, tolerant: bool = True) -> DataFrame:
+    """The stored rows: final files, then segments. Unreadable files are passed over, or raise if not ``tolerant``."""
     spec = SPECS[name]
-    reader = spark.read.option("ignoreCorruptFiles", "true")
+    reader = spark.read.schema(_data_schema(name)).option("ignoreCorruptFiles", str(tolerant).lower())
     tables = [reader.parquet(f"{root}/{spec.directory}")] if _children(spark, f"{root}/{spec.directory}") else []
-    if (recent := segments(spark, name, root)) is not None:
+    if (recent := segments(spark, name, root, tolerant)) is not None:
         tables.append(recent.drop("batch"))
     if not tables:
         return spark.createDataFrame([], spec.schema).withColumn("date", F.lit(None).cast("date"))
     return tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
 
 
+def partition_counts(spark: SparkSession, name: str, root: str) -> DataFrame | None:
+    """(partition columns, n_rows) of final files and segments from their footers; None if nothing is stored. A damaged file raises."""
+    parts, path = partition_columns(name), f"{root}/{SPECS[name].directory}"
+    tables = [footer_counts(spark, path, partitions=parts, by=parts)] if _children(spark, path) else []
+    base, held = _segment_paths(spark, name, root)
+    if held:
+        tables.append(footer_counts(spark, *held, partitions=["batch", *parts], by=parts, base=base))
+    if not tables:
+        return None
+    return tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1]).groupBy(*parts).agg(F.sum("n_rows").alias("n_rows"))
+
+
 def _keyed(rows: DataFrame, name: str) -> DataFrame:
     return depth_key(rows) if "update" in SPECS[name].key else rows
 
 
-def compact(spark: SparkSession, name: str, root: str, where: str, arrival: tuple[str, ...] = ("received_at",), dedup: bool = True) -> int:
-    """Rewrites the partitions that ``where`` selects as one file each, segments taken in, first row of a key kept; returns the rows.
+def compact(spark: SparkSession, name: str, root: str, where: str | DataFrame, arrival: tuple[str, ...] = ("received_at",), dedup: bool = True) -> int:
+    """Rewrites partitions, segments taken in, first row of a key kept; returns the rows.
 
-    The new files are complete in a staging folder, and their number of rows
-    agrees with the source's, before a manifest is written and partitions are
+    ``where`` is a condition on the partition columns, or a table of them. A
+    partition gets one file for every ``FILE_ROWS`` rows. Nothing is
+    passed over: a file that cannot be read raises before anything is
+    replaced. The rows read in the one pass over the data must be as many as
+    the footers of the old files say, and the footers of the new files must
+    say as many as were kept, before a manifest is written and partitions are
     swapped by renames. A job that dies before the manifest leaves the old
     partitions; one that dies after it is finished by :func:`recover`.
     """
     spec, parts = SPECS[name], partition_columns(name)
-    rows = read(spark, name, root).where(where)
+    counts = partition_counts(spark, name, root)
+    if counts is None:
+        return 0
+    chosen = counts.where(where) if isinstance(where, str) else counts.join(where.select(*parts).distinct(), parts, "left_semi")
+    held = chosen.collect()  # one row a partition, as many as folders are renamed
+    if not held:
+        return 0
+    keys = spark.createDataFrame([(*(r[p] for p in parts), -(-r.n_rows // FILE_ROWS)) for r in held], ", ".join(f"{p} {'date' if p == 'date' else 'string'}" for p in parts) + ", _files long")
+    rows = read(spark, name, root, tolerant=False).where(F.col("date").isin(sorted({r.date for r in held}))).join(F.broadcast(keys), parts)
+    taken_in, kept_rows = Observation(), Observation()
+    rows = rows.observe(taken_in, F.count(F.lit(1)).alias("n"))
+    kept = rows
     if dedup:
         order = [c for c in arrival if c in rows.columns] or [spec.time]
         kept = dedup_first(_keyed(rows, name), spec.key, order).select(*rows.columns)
-        expected = _keyed(rows, name).groupBy(*spec.key).agg(F.lit(1).alias("one")).count()
-    else:
-        kept, expected = rows, rows.count()
+    kept = kept.observe(kept_rows, F.count(F.lit(1)).alias("n"))
     staging = f"{root}/_staging/{spec.directory}/{uuid.uuid4().hex}"
-    kept.repartition(*parts).write.partitionBy(*parts).parquet(f"{staging}/new")
-    n = spark.read.schema(rows.schema).parquet(f"{staging}/new").count()
-    if n != expected:
+    of_key = F.pmod(F.xxhash64(*[F.col(k) for k in spec.key if k in rows.columns]), F.col("_files"))
+    kept.withColumn("_file", of_key).repartition(*parts, "_file").drop("_file", "_files").write.partitionBy(*parts).parquet(f"{staging}/new")
+    n = footer_counts(spark, f"{staging}/new").first()[0]
+    expected = sum(r.n_rows for r in held)
+    if taken_in.get["n"] != expected or kept_rows.get["n"] != n:
         _delete(spark, staging)
-        raise RuntimeError(f"{n} rows instead of {expected}; nothing was replaced")
+        raise RuntimeError(f"{taken_in.get['n']} rows read of {expected}, {n} written of {kept_rows.get['n']}; nothing was replaced")
     folders = [f"{a}/{b}" for a in _folders(spark, f"{staging}/new") for b in _folders(spark, f"{staging}/new/{a}")] if len(parts) == 2 else _folders(spark, f"{staging}/new")
     taken = []
     for batch in _children(spark, f"{root}/_segments/{spec.directory}"):

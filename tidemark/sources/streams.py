@@ -29,7 +29,7 @@ def _unwrapped(lines: DataFrame) -> DataFrame:
 
 
 def poll_answers(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """A stream of (symbol, data, received_at) from the files that a poll writes (see :func:`tidemark.sources.connect.poll`)."""
+    """A stream of (symbol, data, received_at) from the files that a poll writes."""
     return spark.readStream.schema("symbol string, data string, received_at long").option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 

@@ -1,4 +1,4 @@
-"""A streaming sink: segments by batch number, rejects aside, first row of a key kept, days finalised by compaction."""
+"""A streaming sink: segments by query and batch, rejects aside, first row of a key kept, days finalised by compaction."""
 
 from __future__ import annotations
 
@@ -20,43 +20,47 @@ from tidemark.sources import storage
 class StoreSink:
     """Writes one dataset of a stream below ``root``, for ``foreachBatch``.
 
-    A batch overwrites the segment of its own number, so a batch that is run
-    again after a failure leaves one copy. Rows whose key an earlier batch or
-    the final files of the same days hold are dropped; late rows are taken and
-    merged into their day when it is finalised again. Incomplete rows go to
-    ``_rejects``.
+    A segment is named by its query's id, which a checkpoint keeps, and its
+    batch's number: a batch that is run again after a failure overwrites its
+    own segment, and no other query's. Rows whose key an earlier batch or the
+    final files of the same days hold are dropped; with ``look_up=False`` that
+    is left to a bounded memory ahead of the sink
+    (:func:`tidemark.streaming.stateful.recent_keys`) and to compaction, and no
+    stored row is read. Late rows are taken and merged into their day when it is
+    finalised again. Incomplete rows go to ``_rejects``.
     """
 
-    def __init__(self, name: str, root: str, arrival: tuple[str, ...] = ("received_at",)):
+    def __init__(self, name: str, root: str, arrival: tuple[str, ...] = ("received_at",), look_up: bool = True):
         if not SPECS[name].writable:
             raise ValueError(f"{name} is read-only")
         self.name, self.root, self.spec = name, root, SPECS[name]
         self._order = [c for c in arrival if any(f.name == c for f in self.spec.schema)] or [self.spec.time]
         self.failures = 0
+        self._look_up = look_up
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark, spec = batch.sparkSession, self.spec
+        segment = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'direct'}-{number}"
         rows = conform(batch, spec).withColumn("date", utc_day(F.col(spec.time))).persist()
         try:
             good, bad = complete(rows, spec)
-            days = [r.date for r in good.select("date").distinct().collect()]  # the days of one batch
             fresh = dedup_first(storage._keyed(good, self.name), spec.key, self._order)
-            if days:
-                fresh = self._unknown(spark, fresh, days, number)
+            if self._look_up and (days := [r.date for r in good.select("date").distinct().collect()]):  # the days of one batch
+                fresh = self._unknown(spark, fresh, days, segment)
             parts = storage.partition_columns(self.name)
             columns = [*spec.schema.names, "date"]
-            fresh.select(*columns).repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root}/_segments/{spec.directory}/batch={number}")
-            bad.write.mode("overwrite").parquet(f"{self.root}/_rejects/{spec.directory}/batch={number}")
+            fresh.select(*columns).repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root}/_segments/{spec.directory}/batch={segment}")
+            bad.write.mode("overwrite").parquet(f"{self.root}/_rejects/{spec.directory}/batch={segment}")
         finally:
             rows.unpersist()
 
-    def _unknown(self, spark: SparkSession, fresh: DataFrame, days: list[date], number: int) -> DataFrame:
+    def _unknown(self, spark: SparkSession, fresh: DataFrame, days: list[date], segment: str) -> DataFrame:
         """Rows whose key is not stored yet; only the partitions of their days are read, the batch's own segment aside."""
         held = []
         if storage._children(spark, f"{self.root}/{self.spec.directory}"):
             held.append(spark.read.parquet(f"{self.root}/{self.spec.directory}"))
         if (recent := storage.segments(spark, self.name, self.root)) is not None:
-            held.append(recent.where(F.col("batch") != number).drop("batch"))
+            held.append(recent.where(F.col("batch") != segment).drop("batch"))
         for table in held:
             known = storage._keyed(table.where(F.col("date").isin(days)), self.name).select(*[F.col(k).alias(f"_{k}") for k in self.spec.key])
             same = F.lit(True)
@@ -71,13 +75,8 @@ class StoreSink:
         if recent is None:
             return 0
         wanted = recent if before is None else recent.where(F.col("date") < F.lit(before))
-        parts = storage.partition_columns(self.name)
-        keys = wanted.select(*parts).distinct().collect()  # one row a partition, as many as folders are renamed
-        if not keys:
-            return 0
-        where = " OR ".join("(" + " AND ".join(f"{p} = '{r[p]}'" for p in parts) + ")" for r in keys)
         try:
-            return with_retries(lambda: storage.compact(spark, self.name, self.root, where, tuple(self._order)), sleep)
+            return with_retries(lambda: storage.compact(spark, self.name, self.root, wanted, tuple(self._order)), sleep)
         except Exception:
             self.failures += 1
             raise
