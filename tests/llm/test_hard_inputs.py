@@ -82,13 +82,13 @@ def test_packing_is_near_the_optimum_under_every_capacity(docs, cost):
     assert equal >= 110
 
 
-def test_default_capacities_bind_and_cost_hardly_a_sequence():
+def test_default_capacities_bind_and_cost_no_sequence():
     rng = random.Random(3)
     lengths = [min(2048, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(8000)] + [1] * 400 + [2048] * 300
     loose, _ = packing.pack(lengths, 2048, 2048, 2048.0**2)
     tight, offsets = packing.pack_balanced(lengths, 2048, None, None)
     assert np.bincount(tight).max() < np.bincount(loose).max()
-    assert len(set(tight.tolist())) <= 1.001 * len(set(loose.tolist()))
+    assert len(set(tight.tolist())) <= len(set(loose.tolist()))
     assert np.bincount(tight, weights=lengths).max() <= 2048
     assert all(sorted(offsets[tight == b])[0] == 0 for b in range(0, 2000, 97))
 

@@ -7,10 +7,9 @@ best: the least weighted norm of what would remain ("residual"), or the
 largest weighted dot product of need and room ("dot").
 
 Where the capacities for documents and cost are not given, they are set for
-each group to ``SLACKS`` times the mean of a sequence, tightest first, as far
-as that takes hardly a sequence more than tokens alone do (``EXTRA``): few
-sequences come first, then sequences of like numbers of documents and like
-cost.
+each group to the smallest multiple of the mean of a sequence, found by
+bisection, that takes no sequence more than tokens alone do: few sequences come
+first, then sequences of like numbers of documents and like cost.
 
 Only piece sizes are dealt out for packing, to groups of about ``group_size``
 pieces of any origin; a full piece is a sequence of its own and needs none.
@@ -35,10 +34,8 @@ MAX_TOKENS = 2048
 GROUP_SIZE = 16_384
 #: Weights of tokens, documents and attention cost.
 WEIGHTS = (1.0, 1e-3, 1e-3)
-#: Capacities for documents and cost that are tried, as multiples of the mean of a sequence.
-SLACKS = (4.0, 12.0, 36.0)
-#: Part of the sequences that such capacities may cost.
-EXTRA = 0.001
+#: Capacities for documents and cost are this many times the mean of a sequence at most, and steps of bisection towards 1.
+MOST_SLACK, STEPS = 64.0, 7
 #: Id placed after every document.
 SEPARATOR_ID = 0
 
@@ -90,30 +87,35 @@ def pack(lengths: Sequence[int], max_tokens: int, max_docs: int, max_cost: float
 
 
 def pack_balanced(lengths: Sequence[int], max_tokens: int, max_docs: int | None, max_cost: float | None, weights: Sequence[float] = WEIGHTS, rule: str = "residual") -> tuple[np.ndarray, np.ndarray]:
-    """:func:`pack` with the capacities that are None set as tight as ``EXTRA`` allows.
+    """:func:`pack` with the capacities that are None set as tight as no further sequence allows.
 
     Pieces of ``max_tokens`` fill a sequence each and have no part in the means.
     """
     lengths = np.asarray(lengths, dtype=np.int64)
     docs, cost = max_tokens if max_docs is None else max_docs, float(max_tokens) ** 2 if max_cost is None else max_cost
     loose = pack(lengths, max_tokens, docs, cost, weights, rule)
-    part = lengths[lengths < max_tokens]
-    if len(part) == 0 or (max_docs is not None and max_cost is not None):
+    rest, alone = np.flatnonzero(lengths < max_tokens), np.flatnonzero(lengths == max_tokens)
+    if len(rest) == 0 or (max_docs is not None and max_cost is not None):
         return loose
-    n = int(loose[0].max()) + 1
-    shared = n - (len(lengths) - len(part))
-    for slack in SLACKS:
-        tight_docs = min(docs, math.ceil(slack * len(part) / shared)) if max_docs is None else docs
-        tight_cost = min(cost, max(slack * float((part * part).sum()) / shared, float(part.max()) ** 2)) if max_cost is None else cost
-        alone = np.flatnonzero(lengths == max_tokens)
-        bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        rest = np.flatnonzero(lengths < max_tokens)
-        bins[rest], offsets[rest] = pack(part, max_tokens, tight_docs, tight_cost, weights, rule)
-        used = int(bins[rest].max()) + 1
-        if used <= shared * (1 + EXTRA):
-            bins[alone] = used + np.arange(len(alone))
-            return bins, offsets
-    return loose
+    part = lengths[rest]
+    fewest = int(loose[0].max()) + 1 - len(alone)
+    low, high, best = 0.0, math.log(MOST_SLACK), None
+    for _ in range(STEPS):
+        at = (low + high) / 2
+        slack = math.exp(at)
+        tight_docs = min(docs, math.ceil(slack * len(part) / fewest)) if max_docs is None else docs
+        tight_cost = min(cost, max(slack * float((part * part).sum()) / fewest, float(part.max()) ** 2)) if max_cost is None else cost
+        bins, offsets = pack(part, max_tokens, tight_docs, tight_cost, weights, rule)
+        if int(bins.max()) + 1 <= fewest:
+            high, best, fewest = at, (bins, offsets), int(bins.max()) + 1
+        else:
+            low = at
+    if best is None:
+        return loose
+    bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    bins[rest], offsets[rest] = best
+    bins[alone] = fewest + np.arange(len(alone))
+    return bins, offsets
 
 
 def cut(total: int, size: int) -> list[tuple[int, int]]:
@@ -164,10 +166,11 @@ def best_fit_pack(
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece.
 
     A null or empty text is the separator alone; texts may be of any length.
-    ``max_docs`` and ``max_cost`` default to the tightest of some that
-    cost hardly a sequence (:func:`pack_balanced`). Repeated rows and
-    null ids are documents of their own; other columns are not read. An empty
-    table gives an empty result.
+    ``max_docs`` and ``max_cost`` default to the tightest that cost no
+    sequence (:func:`pack_balanced`). Ties between pieces go by (doc_id, piece,
+    ids_crc32), whatever order rows arrive in. Repeated rows and null ids are
+    documents of their own; other columns are not read. An empty table gives an
+    empty result.
     """
     ws = Workspace(docs.sparkSession, "pack")
     # Written once: the texts are encoded once, and numbering rows is repeatable.
@@ -177,6 +180,7 @@ def best_fit_pack(
     schema = struct(cut_up.schema.simpleString()[7:-1].replace(":", " ") + ", sequence_id long, offset long")
 
     def packed(key, pdf):
+        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         bins, offsets = pack_balanced(pdf["length"].to_numpy(), max_tokens, max_docs, max_cost, weights, rule)
         return pdf.drop(columns="g").assign(sequence_id=(np.int64(key[0]) << 32) + bins, offset=offsets)
 
