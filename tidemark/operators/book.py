@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.parts import grouped, own_rows
+
 TIERS = (5, 10, 20, 50)
 STREAM_LEVELS = 20
 DEPTH = 50
@@ -21,9 +23,24 @@ def level_notional(side: str, levels: int) -> Column:
     return F.aggregate(full, F.lit(0.0), lambda s, x: s + x["price"] * x["qty"])
 
 
-def imbalance(levels: int) -> Column:
-    bid, ask = level_notional("bids", levels), level_notional("asks", levels)
-    return _div(bid - ask, bid + ask)
+def notionals(df: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+    """Adds ``_bids`` and ``_asks``: notionals of the first levels of every tier, ascending, in one fold a side.
+
+    The fold goes from tier to tier: each adds its own levels to the sum so far.
+    """
+    steps = F.array(*[F.struct(F.lit(low + 1).alias("at"), F.lit(high - low).alias("n")) for low, high in zip((0, *tiers[:-1]), tiers, strict=True)])
+    valued = lambda side: F.transform(F.slice(side, 1, tiers[-1]), lambda x: F.coalesce(x["price"] * x["qty"], F.lit(0.0)))
+
+    def sums(values: str) -> Column:
+        start = F.struct(F.lit(0.0).alias("s"), F.array().cast("array<double>").alias("all"))
+
+        def step(held: Column, tier: Column) -> Column:
+            total = F.aggregate(F.slice(values, tier["at"], tier["n"]), held["s"], lambda s, v: s + v)
+            return F.struct(total.alias("s"), F.concat(held["all"], F.array(total)).alias("all"))
+
+        return F.aggregate(steps, start, step)["all"]
+
+    return df.withColumn("_bids", valued("bids")).withColumn("_asks", valued("asks")).withColumn("_bids", sums("_bids")).withColumn("_asks", sums("_asks"))
 
 
 def from_wide(df: DataFrame, levels: int) -> DataFrame:
@@ -75,16 +92,22 @@ def top_of_book(df: DataFrame) -> DataFrame:
 
 
 def book_imbalance(df: DataFrame) -> DataFrame:
-    return df.select("timestamp", "symbol", *[imbalance(n).alias(f"imbalance_{n}") for n in TIERS], level_notional("bids", DEPTH).alias("bid_notional"), level_notional("asks", DEPTH).alias("ask_notional"))
-
-
-def liquidity_stress(df: DataFrame, arrival: str = "timestamp", wide: str | None = None, drop: float = -0.15, skew: float = 0.35) -> DataFrame:
-    """Depth change against the previous stored snapshot, and the stress flag."""
-    base = df.withColumn("bid_depth_notional", level_notional("bids", DEPTH)).withColumn("ask_depth_notional", level_notional("asks", DEPTH))
+    at = lambda side, i: F.element_at(side, i + 1)
+    tiers = notionals(df.select("timestamp", "symbol", "bids", "asks"))
+    return tiers.select(
+        "timestamp", "symbol", *[_div(at("_bids", i) - at("_asks", i), at("_bids", i) + at("_asks", i)).alias(f"imbalance_{n}") for i, n in enumerate(TIERS)],
+        at("_bids", len(TIERS) - 1).alias("bid_notional"), at("_asks", len(TIERS) - 1).alias("ask_notional"),
+    )
+
+
+def liquidity_stress(df: DataFrame, arrival: str = "timestamp", wide: str | None = None, drop: float = -0.15, skew: float = 0.35, part: Column | None = None) -> DataFrame:
+    """Depth change against the previous stored snapshot, and the stress flag; ``part`` as in :mod:`tidemark.operators.parts`."""
+    # Notionals come first: a window then sorts two numbers a row, no book.
+    base = df.withColumn("bid_depth_notional", level_notional("bids", DEPTH)).withColumn("ask_depth_notional", level_notional("asks", DEPTH)).withColumn("_wide", F.coalesce(F.col(wide), F.lit(False)) if wide else F.lit(False))
+    base, keys = grouped(base.select(*dict.fromkeys(["timestamp", "symbol", arrival]), "bid_depth_notional", "ask_depth_notional", "_wide"), part, rows=1)
     total = F.col("bid_depth_notional") + F.col("ask_depth_notional")
-    base = base.withColumn("_t", total).withColumn("_p", F.lag("_t").over(W.partitionBy("symbol").orderBy(arrival)))
-    base = base.withColumn("depth_imbalance", _div(F.col("bid_depth_notional") - F.col("ask_depth_notional"), F.col("_t")))
+    base = base.withColumn("_t", total).withColumn("_p", F.lag("_t").over(W.partitionBy(*keys).orderBy(arrival)))
+    base = own_rows(base).withColumn("depth_imbalance", _div(F.col("bid_depth_notional") - F.col("ask_depth_notional"), F.col("_t")))
     base = base.withColumn("depth_change_1m", F.when(F.col("_p") > 0, (F.col("_t") - F.col("_p")) / F.col("_p")).otherwise(0.0))
-    is_wide = F.coalesce(F.col(wide), F.lit(False)) if wide else F.lit(False)
-    stress = (F.col("depth_change_1m") <= drop) | (is_wide & (F.abs("depth_imbalance") >= skew))
+    stress = (F.col("depth_change_1m") <= drop) | (F.col("_wide") & (F.abs("depth_imbalance") >= skew))
     return base.select("timestamp", "symbol", "bid_depth_notional", "ask_depth_notional", "depth_imbalance", "depth_change_1m", stress.alias("is_stress_event"))

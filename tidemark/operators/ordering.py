@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.parts import carried, grouped, own_rows
+
 
 def dedup_first(df: DataFrame, key: Sequence[str], arrival: Sequence[str | Column]) -> DataFrame:
     """The first row of every key by arrival; null keys are equal.
@@ -33,21 +35,12 @@ def before(df: DataFrame, out: str, value: Column, arrival: Sequence[str | Colum
     parts, and rows are then sorted within their part only.
     """
     over = F.max if greatest else (lambda c: F.last(c, ignorenulls=True))
-    rows = df.withColumn("_v", value)
     if part is None:
         w = W.partitionBy(by).orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1)
-        return rows.withColumn(out, over("_v").over(w)).drop("_v")
-    rows = rows.withColumn("_part", part)
-    held = rows.where(F.col("_v").isNotNull()) if not greatest else rows
-    one = F.max("_v") if greatest else F.max_by("_v", F.struct(*arrival))
-    ends = held.groupBy(by, "_part").agg(one.alias("_e"))
-    # Parts without a value of their own pass the earlier one on: every row's part is looked up.
-    every = rows.select(by, "_part").distinct().join(ends, [by, "_part"], "left")
-    carried = every.withColumn("_c", over("_e").over(W.partitionBy(by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).drop("_e")
+        return df.withColumn("_v", value).withColumn(out, over("_v").over(w)).drop("_v")
     local = over("_v").over(W.partitionBy(by, "_part").orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1))
-    joined = rows.withColumn("_l", local).join(carried, [by, "_part"], "left")
-    value_before = F.greatest("_l", "_c") if greatest else F.coalesce("_l", "_c")
-    return joined.withColumn(out, value_before).select(*df.columns, out)
+    rows = carried(df, value, arrival, by, part, greatest).withColumn("_l", local)
+    return rows.withColumn(out, F.greatest("_l", "_c") if greatest else F.coalesce("_l", "_c")).select(*df.columns, out)
 
 
 def running_guard(df: DataFrame, value: Column, arrival: Sequence[str | Column], by: str = "symbol", part: Column | None = None) -> DataFrame:
@@ -65,19 +58,21 @@ def sample_per_bucket(df: DataFrame, time: str, arrival: Sequence[str | Column],
     return running_guard(df, F.floor(F.col(time) / width), arrival, part=part)
 
 
-def id_gaps(df: DataFrame, id_col: str = "trade_id", arrival: Sequence[str | Column] | None = None) -> DataFrame:
-    """(symbol, first_missing, last_missing, n_missing) between consecutive ids."""
-    prev = F.lag(id_col).over(W.partitionBy("symbol").orderBy(*(arrival or [id_col])))
-    gaps = df.withColumn("_p", prev).where(F.col(id_col) > F.col("_p") + 1)
+def id_gaps(df: DataFrame, id_col: str = "trade_id", arrival: Sequence[str | Column] | None = None, part: Column | None = None) -> DataFrame:
+    """(symbol, first_missing, last_missing, n_missing) between consecutive ids; ``part`` as in :mod:`tidemark.operators.parts`."""
+    rows, keys = grouped(df, part, rows=1)
+    gaps = own_rows(rows.withColumn("_p", F.lag(id_col).over(W.partitionBy(*keys).orderBy(*(arrival or [id_col])))))
+    gaps = gaps.where(F.col(id_col) > F.col("_p") + 1)
     return gaps.select("symbol", (F.col("_p") + 1).alias("first_missing"), (F.col(id_col) - 1).alias("last_missing"), (F.col(id_col) - F.col("_p") - 1).alias("n_missing"))
 
 
-def recover_gaps(live: DataFrame, backfill: DataFrame, arrival: Sequence[str | Column], id_col: str = "trade_id", bucket: int = 1000) -> DataFrame:
+def recover_gaps(live: DataFrame, backfill: DataFrame, arrival: Sequence[str | Column], id_col: str = "trade_id", bucket: int = 1000, part: Column | None = None, id_part: Column | None = None) -> DataFrame:
     """Live rows and the backfilled rows inside their gaps (``is_recovered`` tells them apart).
 
-    The range join is an equality join on id buckets, so neither side is broadcast.
+    The range join is an equality join on id buckets, so neither side is
+    broadcast. ``part`` follows the arrival, ``id_part`` the ids.
     """
-    gaps = id_gaps(monotonic_guard(live, arrival, id_col), id_col)
+    gaps = id_gaps(monotonic_guard(live, arrival, id_col, part), id_col, part=id_part)
     spans = gaps.withColumn("_b", F.explode(F.sequence(F.floor(F.col("first_missing") / bucket), F.floor(F.col("last_missing") / bucket))))
     spans = spans.select("symbol", "_b", "first_missing", "last_missing")
     rows = backfill.withColumn("_b", F.floor(F.col(id_col) / bucket)).join(spans, ["symbol", "_b"])

@@ -6,30 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.parts import grouped, own_rows
+
 MINUTE = 60_000
 HISTORY = 120
 
 
-def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = HISTORY) -> DataFrame:
-    """Deltas to the previous sample and to the oldest within 5, 15 and 60 minutes (of ``history`` samples at most)."""
-    w = W.partitionBy("symbol").orderBy(arrival)
-    prev = F.lag("open_interest").over(w)
-    out = df.withColumn("_p", prev)
+def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = HISTORY, part: Column | None = None) -> DataFrame:
+    """Deltas to the previous sample and to the oldest within 5, 15 and 60 minutes (of ``history`` samples at most).
+
+    With ``part`` a symbol's history is dealt to groups, each with the samples
+    before it that the window reaches (see :mod:`tidemark.operators.parts`).
+    """
+    reach = {"time": "timestamp", "span": 60 * MINUTE, "rows": 1} if history is None else {"rows": history}
+    out, keys = grouped(df, part, **reach)
+    w = W.partitionBy(*keys).orderBy(arrival)
+    out = out.withColumn("_p", F.lag("open_interest").over(w))
     if arrival == "timestamp":
         # Samples in time order: the oldest within the span, unless the one ``history`` samples back is younger.
-        oldest = lambda m: F.first("open_interest").over(W.partitionBy("symbol").orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
+        oldest = lambda m: F.first("open_interest").over(W.partitionBy(*keys).orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
         if history is None:
             first = oldest
         else:
             out = out.withColumn("_t", F.lag("timestamp", history - 1).over(w)).withColumn("_o", F.lag("open_interest", history - 1).over(w))
-            first = lambda m: F.when(F.col("_t") >= F.col("timestamp") - m * MINUTE, F.col("_o")).otherwise(oldest(m))
+            first = lambda m: F.when(F.col("_t") >= F.col("timestamp") - m * MINUTE, F.col("_o")).otherwise(F.col(f"_w{m}"))
+        for m in (5, 15, 60):
+            out = out.withColumn(f"_w{m}", oldest(m))
+        first = first if history is not None else (lambda m: F.col(f"_w{m}"))
     elif history is None:
         raise ValueError("samples out of time order need a bounded history")
     else:
         out = out.withColumn("_h", F.collect_list(F.struct("timestamp", "open_interest")).over(w.rowsBetween(1 - history, 0)))
         first = lambda m: F.get(F.filter("_h", lambda x: x["timestamp"] >= F.col("timestamp") - m * MINUTE), F.lit(0))["open_interest"]
     delta = F.coalesce(F.col("open_interest") - F.col("_p"), F.lit(0.0))
-    return out.select(
+    return own_rows(out).select(
         "timestamp",
         "symbol",
         F.col("open_interest").alias("oi"),
@@ -39,19 +49,22 @@ def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = H
     )
 
 
-def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None) -> DataFrame:
+def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None, part: Column | None = None) -> DataFrame:
     """Rolling mean, population deviation and z-score of ``spread_bps`` over the last rows.
 
     With ``scale`` the statistics come from sums of integers ``round(x * scale)``,
     whose value does not depend on the order of addition; they are differences
-    of running sums, so a row costs the same whatever the window.
+    of running sums, so a row costs the same whatever the window. With ``part``
+    a symbol's history is dealt to groups, each with the ``window`` rows before
+    it (see :mod:`tidemark.operators.parts`).
     """
-    each = W.partitionBy("symbol").orderBy(arrival)
+    stats, keys = grouped(df, part, rows=window)
+    each = W.partitionBy(*keys).orderBy(arrival)
     w = each.rowsBetween(1 - window, 0)
     if scale is None:
-        stats = df.withColumn("_mean", F.avg("spread_bps").over(w)).withColumn("_std", F.stddev_pop("spread_bps").over(w))
+        stats = stats.withColumn("_mean", F.avg("spread_bps").over(w)).withColumn("_std", F.stddev_pop("spread_bps").over(w))
     else:
-        stats = df.withColumn("_i", F.round(F.col("spread_bps") * scale).cast("long"))
+        stats = stats.withColumn("_i", F.round(F.col("spread_bps") * scale).cast("long"))
         so_far = each.rowsBetween(W.unboundedPreceding, 0)
         # Squares of a whole history may exceed 64 bits: their running sums are decimals.
         square = (F.col("_i") * F.col("_i")).cast("decimal(20,0)")
@@ -60,7 +73,7 @@ def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, t
         stats = stats.withColumn("_s", F.col("_a") - gone("_a")).withColumn("_q", (F.col("_b") - gone("_b")).cast("long"))
         stats = stats.withColumn("_mean", F.col("_s").cast("double") / (F.col("_n") * scale)).withColumn("_std", F.sqrt((F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")) / (F.col("_n") * scale))
     z = F.when(F.col("_std") > 0, (F.col("spread_bps") - F.col("_mean")) / F.col("_std")).otherwise(0.0)
-    return stats.withColumn("spread_zscore", z).select("timestamp", "symbol", "spread_bps", "spread_zscore", (F.col("spread_zscore") >= threshold).alias("is_wide_spread"), F.col("_mean").alias("rolling_spread_mean"), F.col("_std").alias("rolling_spread_std"))
+    return own_rows(stats).withColumn("spread_zscore", z).select("timestamp", "symbol", "spread_bps", "spread_zscore", (F.col("spread_zscore") >= threshold).alias("is_wide_spread"), F.col("_mean").alias("rolling_spread_mean"), F.col("_std").alias("rolling_spread_std"))
 
 
 def funding_direction(rate: Column, neutral: float = 1e-5) -> Column:
