@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import bars, book, ordering, parts, rolling
+from tidemark.operators import bars, book, ordering, parts, quality, rolling
 
 SCHEMA = "seq long, symbol string, timestamp long, price double, quantity double, is_buyer_maker boolean, trade_id long"
 
@@ -76,3 +76,42 @@ def test_tier_notionals_equal_a_fold_each(spark):
         for s in ("bids", "asks"):
             each = [r[f"{s}{n}"] for n in book.TIERS]
             assert (r[f"_{s}"] or [None] * 4) == each
+
+
+@pytest.mark.parametrize("block", [1, 2, 256])
+def test_spaced_events_and_alerts_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(quality, "BLOCK", block)
+    monkeypatch.setattr(parts, "GROUP_ROWS", 5)
+    rng, rows, sent, fired = random.Random(block), [], [], []
+    for k in ("a", "b", None):
+        now, last, held = rng.randint(0, 50), None, []
+        for _ in range(300):
+            now += rng.choice([0, 1, 7, 40, 41, 500]) if k else rng.choice([0, 1])
+            rows.append((k, now))
+            if last is None or now - last >= 40:
+                last = now
+                sent.append((k, now))
+            held = [x for x in held if now - x <= 40] + [now]
+            if len(held) >= 3:
+                fired.append((k, now))
+                held = []
+    rows += [("a", None), ("lone", 5)]
+    sent.append(("lone", 5))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, t long")
+    order = lambda found: sorted(found, key=lambda r: (str(r[0]), r[1]))
+    assert order(map(tuple, quality.throttle(df, "k", "t", 40).collect())) == order(sent)
+    assert order(map(tuple, quality.reconnect_alerts(df, "k", "t", 40, 3).collect())) == order(fired)
+    assert quality.throttle(df.where("false"), "k", "t", 40).count() == 0
+
+
+def test_day_bitmaps_merge_without_reading_again(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("AB"), "1970-01-01", rng.choice([0, 59_999, 86_399_999, rng.randint(0, 86_399_999)])) for _ in range(300)]
+    df = lambda part: spark.createDataFrame(part, "symbol string, day string, timestamp long")
+    one = quality.minute_bitmaps(df(rows))
+    two = quality.merge_bitmaps(quality.minute_bitmaps(df(rows[:100])), quality.minute_bitmaps(df(rows[100:])))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    want = {s: 1440 - len({t // 60_000 for x, _, t in rows if x == s}) for s in "AB"}
+    assert {r.symbol: r.missing_minutes for r in quality.missing_in_bitmaps(two).collect()} == want
+    assert {len(r.minutes) for r in two.collect()} == {180}

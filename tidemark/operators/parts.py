@@ -19,6 +19,13 @@ from pyspark.sql import functions as F
 GROUP_ROWS = 1_000_000
 
 
+def _meet(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equality join in which nulls are equal."""
+    other = table.withColumnsRenamed({c: f"_on{i}" for i, c in enumerate(on)})
+    same = [F.col(c).eqNullSafe(F.col(f"_on{i}")) for i, c in enumerate(on)]
+    return rows.join(other, same, how).drop(*[f"_on{i}" for i in range(len(on))])
+
+
 def _layout(parts: DataFrame, by: str, rows: int, span: int | None, size: int) -> DataFrame:
     """(by, _part, _in): the groups that a part goes to, its own first, from (by, _part, n, lo, hi)."""
     along = W.partitionBy(by).orderBy("_part")
@@ -29,7 +36,7 @@ def _layout(parts: DataFrame, by: str, rows: int, span: int | None, size: int) -
     starts = laid.where("_new = 1").select(by, "_group", F.struct(F.col("_before").alias("before"), F.col("lo").alias("lo"), F.col("_group").alias("group")).alias("_start"))
     # As every group holds size rows with the one before it, the halo of a group reaches two groups back at most, if size covers it.
     ahead = starts.withColumn("_next", F.collect_list("_start").over(W.partitionBy(by).orderBy("_group").rowsBetween(1, 2 if span is None else W.unboundedFollowing)))
-    met = laid.join(ahead.select(by, "_group", "_next"), [by, "_group"])
+    met = _meet(laid, ahead.select(by, "_group", "_next"), [by, "_group"])
     reached = lambda g: F.col("_before") + F.col("n") > g["before"] - rows
     if span is not None:
         near = lambda g: reached(g) | (F.col("hi") >= g["lo"] - span)
@@ -50,7 +57,7 @@ def with_halo(df: DataFrame, part: Column, *, rows: int = 0, time: str | None =
     counted = held.groupBy(by, "_part").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"))
     laid = _layout(counted, by, rows, span, max(size or GROUP_ROWS, rows, 1))
     own = F.element_at("_in", 1)
-    return held.join(laid, [by, "_part"]).select(*df.columns, own.alias("_home"), F.explode("_in").alias("_group")).withColumn("_own", F.col("_home") == F.col("_group")).drop("_home")
+    return _meet(held, laid, [by, "_part"]).select(*df.columns, own.alias("_home"), F.explode("_in").alias("_group")).withColumn("_own", F.col("_home") == F.col("_group")).drop("_home")
 
 
 def grouped(df: DataFrame, part: Column | None, by: str = "symbol", **reach) -> tuple[DataFrame, list[str]]:
@@ -74,4 +81,13 @@ def carried(df: DataFrame, value: Column, arrival: Sequence[str | Column], by: s
     ends = rows.groupBy(by, "_part").agg(one.alias("_e"))
     over = F.max("_e") if greatest else F.last("_e", ignorenulls=True)
     carry = ends.select(by, "_part", over.over(W.partitionBy(by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)).alias("_c"))
-    return rows.join(carry, [by, "_part"])
+    return _meet(rows, carry, [by, "_part"])
+
+
+def numbered(df: DataFrame, out: str, order: str, part: Column, by: str = "symbol") -> DataFrame:
+    """Adds ``out``: the row's place, from 0, among all rows of ``by`` in the order; parts are counted first, rows sorted within theirs only."""
+    rows = df.withColumn("_part", part)
+    counts = rows.groupBy(by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(by, "_part", (F.sum("_n").over(W.partitionBy(by).orderBy("_part")) - F.col("_n")).alias("_before"))
+    local = F.row_number().over(W.partitionBy(by, "_part").orderBy(order)) - 1
+    return _meet(rows, before, [by, "_part"]).withColumn(out, local + F.col("_before")).select(*df.columns, out)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.parts import grouped, numbered, own_rows
+
 DAY = 86_400_000
 GAP = 300_000
 MISSING_MINUTES, RECONNECTS, DISK_PERCENT = 5, 20, 80.0
 THROTTLE, RECONNECT_SPAN, RECONNECT_LIMIT = 900, 900, 3
+#: Spans of time, or of places, that one task follows.
+BLOCK = 256
 
 
 def utc_day(ms: Column) -> Column:
@@ -24,8 +29,8 @@ def row_counts(rows: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def missing_minutes(rows: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """1440 less the distinct minutes of each day that has rows."""
-    return rows.groupBy("symbol", "day").agg(F.greatest(F.lit(0), F.lit(1440) - F.count_distinct(F.floor(F.col(ts) / 60_000))).cast("long").alias("missing_minutes"))
+    """1440 less the distinct minutes of each day that has rows; ``day`` is the UTC day of ``ts``."""
+    return missing_in_bitmaps(minute_bitmaps(rows, ts))
 
 
 def large_gaps(rows: DataFrame, ts: str = "timestamp", gap: int = GAP, most: int = 20) -> DataFrame:
@@ -89,43 +94,112 @@ def stale(state: DataFrame, now: Column, minutes: int) -> DataFrame:
     return state.where(((now - F.col("last_ms")) > minutes * 60_000) & (F.col("uptime_ms") >= minutes * 60_000))
 
 
-def _folded(events: DataFrame, key: str, ts: str, out: str, start, step) -> DataFrame:
-    """(key, out): the times at which ``step(state, time) -> (state, fired)`` fires, over a key's times in order.
+def _followed(at: np.ndarray, span: int) -> np.ndarray:
+    """Where the path from each place ends that goes on to the first place at least ``span`` further, by doubling pointers."""
+    ahead = np.searchsorted(at, at + span)
+    ahead = np.where(ahead < len(at), ahead, np.arange(len(at)))
+    while True:
+        further = ahead[ahead]
+        if (further == ahead).all():
+            return ahead
+        ahead = further
+
+
+def spaced(events: DataFrame, key: str, at: str, span: int) -> DataFrame:
+    """(key, at): of a key's places in order the first, then always the first that is ``span`` or more past the last one taken.
 
-    Keys meet in order within their task and one state is held at a time, so a
-    key with any number of events needs no more memory than one with few.
+    Places are dealt to blocks of ``BLOCK`` spans. A block finds from each of
+    its first places the last one that its path takes there; paths that start
+    close together soon meet, so this is a step function with few steps. One
+    small scan along a key's blocks then says where each is entered, and
+    blocks list their places. No task holds more of a key than a block.
     """
     kind = events.schema[key].dataType.simpleString()
-    rows = events.select(key, F.col(ts).cast("long").alias("_t")).where(F.col("_t").isNotNull()).repartition(key).sortWithinPartitions(key, "_t")
-
-    def run(batches):
-        current, state = object(), start()
+    rows = events.select(key, F.col(at).cast("long").alias("_at")).where(F.col("_at").isNotNull()).distinct()
+    rows = rows.withColumn("_block", F.floor(F.col("_at") / (span * BLOCK)).cast("long"))
+
+    def steps(table: pa.Table) -> pa.Table:
+        places, block = np.sort(table.column("_at").to_numpy()), table.column("_block")[0].as_py()
+        last = places[_followed(places, span)]
+        # An earlier block's place allows nothing past the first span of this one.
+        n = min(len(places), int(np.searchsorted(places, block * span * BLOCK + span)) + 1)
+        step = np.flatnonzero(np.append(last[1:n] != last[: n - 1], True))
+        one = table.column(key).combine_chunks()[:1]
+        return pa.table({key: pa.concat_arrays([one] * len(step)), "_block": pa.array([block] * len(step), pa.int64()), "upto": places[step], "last": last[step]})
+
+    found = rows.groupBy(key, "_block").applyInArrow(steps, f"`{key}` {kind}, _block long, upto long, last long")
+    scanned = found.repartition(key).sortWithinPartitions(key, "_block", "upto")
+
+    def entries(batches):
+        current, last, block, done = object(), None, None, False
         for batch in batches:
-            keys, times = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            found: tuple[list, list] = ([], [])
-            for k, t in zip(keys, times, strict=True):
+            out: tuple[list, list, list] = ([], [], [])
+            for k, b, upto, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != current:
-                    current, state = k, start()
-                state, fired = step(state, t)
-                if fired:
-                    found[0].append(k)
-                    found[1].append(t)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0], batch.schema.field(0).type), pa.array(found[1], pa.int64())], names=[key, out])
-
-    return rows.mapInArrow(run, f"`{key}` {kind}, {out} long")
+                    current, last, block = k, None, None
+                if b != block:
+                    block, done = b, False
+                    for column, value in zip(out, (k, b, None if last is None else last + span), strict=True):
+                        column.append(value)
+                if not done and (last is None or upto >= last + span):
+                    last, done = end, True
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], names=[key, "_block", "_from"])
+
+    entered = scanned.mapInArrow(entries, f"`{key}` {kind}, _block long, _from long").withColumnRenamed(key, "_key")
+    met = rows.join(entered, F.col(key).eqNullSafe(F.col("_key")) & (rows["_block"] == entered["_block"])).select(key, rows["_block"], "_at", "_from")
+
+    def path(table: pa.Table) -> pa.Table:
+        places, start = np.sort(table.column("_at").to_numpy()), table.column("_from")[0].as_py()
+        taken, i = [], 0 if start is None else int(np.searchsorted(places, start))
+        while i < len(places):  # one a span at most
+            taken.append(int(places[i]))
+            i = int(np.searchsorted(places, places[i] + span))
+        one = table.column(key).combine_chunks()[:1]
+        return pa.table({key: pa.concat_arrays([one] * len(taken)) if taken else one[:0], "at": pa.array(taken, pa.int64())})
+
+    return met.groupBy(key, "_block").applyInArrow(path, f"`{key}` {kind}, at long")
 
 
 def throttle(events: DataFrame, key: str, ts: str, span: int = THROTTLE) -> DataFrame:
-    """Events that are sent: none within ``span`` seconds of the last one sent of its kind."""
-    step = lambda last, t: (t, True) if last is None or t - last >= span else (last, False)
-    return _folded(events, key, ts, "sent_at", lambda: None, step)
+    """Events that are sent: none within ``span`` (above 0) seconds of the last one sent of its kind."""
+    return spaced(events, key, ts, span).withColumnRenamed("at", "sent_at")
 
 
 def reconnect_alerts(events: DataFrame, key: str, ts: str, span: int = RECONNECT_SPAN, limit: int = RECONNECT_LIMIT) -> DataFrame:
-    """Times at which ``limit`` events lie within ``span`` seconds; the count starts anew after each."""
+    """Times at which ``limit`` events lie within ``span`` seconds; the count starts anew after each.
+
+    An event ends a run if ``limit`` events up to it lie within the span,
+    whatever came before; of these, alerts are the ones spaced by ``limit``
+    places among all events of the key.
+    """
+    rows = events.select(key, F.col(ts).cast("long").alias("_t")).where(F.col("_t").isNotNull())
+    part = F.floor(F.col("_t") / (span * BLOCK))
+    # Events at one time keep their places among themselves: a number parts them.
+    placed = numbered(rows, "_place", "_t", part, by=key)
+    held, keys = grouped(placed, part, by=key, rows=limit)
+    back = F.lag("_t", limit - 1).over(W.partitionBy(*keys).orderBy("_place"))
+    ends = own_rows(held.withColumn("_back", back)).where(F.col("_t") - F.col("_back") <= span).select(key, "_t", "_place")
+    alerts = spaced(ends, key, "_place", limit).withColumnRenamed(key, "_key")
+    return ends.join(alerts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_place") == F.col("at"))).select(key, F.col("_t").alias("alert_at"))
+
+
+def minute_bitmaps(rows: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """(symbol, day, minutes): the minutes of the day that have rows, as a bitmap of 180 bytes.
+
+    Tasks send a bitmap for each symbol and day, not their minutes, and
+    bitmaps of more data are merged without reading what is in them.
+    """
+    minute = F.floor(F.pmod(F.col(ts), F.lit(DAY)) / 60_000) + 1
+    return _trimmed(rows.groupBy("symbol", "day").agg(F.bitmap_construct_agg(F.bitmap_bit_position(minute)).alias("minutes")))
+
+
+def merge_bitmaps(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    return _trimmed(stored.unionByName(fresh).groupBy("symbol", "day").agg(F.bitmap_or_agg("minutes").alias("minutes")))
+
+
+def _trimmed(bitmaps: DataFrame) -> DataFrame:
+    return bitmaps.withColumn("minutes", F.substring("minutes", 1, 180))
 
-    def step(held, t):
-        held = [x for x in held if t - x <= span] + [t]
-        return ([], True) if len(held) >= limit else (held, False)
 
-    return _folded(events, key, ts, "alert_at", list, step)
+def missing_in_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    return bitmaps.select("symbol", "day", (F.lit(1440) - F.bitmap_count("minutes")).cast("long").alias("missing_minutes"))
