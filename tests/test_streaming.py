@@ -6,10 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import bars, book, ordering, quality, rolling
+from tidemark.operators import bars, book, monitoring, ordering, quality, rolling
 from tidemark.registry import SPECS
 from tidemark.sources import footers, parse, storage, streams
-from tidemark.streaming import stateful
+from tidemark.streaming import metrics, stateful
 from tidemark.streaming.store import StoreSink
 
 TRADE = "trade_id long, symbol string, timestamp long, price double, quantity double, is_buyer_maker boolean"
@@ -227,6 +227,54 @@ def test_counts_come_from_footers(spark, tmp_path):
     assert tuple(footers.footer_range(spark, f"{root}/trades", "trade_id").first()) == (0, 6, 14)
 
 
+def test_every_dropped_payload_is_a_reject_once(spark, tmp_path):
+    good = {"T": 5, "s": "ausdt", "p": "1.5", "q": "2", "m": False, "a": 7}
+    given = [good, {**good, "a": 8}, {**good, "p": "n/a"}, {k: v for k, v in good.items() if k != "q"}, {**good, "s": None}, {**good, "T": "soon", "q": None}, good]
+    texts = [*map(json.dumps, given), "[1]", "no json", "", None]
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([(t, 9) for t in texts], "data string, received_at long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    sink = StoreSink("trades", f"{tmp_path}/store", parser=parse.agg_trades, fields=("T", "s", "p", "q", "m", "a"))
+    stream = spark.readStream.schema("data string, received_at long").parquet(f"{tmp_path}/in")
+    sink.start(stream, f"{tmp_path}/c").awaitTermination()
+    assert sorted(r.trade_id for r in storage.read(spark, "trades", f"{tmp_path}/store").collect()) == [7, 8]
+    rejects = spark.read.parquet(f"{tmp_path}/store/_rejects/trades").collect()
+    dropped = [(texts[2], "malformed p"), (texts[3], "missing q"), (texts[4], "missing s"), (texts[5], "malformed T"), ("[1]", "no object"), ("no json", "no object"), ("", "no object"), (None, "no object")]
+    assert sorted(((r.payload, r.reject) for r in rejects), key=str) == sorted(dropped, key=str)
+    assert {k: v for k, v in sink.counted.items() if v} == {"rows": 3, "rejects": 8, "no object": 4, "malformed p": 1, "missing q": 1, "missing s": 1, "malformed T": 1}
+    # Every other parser gives each payload once as well.
+    for parser in (parse.liquidations, parse.mark_prices, parse.funding, parse.open_interest, parse.depth, parse.rest_depth):
+        rows = spark.createDataFrame([(t, 9, "AUSDT") for t in texts], "data string, received_at long, symbol string")
+        checked = parser(rows, rejects=True)
+        assert checked.count() == len(texts) and parser(rows).count() == checked.where("reject IS NULL").count() and checked.where("reject = 'no object'").count() == 4
+
+
+def test_running_streams_report_peaks_and_failures(spark, tmp_path):
+    listener = metrics.QueryMetrics(spark)
+    spark.createDataFrame([(i, "A", i) for i in range(40)], "seq long, symbol string, trade_id long").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("seq long, symbol string, trade_id long").parquet(f"{tmp_path}/in")
+
+    def fails(batch, number):
+        raise OSError("disk full")
+
+    stateful.guard_stream(stream, "trade_id", "seq").writeStream.format("noop").queryName("guarded").option("checkpointLocation", f"{tmp_path}/a").trigger(availableNow=True).start().awaitTermination()
+    query = stream.writeStream.foreachBatch(fails).queryName("broken").option("checkpointLocation", f"{tmp_path}/b").trigger(availableNow=True).start()
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    import time
+
+    until = time.time() + 20
+    while time.time() < until and not {"guarded", "broken"} <= {r.queue for r in listener.rows().where("kind <> 'progress'").collect()}:
+        time.sleep(0.2)
+    listener.stop()
+    assert listener.flush(f"{tmp_path}/metrics") >= 3 and listener.rows().count() == 0
+    stored = metrics.stored_metrics(spark, f"{tmp_path}/metrics")
+    got = {r.queue: r for r in metrics.state_peaks(stored).collect()}
+    assert (got["guarded"].peak_size, got["guarded"].peak_state_rows, got["guarded"].failures) == (40, 1, 0) and got["broken"].failures == 1
+    assert "disk full" in stored.where("queue = 'broken' AND kind = 'failed'").first().message
+    assert {r.queue: r.peak for r in monitoring.queue_peaks(stored.where("kind = 'progress'")).collect()}["guarded"] == 40
+    assert [(r.kind, r.n) for r in monitoring.failure_counts(stored.where("kind = 'failed'")).collect()] == [("failed", 1)]
+
+
 def test_unwrap_goes_by_the_parsed_type(spark):
     given = {
         1: '{"stream": "a@b", "data": {"k": 1}}', 2: '{"stream": "a@b", "data": "{\\"k\\": 1}"}', 3: '  {"k": 1}', 4: "{abc", 5: '{"stream": "a@b", "data": [1]}',

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import symbols
 from tidemark.operators import bars, book, monitoring, ordering, quality, rolling
-from tidemark.plans import feeds
+from tidemark.plans import feeds, live
 from tidemark.sources import parse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,9 +187,9 @@ def _(s, d):
     return book.top_of_book(_books(s, d)).drop("bids", "asks")
 
 
-@_query("depth_levels", f"WITH {_BOOK} SELECT symbol, timestamp, " + ", ".join(f"{x}[{i}].{w[0]} AS {n}_{w}_{i}" for n, x in (("bid", "b"), ("ask", "a")) for i in range(1, 6) for w in ("price", "qty")) + " FROM bk")
+@_query("depth_levels", f"WITH {_BOOK} SELECT symbol, timestamp, " + ", ".join(f"{x}[{i}].{w[0]} AS {n}_{w}_{i}" for n, x in (("bid", "b"), ("ask", "a")) for i in range(1, 51) for w in ("price", "qty")) + " FROM bk")
 def _(s, d):
-    return book.to_wide(_books(s, d), 5)
+    return book.to_wide(_books(s, d), 50)
 
 
 @_query("book_imbalance", f"WITH {_BOOK} SELECT symbol, timestamp, {', '.join(f'{_imb(k)} AS imbalance_{k}' for k in (5, 10, 20, 50))}, {_n('b', 50)} AS bid_notional, {_n('a', 50)} AS ask_notional FROM bk")
@@ -272,6 +272,13 @@ def _(s, d):
     return quality.missing_minutes(_days(s, d))
 
 
+@_query("minute_bitmaps_merged", f"WITH {_DY} SELECT symbol, day, CAST(1440 - count(DISTINCT timestamp // 60000) AS BIGINT) AS missing_minutes FROM dy GROUP BY ALL")
+def _(s, d):
+    """Bitmaps of the odd trades, to which those of the even ones are added without reading the odd ones again."""
+    days = _days(s, d)
+    return quality.missing_in_bitmaps(quality.merge_bitmaps(*[quality.minute_bitmaps(days.where(F.col("trade_id") % 2 == k)) for k in (1, 0)]))
+
+
 @_query("large_gaps", f"""WITH {_DY}, a AS (SELECT *, lag(timestamp) OVER (PARTITION BY symbol, day ORDER BY timestamp) AS p FROM dy), b AS (SELECT *, row_number() OVER (PARTITION BY symbol, day ORDER BY timestamp) AS rn FROM a WHERE timestamp - p > 300000)
   SELECT symbol, day, p AS gap_start, timestamp AS gap_end, timestamp - p AS gap_ms FROM b WHERE rn <= 20""")
 def _(s, d):
@@ -285,11 +292,11 @@ def _(s, d):
 
 
 _FACTS = f"""{_DY}, {_GRID}, facts AS (SELECT (SELECT max(n_rows) FROM rc WHERE symbol = 'error') AS reconnects,
-  (SELECT round(100 * sum(l_quantity) FILTER (WHERE l_linestatus = 'F') / sum(l_quantity), 2) FROM lineitem) AS disk,
+  (SELECT round(100 * sum(l_quantity) FILTER (WHERE l_tax > 0) / sum(l_quantity), 2) FROM lineitem) AS disk,
   (SELECT max(m) FROM (SELECT greatest(0, 1440 - count(DISTINCT timestamp // 60000)) AS m FROM dy GROUP BY symbol, day)) AS mm,
   (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT symbol AS s FROM rc WHERE n_rows > 0 AND n_rows < 64)) AS oi,
-  (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT symbol AS s FROM rc WHERE n_rows > 0 AND n_rows < 8)) AS fu,
-  (SELECT count(*) FROM rc WHERE n_rows = 0) AS ep, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS sf, (SELECT count(*) FROM orders WHERE o_totalprice < 0) AS rf),
+  (SELECT string_agg(s, ', ' ORDER BY s) FROM (SELECT DISTINCT symbol AS s FROM rc WHERE n_rows > 0 AND n_rows < 60)) AS fu,
+  (SELECT count(*) FROM rc WHERE n_rows = 0) AS ep, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS sf, (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT') AS rf),
   al AS (SELECT 'CRITICAL' AS severity, 'reconnect_storm' AS type, reconnects || ' reconnects' AS message FROM facts WHERE reconnects > 20
   UNION ALL SELECT 'CRITICAL', 'disk_usage_high', printf('disk at %.2f%%', disk) FROM facts WHERE disk > 80 UNION ALL SELECT 'WARNING', 'missing_minutes', mm || ' minutes missing' FROM facts WHERE mm > 5
   UNION ALL SELECT 'WARNING', 'oi_missing', 'short: ' || oi FROM facts WHERE oi IS NOT NULL UNION ALL SELECT 'WARNING', 'funding_missing', 'short: ' || fu FROM facts WHERE fu IS NOT NULL
@@ -298,17 +305,17 @@ _FACTS = f"""{_DY}, {_GRID}, facts AS (SELECT (SELECT max(n_rows) FROM rc WHERE
 
 
 def _facts(s: SparkSession, d: str) -> DataFrame:
-    """One row of a report's facts, each from its operator: reconnects are a day's errors, the disk is the share shipped."""
+    """One row of a report's facts, each from its operator: reconnects are a day's errors, the disk is the share taxed."""
     counts, orders = _counts(s, d), _t(s, d, "orders")
     short = lambda seconds: quality.interval_shortfall(counts, seconds).agg(F.collect_set("symbol").alias("names"))
     parts = [
         counts.where("symbol = 'error'").agg(F.max("n_rows").alias("reconnects")),
-        _t(s, d, "lineitem").agg(F.sum("l_quantity").alias("t"), F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)).alias("f")).select(monitoring.disk_usage_percent(F.col("t"), F.col("f")).alias("disk_percent")),
+        _t(s, d, "lineitem").agg(F.sum("l_quantity").alias("t"), F.sum(F.when(F.col("l_tax") > 0, 0.0).otherwise(F.col("l_quantity"))).alias("f")).select(monitoring.disk_usage_percent(F.col("t"), F.col("f")).alias("disk_percent")),
         quality.missing_minutes(_days(s, d)).agg(F.max("missing_minutes").alias("missing_minutes")),
         short(1200).withColumnRenamed("names", "oi_shortfalls"),
-        short(9600).withColumnRenamed("names", "funding_shortfalls"),
+        short(1296).withColumnRenamed("names", "funding_shortfalls"),
         counts.where("n_rows = 0").agg(F.count(F.lit(1)).alias("empty_partitions")),
-        orders.agg(F.count_if(F.col("o_orderstatus") == "P").alias("storage_failures"), F.count_if(F.col("o_totalprice") < 0).alias("rest_failures")),
+        orders.agg(F.count_if(F.col("o_orderstatus") == "P").alias("storage_failures"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("rest_failures")),
     ]
     out = parts[0].withColumn("_one", F.lit(1))
     for p in parts[1:]:  # one row each
@@ -408,11 +415,11 @@ def _old(column: str, minutes: int) -> str:
     return f"uptime_ms >= {minutes * 60000} AND ({column} IS NULL OR {_NOW} - {column} > {minutes * 60000})"
 
 
-@_query("live_alerts", f"""WITH {_STATES} SELECT instance, CASE WHEN free_gb < 5 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, 'disk_usage_high' AS type FROM st WHERE free_gb < 10
-  UNION ALL SELECT instance, 'WARNING', 'oi_updates_missing' FROM st WHERE {_old('last_oi_ms', 5)} UNION ALL SELECT instance, 'WARNING', 'funding_updates_missing' FROM st WHERE {_old('last_funding_ms', 15)}
-  UNION ALL SELECT instance, 'CRITICAL', 'data_integrity_failure' FROM st WHERE integrity_errors > integrity_seen UNION ALL SELECT instance, 'CRITICAL', 'backup_failure' FROM st WHERE NOT backup_ok""")
+@_query("live_alerts", f"""WITH {_STATES} SELECT instance, CASE WHEN free_gb < 5 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, 'disk_usage_high' AS type, printf('%.2f GB free', free_gb) AS message FROM st WHERE free_gb < 10
+  UNION ALL SELECT instance, 'WARNING', 'oi_updates_missing', 'no open interest of late' FROM st WHERE {_old('last_oi_ms', 5)} UNION ALL SELECT instance, 'WARNING', 'funding_updates_missing', 'no funding of late' FROM st WHERE {_old('last_funding_ms', 15)}
+  UNION ALL SELECT instance, 'CRITICAL', 'data_integrity_failure', (integrity_errors - integrity_seen) || ' new errors' FROM st WHERE integrity_errors > integrity_seen UNION ALL SELECT instance, 'CRITICAL', 'backup_failure', 'backup failed' FROM st WHERE NOT backup_ok""")
 def _(s, d):
-    return monitoring.live_alerts(_states(s, d), F.lit(_NOW)).drop("message")
+    return monitoring.live_alerts(_states(s, d), F.lit(_NOW))
 
 
 @_query("health_failures", f"""WITH {_STATES} SELECT instance, 'symbols' AS type FROM st WHERE symbols <= 0 UNION ALL SELECT instance, 'integrity' FROM st WHERE uptime_ms >= 900000 AND integrity_errors > 0
@@ -451,8 +458,8 @@ def _(s, d):
 
 
 def queries() -> dict[str, Query]:
-    return _Q | feeds.queries()
+    return _Q | feeds.queries() | live.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | feeds.oracle_sql()
+    return _SQL | feeds.oracle_sql() | live.oracle_sql()

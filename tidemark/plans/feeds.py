@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import symbols
 from tidemark.operators import book, monitoring, ordering, quality, rolling
-from tidemark.sources import layout, parse, storage, streams
+from tidemark.sources import footers, layout, parse, storage, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -118,50 +119,74 @@ def _(s, d):
     return parse.open_interest(_polled(s, d, openInterest=_text("o_totalprice")))
 
 
-_LEVEL = 5
-
-
 def _sides(s: SparkSession, d: str) -> DataFrame:
-    """(order, bids, asks) as arrays of [price, quantity] texts: open lines by falling, shipped lines by rising price."""
-    level = F.struct(F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("n"))
+    """(id, k, bids, asks), one book a supplier and year, as arrays of [price, quantity] texts: open lines by falling, shipped lines by rising price."""
+    level = F.struct(F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("q"))
     side = lambda status, rising: F.transform(F.sort_array(F.collect_list(F.when(F.col("l_linestatus") == status, level)), asc=rising), lambda x: F.array(_text(x["p"]), _text(x["q"])))
-    return _t(s, d, "lineitem").groupBy("l_orderkey").agg(side("O", False).alias("b"), side("F", True).alias("a"), F.min("l_suppkey").alias("k"))
+    year = F.year("l_shipdate") - 1990
+    return _t(s, d, "lineitem").groupBy((F.col("l_suppkey") * 100 + year).cast("long").alias("id"), F.col("l_suppkey").alias("k")).agg(side("O", False).alias("b"), side("F", True).alias("a"))
 
 
 def _sides_sql() -> str:
-    one = lambda status, way: f"list({{'p': l_extendedprice, 'q': l_quantity}} ORDER BY l_extendedprice {way}, l_quantity {way}, l_linenumber {way}) FILTER (WHERE l_linestatus = '{status}')"
-    return f"bk AS (SELECT l_orderkey, {one('O', 'DESC')} AS b, {one('F', 'ASC')} AS a, min(l_suppkey) AS k FROM lineitem GROUP BY 1)"
+    one = lambda status, way: f"list({{'p': l_extendedprice, 'q': l_quantity}} ORDER BY l_extendedprice {way}, l_quantity {way}) FILTER (WHERE l_linestatus = '{status}')"
+    return f"bk AS (SELECT CAST(l_suppkey * 100 + year(l_shipdate) - 1990 AS BIGINT) AS id, l_suppkey AS k, {one('O', 'DESC')} AS b, {one('F', 'ASC')} AS a FROM lineitem GROUP BY 1, 2)"
 
 
-def _wide_sql() -> str:
-    return ", ".join(f"{x}[{i}].{w[0]} AS {n}_{w}_{i}" for n, x in (("bid", "b"), ("ask", "a")) for i in range(1, _LEVEL + 1) for w in ("price", "qty"))
+def _wide_sql(levels: int, own: int | None = None) -> str:
+    """The columns of a wide book; levels past ``own`` come from the snapshot s."""
+    of = lambda i: "" if own is None else "v." if i <= own else "s."
+    return ", ".join(f"{of(i)}{x}[{i}].{w[0]} AS {n}_{w}_{i}" for n, x in (("bid", "b"), ("ask", "a")) for i in range(1, levels + 1) for w in ("price", "qty"))
 
 
-@_query("parse_depth", f"""WITH {_sides_sql()} SELECT l_orderkey AS timestamp, 'S' || k AS symbol, l_orderkey * 3 AS first_update_id, l_orderkey * 3 + 2 AS final_update_id,
-  CASE WHEN k > 10 THEN l_orderkey * 3 - 1 END AS prev_final_update_id, l_orderkey + 1 AS transaction_time, l_orderkey + 9 AS received_at, {_wide_sql()} FROM bk""")
+@_query("parse_depth", f"""WITH {_sides_sql()} SELECT id AS timestamp, 'S' || k AS symbol, id * 3 AS first_update_id, id * 3 + 2 AS final_update_id,
+  CASE WHEN id % 2 = 0 THEN id * 3 - 1 END AS prev_final_update_id, id + 1 AS transaction_time, id + 9 AS received_at, {_wide_sql(20)} FROM bk""")
 def _(s, d):
-    o = F.col("l_orderkey")
-    data = _object(up_e=o, up_t=o + 1, s=F.concat(F.lit("s"), "k"), up_u=o * 3, b=F.col("b"), a=F.col("a"), lastUpdateId=o * 3 + 2, pu=F.when(F.col("k") > 10, o * 3 - 1))
-    return book.to_wide(parse.depth(_sides(s, d).select(data.alias("data"), (o + 9).alias("received_at"))), _LEVEL)
+    o = F.col("id")
+    data = _object(up_e=o, up_t=o + 1, s=F.concat(F.lit("s"), "k"), up_u=o * 3, b=F.col("b"), a=F.col("a"), lastUpdateId=o * 3 + 2, pu=F.when(o % 2 == 0, o * 3 - 1))
+    return book.to_wide(parse.depth(_sides(s, d).select(data.alias("data"), (o + 9).alias("received_at"))), 20)
 
 
-@_query("parse_rest_depth", f"WITH {_sides_sql()} SELECT l_orderkey + 9 AS timestamp, 'S' || k AS symbol, l_orderkey * 3 AS final_update_id, l_orderkey + 9 AS received_at, {_wide_sql()} FROM bk")
+@_query("parse_rest_depth", f"WITH {_sides_sql()} SELECT id + 9 AS timestamp, 'S' || k AS symbol, id * 3 AS final_update_id, id + 9 AS received_at, {_wide_sql(50)} FROM bk")
 def _(s, d):
-    data = _object(lastUpdateId=F.col("l_orderkey") * 3, bids=F.col("b"), asks=F.col("a"))
-    polled = _sides(s, d).select(data.alias("data"), (F.col("l_orderkey") + 9).alias("received_at"), F.concat(F.lit("s"), "k").alias("symbol"))
-    return book.to_wide(parse.rest_depth(polled), _LEVEL)
+    data = _object(lastUpdateId=F.col("id") * 3, bids=F.col("b"), asks=F.col("a"))
+    polled = _sides(s, d).select(data.alias("data"), (F.col("id") + 9).alias("received_at"), F.concat(F.lit("s"), "k").alias("symbol"))
+    return book.to_wide(parse.rest_depth(polled), 50)
 
 
-@_query("merge_depth", f"""WITH {_sides_sql()}, snaps AS (SELECT * FROM bk WHERE len(a) > 0 AND len(b) > 0 AND k > 20)
-  SELECT v.l_orderkey AS received_at, v.k AS symbol, {', '.join(f"{'v' if i <= 1 else 's'}.{x}[{i}].p AS {n}_price_{i}" for n, x in (('bid', 'b'), ('ask', 'a')) for i in (1, 2, 3))}
-  FROM bk v ASOF LEFT JOIN snaps s ON v.k = s.k AND v.l_orderkey >= s.l_orderkey""")
+@_query("merge_depth", f"""WITH {_sides_sql()}, snaps AS (SELECT * FROM bk WHERE id % 3 = 0) SELECT v.id AS received_at, v.k AS symbol, {_wide_sql(50, 20)}
+  FROM bk v ASOF LEFT JOIN snaps s ON v.k = s.k AND v.id >= s.id""")
 def _(s, d):
-    books = _sides(s, d)
     typed = lambda c: F.transform(c, lambda x: F.struct(F.get(x, F.lit(0)).cast("double").alias("price"), F.get(x, F.lit(1)).cast("double").alias("qty")))
-    rows = books.select(F.col("k").alias("symbol"), F.col("l_orderkey").alias("received_at"), typed("b").alias("bids"), typed("a").alias("asks"))
-    deep = rows.where("size(bids) > 0 AND size(asks) > 0 AND symbol > 20")
-    merged = book.to_wide(book.merge_depth(rows, deep, own=1, depth=3), 3)
-    return merged.select("received_at", "symbol", *[f"{n}_price_{i}" for n in ("bid", "ask") for i in (1, 2, 3)])
+    rows = _sides(s, d).select(F.col("k").alias("symbol"), F.col("id").alias("received_at"), typed("b").alias("bids"), typed("a").alias("asks"))
+    return book.to_wide(book.merge_depth(rows, rows.where("received_at % 3 = 0")), 50)
+
+
+@_query("rejected_payloads", """WITH p AS (SELECT *, o_custkey % 7 AS k FROM orders) SELECT o_orderkey AS received_at,
+  CASE WHEN k = 0 THEN 'no object' WHEN o_orderstatus = 'P' THEN 'malformed time' WHEN k = 1 THEN 'missing lastFundingRate' WHEN k = 2 THEN 'malformed markPrice' END AS reject FROM p
+  WHERE k < 3 OR o_orderstatus = 'P'""")
+def _(s, d):
+    """Funding payloads that give no row, each once, with the first reason."""
+    o = _t(s, d, "orders").withColumn("k", F.col("o_custkey") % 7)
+    time = F.when(F.col("o_orderstatus") == "O", _text("o_custkey")).when(F.col("o_orderstatus") == "P", F.lit("soon"))
+    price = F.when(F.col("k") == 2, "n/a").otherwise(_text("o_totalprice"))
+    data = _object(symbol=F.lower("o_orderpriority"), time=time, markPrice=price, lastFundingRate=F.when(F.col("k") != 1, _text("o_totalprice")), nextFundingTime=F.col("o_orderkey"))
+    checked = parse.funding(o.select(F.when(F.col("k") == 0, F.concat(F.lit("["), data, F.lit("]"))).otherwise(data).alias("data"), F.col("o_orderkey").alias("received_at")), rejects=True)
+    return parse.split(checked)[1].select("received_at", "reject")
+
+
+_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@_query("footer_counts", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows FROM {t}" for t in _COUNTED))
+def _(s, d):
+    """Rows of every table from the footers of its files."""
+    counts = [footers.footer_counts(s, f"{d}/{t}.parquet").select(F.lit(t).alias("name"), "n_rows") for t in _COUNTED]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@_query("footer_range", "SELECT min(l_orderkey) AS least, max(l_orderkey) AS most, count(*) AS n_rows FROM lineitem")
+def _(s, d):
+    return footers.footer_range(s, f"{d}/lineitem.parquet", "l_orderkey")
 
 
 @_query("exchange_metadata", """SELECT upper(p_brand) || '-' || p_partkey AS symbol, p_retailprice AS tick_size, CAST(p_size AS DOUBLE) AS step_size, 0.0 AS min_qty, CAST(p_size AS DOUBLE) AS min_notional,
@@ -260,11 +285,22 @@ def _(s, d):
     return _t(s, d, "part").select("p_partkey", monitoring.truncated(F.repeat("p_name", 60)).alias("message"))
 
 
-@_query("status_snapshot", """SELECT o_orderkey AS instance, round(o_custkey * 60000 / 3600000.0::DOUBLE, 2) AS uptime_hours, o_custkey % 9 AS symbols, o_orderkey AS trades_received, 0 AS liquidations_received, 0 AS depth_snapshots_received,
-  0 AS mark_price_updates_received, 0 AS top_of_book_updates_received, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS last_trade_update, CAST(NULL AS VARCHAR) AS last_depth50_update, CAST(NULL AS VARCHAR) AS last_funding_update,
-  CAST(NULL AS VARCHAR) AS last_oi_update, CAST(NULL AS VARCHAR) AS last_metadata_update, 0 AS websocket_reconnects, 0 AS integrity_error_count FROM orders""")
+_SNAPSHOT = {  # field: (of an order, in SQL)
+    "liquidations_received": ("o_custkey % 11", "o_custkey % 11"), "depth_snapshots_received": ("o_orderkey % 1000", "o_orderkey % 1000"), "mark_price_updates_received": ("o_custkey % 13", "o_custkey % 13"),
+    "top_of_book_updates_received": ("o_custkey % 17", "o_custkey % 17"), "websocket_reconnects": ("o_custkey % 3", "o_custkey % 3"), "integrity_error_count": ("o_orderkey % 4", "o_orderkey % 4"),
+}
+#: Days after the order at which a feed was last seen; filled orders have seen no funding, pending ones no metadata.
+_SEEN = {"last_trade_update": (0, ""), "last_depth50_update": (1, ""), "last_funding_update": (2, "F"), "last_oi_update": (3, ""), "last_metadata_update": (4, "P")}
+_SEEN_SQL = ", ".join(f"CASE WHEN o_orderstatus <> '{no}' THEN strftime(CAST(o_orderdate AS TIMESTAMP) + INTERVAL {n} DAY, '%Y-%m-%dT%H:%M:%SZ') END AS {c}" for c, (n, no) in _SEEN.items())
+
+
+@_query("status_snapshot", f"""SELECT o_orderkey AS instance, round(o_custkey * 60000 / 3600000.0::DOUBLE, 2) AS uptime_hours, o_custkey % 9 AS symbols, o_orderkey AS trades_received,
+  {', '.join(f'{q} AS {c}' for c, (_, q) in _SNAPSHOT.items())}, {_SEEN_SQL} FROM orders""")
 def _(s, d):
-    states = _t(s, d, "orders").select(F.col("o_orderkey").alias("instance"), (F.col("o_custkey") * 60_000).alias("uptime_ms"), (F.col("o_custkey") % 9).alias("symbols"), F.col("o_orderkey").alias("trades_received"), _ms("o_orderdate").alias("last_trade_update"))
+    o = _t(s, d, "orders")
+    seen = [F.when(F.col("o_orderstatus") != no, _ms("o_orderdate") + n * 86_400_000).alias(c) for c, (n, no) in _SEEN.items()]
+    counts = [F.expr(e).alias(c) for c, (e, _) in _SNAPSHOT.items()]
+    states = o.select(F.col("o_orderkey").alias("instance"), (F.col("o_custkey") * 60_000).alias("uptime_ms"), (F.col("o_custkey") % 9).alias("symbols"), F.col("o_orderkey").alias("trades_received"), *counts, *seen)
     return monitoring.status_snapshot(states)
 
 

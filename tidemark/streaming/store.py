@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from tidemark.operators.monitoring import with_retries
 from tidemark.operators.ordering import dedup_first
 from tidemark.operators.quality import utc_day
 from tidemark.registry import SPECS, complete, conform
-from tidemark.sources import storage
+from tidemark.sources import parse, storage
 
 
 class StoreSink:
@@ -28,19 +28,29 @@ class StoreSink:
     (:func:`tidemark.streaming.stateful.recent_keys`) and to compaction, and no
     stored row is read. Late rows are taken and merged into their day when it is
     finalised again. Incomplete rows go to ``_rejects``.
+
+    With ``parser``, one of :mod:`tidemark.sources.parse`, batches are payloads:
+    each is parsed once and gives a row or, with its text and the reason, a
+    reject. ``counted`` is what the last batch's observation says of both.
     """
 
-    def __init__(self, name: str, root: str, arrival: tuple[str, ...] = ("received_at",), look_up: bool = True):
+    def __init__(self, name: str, root: str, arrival: tuple[str, ...] = ("received_at",), look_up: bool = True, parser: Callable[..., DataFrame] | None = None, fields: Sequence[str] = ()):
         if not SPECS[name].writable:
             raise ValueError(f"{name} is read-only")
         self.name, self.root, self.spec = name, root, SPECS[name]
         self._order = [c for c in arrival if any(f.name == c for f in self.spec.schema)] or [self.spec.time]
         self.failures = 0
-        self._look_up = look_up
+        self._look_up, self._parser, self._fields = look_up, parser, fields
+        self.counted: dict[str, int] = {}
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark, spec = batch.sparkSession, self.spec
         segment = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'direct'}-{number}"
+        kept = parsed = None
+        if self._parser is not None:
+            seen = Observation()
+            parsed = parse.count_reasons(self._parser(batch, rejects=True), seen, self._fields).persist()
+            batch, kept = parse.split(parsed)
         rows = conform(batch, spec).withColumn("date", utc_day(F.col(spec.time))).persist()
         try:
             good, bad = complete(rows, spec)
@@ -50,9 +60,13 @@ class StoreSink:
             parts = storage.partition_columns(self.name)
             columns = [*spec.schema.names, "date"]
             fresh.select(*columns).repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root}/_segments/{spec.directory}/batch={segment}")
-            bad.write.mode("overwrite").parquet(f"{self.root}/_rejects/{spec.directory}/batch={segment}")
+            (bad if kept is None else kept).write.mode("overwrite").parquet(f"{self.root}/_rejects/{spec.directory}/batch={segment}")
+            if kept is not None:
+                self.counted = seen.get
         finally:
             rows.unpersist()
+            if parsed is not None:
+                parsed.unpersist()
 
     def _unknown(self, spark: SparkSession, fresh: DataFrame, days: list[date], segment: str) -> DataFrame:
         """Rows whose key is not stored yet; only the partitions of their days are read, the batch's own segment aside."""
