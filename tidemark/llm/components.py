@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.skew import join_spread
+from tidemark.llm.skew import hot_keys, join_dealt, join_spread
 from tidemark.llm.workspace import Workspace
 
 
@@ -27,7 +27,11 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     e = ws.save(e.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "edges")
     labels = None
     while not e.isEmpty():
-        up = ws.save(e.groupBy("b").agg(F.min("a").alias("p")), "parents")
+        parents = ws.save(e.groupBy("b").agg(F.min("a").alias("p"), F.count(F.lit(1)).alias("n")), "parents")
+        # A node that is the greater end of very many edges is dealt out as well as one that is the smaller.
+        wide = hot_keys(ws, parents, ["b"])
+        up = parents.select("b", "p")
+        up._tidemark_path = parents._tidemark_path
         while True:
             above = up.select(F.col("b").alias("p"), F.col("p").alias("q"))
             step = join_spread(ws, up, above, "p", "b", "left").select("b", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
@@ -40,7 +44,8 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
             if still:
                 break
         below = up.select(F.col("b").alias("a"), F.col("p").alias("ra"))
-        nearer = join_spread(ws, e, below, "a", "b", "left").select(F.coalesce("ra", "a").alias("a"), "b").join(up.select("b", "p"), "b").select("a", F.col("p").alias("b"))
+        nearer = join_spread(ws, e, below, "a", "b", "left").select(F.coalesce("ra", "a").alias("a"), "b", F.col("a").alias("by"))
+        nearer = join_dealt(nearer, up.select("b", "p"), ["b"], "by", wide).select("a", F.col("p").alias("b"))
         smaller = ws.save(nearer.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
         ws.drop(e)
         e = smaller

@@ -43,6 +43,8 @@ from tidemark.llm.workspace import Workspace
 
 #: Members of one side of a tile.
 TILE = 256
+#: Shingles that the members of a block have, about.
+TILE_SHINGLES = 2_000_000
 
 
 #: (id, text) of a written table of ids.
@@ -262,12 +264,15 @@ def _tiles(comp: DataFrame, ws: Workspace) -> DataFrame:
     """(k, ti, tj, block, id, comp): members of buckets with several components, dealt to tiles of two blocks.
 
     Members of a bucket's largest component (its blocks are -1, -2, ..) meet
-    the blocks of the others only; these meet each other too.
+    the blocks of the others only; these meet each other too. A block has
+    about ``TILE`` members, and about ``TILE_SHINGLES`` shingles of theirs,
+    which bounds the texts that a tile holds.
     """
-    parts = comp.groupBy("k", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("k").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    blocks = lambda n: F.ceil(n / TILE).cast("int")
-    mixed = ws.save(mixed.select("k", "n", F.col("top.comp").alias("major"), blocks(F.col("top.n")).alias("own"), blocks(F.col("n") - F.col("top.n")).alias("rest")), "mixed")
+    parts = comp.groupBy("k", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("w"))
+    mixed = parts.groupBy("k").agg(F.max(F.struct("n", "comp", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    blocks = lambda n, w: F.ceil(F.greatest(n / TILE, w / TILE_SHINGLES)).cast("int")
+    own, rest = blocks(F.col("top.n"), F.col("top.w")), blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w"))
+    mixed = ws.save(mixed.select("k", "n", F.col("top.comp").alias("major"), own.alias("own"), rest.alias("rest")), "mixed")
     rows = join_dealt(comp, mixed.select("k", "major", "own", "rest"), ["k"], "id", hot_keys(ws, mixed, ["k"]))
     major = F.col("comp") == F.col("major")
     block = F.pmod(F.xxhash64("id", "k"), F.when(major, F.col("own")).otherwise(F.col("rest"))).cast("int")
@@ -285,7 +290,9 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: Da
     those bring their texts: rows grow with the members of a tile, never with
     its pairs.
     """
-    comp = ws.save(members.where("id != lead").select("k", "id").join(labels, "id", "left").select("k", "id", F.coalesce("component", "id").alias("comp")), "members")
+    sizes = sketches.groupBy("id").agg(F.max("n").cast("long").alias("size"))
+    comp = members.where("id != lead").select("k", "id").join(sizes, "id").join(labels, "id", "left")
+    comp = ws.save(comp.select("k", "id", "size", F.coalesce("component", "id").alias("comp")), "members")
     rows = _tiles(comp, ws).join(sketches.select("id", "n", "sig", "keys"), "id")
     dealt = rows.repartition("k", "ti", "tj").sortWithinPartitions("k", "ti", "tj", "id")
 
@@ -317,7 +324,7 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: Da
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ("k", "ti", "tj")):
-            ids, comps, partners, values = (t.column(c).to_pylist() for c in ("id", "comp", "partners", "text"))
+            ids, comps, partners = (t.column(c).to_pylist() for c in ("id", "comp", "partners"))
             parent: dict[int, int] = {}
 
             def find(x: int, parent=parent) -> int:
@@ -326,8 +333,8 @@ def _residual(ws: Workspace, members: DataFrame, labels: DataFrame, sketches: Da
                 return x
 
             sets: dict[int, list[np.ndarray]] = {}  # two texts may stand under one id
-            for i, v in zip(ids, values, strict=True):
-                sets.setdefault(i, []).append(shingle_set(v, p.ngram))
+            for i, v in zip(ids, t.column("text"), strict=True):  # one text at a time as a string
+                sets.setdefault(i, []).append(shingle_set(v.as_py(), p.ngram))
             comp_of = dict(zip(ids, comps, strict=True))
             a, b = [], []
             for i, others in zip(ids, partners, strict=True):
