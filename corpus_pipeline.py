@@ -9,10 +9,13 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, minhash_dedup, packing, quality_rules, secret_scan
+from tidemark.llm.textops import bound_batches
 from tidemark.llm.workspace import Workspace
 
 
@@ -22,6 +25,18 @@ def _recount(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _bounded(stage):
+    """The stage, with the bytes of an Arrow batch bounded: stages follow each other in the same executors, whose tasks hold several batches."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_bounded
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, among them null and empty texts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -35,18 +50,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _recount(done.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns))
 
 
+@_bounded
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every near-duplicate group stays, the one with the smallest id; rows without an id or a word stay."""
     return minhash_dedup.drop_near_duplicates(docs)
 
 
+@_bounded
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; all documents stay."""
     return _recount(secret_scan.redact_secrets(docs, secret_scan.learn_grammars(docs)))
 
 
+@_bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, placed in sequences."""
+    """Pieces of documents, placed in sequences; null texts are empty, repeated rows and null ids documents of their own."""
     return packing.best_fit_pack(docs)
 
 

@@ -8,7 +8,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 LONGEST_KEY = 64
 #: Characters of text handled at once within an Arrow batch.
 SLICE_CHARS = 2_000_000
+#: Bytes of an Arrow batch, at most, that the pipeline asks for (one row may be larger).
+BATCH_BYTES = 8 << 20
 
 _MULT_INT = 0x9E3779B97F4A7C15
 _MIX1 = np.uint64(0xFF51AFD7ED558CCD)
@@ -186,6 +188,16 @@ def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[p
         yield pa.concat_tables(held)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's bound on the bytes of an Arrow batch to ``BATCH_BYTES`` where it is larger: a task holds several of them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, "64m")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(held.rstrip("b")[-1:], 1)
+    size = int(held.rstrip("bkmg") or 0) * unit
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, schema: T.StructType, prepare: Callable[[], Callable[..., list[list[Any]]]], text: str = "text") -> DataFrame:
     """mapInArrow over bounded slices.
 

@@ -21,7 +21,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
-            if not spark.sparkContext.master.startswith("local"):
+            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
             current = spark.sparkContext.getCheckpointDir()
