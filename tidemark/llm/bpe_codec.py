@@ -220,7 +220,12 @@ def bpe_encode(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", t
 
 
 def bpe_digests(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tokenizer: str = "word_bpe_49k.json") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): what :func:`bpe_encode` gives, digested where it is made."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): what :func:`bpe_encode` gives, digested where it is made.
+
+    One row per input row: a null text is empty, null ids and repeated rows
+    stay, texts may be of any length, other columns are not read. An empty
+    table gives an empty result.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def prepare():
