@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.folders import shared_folder
 from tidemark.operators import book
+from tidemark.sources import storage
 from tidemark.streaming import stateful
+from tidemark.streaming.store import StoreSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -27,19 +30,29 @@ def _query(name: str, sql: str) -> Callable[[Query], Query]:
     return add
 
 
-def finished(spark: SparkSession, rows: DataFrame, order: str, build: Callable[[DataFrame], DataFrame], label: str, runs: int = 2) -> DataFrame:
-    """What ``build`` makes of ``rows`` as a stream that gets them in ``runs`` shares along ``order``, each in a run of its own from one checkpoint."""
-    base = shared_folder(spark, f"stream-{label}")
-    stateful.use_state_store(spark)
+def in_runs(spark: SparkSession, rows: DataFrame, order: str, base: str, start: Callable[[DataFrame], StreamingQuery], runs: int = 2) -> None:
+    """Gives ``rows`` to a stream in ``runs`` shares along ``order``; each is taken to its end by a query of its own, from what the one before left."""
     edges = rows.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
     width = max(1, -(-((edges.hi or 0) - (edges.lo or 0) + 1) // runs))
     shared = rows.withColumn("_share", F.floor((F.col(order) - F.lit(edges.lo or 0)) / width))
-    schema = rows.schema
     for run in range(runs):
         shared.where(F.col("_share") == run).drop("_share").write.mode("append").parquet(f"{base}/in")
-        out = build(spark.readStream.schema(schema).parquet(f"{base}/in"))
-        out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{base}/out")
+        start(spark.readStream.schema(rows.schema).parquet(f"{base}/in")).awaitTermination()
+
+
+def finished(spark: SparkSession, rows: DataFrame, order: str, build: Callable[[DataFrame], DataFrame], label: str, runs: int = 2) -> DataFrame:
+    """What ``build`` makes of ``rows`` as a stream that is stopped and started again from its checkpoint."""
+    base = shared_folder(spark, f"stream-{label}")
+    stateful.use_state_store(spark)
+    kinds = []
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        out = build(stream)
+        kinds.append(out.schema)
+        return out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+
+    in_runs(spark, rows, order, base, start, runs)
+    return spark.read.schema(kinds[0]).parquet(f"{base}/out")
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,6 +131,42 @@ def _(s, d):
     return finished(s, rows, "t", lambda x: stateful.throttle_stream(x, "symbol", "t", 14_400), "throttle")
 
 
+# Every tenth trade comes again, later and at another price: the first one stays.
+_KEPT = f"WITH {_EV} SELECT symbol, trade_id, price, CAST(CAST(make_timestamp(timestamp * 1000) AS DATE) AS VARCHAR) AS day, trade_id AS received_at FROM ev"
+
+
+def _repeated(spark: SparkSession, sf: str) -> DataFrame:
+    e = _events(spark, sf).select("timestamp", "symbol", "price", "quantity", (F.col("trade_id") % 2 == 0).alias("is_buyer_maker"), "trade_id", F.lit(False).alias("is_recovered"), F.col("trade_id").alias("received_at"))
+    again = e.where("trade_id % 10 = 0").withColumn("price", F.col("price") + 1).withColumn("received_at", F.col("received_at") + 1_000_000_000)
+    return e.unionByName(again)
+
+
+def _stored(spark: SparkSession, root: str) -> DataFrame:
+    return storage.read(spark, "trades", root).select("symbol", "trade_id", "price", F.col("date").cast("string").alias("day"), "received_at")
+
+
+@_query("store_sink", _KEPT)
+def _(s, d):
+    """Trades through the streaming sink in two runs, of which the second brings the repeats; one part of the days is finalised, the rest are segments."""
+    root, base = shared_folder(s, "sink"), shared_folder(s, "sink-stream")
+    sink = StoreSink("trades", root)
+    rows = _repeated(s, d)
+    in_runs(s, rows, "received_at", base, lambda stream: sink.start(stream, f"{base}/checkpoint"))
+    days = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).select(F.to_date(F.timestamp_millis(F.floor((F.col("lo") + F.col("hi")) / 2)))).first()[0]
+    sink.finalize(s, days)
+    return _stored(s, root)
+
+
+@_query("store_compacted", _KEPT)
+def _(s, d):
+    """Trades appended in two lots, repeats in the second, and compacted."""
+    root, rows = shared_folder(s, "store"), _repeated(s, d)
+    for lot in (rows.where("trade_id % 3 = 0 AND received_at < 1000000000"), rows.where("trade_id % 3 <> 0 OR received_at >= 1000000000")):
+        storage.append(lot, "trades", root)
+    storage.compact(s, "trades", root, "date IS NOT NULL")
+    return _stored(s, root)
+
+
 def queries() -> dict[str, Query]:
     return dict(_Q)
 
