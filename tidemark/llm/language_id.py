@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 
+import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -57,17 +58,15 @@ def learn_dictionaries(labelled: DataFrame, *, text: str = "text", lang: str = "
     chosen: Column = F.lit(False)
     for name, n in counts.items():
         chosen = chosen | ((F.col("lang") == name) & (draw < F.lit(int((1 << 40) * min(1.0, 2 * SAMPLE_DOCS / n)))))
-    # The bound on rows holds whatever the copies do: one text counts once.
-    sample = rows.where(chosen).groupBy("lang", "text").agg(F.lit(1).alias("_one")).orderBy(F.xxhash64("text")).limit(3 * SAMPLE_DOCS * len(counts))
-    texts: dict[str, list[str]] = {}
-    for r in sample.collect():
-        if len(own := texts.setdefault(r.lang, [])) < SAMPLE_DOCS:
-            own.append(r.text)
-    out = {}
-    for name, own in sorted(texts.items()):
-        content = b" ".join(map(letters, own))
-        out[name] = content[-DICT_BYTES:]
-    return out
+    # One text counts once, whatever the copies do. A language's texts, at most about 2 * SAMPLE_DOCS, meet in one task, which sends its dictionary only.
+    sample = rows.where(chosen).groupBy("lang", "text").agg(F.lit(1).alias("_one")).select("lang", "text", F.xxhash64("text").alias("_at"))
+
+    def fill(table: pa.Table) -> pa.Table:
+        own = table.sort_by([("_at", "ascending"), ("text", "ascending")]).slice(0, SAMPLE_DOCS).column("text").to_pylist()
+        return pa.table({"lang": table.column("lang")[:1], "content": pa.array([b" ".join(map(letters, own))[-DICT_BYTES:]], pa.binary())})
+
+    kind = rows.schema["lang"].dataType.simpleString()
+    return {r.lang: bytes(r.content) for r in sample.groupBy("lang").applyInArrow(fill, f"lang {kind}, content binary").orderBy("lang").collect()}
 
 
 def letters(text: str) -> bytes:
