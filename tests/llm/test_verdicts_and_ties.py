@@ -2,7 +2,6 @@
 
 import math
 import random
-import statistics
 from collections import Counter
 
 import numpy as np
@@ -28,7 +27,7 @@ def grams(text):
 
 def plain_model(rows, labels):
     """Ratios as a function and the threshold, from the definition."""
-    buckets, smooth = quality_rules.BUCKETS, quality_rules.SMOOTHING
+    buckets, smooth, prior = quality_rules.BUCKETS, quality_rules.SMOOTHING, quality_rules.PRIOR
     raw, good = Counter(), Counter()
     for i, t in rows:
         raw.update(grams(t))
@@ -38,14 +37,14 @@ def plain_model(rows, labels):
     def score(text, without=None):
         own = Counter(without or [])
         g = grams(text)
-        total = good.total() - own.total()
-        return sum(math.log((good[k] - own[k] + smooth) / (total + smooth * buckets)) - math.log((raw[k] + smooth) / (raw.total() + smooth * buckets)) for k in g) / len(g)
+        of_raw = {k: (raw[k] + smooth) / (raw.total() + smooth * buckets) for k in g}
+        return sum(math.log((good[k] - own[k] + prior * of_raw[k]) / (good.total() - own.total() + prior)) - math.log(of_raw[k]) for k in g) / len(g)
 
     copies = Counter(t for i, t in rows if labels.get(i) == 1)
     trusted = [score(t, grams(t) * copies[t]) for i, t in rows if labels.get(i) == 1]
     bad = [score(t) for i, t in rows if labels.get(i) == 0]
-    least = min(sorted(trusted)[int((1 - quality_rules.KEEP_TRUSTED) * len(trusted))], statistics.fmean(trusted) - 3.0902 * statistics.pstdev(trusted))
-    values = sorted({v for v in [*trusted, *bad, least] if v <= least})
+    least = sorted(trusted)[int((1 - quality_rules.KEEP_TRUSTED) * len(trusted))]
+    values = sorted({v for v in [*trusted, *bad] if v <= least})
     best = None
     for low, value in zip([values[0] - 1.0, *values[:-1]], values, strict=True):
         cut = (low + value) / 2
