@@ -199,7 +199,8 @@ class Detector:
             tags, outside = self.tagger.decode(ids)
             for row in np.flatnonzero(tags.any(axis=1)):
                 i, start = part[row]
-                proposed[i] += [(start + a, start + b, k, mass) for a, b, k, mass in tagged_spans(tags[row], outside[row])]
+                held = min(WINDOW, len(texts[i]) - start)  # what follows is padding, which no span holds
+                proposed[i] += [(start + a, start + b, k, mass) for a, b, k, mass in tagged_spans(tags[row, :held], outside[row, :held])]
         for i, spans in enumerate(proposed):
             if spans:
                 out[i] = [s for s in reconciled(spans, texts[i]) if not any(a < s[1] and s[0] < b for a, b, _ in base[i])]
