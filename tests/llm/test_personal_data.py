@@ -99,6 +99,40 @@ def test_spans_of_several_windows_are_reconciled():
     assert pd.reconciled([(2, 21, 2, 3.0)], text) == []
 
 
+PIECES = ["joe", "at", "a", "-", "x.y", "dot", "com", ".", " ", " ", " ", "(", ")", "[", "]", "\n", "@", "(at)", " dot ", "(dot)", "AT", "12", "4929", "+", "mail", "_", "cat"]
+
+
+def test_windows_hold_every_plausible_span():
+    rng, held = random.Random(7), 0
+    for _ in range(3000):
+        text = "".join(rng.choice(PIECES) for _ in range(rng.randint(3, 16)))
+        seen = np.zeros(len(text), bool)
+        for start in pd.window_starts(text):
+            seen[start : start + pd.WINDOW] = True
+        for a in range(len(text)):
+            for b in range(a + 3, len(text) + 1):
+                if not seen[a:b].all():
+                    assert not any(pd.plausible(text[a:b], k) for k in range(4)), (text, text[a:b])
+                elif "@" not in text and pd.plausible(text[a:b], 0):
+                    held += 1
+    assert held > 100
+
+
+@pytest.mark.parametrize("address", ["joe at example.com", "joe(at)example.com", "j" * 90 + " at " + "mail-" * 30 + "x.org", "a (dot) " * 20 + "b [AT] m" + "[dot]com" * 20, "a at x dot " + "at(dot)" * 60 + "at"])
+def test_addresses_without_digits_or_signs_are_looked_at_whole(address):
+    text = "words " * 50 + address + " words" * 50
+    seen = {i for s in pd.window_starts(text) for i in range(s, s + pd.WINDOW)}
+    assert pd.plausible(address, 0) and set(range(300, 300 + len(address))) <= seen
+    assert pd.window_starts("words " * 50 + "at home. Then at last" + " words" * 50) == []
+
+
+def test_windows_are_found_in_linear_time():
+    began = time.time()
+    for run in ("at(dot)" * 100_000, "at " * 200_000, "at dot " * 100_000, "at dot dot " * 60_000, "x@at." * 100_000, "a at b" + " " * 500_000, "at" + " ( " * 200_000 + ".", "a(dot)" * 100_000 + " at b.c", "-at" * 200_000 + ".c"):
+        pd.window_starts(run)
+    assert time.time() - began < 30
+
+
 class Everything:
     """A tagger that tags whole windows, padding and all, as spans of one kind."""
 

@@ -7,8 +7,10 @@ span is written another way that people use (``at`` and ``dot`` in words, other
 separators, no plus sign), and windows without personal data hold dates,
 versions, prices and plain numbers, so that the tagger learns the form and its
 surroundings rather than one pattern. Every text is searched in full: windows
-that overlap by half cover each place that holds a digit, an at sign or the
-word ``dot``, without which none of the kinds can be written. Windows are
+that overlap by half cover, whole and with their surroundings, all stretches
+that can hold a span: digits, at signs, the word ``dot``, and what can be an
+address around the word ``at``. Text outside of them holds none that passes the
+exact check of its kind, whatever the tagger would say there. Windows are
 decoded by themselves; over the whole text, spans cut at a window's edge are
 joined, and of spans that exclude each other the set with the greatest
 posterior mass stays. A learned span must pass the exact check of its kind
@@ -41,7 +43,7 @@ SAMPLE_SPANS, SAMPLE_OTHER = 300, 400
 EPOCHS = 9
 #: Least mean posterior probability of a learned span.
 MIN_POSTERIOR = 0.8
-#: Characters around a trigger that are looked at, and kept around a labelled span.
+#: Characters around a stretch that are looked at (those of a number's span beyond its digits, at most), and kept around a labelled span.
 MARGIN, CONTEXT = 32, WINDOW
 
 # Fixed values of the base patterns.
@@ -56,6 +58,12 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _NUMERALS = frozenset("0123456789")
 _DIGITS = re.compile(r"[0-9]+")
 _TRIGGER = re.compile(r"[0-9@]|\bdot\b", re.IGNORECASE)
+_AT_CORE = re.compile(r"@|\bat\b", re.IGNORECASE)
+_AT_TAIL = re.compile(r"\s*[\)\]}>]?\s*")
+#: What may follow ``_AT`` in an address.
+_WRITTEN_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\s*[\(\[{<]\s*(?:\.|dot)\s*[\)\]}>]\s*|\s+(?:\.|dot)\s+)[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: What may stand before the core of ``_AT``, read backwards; spaces and brackets touch a dot.
+_LOCAL_BACKWARDS = re.compile(r"\s*[\(\[{<]?\s*(?:[A-Za-z0-9._%+-]+|(?:(?<=\.)|(?<=tod))[\s()\[\]{}<>]+|[\s()\[\]{}<>]+(?=\.|tod))+", re.IGNORECASE)
 _AT = re.compile(r"\s*[\(\[{<]?\s*(?:@|\bat\b)\s*[\)\]}>]?\s*", re.IGNORECASE)
 _DOT = re.compile(r"\s*[\(\[{<]\s*(?:\.|dot)\s*[\)\]}>]\s*|\s+(?:\.|dot)\s+", re.IGNORECASE)
 
@@ -102,7 +110,9 @@ def plausible(span: str, kind: int) -> bool:
     if kind == 0:
         return _EMAIL.fullmatch(_DOT.sub(".", _AT.sub("@", span, count=1))) is not None
     numbers = _DIGITS.findall(span)
-    gaps = _DIGITS.split(span)[1:-1]
+    ahead, *gaps, after = _DIGITS.split(span) if numbers else ("", "")
+    if max(len(ahead), len(after)) > MARGIN:
+        return False
     if kind == 1:
         return len(numbers) == 4 and _octets(numbers) and len({g.strip() for g in gaps}) == 1 and all(len(g) <= 5 and ("." in g or "dot" in g.lower()) for g in gaps)
     n = sum(map(len, numbers))
@@ -212,20 +222,40 @@ class Detector:
         return [(b, sorted(b + more, key=lambda s: (s[2], s[0], s[1]))) for b, more in zip(base, self.learned(texts, base), strict=True)]
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches that hold every plausible e-mail span, in time linear in the text: at signs and words ``at`` with a local part and a domain."""
+    backwards, last, known = "", 0, 0
+    for m in _AT_CORE.finditer(text):
+        after = _AT_TAIL.match(text, m.end()).end()
+        if after == m.end() and after < known:
+            end = known  # within a domain: the same labels follow
+        else:
+            domain = _WRITTEN_DOMAIN.match(text, after)
+            end = domain.end() if domain else 0
+            known = max(known, end)
+        if end:
+            backwards = backwards or text[::-1]
+            # No local part holds another at, but it may begin within that word.
+            local = _LOCAL_BACKWARDS.match(backwards, len(text) - m.start(), len(text) - last)
+            if local:
+                yield len(text) - local.end(), end
+        last = m.start() + 1
+
+
 def window_starts(text: str) -> list[int]:
-    """Starts of windows that cover everything within ``MARGIN`` of a trigger, overlapping by half where more than one is needed."""
+    """Starts of windows that cover everything within ``MARGIN`` of what can hold a span, overlapping by half where more than one is needed."""
     out, covered = [], -1
-    for m in _TRIGGER.finditer(text):
-        if m.end() + MARGIN <= covered:
+    for a, b in sorted([*((m.start(), m.end()) for m in _TRIGGER.finditer(text)), *addresses(text)]):
+        if b + MARGIN <= covered:
             continue
-        if not out or m.start() - MARGIN > covered - WINDOW // 2:
-            start = max(0, m.start() - MARGIN)
+        if not out or a - MARGIN > covered - WINDOW // 2:
+            start = max(0, a - MARGIN)
         else:
             start = covered - WINDOW // 2
         while True:
             out.append(start)
             covered = start + WINDOW
-            if covered >= min(len(text), m.end() + MARGIN):
+            if covered >= min(len(text), b + MARGIN):
                 break
             start = covered - WINDOW // 2
     return out
