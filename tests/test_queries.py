@@ -38,3 +38,17 @@ def test_query_equals_its_sql(spark, tables, name):
     assert sorted(theirs) == columns
     want = sorted(tuple(plain(r[theirs.index(c)]) for c in columns) for r in answer.fetchall())
     assert sorted(tuple(map(plain, r)) for r in found.select(*[f"`{c}`" for c in columns]).collect()) == want
+
+
+@pytest.mark.parametrize("name", ["oi_change", "spread_state", "spread_state_plain"])
+def test_rows_of_one_time_come_in_order_of_their_ids(spark, tmp_path, name):
+    """Six copies of every event at its own time, dealt out at random; with one thread DuckDB keeps the table's order."""
+    db = duckdb.connect(config={"threads": 1})
+    db.execute(f"""CREATE TABLE events AS SELECT event_id * 6 + k AS event_id, ts, user_id, event_type, value + k * 7 % 5 AS value, props
+      FROM (SELECT * FROM '{SF}/events.parquet' WHERE event_id < 300), range(6) r(k) ORDER BY event_id, k""")
+    db.execute(f"COPY (SELECT * FROM events ORDER BY hash(event_id)) TO '{tmp_path}/events.parquet'")
+    found = catalog.queries()[name](spark, str(tmp_path))
+    answer = db.execute(catalog.oracle_sql()[name])
+    theirs = [d[0] for d in answer.description]
+    want = sorted(tuple(plain(r[theirs.index(c)]) for c in found.columns) for r in answer.fetchall())
+    assert sorted(tuple(map(plain, r)) for r in found.collect()) == want

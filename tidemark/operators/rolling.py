@@ -12,19 +12,26 @@ MINUTE = 60_000
 HISTORY = 120
 
 
-def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = HISTORY, part: Column | None = None) -> DataFrame:
+def _order(arrival: str, tie: str | None) -> list[str]:
+    return [arrival] if tie is None else [arrival, tie]
+
+
+def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = HISTORY, part: Column | None = None, tie: str | None = None) -> DataFrame:
     """Deltas to the previous sample and to the oldest within 5, 15 and 60 minutes (of ``history`` samples at most).
 
-    With ``part`` a symbol's history is dealt to groups, each with the samples
+    Samples that tie in ``arrival`` come in order of the column ``tie``; without one their order is open. With ``part`` a symbol's history is dealt to groups, each with the samples
     before it that the window reaches (see :mod:`tidemark.operators.parts`).
     """
     reach = {"time": "timestamp", "span": 60 * MINUTE, "rows": 1} if history is None else {"rows": history}
     out, keys = grouped(df, part, **reach)
-    w = W.partitionBy(*keys).orderBy(arrival)
+    w = W.partitionBy(*keys).orderBy(*_order(arrival, tie))
     out = out.withColumn("_p", F.lag("open_interest").over(w))
     if arrival == "timestamp":
+        # Of samples at one time the first stands for all where a window by time begins with them.
+        ahead = F.col("open_interest") if tie is None else F.first("open_interest").over(W.partitionBy(*keys, "timestamp").orderBy(tie))
+        out = out.withColumn("_ahead", ahead)
         # Samples in time order: the oldest within the span, unless the one ``history`` samples back is younger.
-        oldest = lambda m: F.first("open_interest").over(W.partitionBy(*keys).orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
+        oldest = lambda m: F.first("_ahead").over(W.partitionBy(*keys).orderBy("timestamp").rangeBetween(-m * MINUTE, 0))
         if history is None:
             first = oldest
         else:
@@ -49,23 +56,29 @@ def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = H
     )
 
 
-def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None, part: Column | None = None) -> DataFrame:
+def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None, part: Column | None = None, tie: str | None = None) -> DataFrame:
     """Rolling mean, population deviation and z-score of ``spread_bps`` over the last rows.
 
     With ``scale`` the statistics come from sums of integers ``round(x * scale)``,
     whose value does not depend on the order of addition; they are differences
     of running sums, so a row costs the same whatever the window. With ``part``
     a symbol's history is dealt to groups, each with the ``window`` rows before
-    it (see :mod:`tidemark.operators.parts`).
+    it (see :mod:`tidemark.operators.parts`). Rows that tie in ``arrival`` come
+    in order of the column ``tie``; without one their order is open.
     """
     stats, keys = grouped(df, part, rows=window)
-    each = W.partitionBy(*keys).orderBy(arrival)
+    each = W.partitionBy(*keys).orderBy(*_order(arrival, tie))
     w = each.rowsBetween(1 - window, 0)
+    so_far = each.rowsBetween(W.unboundedPreceding, 0)
     if scale is None:
-        stats = stats.withColumn("_mean", F.avg("spread_bps").over(w)).withColumn("_std", F.stddev_pop("spread_bps").over(w))
+        # The mean comes from running sums of decimals, so that it is that of the values as they are written, whatever the order.
+        stats = stats.withColumn("_x", F.col("spread_bps").try_cast("decimal(28,18)"))
+        stats = stats.withColumn("_a", F.sum(F.coalesce("_x", F.lit(0).cast("decimal(28,18)"))).over(so_far)).withColumn("_n", F.count("spread_bps").over(so_far)).withColumn("_k", F.count("_x").over(so_far))
+        held = lambda c: F.col(c) - F.coalesce(F.lag(c, window).over(each), F.lit(0))
+        stats = stats.withColumn("_s", held("_a").cast("double")).withColumn("_m", held("_n")).withColumn("_all", held("_k") == F.col("_m"))
+        stats = stats.withColumn("_mean", F.when(F.col("_all"), F.try_divide("_s", "_m")).otherwise(F.avg("spread_bps").over(w))).withColumn("_std", F.stddev_pop("spread_bps").over(w))
     else:
         stats = stats.withColumn("_i", F.round(F.col("spread_bps") * scale).cast("long"))
-        so_far = each.rowsBetween(W.unboundedPreceding, 0)
         # Squares of a whole history may exceed 64 bits: their running sums are decimals.
         square = (F.col("_i") * F.col("_i")).cast("decimal(20,0)")
         stats = stats.withColumn("_a", F.sum("_i").over(so_far)).withColumn("_b", F.sum(square).over(so_far)).withColumn("_n", F.least(F.row_number().over(each), F.lit(window)).cast("long"))

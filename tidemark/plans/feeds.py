@@ -222,9 +222,9 @@ def _(s, d):
   w AS (SELECT *, avg(x) OVER f AS m, stddev_pop(x) OVER f AS sd FROM a WINDOW f AS (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 299 PRECEDING AND CURRENT ROW))
   SELECT timestamp, symbol, x AS spread_bps, CAST(round(CASE WHEN sd > 1e-9 THEN (x - m) / sd ELSE 0 END * 9999.1) AS BIGINT) AS z4, CAST(round(m * 9999.1) AS BIGINT) AS mean4, CAST(round(sd * 9999.1) AS BIGINT) AS std4 FROM w""")
 def _(s, d):
-    e = _t(s, d, "events").select(F.col("event_type").alias("symbol"), _ms("ts").alias("timestamp"), F.col("value").alias("spread_bps"))
+    e = _t(s, d, "events").select(F.col("event_type").alias("symbol"), _ms("ts").alias("timestamp"), F.col("value").alias("spread_bps"), "event_id")
     four = lambda c: F.round(F.col(c) * 9999.1).cast("long")
-    return rolling.spread_state(e).select("timestamp", "symbol", "spread_bps", four("spread_zscore").alias("z4"), four("rolling_spread_mean").alias("mean4"), four("rolling_spread_std").alias("std4"))
+    return rolling.spread_state(e, tie="event_id").select("timestamp", "symbol", "spread_bps", four("spread_zscore").alias("z4"), four("rolling_spread_mean").alias("mean4"), four("rolling_spread_std").alias("std4"))
 
 
 # A listing of files: one per order, in the new layout (filled), the old one (open), or outside of both; some are no Parquet.
