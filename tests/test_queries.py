@@ -4,8 +4,9 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.plans import catalog
+from tidemark.plans import catalog, live
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -52,3 +53,32 @@ def test_rows_of_one_time_come_in_order_of_their_ids(spark, tmp_path, name):
     theirs = [d[0] for d in answer.description]
     want = sorted(tuple(plain(r[theirs.index(c)]) for c in found.columns) for r in answer.fetchall())
     assert sorted(tuple(map(plain, r)) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("name", ["guard_stream", "recover_gaps_stream", "ohlcv_timed_stream", "throttle_stream"])
+def test_streams_take_bounded_shares(spark, tables, monkeypatch, name):
+    """Runs of few rows each, as many as the input needs, give what one run gives."""
+    monkeypatch.setattr(live, "SHARE_ROWS", 300)
+    sizes, whole = [], live.in_runs
+
+    def watched(spark, rows, order, base, start, *others):
+        def counted(stream, *bounds):
+            query = start(stream, *bounds)
+            query.awaitTermination()
+            sizes.append(sum(p.numInputRows for p in query.recentProgress))
+            return query
+
+        return whole(spark, rows, order, base, counted, *others)
+
+    monkeypatch.setattr(live, "in_runs", watched)
+    test_query_equals_its_sql(spark, tables, name)
+    assert len(sizes) >= 3 and max(sizes) <= 320
+
+
+def test_shares_are_even_and_keep_equal_values_together(spark, monkeypatch):
+    monkeypatch.setattr(live, "SHARE_ROWS", 50)
+    rows = spark.range(400).select(F.when(F.col("id") < 300, F.col("id")).otherwise(F.lit(3 * 10**9)).alias("at"))
+    edges = live._edges(rows, "at", 2)
+    assert edges == sorted(set(edges)) and edges[-1] <= 3 * 10**9
+    assert live._edges(rows.where("at < 300"), "at", 2)[::2] and max(b - a for a, b in zip([0, *live._edges(rows.where("at < 300"), "at", 2)], [*live._edges(rows.where("at < 300"), "at", 2), 300], strict=True)) <= 50
+    assert live._edges(rows.where("false"), "at", 2) == [] and live._edges(rows.where("at >= 300"), "at", 2) == []

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.folders import shared_folder
@@ -30,28 +31,58 @@ def _query(name: str, sql: str) -> Callable[[Query], Query]:
     return add
 
 
-def in_runs(spark: SparkSession, rows: DataFrame, order: str, base: str, start: Callable[[DataFrame], StreamingQuery], runs: int = 2) -> None:
-    """Gives ``rows`` to a stream in ``runs`` shares along ``order``; each is taken to its end by a query of its own, from what the one before left."""
-    edges = rows.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    width = max(1, -(-((edges.hi or 0) - (edges.lo or 0) + 1) // runs))
-    shared = rows.withColumn("_share", F.floor((F.col(order) - F.lit(edges.lo or 0)) / width))
-    for run in range(runs):
-        shared.where(F.col("_share") == run).drop("_share").write.mode("append").parquet(f"{base}/in")
-        start(spark.readStream.schema(rows.schema).parquet(f"{base}/in")).awaitTermination()
-
-
-def finished(spark: SparkSession, rows: DataFrame, order: str, build: Callable[[DataFrame], DataFrame], label: str, runs: int = 2) -> DataFrame:
-    """What ``build`` makes of ``rows`` as a stream that is stopped and started again from its checkpoint."""
+#: Rows of a share, as far as ``order`` parts them: what a run's tasks hold does not grow with the input.
+SHARE_ROWS = 1_500_000
+
+
+def _edges(rows: DataFrame, order: str, runs: int) -> list:
+    """Values of ``order`` at which a new share begins, from a count of every value's neighbourhood: shares of ``SHARE_ROWS`` at most, ``runs`` at least."""
+    ends = rows.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(order).alias("n")).first()
+    if not ends.n:
+        return []
+    # Cells narrow enough for many of them to a share; equal values stay together.
+    shares = max(runs, -(-ends.n // SHARE_ROWS))
+    width = max(1, (ends.hi - ends.lo + 1) // (64 * shares))
+    cell = F.floor((F.col(order) - F.lit(ends.lo)) / width)
+    most, edges, held = -(-ends.n // shares), [], 0
+    for at, n in sorted((r[0], r[1]) for r in rows.where(F.col(order).isNotNull()).groupBy(cell.alias("cell")).count().collect()):  # at most about 64 a share
+        if held and held + n > most:
+            edges.append(ends.lo + at * width)
+            held = 0
+        held += n
+    return edges
+
+
+def in_runs(spark: SparkSession, rows: DataFrame, order: str, base: str, start: Callable[[DataFrame, int | None, int | None], StreamingQuery], runs: int = 2, before_last: Callable[[], None] = lambda: None) -> None:
+    """Gives ``rows`` to a stream in ``runs`` shares or more along ``order``; each is taken to its end by a query of its own, from what the one before left.
+
+    ``start`` gets the stream and the values of ``order`` at which the share begins and the next one does (None at the ends).
+    A share has ``SHARE_ROWS`` rows at most, so that a keyed operator, which
+    puts a batch's rows of a key in order, holds no more, however long the input is.
+    """
+    edges = _edges(rows, order, runs)
+    share = sum(((F.col(order) >= F.lit(e)).cast("int") for e in edges), F.lit(0)) if len(edges) < 32 else F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(order)))
+    rows.withColumn("_share", F.coalesce(share, F.lit(0))).write.partitionBy("_share").parquet(f"{base}/shares")
+    shares = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_share", T.IntegerType())])).parquet(f"{base}/shares")
+    for run in range(len(edges) + 1):
+        shares.where(F.col("_share") == run).drop("_share").write.mode("append").parquet(f"{base}/in")
+        if run == len(edges):
+            before_last()
+        start(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), *[edges[i] if 0 <= i < len(edges) else None for i in (run - 1, run)]).awaitTermination()
+
+
+def finished(spark: SparkSession, rows: DataFrame, order: str, build: Callable[..., DataFrame], label: str, runs: int = 2, before_last: Callable[[], None] = lambda: None, bounds: bool = False) -> DataFrame:
+    """What ``build`` makes of ``rows`` as a stream that is stopped and started again from its checkpoint; with ``bounds`` it gets those of the share, too."""
     base = shared_folder(spark, f"stream-{label}")
     stateful.use_state_store(spark)
     kinds = []
 
-    def start(stream: DataFrame) -> StreamingQuery:
-        out = build(stream)
+    def start(stream: DataFrame, since: int | None, until: int | None) -> StreamingQuery:
+        out = build(stream, since, until) if bounds else build(stream)
         kinds.append(out.schema)
         return out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
 
-    in_runs(spark, rows, order, base, start, runs)
+    in_runs(spark, rows, order, base, start, runs, before_last)
     return spark.read.schema(kinds[0]).parquet(f"{base}/out")
 
 
@@ -76,7 +107,17 @@ def _(s, d):
   SELECT e.symbol, trade_id, price, true FROM ev e JOIN b ON e.symbol = b.symbol WHERE trade_id % 5 = 3 AND trade_id > lo AND trade_id < hi""")
 def _(s, d):
     every = _events(s, d).select("symbol", "trade_id", "price")
-    return finished(s, every.where("trade_id % 5 <> 3"), "trade_id", lambda x: stateful.recover_gaps_stream(x, every, "trade_id"), "gaps").drop("ahead_of")
+    live = every.where("trade_id % 5 <> 3")
+
+    def build(x, since, until):
+        # What a share misses lies behind the last id of a symbol before it, and ahead of the next share.
+        backfill = every if until is None else every.where(F.col("trade_id") < until)
+        if since is not None:
+            last = live.where(F.col("trade_id") < since).groupBy("symbol").agg(F.max("trade_id").alias("last")).agg(F.min("last")).first()[0]
+            backfill = backfill.where(F.col("trade_id") > last)
+        return stateful.recover_gaps_stream(x, backfill, "trade_id")
+
+    return finished(s, live, "trade_id", build, "gaps", bounds=True).drop("ahead_of")
 
 
 @_query("recent_keys_stream", f"WITH {_EV} SELECT symbol, user_id, min(trade_id) AS trade_id FROM ev GROUP BY 1, 2")
@@ -88,12 +129,14 @@ def _(s, d):
 @_query("ohlcv_timed_stream", f"""WITH {_EV} SELECT symbol, timestamp // {_HOUR} * {_HOUR} AS minute_start, arg_min(price, trade_id) AS open, max(price) AS high, min(price) AS low,
   arg_max(price, trade_id) AS close, sum(quantity) AS volume, count(*) AS trade_count FROM ev GROUP BY ALL""")
 def _(s, d):
-    """Hourly bars; a mark past the last trade closes the bars that are open then."""
-    rows = _events(s, d).select("symbol", "timestamp", "price", "quantity", "trade_id")
+    """Hourly bars; a mark past the last trade closes the bars that are open then. An hour's trades come in one share and in order of id."""
+    rows = _events(s, d).select("symbol", "timestamp", "price", "quantity", "trade_id").withColumn("hour", F.floor(F.col("timestamp") / _HOUR))
     marks = f"{shared_folder(s, 'marks')}/ends"
-    stateful.mark_end(s, marks, (rows.agg(F.max("timestamp")).first()[0] or 0) + 3 * _HOUR)
+    seen = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    stateful.mark_end(s, marks, seen.lo or 0)  # moves nothing; the folder must be there
+    end = lambda: stateful.mark_end(s, marks, (seen.hi or 0) + 3 * _HOUR)
     ends = lambda: s.readStream.schema("timestamp long").parquet(marks)
-    return finished(s, rows, "timestamp", lambda x: stateful.ohlcv_stream(x, _HOUR, late="1 hour", ends=ends()), "bars", runs=1)
+    return finished(s, rows, "hour", lambda x: stateful.ohlcv_stream(x, _HOUR, ["hour", "trade_id"], late="1 hour", ends=ends()), "bars", runs=1, before_last=end)
 
 
 @_query("asof_stream", f"""WITH {_EV} SELECT v.user_id, v.trade_id, s.price AS signup_value FROM (SELECT * FROM ev WHERE symbol = 'view') v
@@ -151,7 +194,7 @@ def _(s, d):
     root, base = shared_folder(s, "sink"), shared_folder(s, "sink-stream")
     sink = StoreSink("trades", root)
     rows = _repeated(s, d)
-    in_runs(s, rows, "received_at", base, lambda stream: sink.start(stream, f"{base}/checkpoint"))
+    in_runs(s, rows, "received_at", base, lambda stream, *_: sink.start(stream, f"{base}/checkpoint"))
     days = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).select(F.to_date(F.timestamp_millis(F.floor((F.col("lo") + F.col("hi")) / 2)))).first()[0]
     sink.finalize(s, days)
     return _stored(s, root)

@@ -93,17 +93,17 @@ class _Closing(StatefulProcessor):
         pass
 
 
-def _closing(trades: DataFrame, out: str, state: str, add, result, width: int, seq: str, late: str | None, ends: DataFrame | None) -> DataFrame:
+def _closing(trades: DataFrame, out: str, state: str, add, result, width: int, seq: str | Sequence[str], late: str | None, ends: DataFrame | None) -> DataFrame:
     schema = T.StructType.fromDDL(out)
     if ends is not None:
         trades = trades.unionByName(ends.select("timestamp"), allowMissingColumns=True)
     if late is not None:
         trades = trades.withColumn("_ts", F.timestamp_millis("timestamp")).withWatermark("_ts", late)
-    processor = _Closing(add, result, state, schema.names, width, [seq], late is not None)
+    processor = _Closing(add, result, state, schema.names, width, [seq] if isinstance(seq, str) else seq, late is not None)
     return trades.groupBy("symbol").transformWithState(processor, schema, "append", "none" if late is None else "eventTime")
 
 
-def ohlcv_stream(trades: DataFrame, width: int = 60_000, seq: str = "trade_id", late: str | None = None, ends: DataFrame | None = None) -> DataFrame:
+def ohlcv_stream(trades: DataFrame, width: int = 60_000, seq: str | Sequence[str] = "trade_id", late: str | None = None, ends: DataFrame | None = None) -> DataFrame:
     """Bars by arrival: a bar closes when its symbol's next bucket begins. A late trade opens a bar whose key is
     already stored; :func:`first_wins` drops it.
 
@@ -120,7 +120,7 @@ def ohlcv_stream(trades: DataFrame, width: int = 60_000, seq: str = "trade_id",
     return _closing(trades, _BAR, state, add, lambda key, bar: (key, *bar), width, seq, late, ends)
 
 
-def taker_delta_stream(trades: DataFrame, width: int = 60_000, seq: str = "trade_id", late: str | None = None, ends: DataFrame | None = None) -> DataFrame:
+def taker_delta_stream(trades: DataFrame, width: int = 60_000, seq: str | Sequence[str] = "trade_id", late: str | None = None, ends: DataFrame | None = None) -> DataFrame:
     """Taker flow by arrival; bars close as in :func:`ohlcv_stream`."""
 
     def add(bar, r, minute):
