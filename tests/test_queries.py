@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import catalog, live
+from tidemark.plans import catalog, feeds, live
+from tidemark.sources import parse
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -82,3 +83,19 @@ def test_shares_are_even_and_keep_equal_values_together(spark, monkeypatch):
     assert edges == sorted(set(edges)) and edges[-1] <= 3 * 10**9
     assert live._edges(rows.where("at < 300"), "at", 2)[::2] and max(b - a for a, b in zip([0, *live._edges(rows.where("at < 300"), "at", 2)], [*live._edges(rows.where("at < 300"), "at", 2), 300], strict=True)) <= 50
     assert live._edges(rows.where("false"), "at", 2) == [] and live._edges(rows.where("at >= 300"), "at", 2) == []
+
+
+def test_a_payload_is_read_once(spark):
+    """A filter on the fields does not read the text again."""
+    found = catalog.queries()["parse_liquidations"](spark, SF)
+    assert found._jdf.queryExecution().executedPlan().toString().count("from_json(") == 2  # the object and the order within it
+
+
+def test_answers_stay_short_with_more_parts(spark, tables, tmp_path, monkeypatch):
+    spark.read.parquet(f"{SF}/part.parquet").withColumn("p_brand", F.lit("B")).withColumn("p_size", F.lit(7)).withColumn("p_retailprice", F.lit(1000.0)).write.parquet(f"{tmp_path}/part.parquet")
+    seen, plain_parser = [], parse.exchange_metadata
+    monkeypatch.setattr(feeds, "ANSWER_KEYS", 10)
+    monkeypatch.setattr(parse, "exchange_metadata", lambda df, configured: (seen.append(df), plain_parser(df, configured))[1])
+    rows = catalog.queries()["exchange_metadata"](spark, str(tmp_path)).count()
+    assert rows == spark.read.parquet(f"{SF}/part.parquet").count() > 10
+    assert seen[0].select(F.max(F.size(F.split("data", "PRICE_FILTER")) - 1)).first()[0] <= 10

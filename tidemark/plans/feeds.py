@@ -189,14 +189,18 @@ def _(s, d):
     return footers.footer_range(s, f"{d}/lineitem.parquet", "l_orderkey")
 
 
+#: Part keys that an answer of the exchange reaches over.
+ANSWER_KEYS = 20_000
+
+
 @_query("exchange_metadata", """SELECT upper(p_brand) || '-' || p_partkey AS symbol, p_retailprice AS tick_size, CAST(p_size AS DOUBLE) AS step_size, 0.0 AS min_qty, CAST(p_size AS DOUBLE) AS min_notional,
   CAST(NULL AS DOUBLE) AS maker_fee, CAST(NULL AS DOUBLE) AS taker_fee, CAST(p_size AS BIGINT) AS timestamp, p_partkey AS pos FROM part WHERE p_retailprice > 950""")
 def _(s, d):
     p = _t(s, d, "part").withColumn("symbol", F.concat(F.lower("p_brand"), F.lit("-"), "p_partkey"))
     one = lambda kind, **kv: F.create_map(F.lit("filterType"), F.lit(kind), *[x for k, v in kv.items() for x in (F.lit(k), _text(v))])
     filters = F.array(one("PRICE_FILTER", tickSize=F.col("p_retailprice")), one("LOT_SIZE", stepSize=F.col("p_size")), one("NOTIONAL", minNotional=F.col("p_size")))
-    # One answer for each brand and size lists its parts; an answer comes as often as there are sizes.
-    payload = p.groupBy("p_brand", "p_size").agg(F.to_json(F.struct(F.collect_list(F.struct("symbol", filters.alias("filters"))).alias("symbols"))).alias("data"))
+    # Answers for each brand and size list its parts, those of one stretch of keys in each: an answer is no longer for more parts.
+    payload = p.groupBy("p_brand", "p_size", F.floor(F.col("p_partkey") / ANSWER_KEYS)).agg(F.to_json(F.struct(F.collect_list(F.struct("symbol", filters.alias("filters"))).alias("symbols"))).alias("data"))
     configured = p.where("p_retailprice > 950").select(F.upper("symbol").alias("symbol"), F.col("p_partkey").alias("pos"))
     return parse.exchange_metadata(payload.select("data", F.col("p_size").cast("long").alias("received_at")), configured)
 

@@ -27,7 +27,8 @@ def _int(c: str) -> Column:
 def _payload(df: DataFrame, names: str, keep: tuple[str, ...], payload: str | Column, outer: bool = True) -> DataFrame:
     """The named fields as strings, beside the payload (``_raw``). Names differ by case (s and S), so the object is read as a map."""
     text = F.col(payload) if isinstance(payload, str) else payload
-    fields = df.withColumn("_p", F.from_json(text, "map<string,string>"))
+    # Not deterministic in form, so that no filter on the fields is moved below and reads the text again for each of them.
+    fields = df.withColumn("_p", F.when(F.spark_partition_id() >= 0, F.from_json(text, "map<string,string>")))
     if outer:
         fields = fields.withColumn("_raw", text).withColumn("_is_object", F.col("_p").isNotNull())
     return fields.select(*[F.try_element_at("_p", F.lit(n)).alias(_alias(n)) for n in names.split()], *keep, "_raw", "_is_object")
