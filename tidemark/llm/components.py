@@ -1,13 +1,16 @@
 """Connected components of a distributed edge list by contraction.
 
 Each round every node points to its smallest neighbour below it, pointers are
-followed to their roots, and the edges are drawn between roots anew. All steps
-are map-side combined minima and joins that deal a node with very many edges
-to several tasks, so none is gathered in one task or sent to the driver.
+followed to their roots, and the edges that no pointer took are drawn between
+roots anew. All steps are map-side combined minima and joins that deal a node
+with very many edges to several tasks, so none is gathered in one task or sent
+to the driver.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,24 +33,27 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         parents = ws.save(e.groupBy("b").agg(F.min("a").alias("p"), F.count(F.lit(1)).alias("n")), "parents")
         # A node that is the greater end of very many edges is dealt out as well as one that is the smaller.
         wide = hot_keys(ws, parents, ["b"])
-        up = parents.select("b", "p")
-        up._tidemark_path = parents._tidemark_path
+        moving = parents.select("b", F.col("p").alias("first"), "p")
+        pointers, settled, steps = moving, [], [parents]
         while True:
-            above = up.select(F.col("b").alias("p"), F.col("p").alias("q"))
-            step = join_spread(ws, up, above, "p", "b", "left").select("b", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
+            above = pointers.select(F.col("b").alias("p"), F.col("p").alias("q"))
+            step = join_spread(ws, moving, above, "p", "b", "left").select("b", "first", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
             jumped = ws.save(step, "jumped")
-            still = jumped.where("moved").isEmpty()
-            ws.drop(up)
-            path = jumped._tidemark_path
-            up = jumped.select("b", "p")
-            up._tidemark_path = path
-            if still:
+            steps.append(jumped)
+            # A pointer that did not move has met its root and is followed no further.
+            settled.append(jumped.where("NOT moved").select("b", "first", "p"))
+            moving = jumped.where("moved").select("b", "first", "p")
+            if moving.isEmpty():
                 break
+            pointers = functools.reduce(DataFrame.unionByName, settled, moving)
+        up = functools.reduce(DataFrame.unionByName, settled)
+        # The edge that a node's pointer took lies within a root; only the others can join two roots.
+        others = join_dealt(e, up, ["b"], "a", wide).where("a != first").select("a", F.col("p").alias("b"))
+        others = ws.save(others.distinct(), "others")
         below = up.select(F.col("b").alias("a"), F.col("p").alias("ra"))
-        nearer = join_spread(ws, e, below, "a", "b", "left").select(F.coalesce("ra", "a").alias("a"), "b", F.col("a").alias("by"))
-        nearer = join_dealt(nearer, up.select("b", "p"), ["b"], "by", wide).select("a", F.col("p").alias("b"))
+        nearer = join_spread(ws, others, below, "a", "b", "left").select(F.coalesce("ra", "a").alias("a"), "b")
         smaller = ws.save(nearer.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-        ws.drop(e)
+        ws.drop(e, others)
         e = smaller
         now = up.select(F.col("b").alias("id"), F.col("p").alias("component"))
         if labels is None:
@@ -58,7 +64,7 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
             newer = ws.save(moved.unionByName(now), "labels")
             ws.drop(labels)
             labels = newer
-        ws.drop(up)
+        ws.drop(*steps)
     if labels is None:
         return ws.save(e.select(F.col("a").alias("id"), F.col("b").alias("component")), "labels")
     return labels

@@ -28,11 +28,13 @@ def hot_keys(ws: Workspace, counted: DataFrame, on: Sequence[str], n: str = "n")
 def join_dealt(many: DataFrame, one: DataFrame, on: Sequence[str], by: str, hot: DataFrame, how: str = "inner") -> DataFrame:
     """``many`` joined with ``one`` on ``on``: rows of a hot key go to ``_parts`` tasks by a hash of ``by``, its row of ``one`` to each.
 
-    The plan is the same whether there are hot keys or not.
+    Only rows of ``many`` look their key up: every row of ``one`` goes to part 0 as it is, those of hot keys to the other parts too.
+    ``one`` is read twice, so it is a written table or made from one by a few steps.
     """
     part = F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))
     left = many.join(hot, list(on), "left").withColumn("_part", part).drop("_parts")
-    right = one.join(hot, list(on), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    more = one.join(hot, list(on)).withColumn("_part", F.explode(F.sequence(F.lit(1), F.col("_parts") - 1))).drop("_parts")
+    right = one.withColumn("_part", F.lit(0)).unionByName(more)
     return left.join(right, [*on, "_part"], how).drop("_part")
 
 
