@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 
 from tidemark.llm import packing, quality_rules
+from tidemark.llm.workspace import Workspace
 
 DOCS = "doc_id long, text string"
 
@@ -99,3 +100,50 @@ def test_packing_takes_no_more_sequences_than_tokens_alone():
         tight, _ = packing.pack_balanced(lengths, 512, None, None)
         assert len(set(tight.tolist())) <= len(set(loose.tolist()))
         assert np.bincount(tight).max() <= np.bincount(loose).max()
+
+
+def test_target_counts_every_trusted_text(spark):
+    """More labels than one sample of 20,000 ids held: each adds its counts to the target, however rare its words."""
+    n = 21_000
+    rows = [(i, f"word{i} " + "common " * 3) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(1 AS INT) AS quality")
+    seen = []
+    ratios = quality_rules.log_ratios
+
+    def watched(raw, good):
+        seen.append((raw, good))
+        return ratios(raw, good)
+
+    quality_rules.log_ratios = watched
+    try:
+        quality_rules.fit(docs, labels)
+    finally:
+        quality_rules.log_ratios = ratios
+    (raw, good), = seen
+    assert raw.sum() == good.sum() == n * 7 and (raw == good).all()
+
+
+def test_threshold_over_ranges_equals_the_plain_search(spark):
+    """Errors, gaps and ties of all cuts, whatever the ranges that the scores are dealt to."""
+    rng = random.Random(5)
+    for n_good, n_bad, digits in ((3000, 400, 6), (1500, 300, 2), (40, 0, 3), (0, 10, 3), (5, 3, 1)):
+        good = [round(rng.gauss(0.5, 0.3), digits) for _ in range(n_good)]
+        bad = [round(rng.gauss(-0.3, 0.4), digits) for _ in range(n_bad)]
+        rows = [(1, s, 1) for s in good] + [(0, s, 1) for s in bad]
+        scored = spark.createDataFrame([(q, s, 2 * n) for q, s, n in rows], "q int, s double, n long").repartition(3)
+        got = quality_rules.choose_threshold(Workspace(spark, "test"), scored)
+        if not good:
+            assert got == -math.inf
+            continue
+        good, bad = np.sort(np.repeat(good, 2)), np.sort(np.repeat(bad, 2))
+        least = good[int((1 - quality_rules.KEEP_TRUSTED) * len(good))]
+        if not len(bad):
+            assert got == least - 1e-9
+            continue
+        values = np.unique(np.concatenate([good, bad]))
+        values = values[values <= least]
+        lows = np.concatenate([[values[0] - 1.0], values[:-1]])
+        cuts = (lows + values) / 2
+        errors = np.searchsorted(good, cuts) / len(good) + (len(bad) - np.searchsorted(bad, cuts)) / len(bad)
+        assert got == cuts[np.lexsort((cuts, -(values - lows), np.round(errors, 12)))[0]]

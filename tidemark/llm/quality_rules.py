@@ -6,9 +6,10 @@ score is the mean over its n-grams of log p_target - log p_raw; it passes if
 the score reaches one threshold, set from labelled documents; trusted ones are
 scored with their own counts taken out of the target, as any other text is.
 
-The raw counters come from every document: a task adds up its own and sends
-one row per counter it touched. The target and the threshold come from a
-bounded sample of labelled ids (``SAMPLE_LABELS``, chosen by hash).
+The raw counters come from every document, target and threshold from every
+labelled one: a task adds up its own counters and sends one row per counter it
+touched; labelled scores are dealt by ranges, in which running sums give the
+errors of every cut.
 """
 
 from __future__ import annotations
@@ -18,19 +19,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.skew import by_size
 from tidemark.llm.textops import hash_words, map_rows, mix64, slices, struct, windows
+from tidemark.llm.workspace import Workspace
 
 #: Counters; a power of two.
 BUCKETS = 1 << 18
-#: Labelled ids that the target and the threshold are drawn from, at most.
-SAMPLE_LABELS = 20_000
 #: Pseudo-count of every counter of the raw corpus.
 SMOOTHING = 0.5
 #: Weight, in n-grams, of the raw distribution within the target: what few trusted texts do not hold costs little, with many it counts in full.
 PRIOR = 1000.0
-#: Part of the trusted sample that the threshold must keep.
+#: Part of the trusted texts that the threshold must keep.
 KEEP_TRUSTED = 0.999
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -95,33 +97,24 @@ def base_counts(text: str | None, h: np.ndarray) -> tuple[int, int, int, int, in
     return len(h), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeated_words(h)
 
 
-def corpus_counts(docs: DataFrame, trusted: DataFrame | None) -> tuple[np.ndarray, np.ndarray]:
-    """Counters over all documents and over the trusted ones (ids of a bounded size)."""
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("text"))
-    if trusted is None:
-        rows = rows.withColumn("good", F.lit(False))
-    else:
-        good = trusted.select(F.col("doc_id").alias("_id"), F.lit(True).alias("good"))
-        rows = rows.join(F.broadcast(good), "_id", "left")  # at most SAMPLE_LABELS rows
+def gram_counts(texts: DataFrame) -> np.ndarray:
+    """Counters over (text, n): every text counts n times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts, marks = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for pick, row in ((texts, 0), ([t for t, m in zip(texts, marks, strict=True) if m], 1)):
-                    found = [grams(hashes(t)) for t in pick]
-                    if found:
-                        both[row] += np.bincount(np.concatenate(found), minlength=BUCKETS)
-        at = np.flatnonzero(both[0] + both[1])
-        yield pa.RecordBatch.from_pydict({"b": pa.array(at.astype(np.int32)), "raw": pa.array(both[0][at]), "good": pa.array(both[1][at])})
-
-    sums = rows.select("text", "good").mapInArrow(run, struct("b int, raw long, good long")).groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
+                found = [grams(hashes(t)) for t in part.column(0).to_pylist()]
+                times = np.repeat(part.column(1).to_numpy(), [len(g) for g in found])
+                counts += np.bincount(np.concatenate(found), weights=times, minlength=BUCKETS).astype(np.int64)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"b": pa.array(at.astype(np.int32)), "n": pa.array(counts[at])})
+
+    sums = texts.select("text", F.col("n").cast("long").alias("n")).mapInArrow(run, struct("b int, n long")).groupBy("b").agg(F.sum("n").alias("n"))
     table = sums.toArrow()  # at most BUCKETS rows
-    raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    at = table.column("b").to_numpy()
-    raw[at], good[at] = table.column("raw").to_numpy(), table.column("good").to_numpy()
-    return raw, good
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[table.column("b").to_numpy()] = table.column("n").to_numpy()
+    return counts
 
 
 def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
@@ -148,26 +141,36 @@ def score_apart(h: np.ndarray, raw: np.ndarray, good: np.ndarray, copies: int) -
     return float((n * (np.log(p) - np.log(q))).sum() / n.sum())
 
 
-def choose_threshold(good: np.ndarray, bad: np.ndarray) -> float:
-    """The cut between labelled scores with the fewest errors that keeps KEEP_TRUSTED of the good ones.
+def choose_threshold(ws: Workspace, scored: DataFrame) -> float:
+    """The cut between labelled scores (q, s, n) with the fewest errors that keeps KEEP_TRUSTED of the good ones.
 
     Among equally good cuts the one amid the widest gap wins, then the lowest.
     Without good scores nothing is cut, without bad ones the bound on good ones alone counts.
+    Scores are dealt by ranges; the driver gets three numbers of each range.
     """
-    if len(good) == 0:
+    of = lambda q: F.sum(F.when(F.col("q") == q, F.col("n")).otherwise(0))
+    values = scored.groupBy("s").agg(of(1).alias("good"), of(0).alias("bad")).repartitionByRange("s")
+    values = ws.save(values.withColumn("part", F.spark_partition_id()), "values")
+    ranges = values.groupBy("part").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("s").alias("top")).orderBy("part").collect()
+    goods, bads = (np.array([r[c] for r in ranges], np.int64) for c in ("good", "bad"))
+    n_good, n_bad = int(goods.sum()), int(bads.sum())
+    if n_good == 0:
         return -np.inf
-    good = np.sort(good)
-    ceiling = good[int((1 - KEEP_TRUSTED) * len(good))]
-    if len(bad) == 0:
+    # What lies in the ranges before: scores, and the last of them.
+    before = [(r.part, int(g), int(b), ranges[i - 1].top if i else None) for i, (r, g, b) in enumerate(zip(ranges, np.cumsum(goods) - goods, np.cumsum(bads) - bads, strict=True))]
+    before = values.sparkSession.createDataFrame(before, "part int, good0 long, bad0 long, top0 double")
+    w = W.partitionBy("part").orderBy("s")
+    below = lambda c: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col(f"{c}0")
+    cuts = values.join(F.broadcast(before), "part").select("s", "good", below("good").alias("good_below"), below("bad").alias("bad_below"), F.coalesce(F.lag("s").over(w), "top0", F.col("s") - 1.0).alias("low"))
+    cuts = ws.save(cuts, "cuts")
+    ceiling = cuts.where(F.col("good_below") + F.col("good") > int((1 - KEEP_TRUSTED) * n_good)).agg(F.min("s")).first()[0]
+    if n_bad == 0:
         return float(ceiling) - 1e-9
-    values = np.unique(np.concatenate([good, bad, [ceiling]]))
-    values = values[values <= ceiling]
-    lows = np.concatenate([[values[0] - 1.0], values[:-1]])
-    cuts = (lows + values) / 2
-    bad = np.sort(bad)
-    errors = np.searchsorted(good, cuts) / len(good) + (len(bad) - np.searchsorted(bad, cuts)) / len(bad)
-    best = np.lexsort((cuts, -(values - lows), np.round(errors, 12)))[0]
-    return float(cuts[best])
+    middle = (F.col("low") + F.col("s")) / 2
+    cut = F.when(middle > F.col("low"), middle).otherwise(F.col("s"))
+    errors = F.round(F.col("good_below") / n_good + (n_bad - F.col("bad_below")) / n_bad, 12)
+    best = cuts.where(F.col("s") <= ceiling).agg(F.min(F.struct(errors.alias("errors"), (F.col("low") - F.col("s")).alias("gap"), cut.alias("cut"))).alias("best"))
+    return float(best.first().best.cut)
 
 
 class Model:
@@ -178,28 +181,27 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame | None) -> Model:
-    """Counts over all of ``docs``; target and threshold from labelled ids (doc_id, quality).
+    """Counts over all of ``docs``; target and threshold from all labelled ids (doc_id, quality).
 
     Ids that carry both labels, null ids and null labels teach nothing. Without
     labels every score is 0 and passes, so the base rules decide alone.
     """
     docs = docs.select("doc_id", "text")
-    sample = None
-    if labels is not None:
-        pure = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q2")).where("q = q2")
-        sample = pure.select("doc_id", "q").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_LABELS).toArrow().to_pandas()
-        if len(sample) == 0:
-            sample = None
-    if sample is None:
+    if labels is None:
+        return Model(np.zeros(BUCKETS), -np.inf)
+    ws = Workspace(docs.sparkSession, "quality")
+    pure = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q2")).where("q = q2")
+    known = ws.save(pure.select("doc_id", "q"), "known")
+    # Every labelled text once, with its copies of one label.
+    chosen = ws.save(docs.join(by_size(known), "doc_id").groupBy("q", "text").agg(F.count(F.lit(1)).alias("n")), "labelled")
+    if chosen.isEmpty():
+        ws.drop_all_but()
         return Model(np.zeros(BUCKETS), -np.inf)
-    spark = docs.sparkSession
-    known = spark.createDataFrame(sample)
-    raw, good = corpus_counts(docs, known.where("q = 1"))
+    raw, good = gram_counts(docs.withColumn("n", F.lit(1))), gram_counts(chosen.where("q = 1"))
     ratios = log_ratios(raw, good)
-    shared = spark.sparkContext.broadcast((ratios.astype(np.float32), raw, good))
-    # At most SAMPLE_LABELS ids. A trusted text is scored as if it were not in the target, like those the labels leave out.
-    chosen = docs.join(F.broadcast(known), "doc_id").groupBy("q", "text").agg(F.count(F.lit(1)).alias("n"))
+    shared = docs.sparkSession.sparkContext.broadcast((ratios.astype(np.float32), raw, good))
 
+    # A trusted text is scored as if it were not in the target, like those the labels leave out.
     def prepare():
         def one(t, q, n):
             h = hashes(t)
@@ -209,9 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame | None) -> Model:
 
         return lambda marks, texts, copies: [marks, copies, [one(t, q, n) for t, q, n in zip(texts, marks, copies, strict=True)]]
 
-    scored = map_rows(chosen, struct("q int, n long, s double"), prepare).where("s IS NOT NULL").toArrow().to_pandas()
-    each = lambda q: np.repeat(scored.loc[scored.q == q, "s"].to_numpy(), scored.loc[scored.q == q, "n"].to_numpy())
-    return Model(ratios, choose_threshold(each(1), each(0)))
+    scored = map_rows(chosen, struct("q int, n long, s double"), prepare).where("s IS NOT NULL")
+    threshold = choose_threshold(ws, scored)
+    ws.drop_all_but()
+    return Model(ratios, threshold)
 
 
 def base_passes(counts: tuple[int, int, int, int, int]) -> bool:
