@@ -366,6 +366,16 @@ def near_components(ws: Workspace, select: Selection, sketches: DataFrame, p: Mi
     shared = ws.save(shared.select("k", "lead", "n"), "buckets")
     members = ws.save(join_dealt(banded, shared.select("k", "lead"), ["k"], "id", hot_keys(ws, shared, ["k"])).select("k", "id", "lead"), "members")
     ws.drop(shared)
+    labels = linked_members(ws, select, own, members, copies, p)
+    ws.drop_all_but(sketches, labels)
+    return labels
+
+
+def linked_members(ws: Workspace, select: Selection, own: DataFrame, members: DataFrame, copies: DataFrame, p: MinHash) -> DataFrame:
+    """(id, component) of every id that is not the smallest of its group, from the written (k, id, lead) of buckets and (id, first) of copies.
+
+    ``own`` has the sketches (id, n, sig, keys) of all members; copies are in no bucket.
+    """
     pairs = ws.save(members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     survivors = ws.save(_compare(ws, pairs, own, p), "survivors")
     ws.drop(pairs)
@@ -390,7 +400,6 @@ def near_components(ws: Workspace, select: Selection, sketches: DataFrame, p: Mi
     found = _residual(ws, members, labels, own, select, p)
     if not found.isEmpty():
         labels = connected_components(ws, links.unionByName(found))
-    ws.drop_all_but(sketches, labels)
     return labels
 
 

@@ -19,14 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.minhash_dedup import MinHash, band_key_matrix, hash_functions, near_components, tune_bands
+from tidemark.llm import packed
+from tidemark.llm.minhash_dedup import MinHash, band_key_matrix, hash_functions, linked_members, tune_bands
 from tidemark.llm.skew import by_size, few, hot_keys, join_dealt
-from tidemark.llm.textops import hash_spans, mix64, slices, struct, text_bytes, windows, word_spans
+from tidemark.llm.textops import hash_spans, mix64, slices, struct, windows, word_spans
 from tidemark.llm.workspace import Workspace
 
 #: Words of the shortest paragraph that counts as a passage.
@@ -43,11 +45,19 @@ _BANDS, _ROWS = tune_bands(75, RECALL, HASHES)
 _PLACE = np.uint64(28)
 PARAGRAPH = MinHash(bands=_BANDS, rows=_ROWS, batch=_BANDS * _ROWS // 3, miss=1e-4)
 
+#: Records of which rows with equal keys are sought: paragraphs by set and by band, verbatim blocks.
+RECORDS = {"copy": packed.record("c"), "band": packed.record(), "block": packed.record("c", "start", "end", "again")}
+
+
 def block_starts(h: np.ndarray) -> np.ndarray:
     """Content-chosen words at which the verbatim blocks of a text with these word hashes start."""
     if len(h) < BLOCK_WORDS:
         return np.empty(0, np.int64)
-    first = windows(h, 5)[: len(h) - BLOCK_WORDS + 1]
+    return _chosen(windows(h, 5)[: len(h) - BLOCK_WORDS + 1])
+
+
+def _chosen(first: np.ndarray) -> np.ndarray:
+    """The places of the minima of all runs of ``WINNOW`` hashes."""
     if len(first) <= WINNOW:
         return np.array([int(first.argmin())])
     # The hash's leading bits, then the place: minima are unique, the leftmost wins.
@@ -61,14 +71,6 @@ def block_starts(h: np.ndarray) -> np.ndarray:
     return (low[np.append(True, low[1:] != low[:-1])] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
 
 
-def _doc_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, word starts, word ends, line of each word, number of words of each line)."""
-    raw = text_bytes(text)
-    first, last = word_spans(raw)
-    line = np.searchsorted(np.flatnonzero(raw == 10), first)
-    return hash_spans(raw, first, last), first, last, line, np.bincount(line) if len(line) else np.empty(0, np.int64)
-
-
 def sketch_lines(parts: list[tuple[int, int, np.ndarray]], p: MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(n, fp, keys, sig) of paragraphs given as (., ., word hashes), all at once.
 
@@ -104,44 +106,81 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
-_SCAN = "doc long, pos int, n int, fp binary, keys array<long>, sig binary, k long, c long, start int, end int, again boolean"
+_SCAN = "id long, doc long, pos int, n int, keys array<long>, sig binary, kind string, part int, rows binary"
+
+
+def _blocks(docs: list[int], at: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[np.ndarray]:
+    """Records of the verbatim blocks of joined texts, which begin at the bytes ``at``."""
+    bounds = np.searchsorted(first, at).tolist()
+    begin, key = windows(h, 5), windows(h, BLOCK_WORDS)
+    check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)
+    for d, byte, x, y in zip(docs, at[:-1].tolist(), bounds[:-1], bounds[1:], strict=True):
+        if y - x < BLOCK_WORDS:
+            continue
+        b = x + _chosen(begin[x : y - BLOCK_WORDS + 1])
+        k, start, end = key[b], first[b], last[b + BLOCK_WORDS - 1]
+        out = np.zeros(len(b), RECORDS["block"])
+        out["k"], out["c"], out["of"] = k, check[b] >> np.uint64(33), d
+        out["start"], out["end"] = start - byte, end - byte
+        ordered = np.sort(k)
+        if (ordered[1:] == ordered[:-1]).any():
+            _, where, which = np.unique(k, return_index=True, return_inverse=True)
+            out["again"] = start >= end[where[which]]  # clear of the block's first place in this text
+        yield out
 
 
 def scan(docs: DataFrame, p: MinHash) -> DataFrame:
-    """One pass over the texts: a row with ``pos`` per paragraph (its sketch), a row with ``k`` per verbatim block."""
+    """One pass over the texts: a row with ``id`` per paragraph (its sketch), and packed records of a ``kind``.
+
+    A paragraph's number is made of the task's and a count, so two never share one.
+    """
     schema = to_arrow_schema(struct(_SCAN))
 
     def batch(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        held: dict[str, list[np.ndarray]] = {kind: [] for kind in RECORDS}
+
+        def put(kind: str, *rows: np.ndarray, least: int = packed.PACK) -> Iterator[pa.RecordBatch]:
+            held[kind] += rows
+            n = sum(map(len, held[kind]))
+            if n and n >= least:
+                part, values = packed.packs(np.concatenate(held[kind]))
+                held[kind] = []
+                yield batch({"kind": pa.array([kind] * len(part)), "part": pa.array(part), "rows": values}, len(part))
+
         for whole in batches:
             for part in slices(whole, "text"):
-                lines: list[tuple[int, int, np.ndarray]] = []
-                found: list[list[np.ndarray]] = [[], [], [], [], [], []]
-                for d, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    h, first, last, line, counts = _doc_parts(text)
-                    at = 0
-                    for pos, n in enumerate(counts.tolist()):
-                        if n >= MIN_WORDS:
-                            lines.append((d, pos, h[at : at + n]))
-                        at += n
-                    b = block_starts(h)
-                    if len(b):
-                        check = windows(h ^ np.uint64(0x5851F42D4C957F2D), BLOCK_WORDS)[b] >> np.uint64(33)
-                        k, end = windows(h, BLOCK_WORDS)[b].view(np.int64), last[b + BLOCK_WORDS - 1]
-                        _, where, which = np.unique(k, return_index=True, return_inverse=True)
-                        again = first[b] >= end[where[which]]  # clear of the block's first place in this text
-                        for column, value in zip(found, (k, check.astype(np.int64), np.full(len(b), d), first[b], end, again), strict=True):
-                            column.append(value)
-                for at in range(0, len(lines), 1 << 16):
-                    lines_now = lines[at : at + (1 << 16)]
-                    n, fp, keys, sig = sketch_lines(lines_now, p)
-                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(lines_now) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
-                    yield batch({"doc": pa.array([d for d, *_ in lines_now], pa.int64()), "pos": pa.array([x for _, x, _ in lines_now], pa.int32()), "n": pa.array(n), "fp": _binary(fp), "keys": listed, "sig": _binary(sig)}, len(lines_now))
-                if found[0]:
-                    k, c, d, a, b, again = (pa.array(np.concatenate(x)) for x in found)
-                    yield batch({"k": k, "c": c, "doc": d, "start": a, "end": b, "again": again}, len(k))
+                ids, texts = (c.to_pylist() for c in part.columns)
+                texts = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+                at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+                raw = np.frombuffer(b"\n".join(texts), np.uint8)
+                first, last = word_spans(raw)
+                h = hash_spans(raw, first, last)
+                ends = np.flatnonzero(raw == 10)
+                line = np.searchsorted(ends, first)
+                counts = np.bincount(line) if len(line) else np.empty(0, np.int64)
+                wide = np.flatnonzero(counts >= MIN_WORDS)
+                starts = (np.cumsum(counts) - counts)[wide]
+                owner = np.searchsorted(at, first[starts], side="right") - 1
+                doc, pos = np.array(ids, np.int64)[owner], wide - np.searchsorted(ends, at[:-1])[owner]
+                lines = [(0, 0, h[x:y]) for x, y in zip(starts.tolist(), (starts + counts[wide]).tolist(), strict=True)]
+                for x in range(0, len(lines), 1 << 16):
+                    now = slice(x, x + (1 << 16))
+                    n, fp, keys, sig = sketch_lines(lines[now], p)
+                    own = np.arange(number, number + len(n))
+                    number += len(n)
+                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * p.bands), pa.array(keys.ravel()))
+                    yield batch({"id": pa.array(own), "doc": pa.array(doc[now]), "pos": pa.array(pos[now]), "n": pa.array(n), "keys": listed, "sig": _binary(sig)}, len(n))
+                    yield from put("copy", packed.records(RECORDS["copy"], k=fp[:, 0], c=fp[:, 1], of=own))
+                    # A copy of an earlier paragraph leaves the banding, so it need not enter it.
+                    fresh = np.sort(np.unique(np.ascontiguousarray(fp).view("V16").ravel(), return_index=True)[1])
+                    yield from put("band", packed.records(RECORDS["band"], k=keys[fresh].ravel(), of=np.repeat(own[fresh], p.bands)))
+                yield from put("block", *_blocks(ids, at, h, first, last))
+        for kind in RECORDS:
+            yield from put(kind, least=0)
 
     return docs.select("doc", "text").mapInArrow(run, struct(_SCAN))
 
@@ -158,12 +197,24 @@ def _paragraph_texts(ws: Workspace, docs: DataFrame, places: DataFrame, ids: Dat
     return found.select(F.col("place.id").alias("id"), F.try_element_at("lines", F.col("place.pos") + 1).alias("text")).where("text IS NOT NULL")
 
 
+def _packed(scanned: DataFrame, kind: str) -> DataFrame:
+    return scanned.where(F.col("kind") == kind).select("part", "rows")
+
+
 def repeated_paragraphs(ws: Workspace, docs: DataFrame, scanned: DataFrame, params: MinHash = PARAGRAPH) -> DataFrame:
     """(doc, pos, cluster, removed) of the paragraphs that have a near-duplicate, in another document or their own."""
     own = Workspace(ws.spark, "paragraphs")
-    sketches = scanned.where("pos IS NOT NULL")
+    same = packed.groups(own, _packed(scanned, "copy"), RECORDS["copy"]).where("of != lo")
+    copies = own.save(same.select(F.col("of").alias("id"), F.col("lo").alias("first")), "copies")
+    banded = packed.groups(own, _packed(scanned, "band"), RECORDS["band"]).select("k", F.col("of").alias("id"), F.col("lo").alias("lead"))
+    # The smallest of a bucket is no copy: the first of its set has the same bands.
+    members = own.save(banded.join(by_size(copies.select("id")), "id", "left_anti"), "members")
+    named = members.select("id").unionByName(copies.select("id")).unionByName(copies.select(F.col("first").alias("id")))
+    named = own.save(named.distinct(), "named")
+    # Only paragraphs that share a band or a set are looked at again.
+    sketches = own.save(scanned.where("id IS NOT NULL").select("id", "doc", "pos", "n", "keys", "sig").join(by_size(named), "id", "left_semi"), "sketches")
     places = sketches.select("id", "doc", "pos")
-    labels = near_components(own, lambda ids: _paragraph_texts(own, docs, places, ids), sketches.select("id", "n", "fp", "keys", "sig"), params)
+    labels = linked_members(own, lambda ids: _paragraph_texts(own, docs, places, ids), sketches, members, copies, params)
     leads = labels.select(F.col("component").alias("id"), "component").distinct()
     found = ws.save(places.join(labels.unionByName(leads), "id").select("doc", "pos", F.col("component").alias("cluster")), "paragraphs")
     own.drop_all_but()
@@ -176,11 +227,8 @@ def repeated_paragraphs(ws: Workspace, docs: DataFrame, scanned: DataFrame, para
 
 def repeated_blocks(ws: Workspace, scanned: DataFrame) -> DataFrame:
     """(doc, start, end, removed) of the verbatim blocks that stand elsewhere too, in another document or their own."""
-    found = scanned.where("k IS NOT NULL").select("k", "c", "doc", "start", "end", "again")
-    shared = found.groupBy("k", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("again").alias("twice"), F.count(F.lit(1)).alias("n")).where("lo != hi OR twice")
-    shared = ws.save(shared.select("k", "c", "lo", "n"), "shared")
-    joined = join_dealt(found, shared.select("k", "c", "lo"), ["k", "c"], "doc", hot_keys(ws, shared, ["k", "c"]))
-    return joined.select("doc", "start", "end", ((F.col("doc") != F.col("lo")) | F.col("again")).alias("removed"))
+    found = packed.groups(ws, _packed(scanned, "block"), RECORDS["block"])
+    return found.select(F.col("of").alias("doc"), "start", "end", ((F.col("of") != F.col("lo")) | F.col("again")).alias("removed"))
 
 
 def merged_spans(blocks: DataFrame) -> DataFrame:
@@ -211,8 +259,7 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """
     ws = Workspace(docs.sparkSession, "passages")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & F.col("text").isNotNull())
-    # Numbered once, when written: two paragraphs never share a number.
-    scanned = ws.save(scan(rows, params).withColumn("id", F.monotonically_increasing_id()), "scan")
+    scanned = ws.save(scan(rows, params), "scan")
     paragraphs = repeated_paragraphs(ws, rows, scanned, params).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("pos", "cluster", "removed"))).alias("paragraphs"))
     both = paragraphs.join(merged_spans(repeated_blocks(ws, scanned)), "doc", "full_outer")
     none = F.array().cast("array<struct<start:int,end:int>>")
