@@ -56,6 +56,17 @@ def test_rows_of_one_time_come_in_order_of_their_ids(spark, tmp_path, name):
     assert sorted(tuple(map(plain, r)) for r in found.collect()) == want
 
 
+def test_a_deviation_below_that_of_the_sql_counts_as_none(spark, tmp_path):
+    """Values of a symbol that differ by less than 1e-9, then by more."""
+    db = duckdb.connect(config={"threads": 1})
+    db.execute("CREATE TABLE events AS SELECT k AS event_id, TIMESTAMP '2024-01-01' + k * INTERVAL 1 SECOND AS ts, 1 AS user_id, 'a' AS event_type, 29.27 + CASE WHEN k < 6 THEN k * 1e-12 ELSE k END AS value, '{}' AS props FROM range(9) r(k)")
+    db.execute(f"COPY events TO '{tmp_path}/events.parquet'")
+    found = catalog.queries()["spread_state_plain"](spark, str(tmp_path)).orderBy("timestamp").collect()
+    want = db.execute(f"SELECT * FROM ({catalog.oracle_sql()['spread_state_plain']}) ORDER BY timestamp").fetchall()
+    assert [tuple(map(plain, r)) for r in found] == [tuple(map(plain, r)) for r in want]
+    assert [r.z4 for r in found][:6] == [0] * 6 and found[6].z4 > 0
+
+
 @pytest.mark.parametrize("name", ["guard_stream", "recover_gaps_stream", "ohlcv_timed_stream", "throttle_stream"])
 def test_streams_take_bounded_shares(spark, tables, monkeypatch, name):
     """Runs of few rows each, as many as the input needs, give what one run gives."""

@@ -56,7 +56,7 @@ def oi_change(df: DataFrame, arrival: str = "timestamp", history: int | None = H
     )
 
 
-def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None, part: Column | None = None, tie: str | None = None) -> DataFrame:
+def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, threshold: float = 2.0, scale: int | None = None, part: Column | None = None, tie: str | None = None, least: float = 0.0) -> DataFrame:
     """Rolling mean, population deviation and z-score of ``spread_bps`` over the last rows.
 
     With ``scale`` the statistics come from sums of integers ``round(x * scale)``,
@@ -64,7 +64,8 @@ def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, t
     of running sums, so a row costs the same whatever the window. With ``part``
     a symbol's history is dealt to groups, each with the ``window`` rows before
     it (see :mod:`tidemark.operators.parts`). Rows that tie in ``arrival`` come
-    in order of the column ``tie``; without one their order is open.
+    in order of the column ``tie``; without one their order is open. Where the
+    deviation is ``least`` or less, the z-score is 0.
     """
     stats, keys = grouped(df, part, rows=window)
     each = W.partitionBy(*keys).orderBy(*_order(arrival, tie))
@@ -85,7 +86,7 @@ def spread_state(df: DataFrame, arrival: str = "timestamp", window: int = 300, t
         gone = lambda c: F.coalesce(F.lag(c, window).over(each), F.lit(0))
         stats = stats.withColumn("_s", F.col("_a") - gone("_a")).withColumn("_q", (F.col("_b") - gone("_b")).cast("long"))
         stats = stats.withColumn("_mean", F.col("_s").cast("double") / (F.col("_n") * scale)).withColumn("_std", F.sqrt((F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")) / (F.col("_n") * scale))
-    z = F.when(F.col("_std") > 0, (F.col("spread_bps") - F.col("_mean")) / F.col("_std")).otherwise(0.0)
+    z = F.when(F.col("_std") > least, (F.col("spread_bps") - F.col("_mean")) / F.col("_std")).otherwise(0.0)
     return own_rows(stats).withColumn("spread_zscore", z).select("timestamp", "symbol", "spread_bps", "spread_zscore", (F.col("spread_zscore") >= threshold).alias("is_wide_spread"), F.col("_mean").alias("rolling_spread_mean"), F.col("_std").alias("rolling_spread_std"))
 
 

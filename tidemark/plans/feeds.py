@@ -228,7 +228,7 @@ def _(s, d):
 def _(s, d):
     e = _t(s, d, "events").select(F.col("event_type").alias("symbol"), _ms("ts").alias("timestamp"), F.col("value").alias("spread_bps"), "event_id")
     four = lambda c: F.round(F.col(c) * 9999.1).cast("long")
-    return rolling.spread_state(e, tie="event_id").select("timestamp", "symbol", "spread_bps", four("spread_zscore").alias("z4"), four("rolling_spread_mean").alias("mean4"), four("rolling_spread_std").alias("std4"))
+    return rolling.spread_state(e, tie="event_id", least=1e-9).select("timestamp", "symbol", "spread_bps", four("spread_zscore").alias("z4"), four("rolling_spread_mean").alias("mean4"), four("rolling_spread_std").alias("std4"))
 
 
 # A listing of files: one per order, in the new layout (filled), the old one (open), or outside of both; some are no Parquet.
